@@ -103,7 +103,7 @@ def format_metric(c: Column, digits: int = 4) -> Column:
     """Fixed-precision text of a number (``f"{x:.4f}"``): half-even rounding
     of the exact binary value, no digit grouping."""
     pattern = "0." + "0" * digits if digits > 0 else "0"
-    return F.format_number(c, pattern)
+    return F.call_function("format_number", c, F.lit(pattern))
 
 
 def format_name(template: str, *cols: Column) -> Column:

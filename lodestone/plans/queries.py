@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestone.functions import columns
+from lodestone.operators import grid, labels, metrics, sampling, training
 from lodestone.plans import etl
 from lodestone.session import read_table, scratch_path
 from lodestone.sources.files import csv_scan
@@ -68,3 +70,294 @@ def entry(spark: SparkSession, sf_dir: str = "/root/testdata/sf0.001") -> DataFr
     loaded = etl.run_etl(spark, src, stages, key=None, drop=("extra", "l_linenumber"))
     return (loaded.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
             .orderBy("l_returnflag"))
+
+
+# ---------------------------------------------------------------------------
+# Projections
+# ---------------------------------------------------------------------------
+
+@query("drop_strict_customer", """
+select c_custkey, c_nationkey, c_acctbal, c_mktsegment from customer
+""")
+def q_drop_strict(spark, sf_dir):
+    return columns.drop_strict(read_table(spark, sf_dir, "customer"), "c_name")
+
+
+@query("conform_customer", """
+select c_custkey, c_mktsegment, cast(c_acctbal as double) as c_acctbal,
+       cast(null as double) as c_missing from customer
+""")
+def q_conform(spark, sf_dir):
+    cols = [("c_custkey", None), ("c_mktsegment", None), ("c_acctbal", "double"), ("c_missing", "double")]
+    return columns.conform(read_table(spark, sf_dir, "customer"), cols)
+
+
+@query("value_pipeline_orders", """
+select o_orderkey, o_totalprice * 2 as value from orders
+""")
+def q_value_pipeline(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").alias("value"))
+    return etl.value_pipeline(o, "value", 2)
+
+
+@query("format_metric_orders", """
+select o_orderstatus, printf('%.4f', avg(o_totalprice) / 1000) as avg_price_k,
+       'status_' || o_orderstatus || '_' || cast(count(*) as varchar) as name
+from orders group by o_orderstatus
+""")
+def q_format_metric(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders")
+    g = o.groupBy("o_orderstatus").agg((F.avg("o_totalprice") / 1000).alias("m"), F.count(F.lit(1)).alias("n"))
+    return g.select("o_orderstatus", columns.format_metric(F.col("m"), 4).alias("avg_price_k"),
+                    columns.format_name("status_%s_%d", F.col("o_orderstatus"), F.col("n")).alias("name"))
+
+
+# ---------------------------------------------------------------------------
+# Labels (W1, E4, B14, H10)
+# ---------------------------------------------------------------------------
+
+@query("distinct_labels_events", """
+select distinct event_type from events
+""")
+def q_distinct_labels(spark, sf_dir):
+    return labels.distinct_labels(read_table(spark, sf_dir, "events"), "event_type")
+
+
+@query("category_codes_customer", """
+with c as (select c_custkey, nullif(c_mktsegment, 'HOUSEHOLD') as seg from customer),
+     l as (select seg, cast(row_number() over (order by seg) - 1 as integer) as code
+           from (select distinct seg from c where seg is not null) t)
+select c.c_custkey, c.seg as segment, coalesce(l.code, -1) as code from c left join l on c.seg = l.seg
+""")
+def q_category_codes(spark, sf_dir):
+    c = read_table(spark, sf_dir, "customer").select(
+        "c_custkey", F.expr("nullif(c_mktsegment, 'HOUSEHOLD')").alias("segment"))
+    return labels.category_codes(c, "segment", out="code")
+
+
+@query("decode_labels_events", """
+select event_id, cast(dense_rank() over (order by event_type) - 1 as integer) as code,
+       event_type as name from events
+""")
+def q_decode_labels(spark, sf_dir):
+    e = read_table(spark, sf_dir, "events").select("event_id", "event_type")
+    names = labels.label_list(e, "event_type")
+    coded = labels.category_codes(e, "event_type", out="code", names=names)
+    return coded.select("event_id", "code", columns.decode_label(F.col("code"), names).alias("name"))
+
+
+@query("preprocess_events", """
+select event_id, user_id, cast(dense_rank() over (order by event_type) - 1 as integer) as event_type, value
+from events
+""")
+def q_preprocess(spark, sf_dir):
+    return training.preprocess(read_table(spark, sf_dir, "events"), drop=("ts", "props"), label="event_type")
+
+
+# ---------------------------------------------------------------------------
+# Splits and folds
+# ---------------------------------------------------------------------------
+
+@query("train_test_split_events", """
+select event_id, event_type,
+       case when row_number() over (order by md5('42:' || cast(event_id as varchar)), event_id)
+                 <= ceil(0.2 * count(*) over ()) then 'test' else 'train' end as split
+from events
+""")
+def q_split(spark, sf_dir):
+    e = read_table(spark, sf_dir, "events").select("event_id", "event_type")
+    return sampling.with_split(e, "event_id", 0.2, 42)
+
+
+@query("stratified_folds_events", """
+select event_id, event_type,
+       cast((row_number() over (partition by event_type
+             order by md5('42:' || cast(event_id as varchar)), event_id) - 1) % 3 as integer) as fold
+from events
+""")
+def q_folds(spark, sf_dir):
+    e = read_table(spark, sf_dir, "events").select("event_id", "event_type")
+    return sampling.stratified_folds(e, "event_type", "event_id", 3, 42)
+
+
+# ---------------------------------------------------------------------------
+# Metrics (E5-E8, E11, D5, W4, D3/H1)
+# ---------------------------------------------------------------------------
+
+def _quality_scored(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    lab = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return d.join(lab, "doc_id").select("doc_id", F.col("quality").alias("actual"),
+                                        (F.col("n_chars") > 500).cast("int").alias("predicted"))
+
+
+_QUALITY_SQL = """select l.quality as actual, cast(d.n_chars > 500 as integer) as predicted
+                  from documents d join labels l on d.doc_id = l.doc_id"""
+
+_RETURNFLAG_SQL = """select l_returnflag as actual,
+                     case when l_quantity < 20 then 'A' else 'N' end as predicted from lineitem"""
+
+
+def _returnflag_scored(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_returnflag").alias("actual"),
+                     F.when(F.col("l_quantity") < 20, "A").otherwise("N").alias("predicted"))
+
+
+def _dense_cm_sql(scored_sql: str) -> str:
+    return f"""
+with p as ({scored_sql}),
+     l as (select actual as x from p union select predicted from p),
+     c as (select actual, predicted, count(*) as n from p group by actual, predicted)
+select l1.x as actual, l2.x as predicted, cast(coalesce(c.n, 0) as bigint) as n
+from l l1 cross join l l2 left join c on c.actual = l1.x and c.predicted = l2.x
+"""
+
+
+def _report_sql(scored_sql: str) -> str:
+    return f"""
+with p as ({scored_sql}),
+     l as (select actual as x from p union select predicted from p),
+     s as (select l.x as label,
+                  (select count(*) from p where p.actual = l.x and p.predicted = l.x) as tp,
+                  (select count(*) from p where p.actual = l.x) as support,
+                  (select count(*) from p where p.predicted = l.x) as pred_n from l),
+     m as (select cast(label as varchar) as class,
+                  case when pred_n = 0 then 0.0 else tp::double / pred_n end as precision,
+                  case when support = 0 then 0.0 else tp::double / support end as recall,
+                  support, tp from s),
+     f as (select *, case when precision + recall = 0 then 0.0
+                          else 2 * precision * recall / (precision + recall) end as f1_score from m),
+     t as (select sum(tp) as tp, sum(support) as n, avg(precision) as mp, avg(recall) as mr, avg(f1_score) as mf,
+                  sum(precision * support) / sum(support) as wp, sum(recall * support) / sum(support) as wr,
+                  sum(f1_score * support) / sum(support) as wf from f)
+select class, round(precision, 6) as precision, round(recall, 6) as recall, round(f1_score, 6) as f1_score,
+       cast(support as bigint) as support from f
+union all select 'accuracy', null, null, round(tp::double / n, 6), cast(n as bigint) from t
+union all select 'macro avg', round(mp, 6), round(mr, 6), round(mf, 6), cast(n as bigint) from t
+union all select 'weighted avg', round(wp, 6), round(wr, 6), round(wf, 6), cast(n as bigint) from t
+"""
+
+
+@query("accuracy_quality", f"""
+with p as ({_QUALITY_SQL}) select round(avg(cast(actual = predicted as double)), 6) as accuracy from p
+""")
+def q_accuracy(spark, sf_dir):
+    a = metrics.accuracy(_quality_scored(spark, sf_dir), "actual", "predicted")
+    return a.select(F.round("accuracy", 6).alias("accuracy"))
+
+
+@query("confusion_matrix_quality", _dense_cm_sql(_QUALITY_SQL))
+def q_cm_quality(spark, sf_dir):
+    return metrics.confusion_matrix(_quality_scored(spark, sf_dir), "actual", "predicted")
+
+
+@query("confusion_matrix_returnflag", _dense_cm_sql(_RETURNFLAG_SQL))
+def q_cm_returnflag(spark, sf_dir):
+    return metrics.confusion_matrix(_returnflag_scored(spark, sf_dir), "actual", "predicted")
+
+
+@query("classification_report_quality", _report_sql(_QUALITY_SQL))
+def q_report_quality(spark, sf_dir):
+    return metrics.classification_report(_quality_scored(spark, sf_dir), "actual", "predicted")
+
+
+@query("classification_report_returnflag", _report_sql(_RETURNFLAG_SQL))
+def q_report_returnflag(spark, sf_dir):
+    return metrics.classification_report(_returnflag_scored(spark, sf_dir), "actual", "predicted")
+
+
+# Softmax scorer over lineitem: classes A, N, R (codes 0, 1, 2).
+def softmax_scores(li: DataFrame) -> DataFrame:
+    q, d, t = F.col("l_quantity"), F.col("l_discount"), F.col("l_tax")
+    e0 = F.exp(F.lit(0.03) * q + d)
+    e1 = F.exp(F.lit(1.0) - F.lit(0.02) * q + t)
+    e2 = F.exp(F.lit(0.5))
+    z = e0 + e1 + e2
+    return li.select("*", (e0 / z).alias("p0"), (e1 / z).alias("p1"), (e2 / z).alias("p2"))
+
+
+_SOFTMAX_SQL = """
+select *, e0 / (e0 + e1 + e2) as p0, e1 / (e0 + e1 + e2) as p1, e2 / (e0 + e1 + e2) as p2
+from (select *, exp(0.03 * l_quantity + l_discount) as e0, exp(1 - 0.02 * l_quantity + l_tax) as e1,
+             exp(0.5) as e2 from lineitem) s
+"""
+
+
+@query("evaluate_returnflag_softmax", f"""
+with s as ({_SOFTMAX_SQL}),
+     p as (select case l_returnflag when 'A' then 0 when 'N' then 1 else 2 end as actual,
+                  case when p0 >= p1 and p0 >= p2 then 0 when p1 >= p2 then 1 else 2 end as predicted,
+                  p0, p1, p2 from s),
+     l as (select actual as x from p union select predicted from p),
+     st as (select l.x, (select count(*) from p where actual = l.x and predicted = l.x) as tp,
+                   (select count(*) from p where actual = l.x) as sup,
+                   (select count(*) from p where predicted = l.x) as pn from l),
+     m as (select sup, tp, case when pn = 0 then 0.0 else tp::double / pn end as pr,
+                  case when sup = 0 then 0.0 else tp::double / sup end as rc from st),
+     f as (select *, case when pr + rc = 0 then 0.0 else 2 * pr * rc / (pr + rc) end as f1 from m)
+select round(sum(tp)::double / sum(sup), 6) as accuracy,
+       round(sum(pr * sup) / sum(sup), 6) as precision_weighted,
+       round(sum(rc * sup) / sum(sup), 6) as recall_weighted,
+       round(sum(f1 * sup) / sum(sup), 6) as f1_weighted,
+       round((select avg(-ln(greatest(case actual when 0 then p0 when 1 then p1 else p2 end, 1e-15))) from p), 6)
+         as log_loss
+from f
+""")
+def q_evaluate(spark, sf_dir):
+    s = softmax_scores(read_table(spark, sf_dir, "lineitem"))
+    codes = ["A", "N", "R"]
+    scored = labels.encode_with_list(s, "l_returnflag", codes, out="actual").select(
+        "actual", "p0", "p1", "p2",
+        F.when((F.col("p0") >= F.col("p1")) & (F.col("p0") >= F.col("p2")), 0)
+         .when(F.col("p1") >= F.col("p2"), 1).otherwise(2).alias("predicted"))
+    return metrics.evaluate_classifier(scored, "actual", "predicted", ["p0", "p1", "p2"])
+
+
+def _cv_rule(p: dict):
+    """Stand-in scorer of a grid candidate on ``events``: predicts a purchase
+    when the value is below n_estimators * max_depth / 10."""
+    t = p["n_estimators"] * p["max_depth"] / 10.0
+    return (F.col("value") < F.lit(t)) == (F.col("event_type") == F.lit("purchase"))
+
+
+_FOLDS_SQL = """
+select event_id, event_type, value,
+       (row_number() over (partition by event_type
+        order by md5('42:' || cast(event_id as varchar)), event_id) - 1) % 3 as fold from events
+"""
+
+_CV_SQL = f"""
+with f as ({_FOLDS_SQL}),
+     g as (select * from (values (0, 3, 50), (1, 3, 100), (2, 5, 50), (3, 5, 100))
+           as g(candidate, max_depth, n_estimators)),
+     s as (select g.candidate, f.fold,
+                  avg(cast((f.value < g.n_estimators * g.max_depth / 10.0) = (f.event_type = 'purchase')
+                      as double)) as score
+           from f, g group by g.candidate, f.fold),
+     m as (select candidate, round(avg(score), 6) as mean_test_score,
+                  round(stddev_pop(score), 6) as std_test_score from s group by candidate)
+"""
+
+
+@query("cv_scores_events", _CV_SQL + """
+select m.candidate, g.max_depth, g.n_estimators, cast(42 as bigint) as random_state,
+       m.mean_test_score, m.std_test_score,
+       cast(rank() over (order by m.mean_test_score desc) as integer) as rank_test_score
+from m join g on m.candidate = g.candidate
+""")
+def q_cv_scores(spark, sf_dir):
+    return training.rule_grid_search(_events_folds(spark, sf_dir), grid.DEFAULT_GRID, _cv_rule)
+
+
+@query("best_candidate_events", _CV_SQL + """
+select candidate, mean_test_score from m order by mean_test_score desc, candidate limit 1
+""")
+def q_best_candidate(spark, sf_dir):
+    res = training.rule_grid_search(_events_folds(spark, sf_dir), grid.DEFAULT_GRID, _cv_rule)
+    return metrics.best_candidate(res).select("candidate", "mean_test_score")
+
+
+def _events_folds(spark, sf_dir):
+    e = read_table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    return sampling.stratified_folds(e, "event_type", "event_id", 3, 42)
