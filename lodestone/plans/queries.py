@@ -11,11 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.functions import columns
-from lodestone.operators import grid, labels, metrics, sampling, training
-from lodestone.plans import etl
+from lodestone.functions import columns, predicates
+from lodestone.operators import grid, labels, metrics, sampling, selection, training
+from lodestone.plans import crawl, etl
 from lodestone.session import read_table, scratch_path
+from lodestone.sources import collections
 from lodestone.sources.files import csv_scan
+from lodestone.sources.tables import catalog_from_documents
+from lodestone.streaming import incremental
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -361,3 +364,148 @@ def q_best_candidate(spark, sf_dir):
 def _events_folds(spark, sf_dir):
     e = read_table(spark, sf_dir, "events").select("event_id", "event_type", "value")
     return sampling.stratified_folds(e, "event_type", "event_id", 3, 42)
+
+
+# ---------------------------------------------------------------------------
+# Crawl selection
+# Stand-in: documents are the ranked catalog (owner = source, stars =
+# n_chars); the labelled documents are the ones already handled; a fetch
+# "fails" for German documents.
+# ---------------------------------------------------------------------------
+
+_CATALOG_SQL = """
+select source || '/doc' || cast(doc_id as varchar) as _id, n_chars as stars, lang <> 'de' as ok,
+       exists(select 1 from labels l where l.doc_id = d.doc_id) as is_downloaded
+from documents d
+"""
+
+
+def _crawl_catalog(docs: DataFrame) -> DataFrame:
+    return docs.select(
+        F.concat_ws("/", F.col("source"), F.concat(F.lit("doc"), F.col("doc_id").cast("string"))).alias("_id"),
+        F.col("n_chars").alias("stars"), (F.col("lang") != "de").alias("ok"))
+
+
+def _seen_log_file(spark, sf_dir) -> str:
+    """The handled names as a text log, one per line, with stray whitespace."""
+    docs = read_table(spark, sf_dir, "documents")
+    seen = docs.join(read_table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
+    path = scratch_path(spark, "log.txt")
+    (_crawl_catalog(seen).select(F.concat(F.lit("  "), F.col("_id"), F.lit("\t")).alias("value"))
+     .write.text(path))
+    return path
+
+
+@query("crawl_select_documents", f"""
+with c as ({_CATALOG_SQL})
+select _id, stars from c where not is_downloaded and ok order by stars desc, _id limit 25
+""")
+def q_crawl_select(spark, sf_dir):
+    cat = _crawl_catalog(read_table(spark, sf_dir, "documents"))
+    seen = crawl.load_seen(spark, _seen_log_file(spark, sf_dir))
+    return crawl.select_run(cat, seen, k=25).select("_id", "stars")
+
+
+@query("catalog_status_documents", """
+with c as (select d.doc_id, exists(select 1 from labels l where l.doc_id = d.doc_id) as is_downloaded
+           from documents d)
+select is_downloaded, count(*) as n, count(*) as n_pandas_unknown, count(*) filter (where not is_downloaded) as n_to_fetch
+from c group by is_downloaded
+""")
+def q_catalog_status(spark, sf_dir):
+    cat = catalog_from_documents(read_table(spark, sf_dir, "documents"),
+                                 seen=read_table(spark, sf_dir, "labels"))
+    return cat.groupBy("is_downloaded").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("has_pandas").isNull()).alias("n_pandas_unknown"),
+        F.count_if(~F.col("is_downloaded")).alias("n_to_fetch"))
+
+
+@query("search_hits_pages", """
+select count(*) as total_count from pages where contains(html, 'lang="en"') and ends_with(url, '.html')
+""")
+def q_search_hits(spark, sf_dir):
+    return crawl.search_hits(read_table(spark, sf_dir, "pages"), 'lang="en"', "html", "html", "url")
+
+
+@query("search_pages", """
+select page_id, url from pages where contains(html, 'lang="en"') and ends_with(url, '.html')
+""")
+def q_search_pages(spark, sf_dir):
+    return predicates.search(read_table(spark, sf_dir, "pages"), 'lang="en"', "html", "html", "url") \
+        .select("page_id", "url")
+
+
+@query("first_n_orders", """
+select o_orderkey, o_totalprice from orders order by o_orderkey limit 10
+""")
+def q_first_n(spark, sf_dir):
+    return selection.first_n(read_table(spark, sf_dir, "orders"), 10, "o_orderkey") \
+        .select("o_orderkey", "o_totalprice")
+
+
+@query("insert_if_absent_catalog", f"""
+with c as ({_CATALOG_SQL})
+select _id, stars, is_downloaded, true as is_run from c where is_downloaded
+union all
+select _id, stars, is_downloaded, false as is_run from c where not is_downloaded
+""")
+def q_insert_if_absent(spark, sf_dir):
+    cat = catalog_from_documents(read_table(spark, sf_dir, "documents"),
+                                 seen=read_table(spark, sf_dir, "labels"))
+    target = cat.where("is_downloaded").withColumn("is_run", F.lit(True))
+    source = cat.unionByName(cat.withColumn("stars", F.col("stars") + 1))
+    return collections.insert_if_absent(target, source, "_id", order="stars") \
+        .select("_id", "stars", "is_downloaded", "is_run")
+
+
+@query("crawl_incremental_documents", f"""
+with c as ({_CATALOG_SQL})
+select _id from c where is_downloaded
+union all
+select _id from (select _id from c where not is_downloaded and ok order by stars desc, _id limit 50) t
+""")
+def q_crawl_incremental(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    cat = _crawl_catalog(docs)
+    log = scratch_path(spark, "crawl-log")
+    seen = crawl.load_seen(spark, _seen_log_file(spark, sf_dir))
+    incremental.write_log_part(seen, log, "initial")
+    for run in range(2):
+        incremental.incremental_select(cat, log, 25, batch_id=f"r{run}")
+    return incremental.read_key_log(spark, log)
+
+
+@query("crawl_stream_documents", f"""
+with c as ({_CATALOG_SQL})
+select _id from c where is_downloaded
+union all
+select _id from (select _id from c where not is_downloaded and ok order by stars desc, _id limit 25) t
+""")
+def q_crawl_stream(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    log = scratch_path(spark, "crawl-log")
+    incremental.write_log_part(crawl.load_seen(spark, _seen_log_file(spark, sf_dir)), log, "initial")
+    stream = (spark.readStream.schema(docs.schema).option("pathGlobFilter", "documents.parquet")
+              .parquet(sf_dir))
+    q = incremental.start_incremental_stream(_crawl_catalog(stream), log, scratch_path(spark, "stream-ckpt"), 25)
+    q.awaitTermination()
+    return incremental.read_key_log(spark, log)
+
+
+# ---------------------------------------------------------------------------
+# Content test over cells (C1, C2, K3): conversations as notebooks, one row
+# per cell; role "user" plays the code cell.
+# ---------------------------------------------------------------------------
+
+_CELL_TERMS = ("import pandas", "pd.", "tion")
+
+
+@query("cells_contain_conversations", """
+select conv_id, coalesce(bool_or(role = 'user' and (contains(text, 'import pandas') or contains(text, 'pd.')
+                                                    or contains(text, 'tion'))), false) as contains
+from conversations group by conv_id
+""")
+def q_cells_contain(spark, sf_dir):
+    c = read_table(spark, sf_dir, "conversations")
+    return predicates.cells_contain_grouped(c, "conv_id", "role", "text", _CELL_TERMS, "user")
