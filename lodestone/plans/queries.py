@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions import columns, predicates
-from lodestone.operators import grid, labels, metrics, sampling, selection, training
+from lodestone.operators import explain, grid, labels, metrics, sampling, selection, training
 from lodestone.plans import crawl, etl
 from lodestone.session import read_table, scratch_path
 from lodestone.sources import collections
@@ -509,3 +509,70 @@ from conversations group by conv_id
 def q_cells_contain(spark, sf_dir):
     c = read_table(spark, sf_dir, "conversations")
     return predicates.cells_contain_grouped(c, "conv_id", "role", "text", _CELL_TERMS, "user")
+
+
+# ---------------------------------------------------------------------------
+# Partial dependence with a SQL-expressible scorer
+# ---------------------------------------------------------------------------
+
+_PDP_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+_PDP_POINTS = 10
+
+
+def _pdp_sql(centre: bool = False, clip: tuple | None = None) -> str:
+    parts = []
+    for f in _PDP_FEATURES:
+        q, d, t = [("g.x" if c == f else c) for c in _PDP_FEATURES]
+        parts.append(f"""
+  select '{f}' as feature, g.i as grid_index, g.x as x,
+         exp(0.03 * {q} + {d}) as e0, exp(1 - 0.02 * {q} + {t}) as e1, exp(0.5) as e2
+  from lineitem cross join (
+    select cast(r.i as integer) as i, b.mn + (b.mx - b.mn) * r.i / {_PDP_POINTS - 1} as x
+    from (select cast(min({f}) as double) as mn, cast(max({f}) as double) as mx from lineitem) b,
+         range(0, {_PDP_POINTS}) r(i)) g""")
+    body = " union all ".join(parts)
+    sql = f"""
+with z as ({body}),
+     a as (select feature, grid_index, x, avg(e0 / (e0 + e1 + e2)) as p0, avg(e1 / (e0 + e1 + e2)) as p1,
+                  avg(e2 / (e0 + e1 + e2)) as p2 from z group by feature, grid_index, x),
+     l as (select feature, grid_index, x, 0 as class, p0 as pd from a
+           union all select feature, grid_index, x, 1, p1 from a
+           union all select feature, grid_index, x, 2, p2 from a)"""
+    val = "pd - avg(pd) over (partition by feature, class)" if centre else "pd"
+    sql += f""",
+     c as (select feature, grid_index, x, class, {val} as pd from l)
+select feature, grid_index, round(x, 6) as x, cast(class as integer) as class, round(pd, 6) as pd from c"""
+    if clip:
+        sql += f" where pd between {clip[0]} and {clip[1]}"
+    return sql
+
+
+def _pdp(spark, sf_dir, centre=False, clip=None):
+    li = read_table(spark, sf_dir, "lineitem").select(*_PDP_FEATURES)
+    curve = explain.partial_dependence(li, _PDP_FEATURES, softmax_scores, ["p0", "p1", "p2"],
+                                       points=_PDP_POINTS, centre=centre)
+    if clip:
+        curve = explain.clip_curve(curve, *clip)
+    return curve.select("feature", "grid_index", F.round("x", 6).alias("x"), "class",
+                        F.round("pd", 6).alias("pd"))
+
+
+@query("pdp_softmax_lineitem", _pdp_sql())
+def q_pdp(spark, sf_dir):
+    return _pdp(spark, sf_dir)
+
+
+@query("pdp_centred_clipped_lineitem", _pdp_sql(centre=True, clip=explain.PLOT_LIMITS))
+def q_pdp_clip(spark, sf_dir):
+    return _pdp(spark, sf_dir, centre=True, clip=explain.PLOT_LIMITS)
+
+
+@query("feature_ranges_lineitem", """
+select min(l_quantity) + 0.0 as mn_l_quantity, max(l_quantity) + 0.0 as mx_l_quantity,
+       min(l_discount) + 0.0 as mn_l_discount, max(l_discount) + 0.0 as mx_l_discount from lineitem
+""")
+def q_feature_ranges(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem")
+    # "+ 0.0" folds a signed zero (-0.0) into 0.0
+    return li.agg(*[(F.min(f) + 0.0).alias(f"mn_{f}") for f in _PDP_FEATURES[:2]],
+                  *[(F.max(f) + 0.0).alias(f"mx_{f}") for f in _PDP_FEATURES[:2]])
