@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions import columns, predicates
-from lodestone.operators import explain, grid, labels, metrics, sampling, selection, training
+from lodestone.operators import explain, grid, labels, metrics, registry, sampling, selection, training
 from lodestone.plans import crawl, etl
 from lodestone.session import read_table, scratch_path
 from lodestone.sources import collections
@@ -576,3 +576,122 @@ def q_feature_ranges(spark, sf_dir):
     # "+ 0.0" folds a signed zero (-0.0) into 0.0
     return li.agg(*[(F.min(f) + 0.0).alias(f"mn_{f}") for f in _PDP_FEATURES[:2]],
                   *[(F.max(f) + 0.0).alias(f"mx_{f}") for f in _PDP_FEATURES[:2]])
+
+
+# ---------------------------------------------------------------------------
+# Experiment log and registry tables (I1-I6, W3, D6): the grid search is run
+# once per event type (one-vs-rest), each a parent run with a child run per
+# candidate; the tables are built from that result.
+# ---------------------------------------------------------------------------
+
+def _target_rule(c: dict):
+    t = c["n_estimators"] * c["max_depth"] / 10.0
+    return (F.col("value") < F.lit(t)) == (F.col("event_type") == F.lit(c["target"]))
+
+
+def _cv_by_target(spark, sf_dir) -> DataFrame:
+    folded = _events_folds(spark, sf_dir)
+    targets = labels.label_list(folded, "event_type")
+    base = grid.param_grid(grid.DEFAULT_GRID)
+    cands = [dict(p, target=t, cand=i) for t in targets for i, p in enumerate(base)]
+    scores = grid.fold_scores(folded, "fold", cands, _target_rule)
+    summary = metrics.fold_score_summary(scores, "candidate", "score").drop("rank_test_score")
+    keys = sorted(grid.DEFAULT_GRID)
+    table = spark.createDataFrame([(j, c["target"], c["cand"], *[c[k] for k in keys]) for j, c in enumerate(cands)],
+                                  ["_j", "target", "cand", *keys])
+    return (table.join(summary.withColumnRenamed("candidate", "_j"), "_j")
+            .select("target", F.col("cand").alias("candidate"), *keys, "mean_test_score", "std_test_score"))
+
+
+def _run_tables(spark, sf_dir) -> dict:
+    cv = _cv_by_target(spark, sf_dir)
+    t = registry.cv_run_tables(cv, "target", sorted(grid.DEFAULT_GRID))
+    children = t["runs"].where(F.col("parent_run_id").isNotNull())
+    def tag(k, v, seq):
+        return F.struct(F.lit(k).alias("key"), F.lit(v).alias("value"), F.lit(seq).cast("long").alias("seq"))
+    t["tags"] = children.select("run_id", F.explode(F.array(
+        tag("stage", "fitted", 0), tag("stage", "scored", 1), tag("dataset", "events", 0))).alias("t")) \
+        .select("run_id", "t.*")
+    t["artifacts"] = children.select("run_id", F.lit("evaluation").alias("dir"), F.explode(F.array(
+        F.lit("confusion_matrix.png"), F.lit("classification_report.json"))).alias("path")).unionByName(
+        t["runs"].where(F.col("parent_run_id").isNull()).select(
+            "run_id", F.lit("dataset_samples").alias("dir"), F.lit("train_sample.csv").alias("path")))
+    t["models"] = cv.select(F.concat(F.lit("rf_"), F.col("target")).alias("name"),
+                            (F.col("candidate") + 1).cast("int").alias("version"),
+                            F.concat(F.col("target"), F.lit("/"), F.col("candidate").cast("string")).alias("run_id"))
+    t["models"] = t["models"].withColumn("uri", registry.model_uri(F.col("name"), F.col("version")))
+    return t
+
+
+_CV_TARGET_SQL = f"""
+with f as ({_FOLDS_SQL}),
+     t as (select distinct event_type as target from events),
+     g as (select * from (values (0, 3, 50), (1, 3, 100), (2, 5, 50), (3, 5, 100))
+           as g(candidate, max_depth, n_estimators)),
+     s as (select t.target, g.candidate, f.fold,
+                  avg(cast((f.value < g.n_estimators * g.max_depth / 10.0) = (f.event_type = t.target)
+                      as double)) as score
+           from f, g, t group by t.target, g.candidate, f.fold),
+     m as (select s.target, s.candidate, g.max_depth, g.n_estimators, round(avg(score), 6) as mean_test_score,
+                  round(stddev_pop(score), 6) as std_test_score
+           from s join g on s.candidate = g.candidate group by s.target, s.candidate, g.max_depth, g.n_estimators),
+     runs as (select target || '/' || cast(candidate as varchar) as run_id, target || '/parent' as parent_run_id,
+                     target as experiment, 'Child_Run_CV_' || cast(candidate as varchar) as run_name, * from m)
+"""
+
+
+@query("leaderboard_events", _CV_TARGET_SQL + """
+select run_id, parent_run_id, experiment, run_name, mean_test_score, std_test_score,
+       cast(max_depth as varchar) as max_depth, cast(n_estimators as varchar) as n_estimators,
+       '42' as random_state from runs
+""")
+def q_leaderboard(spark, sf_dir):
+    t = _run_tables(spark, sf_dir)
+    return registry.leaderboard(t["runs"], t["params"], t["metrics"], ["mean_test_score", "std_test_score"],
+                                sorted(grid.DEFAULT_GRID))
+
+
+@query("child_rollup_events", _CV_TARGET_SQL + """
+select parent_run_id as run_id, count(*) as n_children,
+       first(run_name order by mean_test_score desc, run_name) as best_child,
+       max(mean_test_score) as best_mean_test_score
+from runs group by parent_run_id
+""")
+def q_child_rollup(spark, sf_dir):
+    t = _run_tables(spark, sf_dir)
+    return registry.child_rollup(t["runs"], t["metrics"], "mean_test_score")
+
+
+@query("experiment_runs_events", _CV_TARGET_SQL + """
+select run_id, parent_run_id, experiment, run_name from runs where experiment = 'purchase'
+union all select 'purchase/parent', null, 'purchase', 'cv_search'
+""")
+def q_experiment_runs(spark, sf_dir):
+    return registry.experiment_runs(_run_tables(spark, sf_dir)["runs"], "purchase")
+
+
+@query("current_tags_events", _CV_TARGET_SQL + """
+select run_id, 'stage' as key, 'scored' as value from runs
+union all select run_id, 'dataset', 'events' from runs
+""")
+def q_current_tags(spark, sf_dir):
+    return registry.current_tags(_run_tables(spark, sf_dir)["tags"])
+
+
+@query("artifact_index_events", _CV_TARGET_SQL + """
+select run_id, 'evaluation' as dir, ['classification_report.json', 'confusion_matrix.png'] as paths,
+       cast(2 as bigint) as n from runs
+union all select distinct parent_run_id, 'dataset_samples', ['train_sample.csv'], cast(1 as bigint) from runs
+""")
+def q_artifact_index(spark, sf_dir):
+    return registry.artifact_index(_run_tables(spark, sf_dir)["artifacts"])
+
+
+@query("latest_model_versions_events", _CV_TARGET_SQL + """
+select 'rf_' || experiment as name, cast(max(candidate) + 1 as integer) as version,
+       'models:/rf_' || experiment || '/' || cast(max(candidate) + 1 as varchar) as uri,
+       experiment || '/' || cast(max(candidate) as varchar) as run_id
+from runs group by experiment
+""")
+def q_latest_versions(spark, sf_dir):
+    return registry.latest_versions(_run_tables(spark, sf_dir)["models"])
