@@ -83,7 +83,8 @@ def melt_params(df: DataFrame, key: str = "run_id", params: str = "params") -> D
 
 def wide_metrics(metrics: DataFrame, keys: list[str]) -> DataFrame:
     """Latest value (highest step) of each metric key as columns."""
-    latest = metrics.groupBy("run_id", "key").agg(F.max_by("value", "step").alias("value"))
+    latest = (metrics.where(F.col("key").isin(keys))
+              .groupBy("run_id", "key").agg(F.max_by("value", "step").alias("value")))
     return latest.groupBy("run_id").pivot("key", keys).agg(F.first("value"))
 
 
@@ -92,7 +93,7 @@ def leaderboard(runs: DataFrame, params: DataFrame, metrics: DataFrame,
     """One row per run that has the metrics: run, its parameters and the
     latest metric values as columns (I4).  Keys are given so the pivots need
     no extra pass to find them."""
-    p = params.groupBy("run_id").pivot("key", param_keys).agg(F.first("value"))
+    p = params.where(F.col("key").isin(param_keys)).groupBy("run_id").pivot("key", param_keys).agg(F.first("value"))
     m = wide_metrics(metrics, metric_keys)
     return runs.join(m, "run_id").join(p, "run_id", "left")
 

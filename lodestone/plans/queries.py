@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import columns, predicates
 from lodestone.operators import explain, grid, labels, metrics, registry, sampling, selection, training
-from lodestone.plans import crawl, etl
+from lodestone.plans import crawl, etl, ml
 from lodestone.session import read_table, scratch_path
 from lodestone.sources import collections
 from lodestone.sources.files import csv_scan
@@ -695,3 +695,36 @@ from runs group by experiment
 """)
 def q_latest_versions(spark, sf_dir):
     return registry.latest_versions(_run_tables(spark, sf_dir)["models"])
+
+
+# ---------------------------------------------------------------------------
+# Model pipeline on MLlib (B9, B10, H2-H8, I8, I9, J2 with a forest, K1):
+# rows-only checks - forests are not comparable with any SQL.
+# ---------------------------------------------------------------------------
+
+def _quality(spark, sf_dir):
+    return ml.quality_data(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def _ml_run(spark, sf_dir):
+    return ml.train_and_register(spark, _quality(spark, sf_dir), ml.QUALITY_FEATURES, "quality", "doc_id",
+                                 scratch_path(spark, "registry"), "quality_rf")
+
+
+@query("ml_cv_results_quality")
+def q_ml_cv(spark, sf_dir):
+    return _ml_run(spark, sf_dir)["cv"]
+
+
+@query("ml_test_report_quality")
+def q_ml_report(spark, sf_dir):
+    return _ml_run(spark, sf_dir)["report"]
+
+
+@query("ml_pdp_forest_quality")
+def q_ml_pdp(spark, sf_dir):
+    data = _quality(spark, sf_dir)
+    root = scratch_path(spark, "registry")
+    model = training.fit_forest(data, ml.QUALITY_FEATURES, "quality", 50, 5, 42)
+    registry.register_model(spark, model, "quality_rf", root)
+    return ml.explain_latest(spark, data, ml.QUALITY_FEATURES, root, "quality_rf", 2, points=10)
