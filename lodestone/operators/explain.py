@@ -4,9 +4,10 @@ For each feature f and grid point x, the curve value is the mean over all
 rows of the scorer's class probabilities with f replaced by x.  The plan:
 
 1. one aggregate gives min/max of every feature (E9) -> grid points;
-2. every row is expanded by ``explode`` over the (feature, point) list and
-   the feature replaced, the scorer runs once for all classes, and the
-   result goes straight into a grouped average by (feature, point).
+2. every row is expanded by ``explode`` over the global grid index
+   (feature i owns indexes [i*points, (i+1)*points)) and the feature
+   replaced, the scorer runs once for all classes, and the result goes
+   straight into an average grouped by the integer grid index.
 
 Step 2 is a narrow pipeline ending in a partial aggregation, so the
 multiplied rows are never shuffled or stored: the exchange carries
@@ -20,6 +21,8 @@ from typing import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestone.session import spread
+
 DEFAULT_POINTS = 30
 # The y-range the curves are plotted in.
 PLOT_LIMITS = (-0.4, 0.4)
@@ -58,17 +61,20 @@ def partial_dependence(df: DataFrame, features: list[str], scorer: Callable[[Dat
     MLlib model's ``transform``, or a pandas UDF.  Returns
     (feature, grid_index, x, class, pd)."""
     ranges = ranges or feature_ranges(df, features)
-    grid = [F.struct(F.lit(f).alias("feature"), F.lit(i).alias("grid_index"), F.lit(x).cast("double").alias("x"))
-            for f in features for i, x in enumerate(grid_points(*ranges[f], points))]
-    expanded = df.select("*", F.explode(F.array(*grid)).alias("_g"))
+    xs = [x for f in features for x in grid_points(*ranges[f], points)]
+    j = F.col("_j")  # global grid index: feature i owns j in [i*points, (i+1)*points)
+    x_at = F.element_at(F.array(*[F.lit(x).cast("double") for x in xs]), j + 1)
+    expanded = spread(df).select("*", F.explode(F.sequence(F.lit(0), F.lit(len(xs) - 1))).alias("_j"))
+    pos = {f: i for i, f in enumerate(features)}
     replaced = expanded.select(
-        *[F.when(F.col("_g.feature") == f, F.col("_g.x")).otherwise(F.col(f).cast("double")).alias(f)
-          if f in features else F.col(f"`{f}`") for f in df.columns],
-        F.col("_g.feature").alias("_feature"), F.col("_g.grid_index").alias("_gi"), F.col("_g.x").alias("_x"))
+        *[F.when((j >= pos[c] * points) & (j < (pos[c] + 1) * points), x_at).otherwise(F.col(c).cast("double"))
+          .alias(c) if c in pos else F.col(f"`{c}`") for c in df.columns], "_j")
     scored = scorer(replaced)
-    avg = scored.groupBy("_feature", "_gi", "_x").agg(*[F.avg(c).alias(f"_p{i}") for i, c in enumerate(prob_cols)])
+    avg = scored.groupBy("_j").agg(*[F.avg(c).alias(f"_p{i}") for i, c in enumerate(prob_cols)])
     pairs = ", ".join(f"{i}, _p{i}" for i in range(len(prob_cols)))
-    out = avg.select(F.col("_feature").alias("feature"), F.col("_gi").alias("grid_index"), F.col("_x").alias("x"),
+    names = F.array(*[F.lit(f) for f in features])
+    out = avg.select(F.element_at(names, (j / points).cast("int") + 1).alias("feature"),
+                     (j % points).cast("int").alias("grid_index"), x_at.alias("x"),
                      F.expr(f"stack({len(prob_cols)}, {pairs}) as (class, pd)"))
     out = out.withColumn("class", F.col("class").cast("int"))
     if centre:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestone.operators.labels import label_list
+from lodestone.session import shared_dir
 
 LOG_LOSS_EPS = 1e-15
 
@@ -25,10 +26,21 @@ def accuracy(df: DataFrame, actual: str, predicted: str, out: str = "accuracy")
     return df.agg(F.avg((F.col(actual) == F.col(predicted)).cast("double")).alias(out))
 
 
-def confusion_counts(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """Sparse confusion counts: non-zero (actual, predicted, n) cells."""
-    return (df.groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted"))
-            .agg(F.count(F.lit(1)).alias("n")))
+def confusion_counts(df: DataFrame, actual: str, predicted: str, materialize: bool = True) -> DataFrame:
+    """Sparse confusion counts: non-zero (actual, predicted, n) cells.
+
+    The table has at most classes^2 rows and every metric is derived from
+    it several times, so it is checkpointed (to the shared checkpoint
+    folder): the data is scanned once, and the later steps read the small
+    table instead of recomputing the aggregation per branch."""
+    counts = (df.groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    return _materialize(counts) if materialize else counts
+
+
+def _materialize(small: DataFrame) -> DataFrame:
+    shared_dir(small.sparkSession)
+    return small.checkpoint(eager=True)
 
 
 def _label_frame(spark: SparkSession, labels: list, name: str) -> DataFrame:
@@ -164,7 +176,7 @@ def evaluate_classifier(df: DataFrame, actual: str, predicted: str, prob_cols: l
     if prob_cols:
         p_true = F.element_at(F.array(*[F.col(c) for c in prob_cols]), F.col(actual).cast("int") + 1)
         aggs.append(F.sum(-F.log(F.greatest(p_true, F.lit(LOG_LOSS_EPS)))).alias("ll"))
-    counts = df.groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted")).agg(*aggs)
+    counts = _materialize(df.groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted")).agg(*aggs))
     rep = report_from_counts(counts.select("actual", "predicted", "n"), labels, digits=None)
     pick = {
         "accuracy": F.when(F.col("class") == "accuracy", F.col("f1_score")),

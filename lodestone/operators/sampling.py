@@ -15,13 +15,12 @@ any engine that has ``md5``.  Both operators are exact and skew-safe:
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.session import join_small
+from lodestone.session import join_small, shared_dir
 
 _LEVEL_HEX = 4          # hash hex digits resolved per histogram pass
 _FINISH_ROWS = 200_000  # boundary bucket small enough to rank directly
@@ -32,48 +31,51 @@ def seeded_hash(key: str, seed: int = 42) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
-def _kth_smallest(hashed: DataFrame, key: str, k: int, hist0=None):
-    """(hash, key) of the k-th smallest row (1-based) of ``hashed``."""
+def _boundary(hist: DataFrame, k) -> dict:
+    """The bucket holding the k-th row, from a (prefix, count) histogram.
+    ``k`` is a row number, or a float fraction of the total (ceil(f * n)).
+    The running sum runs in Spark over the bounded histogram; one row comes
+    back."""
+    w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
+    h = (hist.withColumn("_cum", F.sum("_n").over(w))
+         .withColumn("_total", F.sum("_n").over(Window.partitionBy())))
+    kk = F.ceil(F.lit(k) * F.col("_total")).cast("long") if isinstance(k, float) else F.lit(int(k))
+    h = h.withColumn("_k", F.least(F.greatest(kk, F.lit(0)), F.col("_total")))
+    r = h.where((F.col("_cum") >= F.col("_k")) & (F.col("_cum") - F.col("_n") < F.col("_k"))).first()
+    if r is None:  # k == 0 (or no rows)
+        tot = hist.agg(F.sum("_n")).first()[0] or 0
+        return {"k": 0, "total": tot}
+    return {"k": r["_k"], "total": r["_total"], "prefix": r["_p"], "n": r["_n"], "before": r["_cum"] - r["_n"]}
+
+
+def _kth_smallest(hashed: DataFrame, key: str, k):
+    """(k, hash, key) of the k-th smallest (hash, key) row (1-based)."""
     scope = hashed.select("_h", key)
-    remaining = k
-    levels = 32 // _LEVEL_HEX
-    for level in range(levels):
+    remaining, k_total = k, None
+    for level in range(32 // _LEVEL_HEX):
         p = F.substring(F.col("_h"), level * _LEVEL_HEX + 1, _LEVEL_HEX)
-        if level == 0 and hist0 is not None:
-            hist = hist0
-        else:
-            hist = (scope.groupBy(p.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
-                    .orderBy("_p").collect())
-        cum = 0
-        chosen, bucket_n = None, 0
-        for r in hist:
-            if cum + r["_n"] >= remaining:
-                chosen, bucket_n = r["_p"], r["_n"]
-                break
-            cum += r["_n"]
-        remaining -= cum
-        scope = scope.where(p == F.lit(chosen))
-        if bucket_n <= _FINISH_ROWS:
+        hist = scope.groupBy(p.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+        b = _boundary(hist, remaining)
+        if k_total is None:
+            k_total = b["k"]
+        if b["k"] == 0:
+            return 0, None, None
+        remaining = b["k"] - b["before"]
+        scope = scope.where(p == F.lit(b["prefix"]))
+        if b["n"] <= _FINISH_ROWS:
             w = Window.orderBy("_h", key)
             row = (scope.withColumn("_rn", F.row_number().over(w))
                    .where(F.col("_rn") == remaining).first())
-            return row["_h"], row[key]
+            return k_total, row["_h"], row[key]
     raise ValueError(f"more than {_FINISH_ROWS} rows share one hash of {key}: key is not unique")
 
 
 def split_threshold(df: DataFrame, key: str, test_size=0.2, seed: int = 42):
     """(n_test, hash, key) bound of the test part: rows with (hash, key) <=
-    the bound are the test rows.  ``test_size`` a fraction -> ceil(f * n)."""
+    the bound are the test rows.  ``test_size`` a fraction -> ceil(f * n)
+    rows, an int -> that many.  Each pass reads only the key column."""
     hashed = df.select(F.col(key)).withColumn("_h", seeded_hash(key, seed))
-    p = F.substring(F.col("_h"), 1, _LEVEL_HEX)
-    hist = hashed.groupBy(p.alias("_p")).agg(F.count(F.lit(1)).alias("_n")).orderBy("_p").collect()
-    n = sum(r["_n"] for r in hist)
-    k = int(math.ceil(test_size * n)) if isinstance(test_size, float) else int(test_size)
-    k = max(0, min(k, n))
-    if k == 0:
-        return 0, None, None
-    h, kv = _kth_smallest(hashed, key, k, hist0=hist)
-    return k, h, kv
+    return _kth_smallest(hashed, key, float(test_size) if isinstance(test_size, float) else int(test_size))
 
 
 def _in_test(key: str, seed: int, bound) -> Column:
@@ -121,6 +123,8 @@ def exact_rank(df: DataFrame, key: str, seed: int = 42, by=(), out: str = "_rank
     offs = counts.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(by)],
                          F.col("_b").alias("_ob"),
                          F.coalesce(F.sum("_n").over(wb), F.lit(0)).alias("_off"))
+    shared_dir(df.sparkSession)
+    offs = offs.checkpoint(eager=True)  # counted, then joined: compute it once
     cond = reduce(lambda a, b: a & b,
                   [keyed[c].eqNullSafe(offs[f"_o{i}"]) for i, c in enumerate(by)],
                   keyed["_b"] == offs["_ob"])

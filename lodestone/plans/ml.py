@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lodestone.operators import explain, metrics, registry, sampling, training
 from lodestone.operators.grid import DEFAULT_GRID
+from lodestone.session import shared_dir, spread
 from lodestone.sources.collections import write_report, write_sample
 
 QUALITY_FEATURES = ["n_chars", "n_words", "n_lines", "letter_share", "distinct_word_share"]
@@ -26,11 +27,11 @@ def document_features(docs: DataFrame) -> DataFrame:
     letters, share of distinct words."""
     words = F.split(F.trim(F.col("text")), r"\s+")
     n_words = F.when(F.length(F.trim(F.col("text"))) == 0, 0).otherwise(F.size(words))
-    return docs.select(
+    return spread(docs.select("doc_id", "n_chars", "text")).select(
         "doc_id", F.col("n_chars").cast("double").alias("n_chars"),
         n_words.cast("double").alias("n_words"),
         F.size(F.split(F.col("text"), "\n")).cast("double").alias("n_lines"),
-        (F.length(F.regexp_replace("text", r"[^\p{L}]", "")) / F.greatest(F.length("text"), F.lit(1)))
+        (F.length(F.regexp_replace("text", r"\P{L}+", "")) / F.greatest(F.length("text"), F.lit(1)))
         .alias("letter_share"),
         (F.size(F.array_distinct(words)) / F.greatest(n_words, F.lit(1))).alias("distinct_word_share"))
 
@@ -52,12 +53,22 @@ def order_data(orders: DataFrame) -> DataFrame:
         F.col("o_custkey").cast("double").alias("o_custkey"))
 
 
+def prepare(data: DataFrame) -> DataFrame:
+    """Checkpoint the model input to the shared folder.  The features are
+    derived from whole texts and MLlib passes over its input many times
+    (split histograms, folds, every fit); the checkpoint holds only the
+    compact feature rows and cuts the lineage back to the texts."""
+    shared_dir(data.sparkSession)
+    return data.checkpoint(eager=True)
+
+
 def train_and_register(spark: SparkSession, data: DataFrame, features: list[str], label: str, key: str,
                        root: str, model_name: str, grid: dict = DEFAULT_GRID, k: int = 3, seed: int = 42,
                        test_size: float = 0.2, experiment: str = "ml", parallelism: int = 4,
                        artifacts_dir: str | None = None) -> dict:
     """Split, search, evaluate on the held-out rows, register the refitted
     best model and log the run.  Returns the result tables."""
+    data = prepare(data)
     split = sampling.with_split(data, key, test_size, seed)
     train = split.where(F.col("split") == "train")
     test = split.where(F.col("split") == "test")

@@ -591,7 +591,7 @@ def _target_rule(c: dict):
 
 def _cv_by_target(spark, sf_dir) -> DataFrame:
     folded = _events_folds(spark, sf_dir)
-    targets = labels.label_list(folded, "event_type")
+    targets = labels.label_list(read_table(spark, sf_dir, "events"), "event_type")
     base = grid.param_grid(grid.DEFAULT_GRID)
     cands = [dict(p, target=t, cand=i) for t in targets for i, p in enumerate(base)]
     scores = grid.fold_scores(folded, "fold", cands, _target_rule)
@@ -723,7 +723,7 @@ def q_ml_report(spark, sf_dir):
 
 @query("ml_pdp_forest_quality")
 def q_ml_pdp(spark, sf_dir):
-    data = _quality(spark, sf_dir)
+    data = ml.prepare(_quality(spark, sf_dir))
     root = scratch_path(spark, "registry")
     model = training.fit_forest(data, ml.QUALITY_FEATURES, "quality", 50, 5, 42)
     registry.register_model(spark, model, "quality_rf", root)

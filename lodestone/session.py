@@ -32,6 +32,7 @@ def get_session(master: str | None = None, app: str = "lodestone",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
     if shuffle_partitions:
@@ -90,3 +91,18 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
 
 def col_or_name(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread rows over the cluster before CPU-heavy row work.
+
+    A scan yields at least one task per file split; a large table already
+    has far more splits than cores and is returned unchanged (no shuffle).
+    Only an input with fewer partitions than the default parallelism (a
+    small file, or one row group) is round-robin repartitioned, which is
+    deterministic on retry (rows are sorted before the round-robin).
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
