@@ -127,3 +127,36 @@ def train_stage(df: DataFrame, columns, split=None) -> DataFrame:
 def features_matrix(df: DataFrame, feature_cols: list[str]) -> DataFrame:
     """Feature vector column (the NumPy matrix of the reference)."""
     return assemble(df, feature_cols)
+
+
+def pandas_scorer(predict_proba, feature_cols: list[str], n_classes: int, prefix: str = "p",
+                  load=None):
+    """Scorer for a single-machine Python model (K1): ``predict_proba(model,
+    X)`` on a pandas frame of ``feature_cols`` -> (rows x classes) array.
+
+    Runs as an Arrow-batched iterator pandas UDF: ``load()`` (if given) is
+    called once per task, then every batch is scored without per-row
+    Python calls.  The result columns ``p0..p{n-1}`` are plain doubles.
+    """
+    from collections.abc import Iterator
+
+    import numpy as np
+    import pandas as pd
+
+    out_cols = [f"{prefix}{i}" for i in range(n_classes)]
+    schema = ", ".join(f"{c} double" for c in out_cols)
+
+    def _score(batches):
+        model = load() if load is not None else None
+        for X in batches:
+            p = np.asarray(predict_proba(model, X[list(feature_cols)]), dtype="float64")
+            yield pd.DataFrame(p.reshape(len(X), n_classes), columns=out_cols)
+
+    _score.__annotations__ = {"batches": Iterator[pd.DataFrame], "return": Iterator[pd.DataFrame]}
+    udf = F.pandas_udf(_score, f"struct<{schema}>")
+
+    def score(df: DataFrame) -> DataFrame:
+        s = udf(F.struct(*[F.col(c).cast("double").alias(c) for c in feature_cols]))
+        return df.select("*", s.alias("_s")).select(*[F.col(f"`{c}`") for c in df.columns],
+                                                    *[F.col(f"_s.{c}") for c in out_cols])
+    return score

@@ -16,7 +16,7 @@ from lodestone.operators import explain, grid, labels, metrics, registry, sampli
 from lodestone.plans import crawl, etl, ml
 from lodestone.session import read_table, scratch_path
 from lodestone.sources import collections
-from lodestone.sources.files import csv_scan
+from lodestone.sources.files import csv_scan, labelled_source
 from lodestone.sources.tables import catalog_from_documents
 from lodestone.streaming import incremental
 
@@ -728,3 +728,79 @@ def q_ml_pdp(spark, sf_dir):
     model = training.fit_forest(data, ml.QUALITY_FEATURES, "quality", 50, 5, 42)
     registry.register_model(spark, model, "quality_rf", root)
     return ml.explain_latest(spark, data, ml.QUALITY_FEATURES, root, "quality_rf", 2, points=10)
+
+
+# ---------------------------------------------------------------------------
+# Stage counts, shapes, train stages, labelled sources (E1, E2, H8, H9, A6,
+# B3, B8), and a Python-model scorer through an Arrow-batched UDF
+# ---------------------------------------------------------------------------
+
+@query("etl_stage_counts_customer", """
+select 'extract' as stage, count(*) as n from customer
+union all select 'transform', count(*) from customer
+union all select 'load', count(*) from customer
+""")
+def q_stage_counts(spark, sf_dir):
+    src = _csv_copy(read_table(spark, sf_dir, "customer"), spark, "customer")
+    stages = etl.Stages(db="etl_counts", root=scratch_path(spark, "store"))
+    return etl.run_etl_counted(spark, src, stages, key="c_custkey", drop=("extra", "c_name"))
+
+
+@query("stage_shape_lineitem", """
+select count(*) as n_rows, 11 as n_cols from lineitem
+""")
+def q_shape(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem")
+    return li.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(len(li.columns)).alias("n_cols"))
+
+
+@query("expl_train_stage_customer", """
+select c_acctbal, c_nationkey, c_mktsegment, cast(null as double) as c_score from customer
+""")
+def q_expl_train(spark, sf_dir):
+    stages = etl.Stages(db="expl", root=scratch_path(spark, "store"))
+    cols = [("c_acctbal", "double"), ("c_nationkey", "int"), ("c_mktsegment", "string"), ("c_score", "double")]
+    return etl.expl_pipeline(spark, read_table(spark, sf_dir, "customer"), cols, stages, key="c_custkey")
+
+
+@query("train_stage_events", """
+select event_id, user_id, value, event_type,
+       case when row_number() over (order by md5('42:' || cast(event_id as varchar)), event_id)
+                 <= ceil(0.2 * count(*) over ()) then 'test' else 'train' end as split
+from events
+""")
+def q_train_stage(spark, sf_dir):
+    e = read_table(spark, sf_dir, "events")
+    cols = [("event_id", None), ("user_id", None), ("value", "double"), ("event_type", None)]
+    split = sampling.with_split(e.select("event_id"), "event_id", 0.2, 42)
+    staged = training.train_stage(e, cols).join(split, "event_id")
+    root = scratch_path(spark, "store")
+    collections.write_collection(staged, "ml", "train", root)
+    return collections.read_collection(spark, "ml", "train", root)
+
+
+@query("labelled_source_embeddings", """
+select vec_id, embedding[1] as f0, embedding[2] as f1, embedding[3] as f2, embedding[4] as f3,
+       cast(label as integer) as target from embeddings
+""")
+def q_labelled_source(spark, sf_dir):
+    e = read_table(spark, sf_dir, "embeddings")
+    wide = e.select("vec_id", *[F.col("embedding")[i].alias(f"f{i}") for i in range(4)], "label")
+    return labelled_source(wide, ["vec_id", "f0", "f1", "f2", "f3"], "label", "target")
+
+
+def _numpy_softmax(model, X):
+    """A single-machine model: the lineitem softmax written with NumPy."""
+    import numpy as np
+    q, d, t = X["l_quantity"].to_numpy(), X["l_discount"].to_numpy(), X["l_tax"].to_numpy()
+    e = np.stack([np.exp(0.03 * q + d), np.exp(1 - 0.02 * q + t), np.full(len(q), np.exp(0.5))], axis=1)
+    return e / e.sum(axis=1, keepdims=True)
+
+
+@query("pdp_pandas_scorer_lineitem", _pdp_sql())
+def q_pdp_pandas(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem").select(*_PDP_FEATURES)
+    scorer = training.pandas_scorer(_numpy_softmax, _PDP_FEATURES, 3)
+    curve = explain.partial_dependence(li, _PDP_FEATURES, scorer, ["p0", "p1", "p2"], points=_PDP_POINTS)
+    return curve.select("feature", "grid_index", F.round("x", 6).alias("x"), "class",
+                        F.round("pd", 6).alias("pd"))

@@ -8,7 +8,7 @@ connector, which then receives ``database``/``collection`` options.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,19 +37,23 @@ def read_collection(spark: SparkSession, db: str, name: str, root: str | None =
 
 
 def write_collection(df: DataFrame, db: str, name: str, root: str | None = None,
-                     fmt: str = "parquet", mode: str = "overwrite", **options) -> None:
-    """Overwrite (full refresh) or append a collection.
+                     fmt: str = "parquet", mode: str = "overwrite", **options) -> int:
+    """Overwrite (full refresh) or append a collection; returns the number of
+    rows written (E1), observed during the write, not by a second pass.
 
     Unlike delete-then-insert, an overwrite of a file table replaces the
     folder in one job; an empty frame writes an empty table.
     """
     spark = df.sparkSession
+    obs = Observation(f"rows_{db}_{name}")
+    counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if fmt in FILE_FORMATS:
-        df.write.format(fmt).mode(mode).options(**options).save(
+        counted.write.format(fmt).mode(mode).options(**options).save(
             collection_path(spark, db, name, root))
     else:
-        (df.write.format(fmt).mode(mode).option("database", db).option("collection", name)
+        (counted.write.format(fmt).mode(mode).option("database", db).option("collection", name)
          .options(**options).save())
+    return int(obs.get.get("rows", 0))
 
 
 def copy_collection(spark: SparkSession, src: tuple[str, str], dst: tuple[str, str],
