@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestone.operators.labels import label_list
-from lodestone.session import shared_dir
+from lodestone.session import materialize
 
 LOG_LOSS_EPS = 1e-15
 
@@ -39,8 +39,7 @@ def confusion_counts(df: DataFrame, actual: str, predicted: str, materialize: bo
 
 
 def _materialize(small: DataFrame) -> DataFrame:
-    shared_dir(small.sparkSession)
-    return small.checkpoint(eager=True)
+    return materialize(small)
 
 
 def _label_frame(spark: SparkSession, labels: list, name: str) -> DataFrame:

@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.session import join_small, shared_dir
+from lodestone.session import join_small, materialize
 
 _LEVEL_HEX = 4          # hash hex digits resolved per histogram pass
 _FINISH_ROWS = 200_000  # boundary bucket small enough to rank directly
@@ -123,8 +123,7 @@ def exact_rank(df: DataFrame, key: str, seed: int = 42, by=(), out: str = "_rank
     offs = counts.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(by)],
                          F.col("_b").alias("_ob"),
                          F.coalesce(F.sum("_n").over(wb), F.lit(0)).alias("_off"))
-    shared_dir(df.sparkSession)
-    offs = offs.checkpoint(eager=True)  # counted, then joined: compute it once
+    offs = materialize(offs)  # counted, then joined: compute it once
     cond = reduce(lambda a, b: a & b,
                   [keyed[c].eqNullSafe(offs[f"_o{i}"]) for i, c in enumerate(by)],
                   keyed["_b"] == offs["_ob"])

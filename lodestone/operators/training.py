@@ -55,7 +55,15 @@ def fit_forest(df: DataFrame, feature_cols: list[str], label: str, num_trees: in
     from pyspark.ml.feature import VectorAssembler
     pipe = Pipeline(stages=[VectorAssembler(inputCols=list(feature_cols), outputCol="features"),
                             forest("features", label, num_trees, max_depth, seed)])
-    return pipe.fit(df)
+    return without_summary(pipe.fit(df))
+
+
+def without_summary(model):
+    """The fitted model without its training summary.  The summary keeps a
+    reference to the session, which cannot be serialized into task
+    closures once the session has recorded an ``Observation``; scoring
+    with a summary-free copy always works (a reloaded model has none)."""
+    return model.copy()
 
 
 def grid_search(df: DataFrame, feature_cols: list[str], label: str, grid: dict, fold: str = "fold",
@@ -95,6 +103,11 @@ def cv_results(cv_model, grid: dict, digits: int | None = 6) -> DataFrame:
                       .alias("rank_test_score"))
 
 
+def best_model(cv_model):
+    """The refitted best candidate of a search, ready for scoring."""
+    return without_summary(cv_model.bestModel)
+
+
 def best_params(cv_model, grid: dict) -> dict:
     """Parameters of the best candidate (highest mean, first on ties)."""
     m = list(cv_model.avgMetrics)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lodestone.operators import explain, metrics, registry, sampling, training
 from lodestone.operators.grid import DEFAULT_GRID
-from lodestone.session import shared_dir, spread
+from lodestone.session import materialize, spread
 from lodestone.sources.collections import write_report, write_sample
 
 QUALITY_FEATURES = ["n_chars", "n_words", "n_lines", "letter_share", "distinct_word_share"]
@@ -58,8 +58,13 @@ def prepare(data: DataFrame) -> DataFrame:
     derived from whole texts and MLlib passes over its input many times
     (split histograms, folds, every fit); the checkpoint holds only the
     compact feature rows and cuts the lineage back to the texts."""
-    shared_dir(data.sparkSession)
-    return data.checkpoint(eager=True)
+    cp = materialize(data)
+    # a checkpointed frame knows its partition count without running a job;
+    # a small input (fewer partitions than cores) is spread and written
+    # again, which by construction only ever copies a small table
+    if cp.rdd.getNumPartitions() < data.sparkSession.sparkContext.defaultParallelism:
+        cp = materialize(spread(cp))
+    return cp
 
 
 def train_and_register(spark: SparkSession, data: DataFrame, features: list[str], label: str, key: str,
@@ -75,7 +80,7 @@ def train_and_register(spark: SparkSession, data: DataFrame, features: list[str]
     folded = sampling.stratified_folds(train, label, key, k, seed).persist(StorageLevel.MEMORY_AND_DISK)
     cvm = training.grid_search(folded, features, label, grid, "fold", parallelism)
     cv = training.cv_results(cvm, grid)
-    best = cvm.bestModel
+    best = training.best_model(cvm)
     scored = best.transform(test).withColumn("prediction", F.col("prediction").cast("int"))
     report = metrics.classification_report(scored, label, "prediction")
     cm = metrics.confusion_matrix(scored, label, "prediction")

@@ -804,3 +804,14 @@ def q_pdp_pandas(spark, sf_dir):
     curve = explain.partial_dependence(li, _PDP_FEATURES, scorer, ["p0", "p1", "p2"], points=_PDP_POINTS)
     return curve.select("feature", "grid_index", F.round("x", 6).alias("x"), "class",
                         F.round("pd", 6).alias("pd"))
+
+
+@query("ml_forest_orders")
+def q_ml_forest_orders(spark, sf_dir):
+    """One forest fit at scale (50 trees, depth 5) on the price band of
+    orders, evaluated on the held-out 20 %: the classification report."""
+    data = ml.prepare(ml.order_data(read_table(spark, sf_dir, "orders")))
+    split = sampling.with_split(data, "o_orderkey", 0.2, 42)
+    model = training.fit_forest(split.where("split = 'train'"), ml.ORDER_FEATURES, "band", 50, 5, 42)
+    scored = model.transform(split.where("split = 'test'")).withColumn("prediction", F.col("prediction").cast("int"))
+    return metrics.classification_report(scored, "band", "prediction")

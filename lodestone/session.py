@@ -101,8 +101,26 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     Only an input with fewer partitions than the default parallelism (a
     small file, or one row group) is round-robin repartitioned, which is
     deterministic on retry (rows are sorted before the round-robin).
+    Meant for scans and checkpointed frames, whose partition count is known
+    from planning alone.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and return the
+    checkpointed frame (lineage cut, survives executor loss).
+
+    A reliable checkpoint recomputes its input for the write unless the
+    input is persisted, so it is persisted for the duration: one
+    computation, then the write reads the persisted blocks."""
+    from pyspark import StorageLevel
+    shared_dir(df.sparkSession)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return held.checkpoint(eager=True)
+    finally:
+        held.unpersist()

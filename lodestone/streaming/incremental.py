@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestone.operators.selection import crawl_select
-from lodestone.session import shared_dir
+from lodestone.session import materialize
 
 
 def log_schema(key: str = "_id") -> T.StructType:
@@ -48,9 +48,8 @@ def incremental_select(catalog: DataFrame, log_path: str, k: int, key: str = "_i
     """One run: pick up to k new, successful rows by ``order`` and log them.
     Returns the picked rows."""
     spark = catalog.sparkSession
-    shared_dir(spark)  # make sure a checkpoint folder is set
     seen = read_key_log(spark, log_path, key)
-    picked = crawl_select(catalog, seen, k, key, order, ok).checkpoint(eager=True)
+    picked = materialize(crawl_select(catalog, seen, k, key, order, ok))
     write_log_part(picked.select(F.col(key).cast("string").alias(key)), log_path,
                    batch_id or f"r{uuid.uuid4().hex[:12]}")
     return picked

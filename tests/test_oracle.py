@@ -33,7 +33,8 @@ def test_every_query_runs_or_has_oracle():
     q = E.queries()
     assert set(SQL) <= set(q)
     rows_only = set(q) - set(SQL)
-    assert rows_only <= {"ml_cv_results_quality", "ml_test_report_quality", "ml_pdp_forest_quality"}
+    assert rows_only <= {"ml_cv_results_quality", "ml_test_report_quality", "ml_pdp_forest_quality",
+                         "ml_forest_orders"}
 
 
 def test_entry(spark):
