@@ -115,7 +115,7 @@ def report_from_counts(counts: DataFrame, labels: list | None = None, digits: in
     def row(name, prec, rec, f1):
         return F.struct(F.lit(name).alias("class"), prec.cast("double").alias("precision"),
                         rec.cast("double").alias("recall"), f1.cast("double").alias("f1_score"),
-                        F.col("_n").cast("long").alias("support"))
+                        F.coalesce(F.col("_n"), F.lit(0)).cast("long").alias("support"))
     none = F.lit(None)
     rows = summary.select(F.inline(F.array(
         row("accuracy", none, none, _div0(F.col("_tp"), F.col("_n"))),

@@ -28,6 +28,9 @@ def test_empty_input(spark):
     df = _df(spark, [], "int")
     assert M.confusion_matrix(df, "actual", "predicted").count() == 0
     assert M.accuracy(df, "actual", "predicted").first()[0] is None
+    rep = {r["class"]: r for r in M.classification_report(df, "actual", "predicted").collect()}
+    assert set(rep) == {"accuracy", "macro avg", "weighted avg"}
+    assert all(r.support == 0 and r.f1_score is None for r in rep.values())
 
 
 def test_report_json_layout(spark):
