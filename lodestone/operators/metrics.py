@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestone.operators.labels import label_list
-from lodestone.session import materialize
+from lodestone.session import small_table
 
 LOG_LOSS_EPS = 1e-15
 
@@ -30,16 +30,16 @@ def confusion_counts(df: DataFrame, actual: str, predicted: str, materialize: bo
     """Sparse confusion counts: non-zero (actual, predicted, n) cells.
 
     The table has at most classes^2 rows and every metric is derived from
-    it several times, so it is checkpointed (to the shared checkpoint
-    folder): the data is scanned once, and the later steps read the small
-    table instead of recomputing the aggregation per branch."""
+    it several times, so it is computed once and kept as a small table
+    (``session.small_table``): the data is scanned once, and the later steps
+    read the small table instead of recomputing the aggregation per branch."""
     counts = (df.groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted"))
               .agg(F.count(F.lit(1)).alias("n")))
     return _materialize(counts) if materialize else counts
 
 
 def _materialize(small: DataFrame) -> DataFrame:
-    return materialize(small)
+    return small_table(small)
 
 
 def _label_frame(spark: SparkSession, labels: list, name: str) -> DataFrame:

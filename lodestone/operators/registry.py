@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestone.functions.columns import format_name
-from lodestone.session import materialize
+from lodestone.session import small_table
 
 SCHEMAS = {
     "runs": "run_id string, parent_run_id string, experiment string, run_name string",
@@ -162,8 +162,8 @@ def cv_run_tables(cv: DataFrame, experiment: str, param_keys: list[str],
     run ``Child_Run_CV_<i>`` per candidate with its parameters and its mean
     and std fold score.  ``cv`` has the experiment column, ``candidate``,
     the parameter columns and the score columns.  ``cv`` is small (one row
-    per candidate) and feeds three tables, so it is checkpointed once."""
-    cv = materialize(cv)
+    per candidate) and feeds three tables, so it is computed once."""
+    cv = small_table(cv)
     exp = F.col(experiment).cast("string")
     parent_id = F.concat(exp, F.lit("/parent"))
     child_id = F.concat(exp, F.lit("/"), F.col("candidate").cast("string"))

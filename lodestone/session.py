@@ -124,3 +124,18 @@ def materialize(df: DataFrame) -> DataFrame:
         return held.checkpoint(eager=True)
     finally:
         held.unpersist()
+
+
+SMALL_TABLE_ROWS = 100_000
+
+
+def small_table(df: DataFrame, max_rows: int = SMALL_TABLE_ROWS) -> DataFrame:
+    """A bounded intermediate result (an aggregate whose size is fixed by the
+    number of classes, candidates or folds, not by the data) as a local
+    table: one job computes it, and every later plan over it runs on the
+    local rows.  Should it be larger than ``max_rows`` it is checkpointed
+    instead, so nothing unbounded is held by the driver."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) <= max_rows:
+        return df.sparkSession.createDataFrame(rows, df.schema)
+    return materialize(df)
