@@ -24,7 +24,19 @@ def grid_frame(spark: SparkSession, grid: dict) -> DataFrame:
     cands = param_grid(grid)
     keys = sorted(grid)
     rows = [(i, *[c[k] for k in keys]) for i, c in enumerate(cands)]
-    return spark.createDataFrame(rows, ["candidate", *keys])
+    schema = ", ".join(["candidate int", *[f"`{k}` {_sql_type(grid[k])}" for k in keys]])
+    return spark.createDataFrame(rows, schema)
+
+
+def _sql_type(values) -> str:
+    vals = list(values)
+    if all(isinstance(v, bool) for v in vals):
+        return "boolean"
+    if all(isinstance(v, int) and not isinstance(v, bool) for v in vals):
+        return "int" if all(-2**31 <= v < 2**31 for v in vals) else "bigint"
+    if all(isinstance(v, (int, float)) and not isinstance(v, bool) for v in vals):
+        return "double"
+    return "string"
 
 
 def fold_scores(df: DataFrame, fold: str, candidates: list[dict], correct) -> DataFrame:

@@ -344,7 +344,7 @@ with f as ({_FOLDS_SQL}),
 
 
 @query("cv_scores_events", _CV_SQL + """
-select m.candidate, g.max_depth, g.n_estimators, cast(42 as bigint) as random_state,
+select m.candidate, g.max_depth, g.n_estimators, 42 as random_state,
        m.mean_test_score, m.std_test_score,
        cast(rank() over (order by m.mean_test_score desc) as integer) as rank_test_score
 from m join g on m.candidate = g.candidate
