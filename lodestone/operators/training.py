@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.functions.columns import assemble, conform, drop_strict
+from lodestone.functions.columns import conform, drop_strict
 from lodestone.operators.grid import fold_scores, grid_frame, param_grid
 from lodestone.operators.labels import category_codes
 from lodestone.operators.metrics import fold_score_summary
@@ -137,11 +137,6 @@ def train_stage(df: DataFrame, columns, split=None) -> DataFrame:
     return out
 
 
-def features_matrix(df: DataFrame, feature_cols: list[str]) -> DataFrame:
-    """Feature vector column (the NumPy matrix of the reference)."""
-    return assemble(df, feature_cols)
-
-
 def pandas_scorer(predict_proba, feature_cols: list[str], n_classes: int, prefix: str = "p",
                   load=None):
     """Scorer for a single-machine Python model (K1): ``predict_proba(model,

@@ -65,5 +65,4 @@ def notebook_scan(spark: SparkSession, path: str, with_path: bool = True) -> Dat
     raw = (spark.read.schema(NOTEBOOK_SCHEMA.add("_corrupt", T.StringType()))
            .option("multiLine", True).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", "_corrupt").json(path))
-    out = raw.select(F.input_file_name().alias("path"), "cells") if with_path else raw.select("cells")
-    return out
+    return raw.select(F.col("_metadata.file_path").alias("path"), "cells") if with_path else raw.select("cells")
