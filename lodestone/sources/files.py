@@ -62,7 +62,8 @@ def line_set(spark: SparkSession, path: str, name: str = "value") -> DataFrame:
 def notebook_scan(spark: SparkSession, path: str, with_path: bool = True) -> DataFrame:
     """One JSON notebook per file -> ``(path, cells)``; unreadable files get
     null ``cells`` instead of failing the scan."""
-    raw = (spark.read.schema(NOTEBOOK_SCHEMA.add("_corrupt", T.StringType()))
+    schema = T.StructType(NOTEBOOK_SCHEMA.fields + [T.StructField("_corrupt", T.StringType())])
+    raw = (spark.read.schema(schema)
            .option("multiLine", True).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", "_corrupt").json(path))
     return raw.select(F.col("_metadata.file_path").alias("path"), "cells") if with_path else raw.select("cells")

@@ -27,6 +27,10 @@ def test_cases(spark, tmp):
     got = {os.path.basename(r.path): r.contains for r in df.collect()}
     assert got == {"import.ipynb": True, "pd.ipynb": True, "markdown.ipynb": False,
                    "upper.ipynb": False, "empty.ipynb": False, "broken.ipynb": False}
+    # a second scan sees the same schema (the module schema is not mutated)
+    assert notebook_scan(spark, tmp).columns == ["path", "cells"]
+    from lodestone.sources.files import NOTEBOOK_SCHEMA
+    assert NOTEBOOK_SCHEMA.fieldNames() == ["cells"]
 
 
 def test_nested_equals_grouped_on_conversations(spark):
