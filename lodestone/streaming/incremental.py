@@ -26,8 +26,11 @@ def log_schema(key: str = "_id") -> T.StructType:
     return T.StructType([T.StructField(key, T.StringType()), T.StructField("batch", T.StringType())])
 
 
-def read_key_log(spark: SparkSession, log_path: str, key: str = "_id") -> DataFrame:
-    """The log as a one-column set of keys; empty when never written."""
+def read_key_log(spark: SparkSession, log_path: str, key: str = "_id",
+                 exclude_batch: str | None = None) -> DataFrame:
+    """The log as a one-column set of keys; empty when never written.
+    ``exclude_batch`` leaves out one run's own part (a partition filter,
+    pruned at the scan)."""
     try:
         df = spark.read.schema(log_schema(key)).parquet(log_path)
         df.schema
@@ -35,6 +38,8 @@ def read_key_log(spark: SparkSession, log_path: str, key: str = "_id") -> DataFr
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return spark.createDataFrame([], log_schema(key)).select(key)
         raise
+    if exclude_batch is not None:
+        df = df.where(F.col("batch") != F.lit(exclude_batch))
     return df.select(key)
 
 
@@ -48,10 +53,12 @@ def incremental_select(catalog: DataFrame, log_path: str, k: int, key: str = "_i
     """One run: pick up to k new, successful rows by ``order`` and log them.
     Returns the picked rows."""
     spark = catalog.sparkSession
-    seen = read_key_log(spark, log_path, key)
+    batch_id = batch_id or f"r{uuid.uuid4().hex[:12]}"
+    # the run's own part is left out, so a retry sees the log as the first
+    # attempt saw it and picks the same rows
+    seen = read_key_log(spark, log_path, key, exclude_batch=batch_id)
     picked = materialize(crawl_select(catalog, seen, k, key, order, ok))
-    write_log_part(picked.select(F.col(key).cast("string").alias(key)), log_path,
-                   batch_id or f"r{uuid.uuid4().hex[:12]}")
+    write_log_part(picked.select(F.col(key).cast("string").alias(key)), log_path, batch_id)
     return picked
 
 
