@@ -96,7 +96,8 @@ def cv_results(cv_model, grid: dict, digits: int | None = 6) -> DataFrame:
     from pyspark.sql import Window
     out = g.join(sc, "candidate")
     if digits is not None:
-        out = out.withColumn("mean_test_score", F.round("mean_test_score", digits))
+        out = (out.withColumn("mean_test_score", F.round("mean_test_score", digits))
+               .withColumn("std_pop", F.round("std_pop", digits)))
     return out.select("candidate", *sorted(grid), "mean_test_score",
                       F.col("std_pop").alias("std_test_score"),
                       F.rank().over(Window.orderBy(F.col("mean_test_score").desc())).cast("int")

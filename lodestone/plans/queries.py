@@ -815,3 +815,17 @@ def q_ml_forest_orders(spark, sf_dir):
     model = training.fit_forest(split.where("split = 'train'"), ml.ORDER_FEATURES, "band", 50, 5, 42)
     scored = model.transform(split.where("split = 'test'")).withColumn("prediction", F.col("prediction").cast("int"))
     return metrics.classification_report(scored, "band", "prediction")
+
+
+@query("ml_forest_fit_lineitem")
+def q_forest_fit_lineitem(spark, sf_dir):
+    """The timing workload of the baseline notes: one forest (50 trees,
+    depth 5) on four lineitem measures -> return flag.  The flag carries no
+    learnable signal, so the output is the fitted model's feature
+    importances, not a quality claim."""
+    feats = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    li = read_table(spark, sf_dir, "lineitem").select(*feats, "l_returnflag")
+    data = ml.prepare(labels.encode_with_list(li, "l_returnflag", ["A", "N", "R"], out="label"))
+    model = training.fit_forest(data, feats, "label", 50, 5, 42)
+    imp = model.stages[-1].featureImportances.toArray().tolist()
+    return spark.createDataFrame(list(zip(feats, imp)), "feature string, importance double")
