@@ -451,10 +451,14 @@ union all
 select _id, stars, is_downloaded, false as is_run from c where not is_downloaded
 """)
 def q_insert_if_absent(spark, sf_dir):
-    cat = catalog_from_documents(read_table(spark, sf_dir, "documents"),
-                                 seen=read_table(spark, sf_dir, "labels"))
+    root = scratch_path(spark, "store")
+    collections.write_collection(catalog_from_documents(read_table(spark, sf_dir, "documents"),
+                                                        seen=read_table(spark, sf_dir, "labels")),
+                                 "crawl", "repos", root)
+    cat = collections.read_collection(spark, "crawl", "repos", root)
     target = cat.where("is_downloaded").withColumn("is_run", F.lit(True))
-    source = cat.unionByName(cat.withColumn("stars", F.col("stars") + 1))
+    # every key arrives twice in the source; the first write (lower stars) wins
+    source = cat.withColumn("stars", F.explode(F.array(F.col("stars") + 1, F.col("stars"))))
     return collections.insert_if_absent(target, source, "_id", order="stars") \
         .select("_id", "stars", "is_downloaded", "is_run")
 
