@@ -14,6 +14,7 @@ from lodestone.operators.labels import label_list
 from lodestone.session import small_table
 
 LOG_LOSS_EPS = 1e-15
+MAX_DENSE_CLASSES = 4096  # dense matrix cells grow with classes^2
 
 
 def _div0(a: Column, b: Column) -> Column:
@@ -54,6 +55,9 @@ def confusion_matrix(df: DataFrame, actual: str, predicted: str, labels: list |
         labels = label_list(counts, "actual", "predicted")
     if not labels:
         return counts.limit(0)
+    if len(labels) > MAX_DENSE_CLASSES:
+        raise ValueError(f"{len(labels)} classes: the dense matrix would have {len(labels) ** 2} cells; "
+                         "use confusion_counts (non-zero cells only)")
     spark = df.sparkSession
     cells = _label_frame(spark, labels, "actual").select(
         "actual", F.explode(F.array(*[F.lit(x) for x in labels])).alias("predicted"))

@@ -61,3 +61,10 @@ def test_rank_with_null_class(spark):
     b = {r["id"]: r["_rank"] for r in S.exact_rank(df, "id", 1, by=["c"], group_rows=5).collect()}
     assert a == b
     assert sorted(v for k, v in a.items() if k % 4 == 0) == list(range(1, 51))
+
+
+def test_bucketed_global_rank_equals_plain(spark):
+    df = spark.range(3000).select(F.col("id").alias("k"))
+    a = {r.k: r._rank for r in S.exact_rank(df, "k", 3).collect()}
+    b = {r.k: r._rank for r in S.exact_rank(df, "k", 3, group_rows=7).collect()}
+    assert a == b and sorted(a.values()) == list(range(1, 3001))
