@@ -833,3 +833,16 @@ def q_forest_fit_lineitem(spark, sf_dir):
     model = training.fit_forest(data, feats, "label", 50, 5, 42)
     imp = model.stages[-1].featureImportances.toArray().tolist()
     return spark.createDataFrame(list(zip(feats, imp)), "feature string, importance double")
+
+
+@query("insert_if_absent_stored_catalog", ORACLE_SQL["insert_if_absent_catalog"])
+def q_insert_if_absent_stored(spark, sf_dir):
+    """The same upsert against a stored collection: the handled repositories
+    are stored first, then the whole catalog is inserted-if-absent (only the
+    missing keys are appended)."""
+    root = scratch_path(spark, "store")
+    cat = catalog_from_documents(read_table(spark, sf_dir, "documents"), seen=read_table(spark, sf_dir, "labels"))
+    collections.write_collection(cat.where("is_downloaded").withColumn("is_run", F.lit(True)), "crawl", "repos", root)
+    source = cat.withColumn("stars", F.explode(F.array(F.col("stars") + 1, F.col("stars"))))
+    collections.insert_if_absent_into(source, "crawl", "repos", "_id", root, order="stars")
+    return collections.read_collection(spark, "crawl", "repos", root).select("_id", "stars", "is_downloaded", "is_run")

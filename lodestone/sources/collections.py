@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestone.session import shared_dir
+from lodestone.session import materialize, shared_dir
 
 FILE_FORMATS = {"parquet", "orc", "json", "csv", "avro"}
 
@@ -118,6 +118,27 @@ def insert_if_absent_delta(target: DataFrame, source: DataFrame, key: str | list
     return new.join(target.select(*keys), keys, "left_anti")
 
 
+def insert_if_absent_into(source: DataFrame, db: str, name: str, key: str | list[str],
+                          root: str | None = None, order: str | None = None) -> int:
+    """Insert-if-absent into a stored collection: only the rows whose key is
+    not stored yet are appended; stored rows are never rewritten.  The delta
+    is checkpointed before the append, so the write does not read the table
+    it extends.  Returns the number of rows added."""
+    spark = source.sparkSession
+    try:
+        target = read_collection(spark, db, name, root)
+        target.schema
+    except Exception as e:  # noqa: BLE001 - first insert creates the collection
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        target = None
+    if target is None:
+        keys = [key] if isinstance(key, str) else list(key)
+        return write_collection(dedupe_first(source, keys, order), db, name, root)
+    delta = materialize(insert_if_absent_delta(target, source, key, order))
+    return write_collection(delta, db, name, root, mode="append")
+
+
 def append_log(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Append rows to a log table."""
     df.write.format(fmt).mode("append").save(path)

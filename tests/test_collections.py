@@ -52,3 +52,13 @@ def test_line_set_missing_is_empty(spark, tmp):
     with open(f"{tmp}/log.txt", "w") as fh:
         fh.write(" a/b\n a/b \nc/d\t\n")
     assert sorted(r[0] for r in line_set(spark, f"{tmp}/log.txt").collect()) == ["a/b", "c/d"]
+
+
+def test_insert_if_absent_into_stored_collection(spark, tmp):
+    first = spark.createDataFrame([("a", 1), ("b", 2)], "_id string, stars long")
+    assert K.insert_if_absent_into(first, "db", "repos", "_id", tmp) == 2
+    more = spark.createDataFrame([("b", 99), ("c", 3), ("c", 4)], "_id string, stars long")
+    assert K.insert_if_absent_into(more, "db", "repos", "_id", tmp, order="stars") == 1
+    assert K.insert_if_absent_into(more, "db", "repos", "_id", tmp, order="stars") == 0  # second run adds nothing
+    got = {r._id: r.stars for r in K.read_collection(spark, "db", "repos", tmp).collect()}
+    assert got == {"a": 1, "b": 2, "c": 3}

@@ -50,3 +50,21 @@ def test_signature_rows(spark):
     sig = R.signature(spark, li, li.select((F.col("l_tax") > 0).alias("y"))).collect()
     assert [(r.side, r.name, r.type) for r in sig] == [("inputs", "l_quantity", "double"),
                                                         ("inputs", "l_tax", "double"), ("outputs", "y", "boolean")]
+
+
+def test_orders_band_beats_majority(spark):
+    data = ml.prepare(ml.order_data(read_table(spark, SF_MID, "orders")))
+    from lodestone.operators import metrics as M, sampling as S
+    split = S.with_split(data, "o_orderkey", 0.2, 42)
+    model = T.fit_forest(split.where("split = 'train'"), ml.ORDER_FEATURES, "band", 10, 5, 42)
+    scored = model.transform(split.where("split = 'test'")).withColumn("prediction", F.col("prediction").cast("int"))
+    acc = M.accuracy(scored, "band", "prediction").first()[0]
+    n = data.count()
+    majority = max(r[1] for r in data.groupBy("band").count().collect()) / n
+    assert acc > majority + 0.2
+
+
+def test_grid_candidates_are_the_product():
+    from lodestone.operators.grid import param_grid
+    g = {"a": [1, 2, 3], "b": ["x", "y"], "c": [0.5]}
+    assert len(param_grid(g)) == 3 * 2 * 1
