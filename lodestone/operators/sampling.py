@@ -15,8 +15,6 @@ any engine that has ``md5``.  Both operators are exact and skew-safe:
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -116,21 +114,20 @@ def exact_rank(df: DataFrame, key: str, seed: int = 42, by=(), out: str = "_rank
     if digits == 0:
         w = Window.partitionBy(*by).orderBy("_h", key) if by else Window.orderBy("_h", key)
         return keyed.withColumn(out, F.row_number().over(w)).drop("_h")
-    keyed = keyed.withColumn("_b", F.substring("_h", 1, digits))
-    counts = keyed.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    wb = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy("_b") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(by)],
-                         F.col("_b").alias("_ob"),
-                         F.coalesce(F.sum("_n").over(wb), F.lit(0)).alias("_off"))
+    # the class columns travel as one struct key: struct equality treats
+    # null fields as equal, and the join and the window then hash the same
+    # (key, bucket) columns, so the rows are shuffled once even when the
+    # offset table is too large to broadcast
+    grp = [F.struct(*by).alias("_g")] if by else []
+    keyed = keyed.select("*", *grp, F.substring("_h", 1, digits).alias("_b"))
+    gcols = ["_g"] if by else []
+    counts = keyed.groupBy(*gcols, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    wb = Window.partitionBy(*gcols).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select(*gcols, "_b", F.coalesce(F.sum("_n").over(wb), F.lit(0)).alias("_off"))
     offs = materialize(offs)  # counted, then joined: compute it once
-    cond = reduce(lambda a, b: a & b,
-                  [keyed[c].eqNullSafe(offs[f"_o{i}"]) for i, c in enumerate(by)],
-                  keyed["_b"] == offs["_ob"])
-    joined = join_small(keyed, offs, cond, "inner")
-    w = Window.partitionBy(*by, "_b").orderBy("_h", key)
-    return (joined.withColumn(out, F.col("_off") + F.row_number().over(w))
-            .drop("_h", "_b", "_ob", "_off", *[f"_o{i}" for i in range(len(by))]))
+    joined = join_small(keyed, offs, [*gcols, "_b"], "inner")
+    w = Window.partitionBy(*gcols, "_b").orderBy("_h", key)
+    return joined.withColumn(out, F.col("_off") + F.row_number().over(w)).drop("_h", "_b", "_off", *gcols)
 
 
 def stratified_folds(df: DataFrame, label: str, key: str, k: int = 3, seed: int = 42,
