@@ -128,3 +128,39 @@ def explain_latest(spark: SparkSession, data: DataFrame, features: list[str], ro
     scorer = explain.model_scorer(model, features, n_classes)
     return explain.partial_dependence(data.select(*features), features, scorer,
                                       [f"p{i}" for i in range(n_classes)], points)
+
+
+def run_ml_pipeline(spark: SparkSession, csv_path: str, stages, registry_root: str, model_name: str,
+                    id_col: str = "Id", label: str = "Species", features: list[str] | None = None,
+                    grid: dict = DEFAULT_GRID, k: int = 3, seed: int = 42, test_size: float = 0.2,
+                    points: int = explain.DEFAULT_POINTS, artifacts_dir: str | None = None) -> dict:
+    """The whole model pipeline as one call over named collections:
+
+    extract (CSV -> collection, rows get ``_id``) -> preprocessing (strict
+    drop of ``id_col``, label -> code) -> train (conform to the features and
+    the label, seeded split keyed on ``_id``, k-fold grid search, held-out
+    metrics, register the refitted best model, write the train stage with
+    its split column) -> explain (partial dependence of the latest
+    registered version for every feature and class)."""
+    from lodestone.plans import etl
+    from lodestone.sources.collections import read_collection, write_collection
+    from lodestone.operators.labels import label_list
+
+    etl.extract(spark, csv_path, stages)
+    ext = read_collection(spark, stages.db, stages.extract, stages.root, stages.fmt)
+    write_collection(training.preprocess(ext, drop=(id_col,), label=label),
+                     stages.db, stages.transform, stages.root, stages.fmt)
+    pre = read_collection(spark, stages.db, stages.transform, stages.root, stages.fmt)
+    if features is None:
+        numeric = ("double", "float", "int", "bigint", "smallint", "tinyint")
+        features = [f.name for f in pre.schema.fields
+                    if f.name not in (label, "_id") and f.dataType.simpleString() in numeric]
+    cols = [(f, "double") for f in features] + [(label, "int"), ("_id", "string")]
+    data = prepare(training.train_stage(pre, cols))
+    res = train_and_register(spark, data, features, label, "_id", registry_root, model_name, grid, k, seed,
+                             test_size, experiment=stages.db, artifacts_dir=artifacts_dir)
+    write_collection(res["split"], stages.db, stages.load, stages.root, stages.fmt)
+    n_classes = len(label_list(data, label))
+    res["curves"] = explain_latest(spark, data, features, registry_root, model_name, n_classes, points)
+    res["features"] = features
+    return res
