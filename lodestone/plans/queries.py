@@ -846,3 +846,16 @@ def q_insert_if_absent_stored(spark, sf_dir):
     source = cat.withColumn("stars", F.explode(F.array(F.col("stars") + 1, F.col("stars"))))
     collections.insert_if_absent_into(source, "crawl", "repos", "_id", root, order="stars")
     return collections.read_collection(spark, "crawl", "repos", root).select("_id", "stars", "is_downloaded", "is_run")
+
+
+@query("write_sample_events", """
+select cast(event_id as integer) as event_id, cast(user_id as integer) as user_id, event_type, value
+from events order by event_id limit 10
+""")
+def q_write_sample(spark, sf_dir):
+    """The dataset-sample sink (A14): first 10 rows by key as one CSV file
+    with header, read back."""
+    path = scratch_path(spark, "dataset_samples")
+    e = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    collections.write_sample(e, path, "event_id", 10)
+    return csv_scan(spark, path)
