@@ -859,3 +859,27 @@ def q_write_sample(spark, sf_dir):
     e = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
     collections.write_sample(e, path, "event_id", 10)
     return csv_scan(spark, path)
+
+
+@query("confusion_matrix_wide_returnflag", f"""
+with p as ({_RETURNFLAG_SQL})
+select actual,
+       cast(count(*) filter (where predicted = 'A') as bigint) as "A",
+       cast(count(*) filter (where predicted = 'N') as bigint) as "N",
+       cast(count(*) filter (where predicted = 'R') as bigint) as "R"
+from p group by actual
+""")
+def q_cm_wide(spark, sf_dir):
+    """Rows = actual flag, one column per predicted flag, zeros kept."""
+    return metrics.confusion_matrix_wide(_returnflag_scored(spark, sf_dir), "actual", "predicted")
+
+
+@query("split_xy_events", """
+select event_id, user_id, value from events
+""")
+def q_split_xy(spark, sf_dir):
+    """Feature part of the feature/target separation; both parts keep the
+    key, so they pair again by join (B5)."""
+    e = read_table(spark, sf_dir, "events").select("event_id", "user_id", "value", "event_type")
+    x, _y = columns.split_xy(e, "event_type", key="event_id")
+    return x
