@@ -62,3 +62,14 @@ def test_split_and_folds_same_under_shuffle_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert a == b
+
+
+def test_threshold_top_k_equals_merge(spark):
+    d = read_table(spark, SF_MID, "documents")
+    cat = d.select(F.col("doc_id").cast("string").alias("_id"),
+                   F.when(F.col("doc_id") % 17 == 0, None).otherwise(F.col("n_chars") % 40).alias("stars"))
+    for k in (1, 37, 400, 990, 1000, 1500):
+        a = {r._id for r in crawl_select(cat.withColumn("ok", F.lit(True)), cat.limit(0).select("_id"), k).collect()}
+        from lodestone.operators.selection import top_k
+        b = {r._id for r in top_k(cat, k, "stars", "_id", method="threshold").collect()}
+        assert a == b, k
