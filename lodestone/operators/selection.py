@@ -81,9 +81,15 @@ def _kth_row(df: DataFrame, k: int, spec):
     return total, None
 
 
-def first_n(df: DataFrame, n: int, key: str) -> DataFrame:
-    """First n rows in key order (head(n) with an explicit order)."""
-    return df.orderBy(key).limit(n)
+def first_n(df: DataFrame, n: int, key: str, method: str = "auto") -> DataFrame:
+    """First n rows in key order (head(n) with an explicit order); large n
+    uses the located-threshold form of ``top_k`` (unordered result)."""
+    if method == "merge" or (method == "auto" and n <= TOPK_MERGE_ROWS):
+        return df.orderBy(key).limit(n)
+    spec = [(key, False)]
+    nonnull = df.where(F.col(key).isNotNull())
+    _, cut = _kth_row(nonnull, n, spec)
+    return nonnull if cut is None else nonnull.where(_at_or_before(spec, cut))
 
 
 def crawl_select(catalog: DataFrame, seen: DataFrame, k: int, key: str = "_id",

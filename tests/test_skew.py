@@ -73,3 +73,12 @@ def test_threshold_top_k_equals_merge(spark):
         from lodestone.operators.selection import top_k
         b = {r._id for r in top_k(cat, k, "stars", "_id", method="threshold").collect()}
         assert a == b, k
+
+
+def test_first_n_threshold_equals_merge(spark):
+    from lodestone.operators.selection import first_n
+    o = read_table(spark, SF_MID, "orders").select("o_orderkey", "o_totalprice")
+    for n in (1, 500, 15000, 20000):
+        a = {r.o_orderkey for r in first_n(o, n, "o_orderkey", method="merge").collect()}
+        b = {r.o_orderkey for r in first_n(o, n, "o_orderkey", method="threshold").collect()}
+        assert a == b, n
