@@ -115,6 +115,8 @@ def materialize(df: DataFrame) -> DataFrame:
     computation, then the write reads the persisted blocks."""
     from pyspark import StorageLevel
     shared_dir(df.sparkSession)
+    if df.storageLevel != StorageLevel.NONE:  # cached by the caller: leave it as it is
+        return df.checkpoint(eager=True)
     held = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return held.checkpoint(eager=True)

@@ -62,3 +62,13 @@ def test_insert_if_absent_into_stored_collection(spark, tmp):
     assert K.insert_if_absent_into(more, "db", "repos", "_id", tmp, order="stars") == 0  # second run adds nothing
     got = {r._id: r.stars for r in K.read_collection(spark, "db", "repos", tmp).collect()}
     assert got == {"a": 1, "b": 2, "c": 3}
+
+
+def test_materialize_keeps_callers_cache(spark):
+    from pyspark import StorageLevel
+    from lodestone.session import materialize
+    df = spark.range(100).cache()
+    df.count()
+    out = materialize(df)
+    assert out.count() == 100 and df.storageLevel != StorageLevel.NONE
+    df.unpersist()
