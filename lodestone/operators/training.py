@@ -67,8 +67,9 @@ def without_summary(model):
 
 
 def grid_search(df: DataFrame, feature_cols: list[str], label: str, grid: dict, fold: str = "fold",
-                parallelism: int = 4, metric: str = "accuracy"):
-    """k-fold grid search over forest parameters with the given fold column;
+                parallelism: int = 4, metric: str = "accuracy", k: int = 3):
+    """k-fold grid search over forest parameters with the given fold column
+    (values 0..k-1);
     the best candidate is refitted on all rows.  Returns the
     ``CrossValidatorModel`` (``bestModel`` is a ``PipelineModel``)."""
     from pyspark.ml import Pipeline
@@ -80,7 +81,7 @@ def grid_search(df: DataFrame, feature_cols: list[str], label: str, grid: dict,
     maps = [{rf.getParam(FOREST_PARAM.get(k, k)): v for k, v in cand.items()} for cand in param_grid(grid)]
     ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName=metric)
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=ev, foldCol=fold,
-                        parallelism=parallelism)
+                        numFolds=k, parallelism=parallelism)
     return cv.fit(df)
 
 

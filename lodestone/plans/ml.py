@@ -78,7 +78,7 @@ def train_and_register(spark: SparkSession, data: DataFrame, features: list[str]
     train = split.where(F.col("split") == "train")
     test = split.where(F.col("split") == "test")
     folded = sampling.stratified_folds(train, label, key, k, seed).persist(StorageLevel.MEMORY_AND_DISK)
-    cvm = training.grid_search(folded, features, label, grid, "fold", parallelism)
+    cvm = training.grid_search(folded, features, label, grid, "fold", parallelism, k=k)
     cv = training.cv_results(cvm, grid)
     best = training.best_model(cvm)
     scored = best.transform(test).withColumn("prediction", F.col("prediction").cast("int"))

@@ -68,3 +68,12 @@ def test_grid_candidates_are_the_product():
     from lodestone.operators.grid import param_grid
     g = {"a": [1, 2, 3], "b": ["x", "y"], "c": [0.5]}
     assert len(param_grid(g)) == 3 * 2 * 1
+
+
+def test_grid_search_uses_the_fold_count(spark):
+    from lodestone.operators import sampling as S
+    data = _quality(spark)
+    folded = S.stratified_folds(data, "quality", "doc_id", 4, 42)
+    cvm = T.grid_search(folded, ml.QUALITY_FEATURES, "quality",
+                        {"n_estimators": [3], "max_depth": [2], "random_state": [1]}, k=4)
+    assert cvm.getNumFolds() == 4 and len(cvm.avgMetrics) == 1 and 0 < cvm.avgMetrics[0] <= 1
