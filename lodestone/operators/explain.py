@@ -96,6 +96,6 @@ def model_scorer(model, feature_cols: list[str], n_classes: int, prefix: str = "
     def score(df: DataFrame) -> DataFrame:
         out = model.transform(df)
         arr = vector_to_array(F.col("probability"))
-        keep = [c for c in df.columns]
-        return out.select(*[F.col(f"`{c}`") for c in keep], *[arr[i].alias(f"{prefix}{i}") for i in range(n_classes)])
+        return out.select(*[F.col(f"`{c}`") for c in df.columns],
+                          *[arr[i].alias(f"{prefix}{i}") for i in range(n_classes)])
     return score

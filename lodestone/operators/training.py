@@ -9,7 +9,7 @@ stratified, seeded folds of ``sampling.stratified_folds`` passed as
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions.columns import conform, drop_strict
@@ -88,13 +88,11 @@ def grid_search(df: DataFrame, feature_cols: list[str], label: str, grid: dict,
 def cv_results(cv_model, grid: dict, digits: int | None = 6) -> DataFrame:
     """Candidate table of a fitted search: parameters, mean and population
     std of the fold scores, rank (one row per candidate)."""
-    from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
     g = grid_frame(spark, grid)
     stds = list(cv_model.stdMetrics) if cv_model.stdMetrics else [0.0] * len(cv_model.avgMetrics)
     rows = [(i, float(m), float(s)) for i, (m, s) in enumerate(zip(cv_model.avgMetrics, stds))]
     sc = spark.createDataFrame(rows, "candidate int, mean_test_score double, std_pop double")
-    from pyspark.sql import Window
     out = g.join(sc, "candidate")
     if digits is not None:
         out = (out.withColumn("mean_test_score", F.round("mean_test_score", digits))
