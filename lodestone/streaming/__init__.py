@@ -1,0 +1,2 @@
+"""Structured Streaming forms of the operators: incremental selection
+against a log with idempotent micro-batches (incremental)."""
