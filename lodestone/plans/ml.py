@@ -45,7 +45,7 @@ def order_data(orders: DataFrame) -> DataFrame:
     """Orders with a price band label (0: < 100,000; 1: < 250,000; 2: else)
     and features: price with key-derived noise, month, year, customer."""
     p = F.col("o_totalprice")
-    return orders.select(
+    return spread(orders.select("o_orderkey", "o_totalprice", "o_orderdate", "o_custkey")).select(
         "o_orderkey",
         F.when(p < 100000, 0).when(p < 250000, 1).otherwise(2).alias("band"),
         (p + F.pmod(F.col("o_orderkey") * 7919, F.lit(40000)) - 20000).cast("double").alias("price_noisy"),

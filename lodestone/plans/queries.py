@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lodestone.functions import columns, predicates
 from lodestone.operators import explain, grid, labels, metrics, registry, sampling, selection, training
 from lodestone.plans import crawl, etl, ml
-from lodestone.session import read_table, scratch_path
+from lodestone.session import read_table, scratch_path, spread
 from lodestone.sources import collections
 from lodestone.sources.files import csv_scan, labelled_source
 from lodestone.sources.tables import catalog_from_documents
@@ -828,7 +828,7 @@ def q_forest_fit_lineitem(spark, sf_dir):
     learnable signal, so the output is the fitted model's feature
     importances, not a quality claim."""
     feats = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    li = read_table(spark, sf_dir, "lineitem").select(*feats, "l_returnflag")
+    li = spread(read_table(spark, sf_dir, "lineitem").select(*feats, "l_returnflag"))
     data = ml.prepare(labels.encode_with_list(li, "l_returnflag", ["A", "N", "R"], out="label"))
     model = training.fit_forest(data, feats, "label", 50, 5, 42)
     imp = model.stages[-1].featureImportances.toArray().tolist()
