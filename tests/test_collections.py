@@ -72,3 +72,11 @@ def test_materialize_keeps_callers_cache(spark):
     out = materialize(df)
     assert out.count() == 100 and df.storageLevel != StorageLevel.NONE
     df.unpersist()
+
+
+def test_store_format_is_pluggable(spark, tmp):
+    df = K.with_identity(spark.createDataFrame([(1, 2.5), (2, 3.5)], "k int, v double"), "k")
+    for fmt in ("orc", "json"):
+        n = K.write_collection(df, "db", f"c_{fmt}", tmp, fmt=fmt)
+        back = K.read_collection(spark, "db", f"c_{fmt}", tmp, fmt=fmt)
+        assert n == 2 and sorted(r["_id"] for r in back.collect()) == sorted(r["_id"] for r in df.collect())
