@@ -105,9 +105,10 @@ def current_tags(tags: DataFrame) -> DataFrame:
 
 
 def artifact_index(artifacts: DataFrame) -> DataFrame:
-    """Artifact paths grouped by run and directory."""
-    return artifacts.groupBy("run_id", "dir").agg(F.sort_array(F.collect_set("path")).alias("paths"),
-                                                  F.count(F.lit(1)).alias("n"))
+    """Artifact paths grouped by run and directory (I6); a path logged twice
+    is one artifact (the later upload replaces the earlier)."""
+    return (artifacts.groupBy("run_id", "dir").agg(F.sort_array(F.collect_set("path")).alias("paths"))
+            .withColumn("n", F.size("paths").cast("long")))
 
 
 def signature(spark: SparkSession, inputs: DataFrame, outputs: DataFrame) -> DataFrame:
