@@ -2,8 +2,9 @@
 
 A collection ``db.name`` is a table below a store root (by default a folder
 under the shared ``spark.checkpoint.dir``).  The storage format is pluggable:
-``parquet`` by default, or any Spark data source such as a document-store
-connector, which then receives ``database``/``collection`` options.
+``parquet`` by default, ``table`` for a catalog table ``db.name``, or any
+Spark data source such as a document-store connector, which then receives
+``database``/``collection`` options.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ def read_collection(spark: SparkSession, db: str, name: str, root: str | None =
     are pushed into the scan by Catalyst."""
     if fmt in FILE_FORMATS:
         return spark.read.format(fmt).options(**options).load(collection_path(spark, db, name, root))
+    if fmt == "table":  # a catalog table db.name
+        return spark.table(f"`{db}`.`{name}`")
     return (spark.read.format(fmt).option("database", db).option("collection", name)
             .options(**options).load())
 
@@ -50,6 +53,9 @@ def write_collection(df: DataFrame, db: str, name: str, root: str | None = None,
     if fmt in FILE_FORMATS:
         counted.write.format(fmt).mode(mode).options(**options).save(
             collection_path(spark, db, name, root))
+    elif fmt == "table":  # a catalog table db.name in the session's warehouse
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
+        counted.write.mode(mode).options(**options).saveAsTable(f"`{db}`.`{name}`")
     else:
         (counted.write.format(fmt).mode(mode).option("database", db).option("collection", name)
          .options(**options).save())

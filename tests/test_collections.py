@@ -80,3 +80,13 @@ def test_store_format_is_pluggable(spark, tmp):
         n = K.write_collection(df, "db", f"c_{fmt}", tmp, fmt=fmt)
         back = K.read_collection(spark, "db", f"c_{fmt}", tmp, fmt=fmt)
         assert n == 2 and sorted(r["_id"] for r in back.collect()) == sorted(r["_id"] for r in df.collect())
+
+
+def test_catalog_table_collections(spark):
+    import pytest
+    df = K.with_identity(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), "k")
+    assert K.write_collection(df, "etl_t", "extract", fmt="table") == 2
+    out = K.copy_collection(spark, ("etl_t", "extract"), ("etl_t", "load"), fmt="table")
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, df.collect()))
+    with pytest.raises(ValueError):
+        K.copy_collection(spark, ("etl_t", "load"), ("etl_t", "load"), fmt="table")
