@@ -66,5 +66,7 @@ def encode_with_list(df: DataFrame, col: str, names: list, out: str | None = Non
                      missing: int = -1) -> DataFrame:
     """Category code from a known label list (no pass over the data)."""
     out = out or col
+    if not names:  # no labels at all: every row is missing
+        return df.withColumn(out, F.lit(missing).cast("int"))
     m = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.lit(i))])
     return df.withColumn(out, F.coalesce(F.try_element_at(m, F.col(col)), F.lit(missing)).cast("int"))

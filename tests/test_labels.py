@@ -26,3 +26,9 @@ def test_preprocess_iris_shape(spark):
     out = preprocess(df)
     assert "Id" not in out.columns
     assert sorted({r["Species"] for r in out.collect()}) == [0, 1, 2]
+
+
+def test_codes_of_all_null_column(spark):
+    df = spark.createDataFrame([(None,), (None,)], "s string")
+    assert [r["code"] for r in L.category_codes(df, "s", out="code").collect()] == [-1, -1]
+    assert L.category_codes(df.limit(0), "s", out="code").count() == 0
