@@ -14,6 +14,8 @@ CODE_CELL = "code"
 
 
 def _any_contains(text: Column, terms) -> Column:
+    if isinstance(terms, str) or not terms:
+        raise ValueError("terms must be a non-empty list of strings")
     return reduce(lambda a, b: a | b, [F.contains(text, F.lit(t)) for t in terms])
 
 
