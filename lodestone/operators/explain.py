@@ -59,7 +59,9 @@ def partial_dependence(df: DataFrame, features: list[str], scorer: Callable[[Dat
     ``scorer(df) -> df`` adds the probability columns ``prob_cols`` (class i
     = ``prob_cols[i]``); any DataFrame function works: a SQL expression, an
     MLlib model's ``transform``, or a pandas UDF.  Returns
-    (feature, grid_index, x, class, pd)."""
+    (feature, grid_index, x, class, pd).  ``df`` is best a scan or a
+    checkpointed frame: ``spread`` reads its partition count from planning
+    (a frame with shuffles would have them run once for that check)."""
     ranges = ranges or feature_ranges(df, features)
     xs = [x for f in features for x in grid_points(*ranges[f], points)]
     j = F.col("_j")  # global grid index: feature i owns j in [i*points, (i+1)*points)
