@@ -27,6 +27,14 @@ def preprocess(df: DataFrame, drop=("Id",), label: str = "Species") -> DataFrame
     return category_codes(drop_strict(df, *drop), label)
 
 
+def with_class_count(df: DataFrame, label: str, n_classes: int) -> DataFrame:
+    """Mark ``label`` as a nominal column with ``n_classes`` values (codes
+    0..n-1), so MLlib classifiers read the class count from the schema
+    instead of running a job per fit to find it."""
+    meta = {"ml_attr": {"type": "nominal", "num_vals": int(n_classes), "name": label}}
+    return df.withColumn(label, F.col(label).alias(label, metadata=meta))
+
+
 def rule_grid_search(folded: DataFrame, grid: dict, correct, fold: str = "fold",
                      digits: int | None = 6) -> DataFrame:
     """Cross-validation table of a grid of SQL-expressible scorers:

@@ -74,6 +74,10 @@ def train_and_register(spark: SparkSession, data: DataFrame, features: list[str]
     """Split, search, evaluate on the held-out rows, register the refitted
     best model and log the run.  Returns the result tables."""
     data = prepare(data)
+    from lodestone.operators.labels import label_list
+    codes = label_list(data, label)
+    if codes:  # codes 0..n-1: the class count travels in the schema, not a job per fit
+        data = training.with_class_count(data, label, int(max(codes)) + 1)
     split = sampling.with_split(data, key, test_size, seed)
     train = split.where(F.col("split") == "train")
     test = split.where(F.col("split") == "test")
