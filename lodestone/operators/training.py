@@ -57,8 +57,11 @@ def forest(features: str = "features", label: str = "label", num_trees: int = 50
 
 
 def fit_forest(df: DataFrame, feature_cols: list[str], label: str, num_trees: int = 50,
-               max_depth: int = 5, seed: int = 42):
-    """Assemble the feature columns and fit a forest -> PipelineModel."""
+               max_depth: int = 5, seed: int = 42, n_classes: int | None = None):
+    """Assemble the feature columns and fit a forest -> PipelineModel.
+    ``n_classes`` (codes 0..n-1), when known, saves MLlib a pass to find it."""
+    if n_classes is not None:
+        df = with_class_count(df, label, n_classes)
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
     pipe = Pipeline(stages=[VectorAssembler(inputCols=list(feature_cols), outputCol="features"),

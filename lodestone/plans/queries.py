@@ -729,7 +729,7 @@ def q_ml_report(spark, sf_dir):
 def q_ml_pdp(spark, sf_dir):
     data = ml.prepare(_quality(spark, sf_dir))
     root = scratch_path(spark, "registry")
-    model = training.fit_forest(data, ml.QUALITY_FEATURES, "quality", 50, 5, 42)
+    model = training.fit_forest(data, ml.QUALITY_FEATURES, "quality", 50, 5, 42, n_classes=2)
     registry.register_model(spark, model, "quality_rf", root)
     return ml.explain_latest(spark, data, ml.QUALITY_FEATURES, root, "quality_rf", 2, points=10)
 
@@ -816,7 +816,7 @@ def q_ml_forest_orders(spark, sf_dir):
     orders, evaluated on the held-out 20 %: the classification report."""
     data = ml.prepare(ml.order_data(read_table(spark, sf_dir, "orders")))
     split = sampling.with_split(data, "o_orderkey", 0.2, 42)
-    model = training.fit_forest(split.where("split = 'train'"), ml.ORDER_FEATURES, "band", 50, 5, 42)
+    model = training.fit_forest(split.where("split = 'train'"), ml.ORDER_FEATURES, "band", 50, 5, 42, n_classes=3)
     scored = model.transform(split.where("split = 'test'")).withColumn("prediction", F.col("prediction").cast("int"))
     return metrics.classification_report(scored, "band", "prediction")
 
@@ -830,7 +830,7 @@ def q_forest_fit_lineitem(spark, sf_dir):
     feats = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     li = spread(read_table(spark, sf_dir, "lineitem").select(*feats, "l_returnflag"))
     data = ml.prepare(labels.encode_with_list(li, "l_returnflag", ["A", "N", "R"], out="label"))
-    model = training.fit_forest(data, feats, "label", 50, 5, 42)
+    model = training.fit_forest(data, feats, "label", 50, 5, 42, n_classes=3)
     imp = model.stages[-1].featureImportances.toArray().tolist()
     return spark.createDataFrame(list(zip(feats, imp)), "feature string, importance double")
 
