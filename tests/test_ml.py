@@ -77,3 +77,10 @@ def test_grid_search_uses_the_fold_count(spark):
     cvm = T.grid_search(folded, ml.QUALITY_FEATURES, "quality",
                         {"n_estimators": [3], "max_depth": [2], "random_state": [1]}, k=4)
     assert cvm.getNumFolds() == 4 and len(cvm.avgMetrics) == 1 and 0 < cvm.avgMetrics[0] <= 1
+
+
+def test_class_count_metadata_is_used(spark):
+    df = spark.range(60).select(F.col("id").cast("double").alias("x"), (F.col("id") % 2).cast("int").alias("y"))
+    m = T.fit_forest(df, ["x"], "y", 3, 2, 1, n_classes=3)
+    assert m.stages[-1].numClasses == 3
+    assert T.fit_forest(df, ["x"], "y", 3, 2, 1).stages[-1].numClasses == 2
