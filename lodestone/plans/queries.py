@@ -883,3 +883,15 @@ def q_split_xy(spark, sf_dir):
     e = read_table(spark, sf_dir, "events").select("event_id", "user_id", "value", "event_type")
     x, _y = columns.split_xy(e, "event_type", key="event_id")
     return x
+
+
+@query("report_json_returnflag")
+def q_report_json(spark, sf_dir):
+    """The report sink (A15): the classification report as one JSON document
+    (class -> metrics, ``accuracy`` a number) written with the JSON sink and
+    read back as text.  Rows-only: the document's number formatting is
+    Spark's own."""
+    path = scratch_path(spark, "evaluation")
+    rep = metrics.classification_report(_returnflag_scored(spark, sf_dir), "actual", "predicted")
+    collections.write_report(metrics.report_json(rep), path)
+    return spark.read.json(path).select("report")

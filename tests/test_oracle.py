@@ -34,7 +34,7 @@ def test_every_query_runs_or_has_oracle():
     assert set(SQL) <= set(q)
     rows_only = set(q) - set(SQL)
     assert rows_only <= {"ml_cv_results_quality", "ml_test_report_quality", "ml_pdp_forest_quality",
-                         "ml_forest_orders", "ml_forest_fit_lineitem"}
+                         "ml_forest_orders", "ml_forest_fit_lineitem", "report_json_returnflag"}
 
 
 def test_entry(spark):
