@@ -9,6 +9,8 @@ Spark row instead of one row per integer.
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,18 +41,27 @@ def _byte_codes(seed: int, fold_case: bool) -> np.ndarray:
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Every ASCII byte that is neither letter nor digit.
+NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _BASE = 0x9E3779B97F4A7C15 | 1
-_POWERS = np.ones(1, dtype=U64)
+
+
+def worker_cache() -> dict:
+    """What this Python process keeps from task to task.  (Functions of this
+    package travel to the workers by value, so module variables do not.)"""
+    module = sys.modules.setdefault("_lodestone_worker", types.ModuleType("_lodestone_worker"))
+    return module.__dict__.setdefault("held", {})
 
 
 def powers(n: int) -> np.ndarray:
     """The first ``n`` powers of the hash base, kept between calls."""
-    global _POWERS
-    if len(_POWERS) < n:
-        p = np.ones(max(n, 4096, 2 * len(_POWERS)), dtype=U64)
-        p[1:] = U64(_BASE)
-        _POWERS = np.multiply.accumulate(p)
-    return _POWERS[:n]
+    held = worker_cache()
+    have = held.get("powers")
+    if have is None or len(have) < n:
+        p = np.full(max(n, 4096, 2 * len(have) if have is not None else 0), U64(_BASE))
+        p[0] = 1
+        have = held["powers"] = np.multiply.accumulate(p)
+    return have[:n]
 
 
 def text_buffer(col) -> tuple[np.ndarray, np.ndarray]:
@@ -116,14 +127,14 @@ class Words:
     per document, the range of its words."""
 
     def __init__(self, buf: np.ndarray, offs: np.ndarray, fold_case: bool = True, seed: int = 1,
-                 spans: bool = False):
+                 spans: bool = False, apart: np.ndarray = SPACE):
         codes = _byte_codes(seed, fold_case)
         hashes, starts_all, lens_all = [], [], []
         is_doc_start = np.zeros(len(buf) + 1, dtype=bool)
         is_doc_start[offs[:-1]] = True
         for a, b in pieces(buf, offs):
             part = buf[a:b]
-            solid = ~SPACE[part]
+            solid = ~apart[part]
             head = solid.copy()
             head[1:] &= ~solid[:-1] | is_doc_start[a + 1:b]
             tail = solid.copy()

@@ -6,8 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import exact_dedup, langid, url_filter
+from lodestone.llm import decontaminate, exact_dedup, langid, quality, token_output, url_filter
 from lodestone.llm.common import fold_of, read_table
+from lodestone.session import scratch_path
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -22,6 +23,11 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+@query("op1_decontamination")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 @query("op2_language_id")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
@@ -31,6 +37,27 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), "lang_pred", "score", "margin", "accepted")
 
 
+def byte_bpe() -> str:
+    """Path of the byte-level BPE vocabulary (the installed public tokenizers)."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op3_token_output")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    token_output.write_tokens(read_table(spark, sf_dir, "documents"), path, byte_bpe(), end_id=2)
+    return token_output.read_documents(spark, path)
+
+
+@query("op5_quality")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held = fold_of("doc_id", 5) == 0
+    model = quality.learn(docs, read_table(spark, sf_dir, "labels"), ~held)
+    return quality.score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 #: Fixed rules of the query: (verdict, host, path prefix).
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
              ("allow", "com", "/fr/"), ("block", "com", "/de/")]
