@@ -198,6 +198,64 @@ def ragged(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - first, lens)
 
 
+class Remembered:
+    """Id sequences by 64-bit key, looked up whole arrays at a time; starts
+    over when it holds more than ``limit`` keys, so its memory is bounded."""
+
+    BITS = 20
+
+    def __init__(self, dtype, limit: int):
+        self.dtype, self.limit = dtype, limit
+        self.forget()
+
+    def forget(self) -> None:
+        self.key = np.zeros(1, U64)  # one more than is used: a safe place to look
+        self.at = np.zeros(1, np.int64)
+        self.size = np.zeros(1, np.int64)
+        self.flat = np.zeros(0, self.dtype)
+        self.first = np.zeros((1 << self.BITS) + 1, np.int32)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Index of each key, -1 where it is not held."""
+        slot = (h >> U64(64 - self.BITS)).astype(np.int64)
+        at, end = self.first[slot], self.first[slot + 1]
+        hit = (self.key[at] == h) & (at < end)
+        out = np.where(hit, at, np.int32(-1))
+        rest = np.flatnonzero(~hit & (end - at > 1))
+        while len(rest):
+            at[rest] += 1
+            r = at[rest]
+            ok = self.key[r] == h[rest]
+            out[rest[ok]] = r[ok]
+            rest = rest[~ok & (end[rest] - r > 1)]
+        return out
+
+    def add(self, h: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
+        key = np.concatenate([self.key[:-1], h])
+        at = np.concatenate([self.at[:-1], len(self.flat) + np.cumsum(size) - size])
+        size = np.concatenate([self.size[:-1], size])
+        self.flat = np.concatenate([self.flat, ids])
+        by = np.argsort(key)
+        self.key, self.at, self.size = (np.append(x[by], x.dtype.type(0)) for x in (key, at, size))
+        slot = (self.key[:-1] >> U64(64 - self.BITS)).astype(np.int64)
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(slot, minlength=1 << self.BITS))]).astype(np.int32)
+
+    def resolve(self, h: np.ndarray, learn) -> np.ndarray:
+        """Index of each key; ``learn(places)`` gives (sizes, ids) of keys that
+        are new, by where they first stand in ``h``."""
+        out = self.find(h)
+        missing = np.flatnonzero(out < 0)
+        if len(missing):
+            u, one = np.unique(h[missing], return_index=True)
+            if len(self.key) + len(u) > self.limit and len(self.key) > 1:
+                self.forget()
+                return self.resolve(h, learn)
+            size, ids = learn(missing[one])
+            self.add(u, size, ids)
+            out = self.find(h)
+        return out
+
+
 def pack(a: np.ndarray, ascending: bool = False) -> bytes:
     """An integer array as a compressed blob: differences when ascending, byte
     planes apart, zstandard."""

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import decontaminate, exact_dedup, langid, quality, token_output, url_filter
+from lodestone.llm import decontaminate, exact_dedup, langid, quality, sentencepiece_scan, token_output, url_filter
 from lodestone.llm.common import fold_of, read_table
 from lodestone.session import scratch_path
 
@@ -81,3 +81,18 @@ from t
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
             .select("doc_id", "keep_id", "group_size", "kept", "text_sha256"))
+
+
+def piece_model() -> str:
+    """Path of the SentencePiece model (the installed public tokenizers)."""
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op9_sentencepiece")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = sentencepiece_scan.encode(read_table(spark, sf_dir, "documents"), piece_model())
+    decoded = sentencepiece_scan.decode(encoded, piece_model())
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"),
+                          F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+                          (F.xxhash64("text") == F.col("text_hash")).alias("lossless"))
