@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import decontaminate, exact_dedup, langid, quality, sentencepiece_scan, token_output, url_filter
+from lodestone.llm import decontaminate, exact_dedup, langid, ngram_join, quality, sentencepiece_scan, token_output, url_filter
 from lodestone.llm.common import fold_of, read_table
 from lodestone.session import scratch_path
 
@@ -96,3 +96,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"),
                           F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
                           (F.xxhash64("text") == F.col("text_hash")).alias("lossless"))
+
+
+@query("op10_ngram_jaccard_join")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (ngram_join.jaccard_components(read_table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_shingles", "component_id", "class_id"))
