@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import decontaminate, exact_dedup, langid, ngram_join, quality, sentencepiece_scan, token_output, url_filter
+from lodestone.llm import decontaminate, exact_dedup, langid, ngram_join, ngram_lm, quality, sentencepiece_scan, token_output, url_filter
 from lodestone.llm.common import fold_of, read_table
 from lodestone.session import scratch_path
 
@@ -50,6 +50,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_documents(spark, path)
 
 
+@query("op4_lm_scoring")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = fold_of("doc_id", 7) == 2
+    scores = ngram_lm.corpus_scores(read_table(spark, sf_dir, "documents"), ~held)
+    return scores.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query("op5_quality")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
