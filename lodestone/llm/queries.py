@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import decontaminate, exact_dedup, langid, ngram_join, ngram_lm, quality, sentencepiece_scan, token_output, url_filter
+from lodestone.llm import decontaminate, exact_dedup, langid, ngram_join, ngram_lm, quality, sentencepiece_scan, suffix_dedup, token_output, url_filter
 from lodestone.llm.common import fold_of, read_table
 from lodestone.session import scratch_path
 
@@ -109,3 +109,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (ngram_join.jaccard_components(read_table(spark, sf_dir, "documents"))
             .select("doc_id", "n_shingles", "component_id", "class_id"))
+
+
+@query("op8_suffix_array_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
