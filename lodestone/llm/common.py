@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.session import read_table, scratch_path
 
-__all__ = ["read_table", "stored", "narrow", "fold_of", "split_count"]
+__all__ = ["read_table", "stored", "narrow", "filtered", "fold_of", "split_count"]
 
 
 def stored(df: DataFrame, *name: str) -> DataFrame:
@@ -25,6 +26,16 @@ def narrow(df: DataFrame, **columns) -> DataFrame:
     return df.select(*[(F.col(f"`{c}`") if isinstance(c, str) else c).alias(n) for n, c in columns.items()])
 
 
+def filtered(df: DataFrame, keep) -> DataFrame:
+    """The rows of ``df`` for which ``keep(batch)``, a boolean array per Arrow
+    batch, holds.  Columns travel under neutral names, so any name is allowed."""
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array(keep(b), pa.bool_()))
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return plain.mapInArrow(run, plain.schema).toDF(*df.columns)
+
+
 def fold_of(doc_id, n: int):
     """``crc32`` of the id as text, modulo ``n`` (null for a null id)."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % n

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.arrays import NOT_ALNUM, Words, gram_hash, text_buffer
-from lodestone.llm.common import narrow
+from lodestone.llm.common import filtered, narrow
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -184,11 +184,13 @@ def drop_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: s
     """The documents that hold no item, all columns as they are."""
     at = docs.columns.index(text)
     for shared in _searchers(docs, items, item_id, item_text, block_bytes):
-        def run(batches, shared=shared):
-            index = Index(shared.value[1])
-            for b in batches:
-                clean = np.ones(b.num_rows, bool)
-                clean[[d for d, _ in index.search(_words(b.column(at)), least)]] = False
-                yield b.filter(pa.array(clean))
-        docs = docs.mapInArrow(run, docs.schema)
+        held: dict = {}  # the index, built once per task
+
+        def clean(b, shared=shared, held=held):
+            if "index" not in held:
+                held["index"] = Index(shared.value[1])
+            mask = np.ones(b.num_rows, bool)
+            mask[[d for d, _ in held["index"].search(_words(b.column(at)), least)]] = False
+            return mask
+        docs = filtered(docs, clean)
     return docs

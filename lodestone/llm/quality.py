@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.arrays import SPACE, Words, gram_hash, pieces, text_buffer
-from lodestone.llm.common import narrow
+from lodestone.llm.common import filtered, narrow
 
 BUCKETS = 1 << 16
 DIM = 12
@@ -208,7 +208,4 @@ def keep_good(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD
     shared = docs.sparkSession.sparkContext.broadcast((model.weight, model.offset))
     at = docs.columns.index(text)
 
-    def run(batches):
-        for b in batches:
-            yield b.filter(pa.array(batch_scores(*shared.value, b.column(at)) >= threshold))
-    return docs.mapInArrow(run, docs.schema)
+    return filtered(docs, lambda b: batch_scores(*shared.value, b.column(at)) >= threshold)
