@@ -82,6 +82,17 @@ def text_buffer(col) -> tuple[np.ndarray, np.ndarray]:
     return buf[offs[0]:offs[-1]], offs - offs[0]
 
 
+def slices(batch: pa.RecordBatch, sizes: np.ndarray, limit: int):
+    """A batch in parts of about ``limit`` units, so that the working arrays of
+    a part stay small (a larger row is a part of its own)."""
+    ends, i = np.cumsum(sizes), 0
+    while i < batch.num_rows:
+        done = int(ends[i - 1]) if i else 0
+        j = max(i + 1, int(np.searchsorted(ends, done + limit, side="right")))
+        yield batch.slice(i, j - i)
+        i = j
+
+
 def pieces(buf: np.ndarray, offs: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of about ``limit`` bytes that end at a document's end or, inside
     a longer document, before a white space byte, so no word is cut (a longer
@@ -122,13 +133,25 @@ def segment_hash(buf: np.ndarray, starts: np.ndarray, lens: np.ndarray, codes: n
     return mix64(h + lens.astype(U64) * U64(0xD6E8FEB86659FD93))
 
 
+def tiled_hash(buf: np.ndarray, starts: np.ndarray, lens: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """``segment_hash`` of segments that follow each other; bytes between a
+    segment's end and the next start must have code 0."""
+    if not len(starts):
+        return np.zeros(0, dtype=U64)
+    a = int(starts[0])
+    span = np.diff(starts, append=len(buf))
+    vals = codes[buf[a:]]
+    vals *= powers(int(span.max()))[np.arange(a, len(buf)) - np.repeat(starts, span)]
+    return mix64(np.add.reduceat(vals, starts - a) + lens.astype(U64) * U64(0xD6E8FEB86659FD93))
+
+
 class Words:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a batch: hash (A-Z folded) of each and,
     per document, the range of its words."""
 
     def __init__(self, buf: np.ndarray, offs: np.ndarray, fold_case: bool = True, seed: int = 1,
                  spans: bool = False, apart: np.ndarray = SPACE):
-        codes = _byte_codes(seed, fold_case)
+        codes = np.where(apart, U64(0), _byte_codes(seed, fold_case))
         hashes, starts_all, lens_all = [], [], []
         is_doc_start = np.zeros(len(buf) + 1, dtype=bool)
         is_doc_start[offs[:-1]] = True
@@ -141,7 +164,7 @@ class Words:
             tail[:-1] &= ~solid[1:] | is_doc_start[a + 1:b]
             s = np.flatnonzero(head)
             n = np.flatnonzero(tail) + 1 - s
-            hashes.append(segment_hash(part, s, n, codes))
+            hashes.append(tiled_hash(part, s, n, codes))
             starts_all.append(s + a)
             if spans:
                 lens_all.append(n)

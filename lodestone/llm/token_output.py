@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm import rans
-from lodestone.llm.arrays import SPACE, _byte_codes, ragged, segment_hash, text_buffer, worker_cache
+from lodestone.llm.arrays import SPACE, Remembered, _byte_codes, ragged, text_buffer, tiled_hash, worker_cache
 from lodestone.llm.common import narrow, stored
 
 RUN = 1 << 18
@@ -43,6 +43,10 @@ RUN = 1 << 18
 REMEMBERED = 1_500_000
 
 
+#: 1 for an ASCII letter, 2 for ASCII punctuation.
+_KIND = np.array([1 if b < 128 and chr(b).isalpha() else 2 if 32 < b < 127 and not chr(b).isalnum() else 0 for b in range(256)], np.uint8)
+
+
 class UnitEncoder:
     """Token ids of whole batches, each distinct unit encoded once."""
 
@@ -56,42 +60,32 @@ class UnitEncoder:
         for t, i in vocab.items():
             self.width[i] = len(t)  # byte-level: one character per byte
         self.codes = _byte_codes(23, False)
-        self.forget()
-
-    def forget(self) -> None:
-        self.key = np.zeros(0, np.uint64)
-        self.at = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint32)
+        self.held = Remembered(np.uint32, REMEMBERED)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, keys: np.ndarray, buf: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> None:
+    def _learn(self, buf: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(sizes, ids) of units, most of them encoded joined to long strings."""
         ends = starts + lens - 1
         # joined units must neither continue a unit before them nor be continued
         joinable = SPACE[buf[starts]] & ~SPACE[buf[ends]] & (buf[ends] < 0x80)
         order = np.concatenate([np.flatnonzero(joinable), np.flatnonzero(~joinable)])
-        keys, starts, lens = keys[order], starts[order], lens[order]
-        n = int(joinable.sum())
+        s, w, n = starts[order], lens[order], int(joinable.sum())
         sizes, ids = [], []
         for a in range(0, n, 20000):
-            s, w = starts[a:min(a + 20000, n)], lens[a:min(a + 20000, n)]
-            (got,) = self._encode([buf[ragged(s, w)].tobytes().decode()])
-            reach = np.cumsum(self.width[got])
-            cut = np.searchsorted(reach, np.cumsum(w)) + 1
+            b = min(a + 20000, n)
+            (got,) = self._encode([buf[ragged(s[a:b], w[a:b])].tobytes().decode()])
+            cut = np.searchsorted(np.cumsum(self.width[got]), np.cumsum(w[a:b])) + 1
             sizes.append(np.diff(cut, prepend=0))
             ids.append(got)
-        rest = self._encode([buf[s:s + w].tobytes().decode() for s, w in zip(starts[n:], lens[n:])])
+        rest = self._encode([buf[i:i + k].tobytes().decode() for i, k in zip(s[n:].tolist(), w[n:].tolist())])
         sizes.append(np.array([len(r) for r in rest], dtype=np.int64))
-        ids.extend(rest)
-        size = np.concatenate(sizes).astype(np.int64)
-        key = np.concatenate([self.key, keys])
-        at = np.concatenate([self.at, len(self.flat) + np.cumsum(size) - size])
-        size = np.concatenate([self.size, size])
-        self.flat = np.concatenate([self.flat, *ids])
-        by = np.argsort(key)
-        self.key, self.at, self.size = key[by], at[by], size[by]
+        by_order = np.concatenate(sizes).astype(np.int64)
+        flat = np.concatenate([*ids, *rest]) if ids or rest else np.zeros(0, np.uint32)
+        size, at = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        size[order], at[order] = by_order, np.cumsum(by_order) - by_order
+        return size, flat[ragged(at, size)]
 
     def batch(self, buf: np.ndarray, offs: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, number of ids per text), each
@@ -99,30 +93,26 @@ class UnitEncoder:
         n = len(offs) - 1
         starts = self._units(buf, offs)
         lens = np.diff(starts, append=len(buf))
-        h = np.concatenate([segment_hash(buf, starts[a:a + 100000], lens[a:a + 100000], self.codes)
-                            for a in range(0, len(starts), 100000)] or [np.zeros(0, np.uint64)])
-        u, first, inv = np.unique(h, return_index=True, return_inverse=True)
-        if len(self.key) + len(u) > REMEMBERED:
-            self.forget()
-        at = np.searchsorted(self.key, u)
-        known = np.zeros(len(u), bool)
-        inside = at < len(self.key)
-        known[inside] = self.key[at[inside]] == u[inside]
-        if not known.all():
-            new = ~known
-            self._learn(u[new], buf, starts[first[new]], lens[first[new]])
-            at = np.searchsorted(self.key, u)
-        size = self.size[at][inv]
+        step = 100_000
+        edges = np.append(starts, len(buf))
+        h = np.concatenate([tiled_hash(buf[:edges[min(a + step, len(starts))]], starts[a:a + step], lens[a:a + step], self.codes)
+                            for a in range(0, len(starts), step)] or [np.zeros(0, np.uint64)])
+        at = self.held.resolve(h, lambda i: self._learn(buf, starts[i], lens[i]))
+        size, begin, flat = self.held.size[at], self.held.at[at], np.append(self.held.flat, np.uint32(end_id))
         doc = np.searchsorted(offs, starts, side="right") - 1
         per_doc = np.bincount(doc, weights=size, minlength=n).astype(np.int64) + 1
-        out = np.full(int(per_doc.sum()), end_id, dtype=np.uint32)
-        to = np.cumsum(size) - size + doc  # one end id per text before
-        out[ragged(to, size)] = self.flat[ragged(self.at[at][inv], size)]
-        return out, per_doc
+        # the end id of each text stands behind its last unit
+        close = np.searchsorted(doc, np.arange(n), side="right")
+        size = np.insert(size, close, 1)
+        begin = np.insert(begin, close, len(flat) - 1)
+        out = [flat[ragged(begin[a:a + step], size[a:a + step])] for a in range(0, len(size), step)]
+        return np.concatenate(out) if out else np.zeros(0, np.uint32), per_doc
 
     @staticmethod
     def _units(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
-        """Where units start: at texts and at white space after other characters."""
+        """Where units start: at texts, at white space after other characters
+        and at ASCII punctuation after an ASCII letter (a token never reaches
+        across either)."""
         if not len(buf):
             return np.zeros(0, np.int64)
         blank = SPACE[buf]
@@ -137,6 +127,8 @@ class UnitEncoder:
                    | (x == 0xE2) & (y == 0x80) & ((z <= 0x8A) | (z == 0xA8) | (z == 0xA9) | (z == 0xAF))
                    | (x == 0xE2) & (y == 0x81) & (z == 0x9F) | (x == 0xE3) & (y == 0x80) & (z == 0x80))
             cut[wide[odd]] = False
+        kind = _KIND[buf]
+        cut[1:] |= (kind[:-1] == 1) & (kind[1:] == 2)
         cut[offs[:-1][np.diff(offs) > 0]] = True
         return np.flatnonzero(cut)
 
@@ -275,7 +267,7 @@ def read_pieces(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) per document, from the files."""
-    pieces = read_pieces(spark, path)
+    pieces = stored(read_pieces(spark, path), "pieces")  # a row of numbers per document and block
     lone = pieces.where("whole").select("doc_id", F.col("doc_start").alias("start"), F.col("n").alias("n_tokens"),
                                         F.col("crc").alias("ids_crc32"))
     # documents over several blocks: one row of a few numbers per block
