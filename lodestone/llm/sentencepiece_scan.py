@@ -30,16 +30,18 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.arrays import Remembered, mix64, powers, ragged, text_buffer, worker_cache
+from lodestone.llm.arrays import Remembered, mix64, powers, ragged, slices, text_buffer, worker_cache
 from lodestone.llm.common import narrow, stored
 
 MARK = 0x2581
 LITERAL = 0x110000 + MARK  # a mark that was in the text
 CHUNK = 1 << 16
 GROUP_BYTES = 2 << 20
+GROUP_IDS = 400_000
 REMEMBERED = 1_500_000
 NONE = -np.inf
 _UNKNOWN_PENALTY = 10.0
@@ -420,13 +422,10 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
     def run(batches):
         enc = _encoder(model.value)
         for b in batches:
-            ids, counts = enc.batch(*text_buffer(b.column(1)))
-            offs = np.concatenate([[0], np.cumsum(counts)])
-            if len(ids) < 1 << 30:
-                lists = pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(ids, pa.int32()))
-            else:
-                lists = pa.array([ids[s:e] for s, e in zip(offs[:-1], offs[1:])], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([b.column(0), lists, b.column(2)], names=["doc_id", "ids", "text_hash"])
+            for part in slices(b, np.asarray(pc.binary_length(b.column(1))), GROUP_BYTES):
+                ids, counts = enc.batch(*text_buffer(part.column(1)))
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays([part.column(0), lists, part.column(2)], names=["doc_id", "ids", "text_hash"])
     small = src.where(F.length("text") <= chunk).mapInArrow(run, "doc_id long, ids array<int>, text_hash long")
     return small.unionByName(_encode_giant(src.where(F.length("text") > chunk), model, chunk))
 
@@ -504,17 +503,20 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """The input rows with ``text``, the text their ids stand for."""
     model = _share(encoded.sparkSession, path)
     keep = [c for c in encoded.columns if c != "text"]
-    schema = ", ".join(f"`{c}` {t}" for c, t in encoded.select(*[F.col(f"`{c}`") for c in keep]).dtypes) + ", text string"
+    plain = encoded.select(*[F.col(f"`{c}`") for c in keep]).toDF(*[f"c{i}" for i in range(len(keep))])
+    schema = ", ".join(f"{c} {t}" for c, t in plain.dtypes) + ", text string"
     at = keep.index(ids)
 
     def run(batches):
         enc = _encoder(model.value)
         for b in batches:
-            col = b.column(at)
-            counts = np.asarray(col.value_lengths().fill_null(0)).astype(np.int64)
-            raw, n = enc.decode(np.asarray(col.flatten()).astype(np.int64), counts)
-            ends = np.concatenate([[0], np.cumsum(n)])
-            data = raw.tobytes()
-            texts = [data[s:e].decode() for s, e in zip(ends[:-1].tolist(), ends[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*keep, "text"])
-    return encoded.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(run, schema)
+            sizes = np.asarray(b.column(at).value_lengths().fill_null(0)).astype(np.int64)
+            for part in slices(b, sizes, GROUP_IDS):
+                col = part.column(at)
+                counts = np.asarray(col.value_lengths().fill_null(0)).astype(np.int64)
+                raw, n = enc.decode(np.asarray(col.flatten()).astype(np.int64), counts)
+                ends = np.concatenate([[0], np.cumsum(n)])
+                data = raw.tobytes()
+                texts = [data[s:e].decode() for s, e in zip(ends[:-1].tolist(), ends[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, "text"])
+    return plain.mapInArrow(run, schema).toDF(*keep, "text")
