@@ -69,24 +69,6 @@ def scale(df: DataFrame, column: str, k=2, out: str | None = None) -> DataFrame:
     return df.withColumn(out or column, F.col(column) * F.lit(k))
 
 
-def field(path: str) -> Column:
-    """Field access in a record: ``field("data.value")``."""
-    return F.col(path)
-
-
-def attach_target(df: DataFrame, source: str, name: str = "target") -> DataFrame:
-    """Expose the target column under a new name."""
-    return df.withColumnRenamed(source, name)
-
-
-def assemble(df: DataFrame, cols: list[str], out: str = "features",
-             handle_invalid: str = "error") -> DataFrame:
-    """Numeric columns -> one vector column (the matrix form of the rows)."""
-    from pyspark.ml.feature import VectorAssembler
-    return VectorAssembler(inputCols=list(cols), outputCol=out,
-                           handleInvalid=handle_invalid).transform(df)
-
-
 def class_probability(i: int, prob_col: str = "probability") -> Column:
     """Probability of class ``i`` from a probability vector column."""
     from pyspark.ml.functions import vector_to_array

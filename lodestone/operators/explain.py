@@ -21,6 +21,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestone.functions.columns import class_probability
 from lodestone.session import spread
 
 DEFAULT_POINTS = 30
@@ -38,7 +39,10 @@ def feature_ranges(df: DataFrame, features: list[str]) -> dict:
 
 
 def grid_points(mn: float, mx: float, points: int) -> list[float]:
-    """``points`` equally spaced values over [mn, max]."""
+    """``points`` equally spaced values over [mn, max]; none for a feature
+    without any value (an empty or all-null column)."""
+    if mn is None:
+        return []
     if points == 1:
         return [mn]
     return [mn + (mx - mn) * i / (points - 1) for i in range(points)]
@@ -63,6 +67,11 @@ def partial_dependence(df: DataFrame, features: list[str], scorer: Callable[[Dat
     checkpointed frame: ``spread`` reads its partition count from planning
     (a frame with shuffles would have them run once for that check)."""
     ranges = ranges or feature_ranges(df, features)
+    flat = [f for f in features if ranges[f][0] is None]  # no values, so no curve
+    if flat:
+        features = [f for f in features if f not in flat]
+        if not features:
+            return df.sparkSession.createDataFrame([], "feature string, grid_index int, x double, class int, pd double")
     xs = [x for f in features for x in grid_points(*ranges[f], points)]
     j = F.col("_j")  # global grid index: feature i owns j in [i*points, (i+1)*points)
     x_at = F.element_at(F.array(*[F.lit(x).cast("double") for x in xs]), j + 1)
@@ -93,11 +102,7 @@ def clip_curve(curve: DataFrame, lo: float = PLOT_LIMITS[0], hi: float = PLOT_LI
 def model_scorer(model, feature_cols: list[str], n_classes: int, prefix: str = "p"):
     """Scorer for a fitted MLlib ``PipelineModel`` whose first stage
     assembles ``feature_cols``: adds ``p0..p{n-1}`` (J3)."""
-    from pyspark.ml.functions import vector_to_array
-
     def score(df: DataFrame) -> DataFrame:
-        out = model.transform(df)
-        arr = vector_to_array(F.col("probability"))
-        return out.select(*[F.col(f"`{c}`") for c in df.columns],
-                          *[arr[i].alias(f"{prefix}{i}") for i in range(n_classes)])
+        return model.transform(df).select(*[F.col(f"`{c}`") for c in df.columns],
+                                          *[class_probability(i).alias(f"{prefix}{i}") for i in range(n_classes)])
     return score

@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.session import join_small
-
-# A class list above this size is not a label set; refusing it keeps the
-# driver-side list and the label-table window bounded.
-MAX_CLASSES = 100_000
-_INLINE_MAP = 1_000  # longer lists are joined instead of inlined
+from lodestone.session import global_index, join_small
 
 
 def distinct_labels(df: DataFrame, col: str) -> DataFrame:
@@ -21,40 +16,37 @@ def distinct_labels(df: DataFrame, col: str) -> DataFrame:
 
 
 def label_list(df: DataFrame, *cols: str) -> list:
-    """Sorted distinct non-null values over one or more columns, as a driver
-    list (bounded by ``MAX_CLASSES``)."""
+    """Sorted distinct non-null values over one or more columns as a driver
+    list.  For callers who want names in hand (a pivot, ``decode_label``); no
+    operator of this package needs it."""
     parts = [df.select(F.col(c).alias("_l")) for c in cols]
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    rows = u.where(F.col("_l").isNotNull()).distinct().orderBy("_l").limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} distinct labels in {cols}")
-    return [r[0] for r in rows]
+    return [r[0] for r in u.where(F.col("_l").isNotNull()).distinct().orderBy("_l").collect()]
 
 
 def label_codes(df: DataFrame, col: str, code: str = "code") -> DataFrame:
-    """Label table: each distinct label with its index in sorted order.
-    The window runs on the distinct-label table only (one row per class)."""
+    """Label table: each distinct non-null label with its index in sorted
+    order, for any number of labels."""
     labels = df.select(col).where(F.col(col).isNotNull()).distinct()
-    return labels.select(col, (F.row_number().over(Window.orderBy(col)) - 1).cast("int").alias(code))
+    return global_index(labels, F.col(col), out=code).select(col, F.col(code).cast("int").alias(code))
 
 
 def category_codes(df: DataFrame, col: str, out: str | None = None, missing: int = -1,
                    names: list | None = None) -> DataFrame:
     """Replace a label by its category code: index among the sorted distinct
-    labels, ``missing`` (-1) for null (W1).
-
-    One aggregation pass finds the (bounded) label list; the codes are then
-    an inline map lookup, or a broadcast join for very long label lists."""
+    labels, ``missing`` (-1) for null (W1).  The label table is joined
+    (broadcast when its bytes allow), so the number of labels is not limited."""
     out = out or col
-    names = label_list(df, col) if names is None else names
-    if len(names) <= _INLINE_MAP:
+    if names is not None:
         return encode_with_list(df, col, names, out, missing)
-    spark = df.sparkSession
-    codes = spark.createDataFrame([(n, i) for i, n in enumerate(names)],
-                                  f"_lab {df.schema[col].dataType.simpleString()}, _code int")
-    joined = join_small(df, codes, F.col(col) == F.col("_lab"), "left", small_rows=len(names))
+    codes = label_codes(df, col, "_code").select(F.col(col).alias("_lab"), "_code")
+    return _coded(df, codes, col, out, missing)
+
+
+def _coded(df: DataFrame, codes: DataFrame, col: str, out: str, missing: int) -> DataFrame:
+    joined = join_small(df, codes, F.col(f"`{col}`") == F.col("_lab"), "left")
     code = F.coalesce(F.col("_code"), F.lit(missing)).cast("int")
     cols = [code.alias(out) if c == out else F.col(f"`{c}`") for c in df.columns]
     if out not in df.columns:
@@ -65,8 +57,6 @@ def category_codes(df: DataFrame, col: str, out: str | None = None, missing: int
 def encode_with_list(df: DataFrame, col: str, names: list, out: str | None = None,
                      missing: int = -1) -> DataFrame:
     """Category code from a known label list (no pass over the data)."""
-    out = out or col
-    if not names:  # no labels at all: every row is missing
-        return df.withColumn(out, F.lit(missing).cast("int"))
-    m = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.lit(i))])
-    return df.withColumn(out, F.coalesce(F.try_element_at(m, F.col(col)), F.lit(missing)).cast("int"))
+    codes = df.sparkSession.createDataFrame([(n, i) for i, n in enumerate(names)],
+                                            f"_lab {df.schema[col].dataType.simpleString()}, _code int")
+    return _coded(df, codes, col, out or col, missing)

@@ -2,12 +2,14 @@
 
 What a tracking server records is kept as tables below a registry root:
 
-* ``runs(run_id, parent_run_id, experiment, run_name)``
+* ``runs(run_id, parent_run_id, experiment, run_name)``, partitioned by experiment
 * ``params(run_id, key, value)``
 * ``metrics(run_id, key, value, step)``
 * ``tags(run_id, key, value, seq)``
 * ``artifacts(run_id, dir, path)``
 * ``models(name, version, uri, run_id)``
+* ``signatures(run_id, side, position, name, type)``
+* ``explanations(run_id, feature, grid_index, x, class, pd)``
 
 Writing is an append (one part per write); reading is a scan; every query
 below is an ordinary aggregate or join, so they work for any number of runs.
@@ -15,12 +17,16 @@ below is an ordinary aggregate or join, so they work for any number of runs.
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestone.functions.columns import format_name
 from lodestone.session import small_table
+from lodestone.sources.collections import append_log, read_log
 
 SCHEMAS = {
     "runs": "run_id string, parent_run_id string, experiment string, run_name string",
@@ -29,38 +35,41 @@ SCHEMAS = {
     "tags": "run_id string, key string, value string, seq long",
     "artifacts": "run_id string, dir string, path string",
     "models": "name string, version int, uri string, run_id string",
+    "signatures": "run_id string, side string, position int, name string, type string",
+    "explanations": "run_id string, feature string, grid_index int, x double, class int, pd double",
 }
+#: Tables laid out by a column that queries filter on.
+PARTITIONS = {"runs": ("experiment",)}
+# Fixed value: the name of a search candidate's run.
+CHILD_RUN_NAME = "Child_Run_CV_%d"
 
 
 def table_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
+def new_run_id(experiment: str, name: str) -> str:
+    """A run id that no other run has."""
+    return f"{experiment}/{name}/{uuid.uuid4().hex[:16]}"
+
+
 def log_rows(df: DataFrame, root: str, table: str) -> None:
     """Append rows to one of the tracking tables (schema enforced)."""
     schema = T._parse_datatype_string(SCHEMAS[table])
-    df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]) \
-        .write.mode("append").parquet(table_path(root, table))
+    append_log(df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]),
+               table_path(root, table), partition_by=PARTITIONS.get(table, ()))
 
 
 def read(spark: SparkSession, root: str, table: str) -> DataFrame:
     """A tracking table; empty with its schema when nothing was logged yet."""
-    schema = SCHEMAS[table]
-    try:
-        df = spark.read.schema(schema).parquet(table_path(root, table))
-        df.schema
-        return df
-    except Exception as e:  # noqa: BLE001 - missing folder = empty table
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
+    return read_log(spark, table_path(root, table), T._parse_datatype_string(SCHEMAS[table]))
 
 
 # ----------------------------------------------------------------- queries
 
 def experiment_runs(runs: DataFrame, experiment: str) -> DataFrame:
-    """Runs of one experiment (I1).  Partition the runs table by
-    ``experiment`` and this becomes a partition-pruned scan."""
+    """Runs of one experiment (I1); over the stored table a scan of that
+    experiment's partition only."""
     return runs.where(F.col("experiment") == F.lit(experiment))
 
 
@@ -106,8 +115,10 @@ def current_tags(tags: DataFrame) -> DataFrame:
 
 def artifact_index(artifacts: DataFrame) -> DataFrame:
     """Artifact paths grouped by run and directory (I6); a path logged twice
-    is one artifact (the later upload replaces the earlier)."""
-    return (artifacts.groupBy("run_id", "dir").agg(F.sort_array(F.collect_set("path")).alias("paths"))
+    is one artifact (the later upload replaces the earlier).  Distinct first,
+    so repeated uploads do not reach the list of a directory."""
+    return (artifacts.select("run_id", "dir", "path").distinct()
+            .groupBy("run_id", "dir").agg(F.sort_array(F.collect_list("path")).alias("paths"))
             .withColumn("n", F.size("paths").cast("long")))
 
 
@@ -137,17 +148,54 @@ def next_version(spark: SparkSession, root: str, name: str) -> int:
     return (v or 0) + 1
 
 
-def register_model(spark: SparkSession, model, name: str, root: str, run_id: str | None = None) -> int:
-    """Save a fitted MLlib model under ``<root>/store/<name>/<version>`` and
-    add it to ``models`` with the next version number (I8)."""
+def claim_version(spark: SparkSession, root: str, name: str) -> int:
+    """The next free version of a name, claimed by creating its marker file
+    without overwriting: of two trainers one gets it, the other the next."""
     version = next_version(spark, root, name)
-    path = f"{root.rstrip('/')}/store/{name}/{version}"
-    model.write().overwrite().save(path)
+    while True:
+        marker = spark._jvm.org.apache.hadoop.fs.Path(f"{table_path(root, 'versions')}/{name}/{version}")
+        fs = marker.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not fs.exists(marker):
+            try:
+                fs.create(marker, False).close()
+                return version
+            except Py4JJavaError as e:
+                if "FileAlreadyExists" not in e.java_exception.getClass().getName():
+                    raise
+        version += 1
+
+
+def register_model(spark: SparkSession, model, name: str, root: str, run_id: str | None = None,
+                   inputs: DataFrame | None = None, outputs: DataFrame | None = None) -> int:
+    """Save a fitted MLlib model under a path of its own and add it to
+    ``models`` with the next version number (I8).  With ``inputs`` and
+    ``outputs`` their schemas are logged as the run's signature, and five input
+    rows are kept beside the model as an example."""
+    path = f"{root.rstrip('/')}/store/{name}/{uuid.uuid4().hex}"
+    model.write().save(path)
+    if inputs is not None:
+        inputs.limit(5).coalesce(1).write.json(f"{path}-input_example")
+        if run_id is not None:
+            sig = signature(spark, inputs, outputs if outputs is not None else inputs.limit(0).select())
+            log_rows(sig.withColumn("run_id", F.lit(run_id)), root, "signatures")
+    version = claim_version(spark, root, name)
     row = spark.createDataFrame([(name, version, path, run_id)], SCHEMAS["models"])
     log_rows(row, root, "models")
     return version
 
 
+def log_explanation(spark: SparkSession, curves: DataFrame, root: str, experiment: str, name: str) -> str:
+    """Record partial-dependence curves as a run of their own: the run, its
+    ``explanations`` rows and an artifact row per feature.  Returns the run id."""
+    run_id = new_run_id(experiment, name)
+    mine = F.lit(run_id).alias("run_id")
+    log_rows(spark.createDataFrame([(run_id, None, experiment, "explain")], SCHEMAS["runs"]), root, "runs")
+    log_rows(curves.select(mine, *[c for c in curves.columns]), root, "explanations")
+    log_rows(curves.select("feature").distinct().select(mine, F.lit("explanations").alias("dir"),
+                                                        F.concat(F.col("feature"), F.lit(".curve")).alias("path")), root, "artifacts")
+    return run_id
+
+
 def load_latest(spark: SparkSession, root: str, name: str):
     """Load the latest registered version of a model."""
     from pyspark.ml import PipelineModel
@@ -172,7 +220,7 @@ def cv_run_tables(cv: DataFrame, experiment: str, param_keys: list[str],
         F.concat(F.col("experiment"), F.lit("/parent")).alias("run_id"), F.lit(None).cast("string").alias("parent_run_id"),
         "experiment", F.lit(parent_name).alias("run_name"))
     children = cv.select(child_id.alias("run_id"), parent_id.alias("parent_run_id"), exp.alias("experiment"),
-                         format_name("Child_Run_CV_%d", F.col("candidate")).alias("run_name"))
+                         format_name(CHILD_RUN_NAME, F.col("candidate")).alias("run_name"))
     params = melt_params(cv.select(child_id.alias("run_id"), F.create_map(
         *[x for k in param_keys for x in (F.lit(k), F.col(k).cast("string"))]).alias("params")))
     metrics = cv.select(child_id.alias("run_id"), F.explode(F.create_map(

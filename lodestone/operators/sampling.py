@@ -2,11 +2,13 @@
 
 Row order comes from ``md5("<seed>:<key>")`` with the key as tie-break: the
 same rows for the same seed whatever the partitioning, and the same order in
-any engine that has ``md5``.  Both operators are exact and skew-safe:
+any engine that has ``md5``.  A null key sorts before all others and is kept.
+Both operators are exact and skew-safe:
 
 * the train/test split finds the k-th smallest ``(hash, key)`` with a few
   bounded histogram passes over the hash prefix, then splits with a plain
-  filter (no shuffle of the rows);
+  filter (no shuffle of the rows).  Rows with one key cannot be told apart by
+  it, so a cut that would fall among them is an error, at any size;
 * fold numbers need each row's rank inside its class.  Rows are bucketed by
   a hash prefix whose length grows with the largest class, bucket offsets
   come from a small count table, and ``row_number`` runs per (class, bucket),
@@ -21,29 +23,29 @@ from pyspark.sql import functions as F
 from lodestone.session import join_small, materialize
 
 _LEVEL_HEX = 4          # hash hex digits resolved per histogram pass
-_FINISH_ROWS = 200_000  # boundary bucket small enough to rank directly
+_FINISH_ROWS = 200_000  # keys of a boundary bucket that are ranked directly
 GROUP_ROWS = 1_000_000  # target rows per (class, bucket) window group
 
 
 def seeded_hash(key: str, seed: int = 42) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    """The seeded order of a key; empty, and so before all hashes, for null."""
+    return F.coalesce(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), F.lit(""))
 
 
-def _boundary(hist: DataFrame, k) -> dict:
-    """The bucket holding the k-th row, from a (prefix, count) histogram.
+def _boundary(hist: DataFrame, k, *order: str) -> dict:
+    """The row of a histogram (order columns, ``_n``) that holds the k-th row.
     ``k`` is a row number, or a float fraction of the total (ceil(f * n)).
     The running sum runs in Spark over the bounded histogram; one row comes
     back."""
-    w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     h = (hist.withColumn("_cum", F.sum("_n").over(w))
          .withColumn("_total", F.sum("_n").over(Window.partitionBy())))
     kk = F.ceil(F.lit(k) * F.col("_total")).cast("long") if isinstance(k, float) else F.lit(int(k))
     h = h.withColumn("_k", F.least(F.greatest(kk, F.lit(0)), F.col("_total")))
     r = h.where((F.col("_cum") >= F.col("_k")) & (F.col("_cum") - F.col("_n") < F.col("_k"))).first()
     if r is None:  # k == 0 (or no rows)
-        tot = hist.agg(F.sum("_n")).first()[0] or 0
-        return {"k": 0, "total": tot}
-    return {"k": r["_k"], "total": r["_total"], "prefix": r["_p"], "n": r["_n"], "before": r["_cum"] - r["_n"]}
+        return {"k": 0}
+    return {"k": r["_k"], "row": r, "n": r["_n"], "before": r["_cum"] - r["_n"]}
 
 
 def _kth_smallest(hashed: DataFrame, key: str, k):
@@ -52,20 +54,22 @@ def _kth_smallest(hashed: DataFrame, key: str, k):
     remaining, k_total = k, None
     for level in range(32 // _LEVEL_HEX):
         p = F.substring(F.col("_h"), level * _LEVEL_HEX + 1, _LEVEL_HEX)
-        hist = scope.groupBy(p.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
-        b = _boundary(hist, remaining)
+        b = _boundary(scope.groupBy(p.alias("_p")).agg(F.count(F.lit(1)).alias("_n")), remaining, "_p")
         if k_total is None:
             k_total = b["k"]
         if b["k"] == 0:
             return 0, None, None
         remaining = b["k"] - b["before"]
-        scope = scope.where(p == F.lit(b["prefix"]))
-        if b["n"] <= _FINISH_ROWS:
-            w = Window.orderBy("_h", key)
-            row = (scope.withColumn("_rn", F.row_number().over(w))
-                   .where(F.col("_rn") == remaining).first())
-            return k_total, row["_h"], row[key]
-    raise ValueError(f"more than {_FINISH_ROWS} rows share one hash of {key}: key is not unique")
+        scope = scope.where(p == F.lit(b["row"]["_p"]))
+        if b["n"] <= _FINISH_ROWS or b["row"]["_p"] == "":
+            break
+    # one row per key: keys with many rows stay small here
+    keys = scope.groupBy("_h", key).agg(F.count(F.lit(1)).alias("_n"))
+    b = _boundary(keys, remaining, "_h", key)
+    if b["before"] + b["n"] != remaining:
+        raise ValueError(f"{b['n']} rows have {key} = {b['row'][key]!r} and the cut falls among them: "
+                         f"the key must be unique")
+    return k_total, b["row"]["_h"], b["row"][key]
 
 
 def split_threshold(df: DataFrame, key: str, test_size=0.2, seed: int = 42):
@@ -77,16 +81,17 @@ def split_threshold(df: DataFrame, key: str, test_size=0.2, seed: int = 42):
 
 
 def _in_test(key: str, seed: int, bound) -> Column:
+    """Never null: every row is in exactly one part."""
     _, h, kv = bound
     if h is None:
         return F.lit(False)
     hc = seeded_hash(key, seed)
-    return (hc < F.lit(h)) | ((hc == F.lit(h)) & (F.col(key) <= F.lit(kv)))
+    same = F.col(key).isNull() if kv is None else F.coalesce(F.col(key) <= F.lit(kv), F.lit(False))
+    return (hc < F.lit(h)) | ((hc == F.lit(h)) & same)
 
 
 def train_test_split(df: DataFrame, key: str, test_size=0.2, seed: int = 42):
-    """Seeded split -> (train, test); test has ceil(test_size * n) rows.
-    ``key`` must be unique."""
+    """Seeded split -> (train, test); test has ceil(test_size * n) rows."""
     bound = split_threshold(df, key, test_size, seed)
     t = _in_test(key, seed, bound)
     return df.where(~t), df.where(t)
@@ -101,7 +106,8 @@ def with_split(df: DataFrame, key: str, test_size=0.2, seed: int = 42, out: str
 def exact_rank(df: DataFrame, key: str, seed: int = 42, by=(), out: str = "_rank",
                group_rows: int = GROUP_ROWS) -> DataFrame:
     """1-based rank of each row by (seeded hash, key) within its ``by`` group,
-    computed without putting a whole group into one task."""
+    computed without putting a whole group into one task (rows of one key
+    share a bucket)."""
     by = [by] if isinstance(by, str) else list(by)
     keyed = df.withColumn("_h", seeded_hash(key, seed))
     if by:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions.predicates import succeeded
+from lodestone.session import global_index
 
 
 def unseen(df: DataFrame, seen: DataFrame, key: str, seen_key: str | None = None) -> DataFrame:
@@ -21,75 +22,31 @@ def rank_desc(df: DataFrame, order: str, key: str) -> DataFrame:
     return df.orderBy(F.col(order).desc(), F.col(key).asc())
 
 
-TOPK_MERGE_ROWS = 10_000  # above this k the cut is located, not merged in one task
-
-
-def top_k(df: DataFrame, k: int, order: str, key: str, method: str = "auto") -> DataFrame:
-    """The k largest by ``order`` (ties by ``key``, nulls last).
-
-    Small k (``merge``): a per-partition top-k and a merge of k rows per
-    partition in one task (``TakeOrderedAndProject``).  Large k
-    (``threshold``): the k-th row is located on a range partitioning of the
-    (order, key) pairs only, and the result is a filter on ``df``; no task
-    ever holds more than one range partition.  ``key`` must be unique.
-    The rows come back unordered in the threshold form (sort k rows with
-    ``rank_desc`` if the order is needed)."""
-    if method == "merge" or (method == "auto" and k <= TOPK_MERGE_ROWS):
-        return rank_desc(df, order, key).limit(k)
-    nonnull = df.where(F.col(order).isNotNull())
-    spec = [(order, True), (key, False)]
-    n, cut = _kth_row(nonnull, k, spec)
-    if cut is None:  # k >= rows with an order value: all of them, then null orders by key
-        rest = df.where(F.col(order).isNull())
-        if k - n <= 0:
-            return nonnull
-        n2, cut2 = _kth_row(rest, k - n, [(key, False)])
-        return nonnull.unionByName(rest if cut2 is None else rest.where(_at_or_before([(key, False)], cut2)))
-    return nonnull.where(_at_or_before(spec, cut))
-
-
-def _at_or_before(spec, vals) -> F.Column:
-    """Rows at or before the row ``vals`` in the ordering ``spec``."""
-    cond = F.lit(True)
-    for (name, desc), v in reversed(list(zip(spec, vals))):
-        c = F.col(name)
-        strict = (c > F.lit(v)) if desc else (c < F.lit(v))
-        cond = strict | ((c == F.lit(v)) & cond)
-    return cond
-
-
-def _kth_row(df: DataFrame, k: int, spec):
-    """(rows, values of the k-th row in ``spec`` order) or (rows, None) when
-    there are fewer than k rows."""
-    from lodestone.session import materialize
-    sort = [F.col(n).desc() if d else F.col(n).asc() for n, d in spec]
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = materialize(df.select(*[n for n, _ in spec]).repartitionByRange(parts, *sort)
-                        .sortWithinPartitions(*sort))
-    pid = F.spark_partition_id()
-    counts = sorted((r["p"], r["n"]) for r in
-                    pairs.groupBy(pid.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
-    total = sum(n for _, n in counts)
-    before = 0
-    for p, n in counts:
-        if before + n >= k:
-            w = Window.orderBy(*sort)
-            row = (pairs.where(pid == p).withColumn("_rn", F.row_number().over(w))
-                   .where(F.col("_rn") == k - before).first())
-            return total, [row[n] for n, _ in spec]
-        before += n
-    return total, None
-
-
-def first_n(df: DataFrame, n: int, key: str, method: str = "auto") -> DataFrame:
-    """First n rows in key order (head(n) with an explicit order); large n
-    uses the located-threshold form of ``top_k`` (unordered result)."""
-    if method == "merge" or (method == "auto" and n <= TOPK_MERGE_ROWS):
-        return df.orderBy(key).limit(n)
-    spec = [(key, False)]
-    nonnull = df.where(F.col(key).isNotNull())
-    _, cut = _kth_row(nonnull, n, spec)
-    return nonnull if cut is None else nonnull.where(_at_or_before(spec, cut))
+TOPK_MERGE_ROWS = 10_000  # up to here one task merges k rows per partition; a choice of plan only
+
+
+def top_k(df: DataFrame, k: int, order: str, key: str, merge_rows: int = TOPK_MERGE_ROWS) -> DataFrame:
+    """The k largest by ``order`` (nulls last, ties by ``key``): exactly
+    ``min(k, rows)`` rows, in that order, whatever k is.
+
+    A small k plans as a per-partition top-k and a merge
+    (``TakeOrderedAndProject``).  For a large k the rows are numbered in order
+    on a range partitioning (``session.global_index``) and cut by number, so no
+    task ever holds more than a partition."""
+    return _first_rows(df, k, [F.col(order).desc_nulls_last(), F.col(key).asc_nulls_first()], merge_rows)
+
+
+def first_n(df: DataFrame, n: int, key: str, merge_rows: int = TOPK_MERGE_ROWS) -> DataFrame:
+    """The first n rows in key order (nulls first): ``head(n)`` with an
+    explicit order, by the same two plans as ``top_k``."""
+    return _first_rows(df, n, [F.col(key).asc_nulls_first()], merge_rows)
+
+
+def _first_rows(df: DataFrame, k: int, sort: list, merge_rows: int) -> DataFrame:
+    if k <= merge_rows:
+        return df.orderBy(*sort).limit(k)
+    numbered = global_index(df, *sort)
+    return numbered.where(F.col("_index") < k).orderBy("_index").drop("_index")
 
 
 def crawl_select(catalog: DataFrame, seen: DataFrame, k: int, key: str = "_id",

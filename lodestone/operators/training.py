@@ -12,10 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestone.functions.columns import conform, drop_strict
+from lodestone.functions.columns import class_probability, conform, drop_strict
 from lodestone.operators.grid import fold_scores, grid_frame, param_grid
 from lodestone.operators.labels import category_codes
-from lodestone.operators.metrics import fold_score_summary
+from lodestone.operators.metrics import fold_score_summary, rounded_scores
+from lodestone.session import laid_out
 
 # The grid keys of the reference search map to these MLlib
 # random-forest parameters.
@@ -41,7 +42,7 @@ def rule_grid_search(folded: DataFrame, grid: dict, correct, fold: str = "fold",
     candidate, its parameters, mean and std of the fold scores, rank."""
     cands = param_grid(grid)
     scores = fold_scores(folded, fold, cands, correct)
-    summary = fold_score_summary(scores, "candidate", "score", digits)
+    summary = fold_score_summary(scores, "candidate", "score", digits)  # ranked before it is rounded
     g = grid_frame(folded.sparkSession, grid)
     return g.join(summary, "candidate").select(
         "candidate", *sorted(grid), "mean_test_score", "std_test_score", "rank_test_score")
@@ -57,9 +58,14 @@ def forest(features: str = "features", label: str = "label", num_trees: int = 50
 
 
 def fit_forest(df: DataFrame, feature_cols: list[str], label: str, num_trees: int = 50,
-               max_depth: int = 5, seed: int = 42, n_classes: int | None = None):
+               max_depth: int = 5, seed: int = 42, n_classes: int | None = None, key: str | None = None):
     """Assemble the feature columns and fit a forest -> PipelineModel.
-    ``n_classes`` (codes 0..n-1), when known, saves MLlib a pass to find it."""
+    ``n_classes`` (codes 0..n-1), when known, saves MLlib a pass to find it.
+    Bagging depends on the partition layout; with ``key`` the layout follows
+    from the data (``session.laid_out``), so the same rows and seed give the
+    same forest on any cluster."""
+    if key is not None:
+        df = laid_out(df, key)
     if n_classes is not None:
         df = with_class_count(df, label, n_classes)
     from pyspark.ml import Pipeline
@@ -78,11 +84,14 @@ def without_summary(model):
 
 
 def grid_search(df: DataFrame, feature_cols: list[str], label: str, grid: dict, fold: str = "fold",
-                parallelism: int = 4, metric: str = "accuracy", k: int = 3):
+                parallelism: int = 4, metric: str = "accuracy", k: int = 3, key: str | None = None):
     """k-fold grid search over forest parameters with the given fold column
     (values 0..k-1);
     the best candidate is refitted on all rows.  Returns the
-    ``CrossValidatorModel`` (``bestModel`` is a ``PipelineModel``)."""
+    ``CrossValidatorModel`` (``bestModel`` is a ``PipelineModel``).  ``key`` as
+    in ``fit_forest``."""
+    if key is not None:
+        df = laid_out(df, key)
     from pyspark.ml import Pipeline
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     from pyspark.ml.feature import VectorAssembler
@@ -104,14 +113,10 @@ def cv_results(cv_model, grid: dict, digits: int | None = 6) -> DataFrame:
     stds = list(cv_model.stdMetrics) if cv_model.stdMetrics else [0.0] * len(cv_model.avgMetrics)
     rows = [(i, float(m), float(s)) for i, (m, s) in enumerate(zip(cv_model.avgMetrics, stds))]
     sc = spark.createDataFrame(rows, "candidate int, mean_test_score double, std_pop double")
-    out = g.join(sc, "candidate")
-    if digits is not None:
-        out = (out.withColumn("mean_test_score", F.round("mean_test_score", digits))
-               .withColumn("std_pop", F.round("std_pop", digits)))
-    return out.select("candidate", *sorted(grid), "mean_test_score",
-                      F.col("std_pop").alias("std_test_score"),
-                      F.rank().over(Window.orderBy(F.col("mean_test_score").desc())).cast("int")
-                      .alias("rank_test_score"))
+    out = g.join(sc, "candidate").select(
+        "candidate", *sorted(grid), "mean_test_score", F.col("std_pop").alias("std_test_score"),
+        F.rank().over(Window.orderBy(F.col("mean_test_score").desc())).cast("int").alias("rank_test_score"))
+    return rounded_scores(out, digits)
 
 
 def best_model(cv_model):
@@ -132,10 +137,7 @@ def score(model, df: DataFrame) -> DataFrame:
 
 def score_proba(model, df: DataFrame, n_classes: int, prefix: str = "p") -> DataFrame:
     """Batch class probabilities as plain columns ``p0..p{n-1}``."""
-    from pyspark.ml.functions import vector_to_array
-    out = model.transform(df)
-    arr = vector_to_array(F.col("probability"))
-    return out.select("*", *[arr[i].alias(f"{prefix}{i}") for i in range(n_classes)])
+    return model.transform(df).select("*", *[class_probability(i).alias(f"{prefix}{i}") for i in range(n_classes)])
 
 
 def train_stage(df: DataFrame, columns, split=None) -> DataFrame:

@@ -13,39 +13,43 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestone.functions.columns import format_name
 from lodestone.operators import explain, metrics, registry, sampling, training
 from lodestone.operators.grid import DEFAULT_GRID
-from lodestone.session import materialize, spread
+from lodestone.session import materialize
 from lodestone.sources.collections import write_report, write_sample
 
 QUALITY_FEATURES = ["n_chars", "n_words", "n_lines", "letter_share", "distinct_word_share"]
 ORDER_FEATURES = ["price_noisy", "month", "year", "o_custkey"]
 
 
-def document_features(docs: DataFrame) -> DataFrame:
+def document_features(docs: DataFrame, *keep: str) -> DataFrame:
     """Per document, from its whole text: characters, words, lines, share of
-    letters, share of distinct words."""
+    letters, share of distinct words; ``keep`` names columns passed through."""
     words = F.split(F.trim(F.col("text")), r"\s+")
     n_words = F.when(F.length(F.trim(F.col("text"))) == 0, 0).otherwise(F.size(words))
-    return spread(docs.select("doc_id", "n_chars", "text")).select(
+    return docs.select(
         "doc_id", F.col("n_chars").cast("double").alias("n_chars"),
         n_words.cast("double").alias("n_words"),
         F.size(F.split(F.col("text"), "\n")).cast("double").alias("n_lines"),
         (F.length(F.regexp_replace("text", r"\P{L}+", "")) / F.greatest(F.length("text"), F.lit(1)))
         .alias("letter_share"),
-        (F.size(F.array_distinct(words)) / F.greatest(n_words, F.lit(1))).alias("distinct_word_share"))
+        (F.size(F.array_distinct(words)) / F.greatest(n_words, F.lit(1))).alias("distinct_word_share"), *keep)
 
 
 def quality_data(docs: DataFrame, lab: DataFrame) -> DataFrame:
-    """Labelled documents: features + ``quality`` (0/1)."""
-    return document_features(docs).join(lab.select("doc_id", F.col("quality").cast("int").alias("quality")), "doc_id")
+    """Labelled documents: features + ``quality`` (0/1).  The labels are joined
+    first, so only the texts of labelled documents are read into words."""
+    lab = lab.select("doc_id", F.col("quality").cast("int").alias("quality"))
+    labelled = docs.join(lab, "doc_id")
+    return document_features(labelled, "quality")
 
 
 def order_data(orders: DataFrame) -> DataFrame:
     """Orders with a price band label (0: < 100,000; 1: < 250,000; 2: else)
     and features: price with key-derived noise, month, year, customer."""
     p = F.col("o_totalprice")
-    return spread(orders.select("o_orderkey", "o_totalprice", "o_orderdate", "o_custkey")).select(
+    return orders.select(
         "o_orderkey",
         F.when(p < 100000, 0).when(p < 250000, 1).otherwise(2).alias("band"),
         (p + F.pmod(F.col("o_orderkey") * 7919, F.lit(40000)) - 20000).cast("double").alias("price_noisy"),
@@ -54,74 +58,80 @@ def order_data(orders: DataFrame) -> DataFrame:
 
 
 def prepare(data: DataFrame) -> DataFrame:
-    """Checkpoint the model input to the shared folder.  The features are
-    derived from whole texts and MLlib passes over its input many times
-    (split histograms, folds, every fit); the checkpoint holds only the
-    compact feature rows and cuts the lineage back to the texts."""
-    cp = materialize(data)
-    # a checkpointed frame knows its partition count without running a job;
-    # a small input (fewer partitions than cores) is spread and written
-    # again, which by construction only ever copies a small table
-    if cp.rdd.getNumPartitions() < data.sparkSession.sparkContext.defaultParallelism:
-        cp = materialize(spread(cp))
-    return cp
+    """The model input as one stored table.  The features are derived from
+    whole texts and MLlib passes over its input many times (split histograms,
+    folds, every fit); the table holds only the compact feature rows and cuts
+    the lineage back to the texts."""
+    return materialize(data)
+
+
+def labelled_rows(data: DataFrame, label: str) -> tuple[DataFrame, int, int]:
+    """(rows that can be learned from, number without a label, number of
+    classes).  A null label, or its category code -1, is no class: such rows are
+    left out of the fit and counted."""
+    has = F.coalesce(F.col(label) >= 0, F.lit(False))
+    r = data.agg(F.count_if(~has).alias("none"), F.max(label).alias("top")).first()
+    return data.where(has), r["none"] or 0, int(r["top"] if r["top"] is not None else -1) + 1
 
 
 def train_and_register(spark: SparkSession, data: DataFrame, features: list[str], label: str, key: str,
                        root: str, model_name: str, grid: dict = DEFAULT_GRID, k: int = 3, seed: int = 42,
                        test_size: float = 0.2, experiment: str = "ml", parallelism: int = 4,
-                       artifacts_dir: str | None = None) -> dict:
+                       artifacts_dir: str | None = None, dataset: str = "data") -> dict:
     """Split, search, evaluate on the held-out rows, register the refitted
-    best model and log the run.  Returns the result tables."""
-    data = prepare(data)
-    from lodestone.operators.labels import label_list
-    codes = label_list(data, label)
-    if codes:  # codes 0..n-1: the class count travels in the schema, not a job per fit
-        data = training.with_class_count(data, label, int(max(codes)) + 1)
+    best model and log the run.  Returns the result tables.  Every call is a
+    run of its own.  The test rows are scored once; report, matrix and accuracy
+    are all derived from that one table of counts."""
+    data, unlabelled, n_classes = labelled_rows(prepare(data), label)
+    if n_classes > 0:  # codes 0..n-1: the class count travels in the schema, not a job per fit
+        data = training.with_class_count(data, label, n_classes)
     split = sampling.with_split(data, key, test_size, seed)
     train = split.where(F.col("split") == "train")
     test = split.where(F.col("split") == "test")
     folded = sampling.stratified_folds(train, label, key, k, seed).persist(StorageLevel.MEMORY_AND_DISK)
-    cvm = training.grid_search(folded, features, label, grid, "fold", parallelism, k=k)
+    cvm = training.grid_search(folded, features, label, grid, "fold", parallelism, k=k, key=key)
     cv = training.cv_results(cvm, grid)
     best = training.best_model(cvm)
-    scored = best.transform(test).withColumn("prediction", F.col("prediction").cast("int"))
-    report = metrics.classification_report(scored, label, "prediction")
-    cm = metrics.confusion_matrix(scored, label, "prediction")
-    acc = metrics.accuracy(scored, label, "prediction")
-    run_id = f"{experiment}/{model_name}"
-    version = registry.register_model(spark, best, model_name, root, run_id)
-    _log_run(spark, root, run_id, experiment, cv, training.best_params(cvm, grid), acc, grid)
+    scored = training.score(best, test).withColumn("prediction", F.col("prediction").cast("int"))
+    counts = metrics.confusion_counts(scored, label, "prediction", materialize=True)
+    exact = metrics.report_from_counts(counts, digits=None)
+    right = F.sum(F.when(F.col("actual").eqNullSafe(F.col("predicted")), F.col("n")).otherwise(0))
+    acc = counts.agg((right / F.sum("n")).alias("accuracy"))
+    run_id = registry.new_run_id(experiment, model_name)
+    inputs = train.select(*features)
+    version = registry.register_model(spark, best, model_name, root, run_id, inputs, scored.select("prediction"))
+    artifacts = [("model", f"{model_name}/{version}")]
     if artifacts_dir:
         write_sample(train.drop("split"), f"{artifacts_dir}/dataset_samples", key)
-        write_report(metrics.report_json(report), f"{artifacts_dir}/evaluation")
+        write_report(metrics.report_json(exact), f"{artifacts_dir}/evaluation")
+        artifacts += [("dataset_samples", f"{artifacts_dir}/dataset_samples"), ("evaluation", f"{artifacts_dir}/evaluation")]
+    tags = [("model_type", "RandomForestClassifier"), ("dataset", dataset)]
+    _log_run(spark, root, run_id, experiment, cv, training.best_params(cvm, grid), acc, grid, tags, artifacts)
     folded.unpersist()
-    return {"cv": cv, "report": report, "confusion": cm, "accuracy": acc, "version": version,
-            "model": best, "split": split}
+    return {"cv": cv, "report": metrics.report_from_counts(counts), "confusion": metrics.dense_cells(counts),
+            "accuracy": acc, "version": version, "model": best, "split": split, "run_id": run_id,
+            "unlabelled": unlabelled, "n_classes": n_classes, "scored": scored}
 
 
-def _log_run(spark, root, run_id, experiment, cv, best, acc, grid) -> None:
+def _log_run(spark, root, run_id, experiment, cv, best, acc, grid, tags, artifacts) -> None:
     keys = sorted(grid)
     runs = spark.createDataFrame([(run_id, None, experiment, "train")], registry.SCHEMAS["runs"])
-    kids = cv.select(F.concat(F.lit(run_id + "/"), F.col("candidate").cast("string")).alias("run_id"),
-                     F.lit(run_id).alias("parent_run_id"), F.lit(experiment).alias("experiment"),
-                     F.format_string("Child_Run_CV_%d", "candidate").alias("run_name"))
+    kid = F.concat(F.lit(run_id + "/"), F.col("candidate").cast("string")).alias("run_id")
+    kids = cv.select(kid, F.lit(run_id).alias("parent_run_id"), F.lit(experiment).alias("experiment"),
+                     format_name(registry.CHILD_RUN_NAME, F.col("candidate")).alias("run_name"))
     registry.log_rows(runs.unionByName(kids), root, "runs")
     params = [(run_id, k, str(v)) for k, v in best.items()]
-    registry.log_rows(spark.createDataFrame(params, registry.SCHEMAS["params"]), root, "params")
     child_params = registry.melt_params(cv.select(
-        F.concat(F.lit(run_id + "/"), F.col("candidate").cast("string")).alias("run_id"),
-        F.create_map(*[x for kk in keys for x in (F.lit(kk), F.col(kk).cast("string"))]).alias("params")))
-    registry.log_rows(child_params, root, "params")
+        kid, F.create_map(*[x for kk in keys for x in (F.lit(kk), F.col(kk).cast("string"))]).alias("params")))
+    registry.log_rows(spark.createDataFrame(params, registry.SCHEMAS["params"]).unionByName(child_params), root, "params")
     m = acc.select(F.lit(run_id).alias("run_id"), F.lit("accuracy").alias("key"),
                    F.col("accuracy").alias("value"), F.lit(0).cast("long").alias("step"))
-    cm = cv.select(F.concat(F.lit(run_id + "/"), F.col("candidate").cast("string")).alias("run_id"),
-                   F.explode(F.create_map(F.lit("mean_test_score"), F.col("mean_test_score"),
-                                          F.lit("std_test_score"), F.col("std_test_score"))).alias("key", "value"),
+    cm = cv.select(kid, F.explode(F.create_map(F.lit("mean_test_score"), F.col("mean_test_score"),
+                                               F.lit("std_test_score"), F.col("std_test_score"))).alias("key", "value"),
                    F.lit(0).cast("long").alias("step"))
     registry.log_rows(m.unionByName(cm), root, "metrics")
-    tags = spark.createDataFrame([(run_id, "model_type", "RandomForestClassifier", 0)], registry.SCHEMAS["tags"])
-    registry.log_rows(tags, root, "tags")
+    registry.log_rows(spark.createDataFrame([(run_id, k, v, 0) for k, v in tags], registry.SCHEMAS["tags"]), root, "tags")
+    registry.log_rows(spark.createDataFrame([(run_id, d, p) for d, p in artifacts], registry.SCHEMAS["artifacts"]), root, "artifacts")
 
 
 def explain_latest(spark: SparkSession, data: DataFrame, features: list[str], root: str, model_name: str,
@@ -140,7 +150,8 @@ def run_ml_pipeline(spark: SparkSession, csv_path: str, stages, registry_root: s
                     points: int = explain.DEFAULT_POINTS, artifacts_dir: str | None = None) -> dict:
     """The whole model pipeline as one call over named collections:
 
-    extract (CSV -> collection, rows get ``_id``) -> preprocessing (strict
+    extract (CSV -> collection, rows get an ``_id`` derived from ``id_col``, so
+    split and folds repeat for the same input and seed) -> preprocessing (strict
     drop of ``id_col``, label -> code) -> train (conform to the features and
     the label, seeded split keyed on ``_id``, k-fold grid search, held-out
     metrics, register the refitted best model, write the train stage with
@@ -148,9 +159,8 @@ def run_ml_pipeline(spark: SparkSession, csv_path: str, stages, registry_root: s
     registered version for every feature and class)."""
     from lodestone.plans import etl
     from lodestone.sources.collections import read_collection, write_collection
-    from lodestone.operators.labels import label_list
 
-    etl.extract(spark, csv_path, stages)
+    etl.extract(spark, csv_path, stages, key=id_col)
     ext = read_collection(spark, stages.db, stages.extract, stages.root, stages.fmt)
     write_collection(training.preprocess(ext, drop=(id_col,), label=label),
                      stages.db, stages.transform, stages.root, stages.fmt)
@@ -160,11 +170,13 @@ def run_ml_pipeline(spark: SparkSession, csv_path: str, stages, registry_root: s
         features = [f.name for f in pre.schema.fields
                     if f.name not in (label, "_id") and f.dataType.simpleString() in numeric]
     cols = [(f, "double") for f in features] + [(label, "int"), ("_id", "string")]
-    data = prepare(training.train_stage(pre, cols))
+    data = training.train_stage(pre, cols)
     res = train_and_register(spark, data, features, label, "_id", registry_root, model_name, grid, k, seed,
-                             test_size, experiment=stages.db, artifacts_dir=artifacts_dir)
+                             test_size, experiment=stages.db, artifacts_dir=artifacts_dir,
+                             dataset=f"{stages.db}.{stages.transform}")
     write_collection(res["split"], stages.db, stages.load, stages.root, stages.fmt)
-    n_classes = len(label_list(data, label))
-    res["curves"] = explain_latest(spark, data, features, registry_root, model_name, n_classes, points)
+    train = read_collection(spark, stages.db, stages.load, stages.root, stages.fmt)
+    res["curves"] = materialize(explain_latest(spark, train, features, registry_root, model_name, res["n_classes"], points))
+    res["explain_run_id"] = registry.log_explanation(spark, res["curves"], registry_root, stages.db, model_name)
     res["features"] = features
     return res

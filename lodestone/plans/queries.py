@@ -8,16 +8,16 @@ between the two; counts are BIGINT on both sides.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions import columns, predicates
 from lodestone.operators import explain, grid, labels, metrics, registry, sampling, selection, training
 from lodestone.plans import crawl, etl, ml
-from lodestone.session import read_table, scratch_path, spread
+from lodestone.session import read_table, scratch_path, small_table, spread
 from lodestone.sources import collections
-from lodestone.sources.files import csv_scan, labelled_source
-from lodestone.sources.tables import catalog_from_documents
+from lodestone.sources.files import csv_scan, labelled_source, notebook_scan
+from lodestone.sources.tables import catalog_from_documents, literal_source
 from lodestone.streaming import incremental
 
 QUERIES: dict = {}
@@ -97,10 +97,12 @@ def q_conform(spark, sf_dir):
 
 @query("value_pipeline_orders", """
 select o_orderkey, o_totalprice * 2 as value from orders
+union all select 0, 84.0
 """)
 def q_value_pipeline(spark, sf_dir):
+    """Value records of ``orders`` and one literal record through the chain."""
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").alias("value"))
-    return etl.value_pipeline(o, "value", 2)
+    return etl.value_pipeline(o.unionByName(literal_source(spark, [(0, 42.0)], o.schema)), "value", 2)
 
 
 @query("format_metric_orders", """
@@ -234,11 +236,11 @@ with p as ({scored_sql}),
      t as (select sum(tp) as tp, sum(support) as n, avg(precision) as mp, avg(recall) as mr, avg(f1_score) as mf,
                   sum(precision * support) / sum(support) as wp, sum(recall * support) / sum(support) as wr,
                   sum(f1_score * support) / sum(support) as wf from f)
-select class, round(precision, 6) as precision, round(recall, 6) as recall, round(f1_score, 6) as f1_score,
-       cast(support as bigint) as support from f
-union all select 'accuracy', null, null, round(tp::double / n, 6), cast(n as bigint) from t
-union all select 'macro avg', round(mp, 6), round(mr, 6), round(mf, 6), cast(n as bigint) from t
-union all select 'weighted avg', round(wp, 6), round(wr, 6), round(wf, 6), cast(n as bigint) from t
+select 'class' as kind, class, round(precision, 6) as precision, round(recall, 6) as recall,
+       round(f1_score, 6) as f1_score, cast(support as bigint) as support from f
+union all select 'summary', 'accuracy', null, null, round(tp::double / n, 6), cast(n as bigint) from t
+union all select 'summary', 'macro avg', round(mp, 6), round(mr, 6), round(mf, 6), cast(n as bigint) from t
+union all select 'summary', 'weighted avg', round(wp, 6), round(wr, 6), round(wf, 6), cast(n as bigint) from t
 """
 
 
@@ -338,7 +340,7 @@ with f as ({_FOLDS_SQL}),
                   avg(cast((f.value < g.n_estimators * g.max_depth / 10.0) = (f.event_type = 'purchase')
                       as double)) as score
            from f, g group by g.candidate, f.fold),
-     m as (select candidate, round(avg(score), 6) as mean_test_score,
+     m as (select candidate, avg(score) as raw, round(avg(score), 6) as mean_test_score,
                   round(stddev_pop(score), 6) as std_test_score from s group by candidate)
 """
 
@@ -346,7 +348,7 @@ with f as ({_FOLDS_SQL}),
 @query("cv_scores_events", _CV_SQL + """
 select m.candidate, g.max_depth, g.n_estimators, 42 as random_state,
        m.mean_test_score, m.std_test_score,
-       cast(rank() over (order by m.mean_test_score desc) as integer) as rank_test_score
+       cast(rank() over (order by m.raw desc) as integer) as rank_test_score
 from m join g on m.candidate = g.candidate
 """)
 def q_cv_scores(spark, sf_dir):
@@ -354,7 +356,7 @@ def q_cv_scores(spark, sf_dir):
 
 
 @query("best_candidate_events", _CV_SQL + """
-select candidate, mean_test_score from m order by mean_test_score desc, candidate limit 1
+select candidate, mean_test_score from m order by raw desc, candidate limit 1
 """)
 def q_best_candidate(spark, sf_dir):
     res = training.rule_grid_search(_events_folds(spark, sf_dir), grid.DEFAULT_GRID, _cv_rule)
@@ -407,18 +409,24 @@ def q_crawl_select(spark, sf_dir):
 
 
 @query("catalog_status_documents", """
-with c as (select d.doc_id, exists(select 1 from labels l where l.doc_id = d.doc_id) as is_downloaded
+with c as (select d.doc_id, exists(select 1 from labels l where l.doc_id = d.doc_id) as is_downloaded,
+                  case when d.lang = 'de' then null else d.n_chars > 500 end as has_pandas,
+                  d.lang = 'fr' as is_run
            from documents d)
-select is_downloaded, count(*) as n, count(*) as n_pandas_unknown, count(*) filter (where not is_downloaded) as n_to_fetch
-from c group by is_downloaded
+select count(*) filter (where not is_downloaded) as n_to_fetch,
+       count(*) filter (where has_pandas is null) as n_pandas_unknown,
+       count(*) filter (where is_downloaded and has_pandas and not is_run) as n_pending_run from c
 """)
 def q_catalog_status(spark, sf_dir):
-    cat = catalog_from_documents(read_table(spark, sf_dir, "documents"),
-                                 seen=read_table(spark, sf_dir, "labels"))
-    return cat.groupBy("is_downloaded").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("has_pandas").isNull()).alias("n_pandas_unknown"),
-        F.count_if(~F.col("is_downloaded")).alias("n_to_fetch"))
+    docs = read_table(spark, sf_dir, "documents")
+    known = docs.select(F.concat_ws("/", "source", F.concat(F.lit("doc"), F.col("doc_id").cast("string"))).alias("_id"),
+                        F.when(F.col("lang") != "de", F.col("n_chars") > 500).alias("p"), (F.col("lang") == "fr").alias("r"))
+    cat = (catalog_from_documents(docs, seen=read_table(spark, sf_dir, "labels")).join(known, "_id")
+           .withColumn("has_pandas", F.col("p")).withColumn("is_run", F.col("r")))
+    one = F.count(F.lit(1))
+    return (predicates.not_downloaded(cat).agg(one.alias("n_to_fetch"))
+            .join(predicates.pandas_unknown(cat).agg(one.alias("n_pandas_unknown")), how="cross")
+            .join(predicates.pending_run(cat).agg(one.alias("n_pending_run")), how="cross"))
 
 
 @query("search_hits_pages", """
@@ -490,10 +498,12 @@ def q_crawl_stream(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     log = scratch_path(spark, "crawl-log")
     incremental.write_log_part(crawl.load_seen(spark, _seen_log_file(spark, sf_dir)), log, "initial")
-    stream = (spark.readStream.schema(docs.schema).option("pathGlobFilter", "documents.parquet")
-              .parquet(sf_dir))
-    q = incremental.start_incremental_stream(_crawl_catalog(stream), log, scratch_path(spark, "stream-ckpt"), 25)
-    q.awaitTermination()
+    # the catalog arrives in several files, two files per micro-batch
+    src = scratch_path(spark, "arrivals")
+    docs.repartition(5, "doc_id").write.parquet(src)
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 2).parquet(src)
+    incremental.run_incremental_stream(_crawl_catalog(stream), scratch_path(spark, "candidates"), log,
+                                       scratch_path(spark, "stream-ckpt"), 25)
     return incremental.read_key_log(spark, log)
 
 
@@ -520,7 +530,7 @@ def q_cells_contain(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 _PDP_FEATURES = ["l_quantity", "l_discount", "l_tax"]
-_PDP_POINTS = 10
+_PDP_POINTS = explain.DEFAULT_POINTS
 
 
 def _pdp_sql(centre: bool = False, clip: tuple | None = None) -> str:
@@ -571,15 +581,13 @@ def q_pdp_clip(spark, sf_dir):
     return _pdp(spark, sf_dir, centre=True, clip=explain.PLOT_LIMITS)
 
 
-@query("feature_ranges_lineitem", """
-select min(l_quantity) + 0.0 as mn_l_quantity, max(l_quantity) + 0.0 as mx_l_quantity,
-       min(l_discount) + 0.0 as mn_l_discount, max(l_discount) + 0.0 as mx_l_discount from lineitem
-""")
+@query("feature_ranges_lineitem", " union all ".join(
+    f"select '{f}' as feature, min({f}) + 0.0 as mn, max({f}) + 0.0 as mx from lineitem" for f in _PDP_FEATURES))
 def q_feature_ranges(spark, sf_dir):
-    li = read_table(spark, sf_dir, "lineitem")
+    ranges = explain.feature_ranges(read_table(spark, sf_dir, "lineitem"), _PDP_FEATURES)
     # "+ 0.0" folds a signed zero (-0.0) into 0.0
-    return li.agg(*[(F.min(f) + 0.0).alias(f"mn_{f}") for f in _PDP_FEATURES[:2]],
-                  *[(F.max(f) + 0.0).alias(f"mx_{f}") for f in _PDP_FEATURES[:2]])
+    return spark.createDataFrame([(f, lo + 0.0, hi + 0.0) for f, (lo, hi) in ranges.items()],
+                                 "feature string, mn double, mx double")
 
 
 # ---------------------------------------------------------------------------
@@ -588,43 +596,53 @@ def q_feature_ranges(spark, sf_dir):
 # candidate; the tables are built from that result.
 # ---------------------------------------------------------------------------
 
-def _target_rule(c: dict):
-    t = c["n_estimators"] * c["max_depth"] / 10.0
-    return (F.col("value") < F.lit(t)) == (F.col("event_type") == F.lit(c["target"]))
-
-
 def _cv_by_target(spark, sf_dir) -> DataFrame:
-    folded = _events_folds(spark, sf_dir)
-    targets = labels.label_list(read_table(spark, sf_dir, "events"), "event_type")
-    base = grid.param_grid(grid.DEFAULT_GRID)
-    cands = [dict(p, target=t, cand=i) for t in targets for i, p in enumerate(base)]
-    scores = grid.fold_scores(folded, "fold", cands, _target_rule)
-    summary = metrics.fold_score_summary(scores, "candidate", "score").drop("rank_test_score")
-    keys = sorted(grid.DEFAULT_GRID)
-    table = spark.createDataFrame([(j, c["target"], c["cand"], *[c[k] for k in keys]) for j, c in enumerate(cands)],
-                                  ["_j", "target", "cand", *keys])
-    return (table.join(summary.withColumnRenamed("candidate", "_j"), "_j")
-            .select("target", F.col("cand").alias("candidate"), *keys, "mean_test_score", "std_test_score"))
+    """Fold scores of every (target, candidate): the data are counted once per
+    (fold, event type); what a target scores follows from those counts, so the
+    plan does not grow with the number of event types."""
+    cands = grid.param_grid(grid.DEFAULT_GRID)
+    below = [F.count_if(F.col("value") < F.lit(c["n_estimators"] * c["max_depth"] / 10.0)).alias(f"b{i}") for i, c in enumerate(cands)]
+    per = small_table(_events_folds(spark, sf_dir).groupBy("fold", "event_type").agg(F.count(F.lit(1)).alias("n"), *below))
+    pairs = ", ".join(f"{i}, b{i}" for i in range(len(cands)))
+    long = per.select("fold", "event_type", "n", F.expr(f"stack({len(cands)}, {pairs}) as (candidate, b)"))
+    targets = per.select(F.col("event_type").alias("target")).distinct()
+    right = F.when(F.col("event_type") == F.col("target"), F.col("b")).otherwise(F.col("n") - F.col("b"))
+    scores = (long.join(F.broadcast(targets), how="cross").groupBy("target", "candidate", "fold")
+              .agg((F.sum(right) / F.sum("n")).alias("score")))
+    cv = scores.groupBy("target", "candidate").agg(
+        F.round(F.avg("score"), 6).alias("mean_test_score"), F.round(F.stddev_pop("score"), 6).alias("std_test_score"))
+    return (grid.grid_frame(spark, grid.DEFAULT_GRID).join(cv, "candidate")
+            .select("target", "candidate", *sorted(grid.DEFAULT_GRID), "mean_test_score", "std_test_score"))
 
 
 def _run_tables(spark, sf_dir) -> dict:
-    cv = _cv_by_target(spark, sf_dir)
+    """The tracking tables of the search, written below a registry root and
+    read back: runs, params, metrics, and per run tags (logged out of order,
+    one key overwritten), artifacts (one path logged twice) and model versions
+    (registered in order of their score)."""
+    cv = small_table(_cv_by_target(spark, sf_dir))
     t = registry.cv_run_tables(cv, "target", sorted(grid.DEFAULT_GRID))
-    children = t["runs"].where(F.col("parent_run_id").isNotNull())
+    run = F.concat("target", F.lit("/"), F.col("candidate").cast("string")).alias("run_id")
     def tag(k, v, seq):
-        return F.struct(F.lit(k).alias("key"), F.lit(v).alias("value"), F.lit(seq).cast("long").alias("seq"))
-    t["tags"] = children.select("run_id", F.explode(F.array(
-        tag("stage", "fitted", 0), tag("stage", "scored", 1), tag("dataset", "events", 0))).alias("t")) \
+        return F.struct(F.lit(k).alias("key"), v.cast("string").alias("value"), F.lit(seq).cast("long").alias("seq"))
+    def micro(c):
+        return F.round(F.col(c) * 1000000).cast("long")
+    t["tags"] = cv.select(run, F.explode(F.array(
+        tag("score", micro("mean_test_score"), 7), tag("score", F.lit(0), 3), tag("spread", micro("std_test_score"), 1))).alias("t")) \
         .select("run_id", "t.*")
-    t["artifacts"] = children.select("run_id", F.lit("evaluation").alias("dir"), F.explode(F.array(
-        F.lit("confusion_matrix.png"), F.lit("classification_report.json"))).alias("path")).unionByName(
-        t["runs"].where(F.col("parent_run_id").isNull()).select(
-            "run_id", F.lit("dataset_samples").alias("dir"), F.lit("train_sample.csv").alias("path")))
+    depth = F.concat(F.lit("depth_"), F.col("max_depth").cast("string"), F.lit(".json"))
+    trees = F.concat(F.lit("trees_"), F.col("n_estimators").cast("string"), F.lit(".json"))
+    t["artifacts"] = cv.select(run, F.lit("evaluation").alias("dir"), F.explode(F.array(trees, depth, depth)).alias("path")).unionByName(
+        cv.select(F.concat("target", F.lit("/parent")).alias("run_id"), F.lit("candidates").alias("dir"),
+                  F.concat(F.col("candidate").cast("string"), F.lit(".csv")).alias("path")))
+    order = Window.partitionBy("target").orderBy("mean_test_score", "candidate")  # as many rows as candidates
     t["models"] = cv.select(F.concat(F.lit("rf_"), F.col("target")).alias("name"),
-                            (F.col("candidate") + 1).cast("int").alias("version"),
-                            F.concat(F.col("target"), F.lit("/"), F.col("candidate").cast("string")).alias("run_id"))
+                            F.row_number().over(order).alias("version"), run)
     t["models"] = t["models"].withColumn("uri", registry.model_uri(F.col("name"), F.col("version")))
-    return t
+    root = scratch_path(spark, "registry")
+    for name, rows in t.items():
+        registry.log_rows(rows, root, name)
+    return {name: registry.read(spark, root, name) for name in t}
 
 
 _CV_TARGET_SQL = f"""
@@ -640,8 +658,7 @@ with f as ({_FOLDS_SQL}),
                   round(stddev_pop(score), 6) as std_test_score
            from s join g on s.candidate = g.candidate group by s.target, s.candidate, g.max_depth, g.n_estimators),
      runs as (select target || '/' || cast(candidate as varchar) as run_id, target || '/parent' as parent_run_id,
-                     target as experiment, 'Child_Run_CV_' || cast(candidate as varchar) as run_name, * from m)
-"""
+                     target as experiment, 'Child_Run_CV_' || cast(candidate as varchar) as run_name, * from m)"""
 
 
 @query("leaderboard_events", _CV_TARGET_SQL + """
@@ -674,28 +691,33 @@ def q_experiment_runs(spark, sf_dir):
     return registry.experiment_runs(_run_tables(spark, sf_dir)["runs"], "purchase")
 
 
-@query("current_tags_events", _CV_TARGET_SQL + """
-select run_id, 'stage' as key, 'scored' as value from runs
-union all select run_id, 'dataset', 'events' from runs
+_MICRO = "cast(cast(round({} * 1000000) as bigint) as varchar)"
+
+
+@query("current_tags_events", _CV_TARGET_SQL + f"""
+select run_id, 'score' as key, {_MICRO.format('mean_test_score')} as value from runs
+union all select run_id, 'spread', {_MICRO.format('std_test_score')} from runs
 """)
 def q_current_tags(spark, sf_dir):
     return registry.current_tags(_run_tables(spark, sf_dir)["tags"])
 
 
 @query("artifact_index_events", _CV_TARGET_SQL + """
-select run_id, 'evaluation' as dir, ['classification_report.json', 'confusion_matrix.png'] as paths,
+select run_id, 'evaluation' as dir,
+       ['depth_' || cast(max_depth as varchar) || '.json', 'trees_' || cast(n_estimators as varchar) || '.json'] as paths,
        cast(2 as bigint) as n from runs
-union all select distinct parent_run_id, 'dataset_samples', ['train_sample.csv'], cast(1 as bigint) from runs
+union all select parent_run_id, 'candidates', list(cast(candidate as varchar) || '.csv' order by candidate), count(*)
+from runs group by parent_run_id
 """)
 def q_artifact_index(spark, sf_dir):
     return registry.artifact_index(_run_tables(spark, sf_dir)["artifacts"])
 
 
-@query("latest_model_versions_events", _CV_TARGET_SQL + """
-select 'rf_' || experiment as name, cast(max(candidate) + 1 as integer) as version,
-       'models:/rf_' || experiment || '/' || cast(max(candidate) + 1 as varchar) as uri,
-       experiment || '/' || cast(max(candidate) as varchar) as run_id
-from runs group by experiment
+@query("latest_model_versions_events", _CV_TARGET_SQL + """,
+     v as (select *, row_number() over (partition by experiment order by mean_test_score, candidate) as version from runs)
+select 'rf_' || experiment as name, cast(version as integer) as version,
+       'models:/rf_' || experiment || '/' || cast(version as varchar) as uri, run_id
+from v where version = (select count(*) from runs r where r.experiment = v.experiment)
 """)
 def q_latest_versions(spark, sf_dir):
     return registry.latest_versions(_run_tables(spark, sf_dir)["models"])
@@ -729,9 +751,9 @@ def q_ml_report(spark, sf_dir):
 def q_ml_pdp(spark, sf_dir):
     data = ml.prepare(_quality(spark, sf_dir))
     root = scratch_path(spark, "registry")
-    model = training.fit_forest(data, ml.QUALITY_FEATURES, "quality", 50, 5, 42, n_classes=2)
+    model = training.fit_forest(data, ml.QUALITY_FEATURES, "quality", 50, 5, 42, n_classes=2, key="doc_id")
     registry.register_model(spark, model, "quality_rf", root)
-    return ml.explain_latest(spark, data, ml.QUALITY_FEATURES, root, "quality_rf", 2, points=10)
+    return ml.explain_latest(spark, data, ml.QUALITY_FEATURES, root, "quality_rf", 2)
 
 
 # ---------------------------------------------------------------------------
@@ -754,8 +776,8 @@ def q_stage_counts(spark, sf_dir):
 select count(*) as n_rows, 11 as n_cols from lineitem
 """)
 def q_shape(spark, sf_dir):
-    li = read_table(spark, sf_dir, "lineitem")
-    return li.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(len(li.columns)).alias("n_cols"))
+    rows, cols = collections.shape(read_table(spark, sf_dir, "lineitem"))
+    return spark.createDataFrame([(rows, cols)], "n_rows long, n_cols int")
 
 
 @query("expl_train_stage_customer", """
@@ -783,14 +805,16 @@ def q_train_stage(spark, sf_dir):
     return collections.read_collection(spark, "ml", "train", root)
 
 
-@query("labelled_source_embeddings", """
-select vec_id, embedding[1] as f0, embedding[2] as f1, embedding[3] as f2, embedding[4] as f3,
-       cast(label as integer) as target from embeddings
-""")
+_VECTOR = 64  # elements of an embedding
+
+
+@query("labelled_source_embeddings", "select vec_id, " + ", ".join(
+    f"embedding[{i + 1}] as f{i}" for i in range(_VECTOR)) + ", cast(label as integer) as target from embeddings")
 def q_labelled_source(spark, sf_dir):
     e = read_table(spark, sf_dir, "embeddings")
-    wide = e.select("vec_id", *[F.col("embedding")[i].alias(f"f{i}") for i in range(4)], "label")
-    return labelled_source(wide, ["vec_id", "f0", "f1", "f2", "f3"], "label", "target")
+    names = [f"f{i}" for i in range(_VECTOR)]
+    wide = e.select("vec_id", *[F.col("embedding")[i].alias(n) for i, n in enumerate(names)], "label")
+    return labelled_source(wide, ["vec_id", *names], "label", "target")
 
 
 def _numpy_softmax(model, X):
@@ -816,7 +840,7 @@ def q_ml_forest_orders(spark, sf_dir):
     orders, evaluated on the held-out 20 %: the classification report."""
     data = ml.prepare(ml.order_data(read_table(spark, sf_dir, "orders")))
     split = sampling.with_split(data, "o_orderkey", 0.2, 42)
-    model = training.fit_forest(split.where("split = 'train'"), ml.ORDER_FEATURES, "band", 50, 5, 42, n_classes=3)
+    model = training.fit_forest(split.where("split = 'train'"), ml.ORDER_FEATURES, "band", 50, 5, 42, n_classes=3, key="o_orderkey")
     scored = model.transform(split.where("split = 'test'")).withColumn("prediction", F.col("prediction").cast("int"))
     return metrics.classification_report(scored, "band", "prediction")
 
@@ -885,13 +909,85 @@ def q_split_xy(spark, sf_dir):
     return x
 
 
-@query("report_json_returnflag")
+@query("report_json_returnflag", _report_sql(_RETURNFLAG_SQL))
 def q_report_json(spark, sf_dir):
     """The report sink (A15): the classification report as one JSON document
-    (class -> metrics, ``accuracy`` a number) written with the JSON sink and
-    read back as text.  Rows-only: the document's number formatting is
-    Spark's own."""
+    (class -> metrics, ``accuracy`` a number) written as text, read back and
+    taken apart into the report's rows."""
     path = scratch_path(spark, "evaluation")
-    rep = metrics.classification_report(_returnflag_scored(spark, sf_dir), "actual", "predicted")
+    rep = metrics.classification_report(_returnflag_scored(spark, sf_dir), "actual", "predicted", digits=None)
     collections.write_report(metrics.report_json(rep), path)
-    return spark.read.json(path).select("report")
+    doc = spark.read.text(path).select(F.explode(F.from_json("value", "map<string, string>")).alias("class", "body"))
+    m = F.from_json("body", "`precision` double, `recall` double, `f1-score` double, `support` bigint")
+    rows = doc.select("class", F.when(F.col("class") != "accuracy", m).alias("m"),
+                      F.when(F.col("class") == "accuracy", F.col("body").cast("double")).alias("a"))
+    n = rows.agg(F.max("m.support").alias("n"))  # the accuracy entry has no support of its own
+    kind = F.when(F.col("class").isin(*metrics.SUMMARY_ROWS), "summary").otherwise("class")
+    r6 = lambda c: F.round(c, 6)
+    return rows.join(F.broadcast(n), how="cross").select(
+        kind.alias("kind"), "class", r6(F.col("m.precision")).alias("precision"), r6(F.col("m.recall")).alias("recall"),
+        r6(F.coalesce(F.col("m.f1-score"), F.col("a"))).alias("f1_score"), F.coalesce("m.support", "n").alias("support"))
+
+
+_QUALITY_SPLIT_SQL = """
+with d as (select d.doc_id, l.quality from documents d join labels l on d.doc_id = l.doc_id),
+     s as (select *, row_number() over (order by md5('42:' || cast(doc_id as varchar)), doc_id)
+                     <= ceil(0.2 * count(*) over ()) as test from d)
+"""
+
+
+@query("ml_invariants_quality", _QUALITY_SPLIT_SQL + """
+select count(*) filter (where test) as n_test, count(*) filter (where test and quality = 0) as support_0,
+       count(*) filter (where test and quality = 1) as support_1, cast(4 as bigint) as n_candidates,
+       cast(1 as integer) as version, true as beats_majority, true as probabilities_sum_to_one, true as reload_equal,
+       true as best_is_rank_one, ['distinct_word_share', 'letter_share', 'n_chars', 'n_lines', 'n_words'] as inputs,
+       cast(1 as bigint) as n_outputs from s
+""")
+def q_ml_invariants(spark, sf_dir):
+    """What must hold for the whole model pipeline whatever trees it grows
+    (B9, B10, D7, H2-H7, I7-I9): sizes and supports of the test part, a table
+    of all candidates, a model better than the majority, probabilities that sum
+    to one, a registered model that predicts the same after loading, a stored
+    signature."""
+    root = scratch_path(spark, "registry")
+    data = ml.prepare(_quality(spark, sf_dir))
+    res = ml.train_and_register(spark, data, ml.QUALITY_FEATURES, "quality", "doc_id", root, "quality_rf")
+    rep = {(r["kind"], r["class"]): r for r in res["report"].collect()}
+    top = data.groupBy("quality").count().agg((F.max("count") / F.sum("count")).alias("m")).first()["m"]
+    p = training.score_proba(res["model"], data, res["n_classes"])
+    off = p.where(F.abs(sum(F.col(f"p{i}") for i in range(res["n_classes"])) - 1) > 1e-9).count()
+    again = training.score(registry.load_latest(spark, root, "quality_rf"), data).select("doc_id", "prediction")
+    differ = training.score(res["model"], data).select("doc_id", "prediction").exceptAll(again).count()
+    sig = registry.read(spark, root, "signatures")
+    best = registry.read(spark, root, "params").where(F.col("run_id") == res["run_id"]).select("key", "value")
+    first = res["cv"].where("rank_test_score = 1").orderBy("candidate").first()
+    row = (rep["summary", "accuracy"]["support"], rep["class", "0"]["support"], rep["class", "1"]["support"],
+           res["cv"].count(), registry.latest_versions(registry.read(spark, root, "models")).first()["version"],
+           rep["summary", "accuracy"]["f1_score"] > top, off == 0, differ == 0,
+           all(str(first[r["key"]]) == r["value"] for r in best.collect()),
+           sorted(r["name"] for r in sig.where("side = 'inputs'").collect()), sig.where("side = 'outputs'").count())
+    return spark.createDataFrame([row], "n_test long, support_0 long, support_1 long, n_candidates long, version int, "
+                                        "beats_majority boolean, probabilities_sum_to_one boolean, reload_equal boolean, "
+                                        "best_is_rank_one boolean, inputs array<string>, n_outputs long")
+
+
+@query("notebooks_conversations", """
+select conv_id, conv_id % 7 <> 3 and coalesce(bool_or(role = 'user' and (contains(text, 'import pandas')
+       or contains(text, 'pd.') or contains(text, 'tion'))), false) as contains
+from conversations group by conv_id
+""")
+def q_notebooks(spark, sf_dir):
+    """Conversations written as notebook files, one file each, and scanned
+    (A8, C1, C2): every fifth in the older layout, every seventh not JSON at
+    all, which counts as "does not contain"."""
+    c = read_table(spark, sf_dir, "conversations")
+    code = F.col("role").alias("cell_type")
+    now = F.to_json(F.struct(F.collect_list(F.struct(code, F.col("text").alias("source"))).alias("cells")))
+    old = F.to_json(F.struct(F.array(F.struct(F.collect_list(F.struct(code, F.col("text").alias("input"))).alias("cells"))).alias("worksheets")))
+    body = F.when(F.col("conv_id") % 7 == 3, "{not json").when(F.col("conv_id") % 5 == 1, F.col("old")).otherwise(F.col("now"))
+    path = scratch_path(spark, "notebooks")
+    (c.groupBy("conv_id").agg(now.alias("now"), old.alias("old")).select("conv_id", body.alias("value"))
+     .write.partitionBy("conv_id").text(path))
+    books = notebook_scan(spark, f"{path}/*")
+    return predicates.notebook_contains(books, _CELL_TERMS, "user").select(
+        F.regexp_extract("path", r"conv_id=(\d+)", 1).cast("long").alias("conv_id"), "contains")

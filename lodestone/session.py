@@ -5,14 +5,16 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Upper bound on the rows of a side we broadcast.  Every broadcast in the
-# package goes through ``join_small`` which counts the side first; above the
-# bound the join is left to Catalyst/AQE (sort-merge or shuffled hash).
-DEFAULT_BROADCAST_ROWS = 2_000_000
-_BROADCAST_CONF = "lodestone.broadcast.maxRows"
+# A side is broadcast only when its measured size is at most this many bytes;
+# above it the join is left to Catalyst/AQE (sort-merge or shuffled hash).
+DEFAULT_BROADCAST_BYTES = 64 << 20
+_BROADCAST_CONF = "lodestone.broadcast.maxBytes"
+#: Rows of one partition when a small input is laid out anew.
+ROWS_PER_PARTITION = 50_000
 
 
 def get_session(master: str | None = None, app: str = "lodestone",
@@ -48,14 +50,17 @@ def get_session(master: str | None = None, app: str = "lodestone",
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Stage tables, logs, model versions and checkpoints all live below it.  A
-    folder of our own is created only when the setting is absent (local runs
-    and tests); on a cluster the setting is expected to point at shared storage.
+    Stage tables, logs, model versions and intermediate tables all live below
+    it.  A folder of our own is created only in local mode, where driver and
+    executors are one process; on a cluster a missing setting is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="lodestone-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
@@ -68,74 +73,92 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_dir(spark), "lodestone", uuid.uuid4().hex, *parts])
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, asked of its own file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's parquet test tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def broadcast_row_limit(spark: SparkSession) -> int:
-    return int(spark.conf.get(_BROADCAST_CONF, str(DEFAULT_BROADCAST_ROWS)))
+def broadcast_byte_limit(spark: SparkSession) -> int:
+    return int(spark.conf.get(_BROADCAST_CONF, str(DEFAULT_BROADCAST_BYTES)))
 
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               small_rows: int | None = None) -> DataFrame:
-    """Join with ``small`` broadcast only when its row count is proven small.
+def _row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes: strings and binaries by their length,
+    nested values by the length of their JSON, others eight."""
+    total = F.lit(8 * len(df.columns)).cast("long")
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(c.alias("v")))), F.lit(0))
+    return total
 
-    ``small_rows`` may be passed when the caller already knows the count (for
-    example a label list it built); otherwise the side is counted, which for
-    the aggregated tables this is used with is a cheap job.
-    """
-    n = small.count() if small_rows is None else small_rows
-    if n <= broadcast_row_limit(big.sparkSession):
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join with ``small`` broadcast only when its bytes, measured by one
+    aggregate over it, are within the limit."""
+    size = small.agg(F.sum(_row_bytes(small)).alias("b")).first()["b"] or 0
+    if size <= broadcast_byte_limit(big.sparkSession):
         small = F.broadcast(small)
     return big.join(small, on, how)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread rows over the cluster before CPU-heavy row work.
-
-    A scan yields at least one task per file split; a large table already
-    has far more splits than cores and is returned unchanged (no shuffle).
-    Only an input with fewer partitions than the default parallelism (a
-    small file, or one row group) is round-robin repartitioned, which is
-    deterministic on retry (rows are sorted before the round-robin).
-    Meant for scans and checkpointed frames, whose partition count is known
-    from planning alone.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Spread rows over at least ``partitions`` partitions (default: the
+    session's ``spark.sql.shuffle.partitions``) before CPU-heavy row work.  A
+    scan with as many splits is returned unchanged (no shuffle).  Results must
+    not depend on the layout; where they would (forest fits), ``laid_out`` is
+    used instead."""
+    target = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
 
 
+def laid_out(df: DataFrame, key: str, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+    """The rows in a layout that follows from the data alone: as many hash
+    partitions by ``key`` as the row count asks for, each sorted by ``key``.
+    The same rows give the same partitions on any cluster."""
+    n = max(1, -(-df.count() // rows_per_partition))
+    return df.repartition(n, F.col(key)).sortWithinPartitions(key)
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and return the
-    checkpointed frame (lineage cut, survives executor loss).
-
-    A reliable checkpoint recomputes its input for the write unless the
-    input is persisted, so it is persisted for the duration: one
-    computation, then the write reads the persisted blocks."""
-    from pyspark import StorageLevel
-    shared_dir(df.sparkSession)
-    if df.storageLevel != StorageLevel.NONE:  # cached by the caller: leave it as it is
-        return df.checkpoint(eager=True)
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return held.checkpoint(eager=True)
-    finally:
-        held.unpersist()
-
-
-SMALL_TABLE_ROWS = 100_000
-
-
-def small_table(df: DataFrame, max_rows: int = SMALL_TABLE_ROWS) -> DataFrame:
-    """A bounded intermediate result (an aggregate whose size is fixed by the
-    number of classes, candidates or folds, not by the data) as a local
-    table: one job computes it, and every later plan over it runs on the
-    local rows.  Should it be larger than ``max_rows`` it is checkpointed
-    instead, so nothing unbounded is held by the driver."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        return df.sparkSession.createDataFrame(rows, df.schema)
+    """``df`` as a Parquet table below the shared folder, read back: computed
+    once, lineage cut, column-pruned reads, and statistics for the planner.
+    Survives executor loss."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def global_index(df: DataFrame, *order: Column, out: str = "_index") -> DataFrame:
+    """Number the rows from 0 in the given order, at any size: a range
+    partitioning sorts the rows, each partition's row count (a number per
+    partition) gives the offsets, and no task holds more than a partition."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = materialize(df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+                       .withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33)
+    counts = held.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n")).orderBy("_p").collect()
+    rows, before = [], 0
+    for r in counts:
+        rows.append((r["_p"], before))
+        before += r["_n"]
+    offsets = df.sparkSession.createDataFrame(rows, "_p long, _before long")
+    return (held.withColumn("_p", part).join(F.broadcast(offsets), "_p")
+            .withColumn(out, F.col("_before") + F.col("_at") - F.shiftleft(F.col("_p"), 33))
+            .drop("_p", "_before", "_at"))
+
+
+def small_table(df: DataFrame) -> DataFrame:
+    """A small intermediate result that several later steps read: computed
+    once and kept as a table (its size tells the planner to broadcast it)."""
     return materialize(df)

@@ -6,5 +6,5 @@ from lodestone.sources.tables import literal_source, catalog_scan, catalog_from_
 from lodestone.sources.collections import (
     read_collection, write_collection, copy_collection, with_identity, insert_if_absent,
     insert_if_absent_delta, dedupe_first, append_log, read_log, write_sample, write_report,
-    row_count, shape, collection_path, store_root,
+    shape, collection_path, store_root,
 )

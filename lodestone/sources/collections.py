@@ -9,11 +9,13 @@ Spark data source such as a document-store connector, which then receives
 
 from __future__ import annotations
 
+import posixpath
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestone.session import materialize, shared_dir
+from lodestone.session import materialize, path_exists, shared_dir
 
 FILE_FORMATS = {"parquet", "orc", "json", "csv", "avro"}
 
@@ -44,10 +46,15 @@ def write_collection(df: DataFrame, db: str, name: str, root: str | None = None,
     """Overwrite (full refresh) or append a collection; returns the number of
     rows written (E1), observed during the write, not by a second pass.
 
-    Unlike delete-then-insert, an overwrite of a file table replaces the
-    folder in one job; an empty frame writes an empty table.
+    An overwrite first removes the old files, so a frame that reads the very
+    collection it would overwrite is refused: the write would destroy its own
+    input.  An empty frame writes an empty table.
     """
     spark = df.sparkSession
+    if mode == "overwrite" and fmt in FILE_FORMATS:
+        _refuse_own_input(df, collection_path(spark, db, name, root))
+    elif mode == "overwrite" and fmt == "table" and spark.catalog.tableExists(f"`{db}`.`{name}`"):
+        _refuse_own_input(df, *spark.table(f"`{db}`.`{name}`").inputFiles())
     obs = Observation(f"rows_{db}_{name}")
     counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if fmt in FILE_FORMATS:
@@ -62,6 +69,24 @@ def write_collection(df: DataFrame, db: str, name: str, root: str | None = None,
     return int(obs.get.get("rows", 0))
 
 
+def _refuse_own_input(df: DataFrame, *targets: str) -> None:
+    """Raise when a frame reads files at or below one of the target paths
+    (compared as the file system names them, so another spelling of the same
+    place counts)."""
+    spark = df.sparkSession
+    conf = spark._jsc.hadoopConfiguration()
+
+    def plain(path: str) -> str:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        u = p.getFileSystem(conf).makeQualified(p).toUri()
+        return f"{u.getScheme()}://{u.getAuthority() or ''}{posixpath.normpath(u.getPath())}"
+    wanted = [plain(t) for t in targets]
+    for f in df.inputFiles():
+        f = plain(f)
+        if any(f == w or f.startswith(w + "/") for w in wanted):
+            raise ValueError(f"the frame reads {f}, which overwriting its target would delete")
+
+
 def copy_collection(spark: SparkSession, src: tuple[str, str], dst: tuple[str, str],
                     root: str | None = None, fmt: str = "parquet") -> DataFrame:
     """Load stage: read one collection and overwrite another with the same
@@ -100,9 +125,17 @@ def dedupe_first(df: DataFrame, key: str | list[str], order: str | None = None)
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    o = F.col(order) if order else F.struct(*[F.col(c) for c in rest])
-    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in rest]), o).alias("_r"))
-    return picked.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*df.columns)
+    # a total order over the row: a null order value comes last, ties are
+    # settled by the other columns (a map as its sorted entries)
+    parts = [F.col(f"`{order}`").isNull(), F.col(f"`{order}`")] if order else []
+    for f in df.schema.fields:
+        if f.name not in keys:
+            c = F.col(f"`{f.name}`")
+            c = F.array_sort(F.map_entries(c)) if isinstance(f.dataType, T.MapType) else c
+            parts += [c.isNull(), c]
+    rank = F.struct(*[p.alias(f"o{i}") for i, p in enumerate(parts)])
+    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in rest]), rank).alias("_r"))
+    return picked.select(*keys, *[F.col("_r").getField(c).alias(c) for c in rest]).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def insert_if_absent(target: DataFrame, source: DataFrame, key: str | list[str],
@@ -128,38 +161,27 @@ def insert_if_absent_into(source: DataFrame, db: str, name: str, key: str | list
                           root: str | None = None, order: str | None = None) -> int:
     """Insert-if-absent into a stored collection: only the rows whose key is
     not stored yet are appended; stored rows are never rewritten.  The delta
-    is checkpointed before the append, so the write does not read the table
+    is stored before the append, so the write does not read the table
     it extends.  Returns the number of rows added."""
     spark = source.sparkSession
-    try:
-        target = read_collection(spark, db, name, root)
-        target.schema
-    except Exception as e:  # noqa: BLE001 - first insert creates the collection
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-            raise
-        target = None
-    if target is None:
+    if not path_exists(spark, collection_path(spark, db, name, root)):  # the first insert creates it
         keys = [key] if isinstance(key, str) else list(key)
         return write_collection(dedupe_first(source, keys, order), db, name, root)
+    target = read_collection(spark, db, name, root)
     delta = materialize(insert_if_absent_delta(target, source, key, order))
     return write_collection(delta, db, name, root, mode="append")
 
 
-def append_log(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+def append_log(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple = ()) -> None:
     """Append rows to a log table."""
-    df.write.format(fmt).mode("append").save(path)
+    df.write.format(fmt).mode("append").partitionBy(*partition_by).save(path)
 
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
     """A log table, empty with ``schema`` when it was never written."""
-    try:
-        df = spark.read.format(fmt).schema(schema).load(path)
-        df.schema
-        return df
-    except Exception as e:  # missing folder
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.format(fmt).schema(schema).load(path).select(*[F.col(f"`{f.name}`") for f in schema.fields])
 
 
 def write_sample(df: DataFrame, path: str, key: str, n: int = 10) -> None:
@@ -167,14 +189,10 @@ def write_sample(df: DataFrame, path: str, key: str, n: int = 10) -> None:
     df.orderBy(key).limit(n).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_report(df: DataFrame, path: str) -> None:
-    """JSON report sink: one JSON object per row."""
-    df.coalesce(1).write.mode("overwrite").json(path)
-
-
-def row_count(df: DataFrame) -> int:
-    """Rows in a stage."""
-    return df.count()
+def write_report(report: DataFrame, path: str) -> None:
+    """JSON report sink: the one-row, one-column document of
+    ``metrics.report_json`` as a text file."""
+    report.coalesce(1).write.mode("overwrite").text(path)
 
 
 def shape(df: DataFrame) -> tuple[int, int]:

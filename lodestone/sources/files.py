@@ -3,21 +3,22 @@ and nested notebook documents."""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestone.functions.columns import strip_ws
+from lodestone.session import path_exists
 
-# One notebook document: the fields the content test reads.  ``source`` is a
-# string; when a file holds it as a list of strings the JSON reader stores the
-# raw JSON text of the list, which still answers a substring test.
+# One notebook document: the fields the content test reads.  ``source`` (in the
+# older layout ``input``) is a string; when a file holds it as a list of strings
+# the JSON reader stores the raw JSON text of the list, which still answers a
+# substring test.
+_CELLS = T.ArrayType(T.StructType([T.StructField("cell_type", T.StringType()), T.StructField("source", T.StringType()),
+                                   T.StructField("input", T.StringType())]))
 NOTEBOOK_SCHEMA = T.StructType([
-    T.StructField("cells", T.ArrayType(T.StructType([
-        T.StructField("cell_type", T.StringType()),
-        T.StructField("source", T.StringType()),
-    ]))),
+    T.StructField("cells", _CELLS),
+    T.StructField("worksheets", T.ArrayType(T.StructType([T.StructField("cells", _CELLS)]))),
 ])
 
 
@@ -49,21 +50,21 @@ def labelled_source(df: DataFrame, feature_cols: list[str], target_col: str,
 
 def line_set(spark: SparkSession, path: str, name: str = "value") -> DataFrame:
     """Lines of a text file as a set: stripped, distinct; missing file -> empty."""
-    try:
-        lines = spark.read.text(path)
-        lines.schema  # resolve now so a missing path fails here
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return spark.createDataFrame([], T.StructType([T.StructField(name, T.StringType())]))
-        raise
-    return lines.select(strip_ws(F.col("value")).alias(name)).distinct()
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], T.StructType([T.StructField(name, T.StringType())]))
+    return spark.read.text(path).select(strip_ws(F.col("value")).alias(name)).distinct()
 
 
 def notebook_scan(spark: SparkSession, path: str, with_path: bool = True) -> DataFrame:
-    """One JSON notebook per file -> ``(path, cells)``; unreadable files get
-    null ``cells`` instead of failing the scan."""
-    schema = T.StructType(NOTEBOOK_SCHEMA.fields + [T.StructField("_corrupt", T.StringType())])
-    raw = (spark.read.schema(schema)
-           .option("multiLine", True).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_corrupt").json(path))
-    return raw.select(F.col("_metadata.file_path").alias("path"), "cells") if with_path else raw.select("cells")
+    """One JSON notebook per file -> ``(path, cells)``: a row per file.  The
+    older layout (``worksheets[].cells[]`` with ``input``) is read as the newer
+    one; files that are not one JSON object get null ``cells``."""
+    raw = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    # a document is an object; an array at the top is no notebook
+    doc = F.when(F.ltrim(F.regexp_replace("value", r"^[\s\uFEFF]+", "")).startswith("{"), F.col("value"))
+    parsed = raw.select("path", F.from_json(doc, NOTEBOOK_SCHEMA).alias("d"))
+    sheets = F.flatten(F.transform("d.worksheets", lambda w: F.coalesce(w["cells"], F.array().cast(_CELLS))))
+    cells = F.transform(F.coalesce("d.cells", sheets), lambda c: F.struct(
+        c["cell_type"].alias("cell_type"), F.coalesce(c["source"], c["input"]).alias("source")))
+    out = parsed.select("path", cells.alias("cells"))
+    return out if with_path else out.select("cells")

@@ -1,13 +1,19 @@
 """Incremental selection against a log of handled keys (L1).
 
 Each run handles only keys the log does not hold: anti join against the log,
-keep successful rows, take the top k, append the picked keys to the log.
+keep successful rows, take the top k, append the picked keys to the log.  Rows
+that were not picked are offered again on the next run.
 
 The log is a folder of parquet parts, one per run (``batch=<id>``).  A run
 overwrites only its own part, so a retried run (after a lost executor or a
 restarted stream) replaces its earlier attempt instead of appending twice.
-The picked rows are checkpointed to the shared folder before the write, so
-the append does not re-read the log it is extending.
+The picked rows are stored in the shared folder before the write, so the
+append does not re-read the log it is extending.
+
+The streaming form separates arrival from selection: every micro-batch is
+merged into a stored candidate table (one part per batch id, so a replayed
+batch rewrites its own part), and a run picks from all candidates not handled
+yet.  How the input is cut into batches therefore never changes a result.
 """
 
 from __future__ import annotations
@@ -19,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestone.operators.selection import crawl_select
-from lodestone.session import materialize
+from lodestone.session import materialize, path_exists
 
 
 def log_schema(key: str = "_id") -> T.StructType:
@@ -31,13 +37,9 @@ def read_key_log(spark: SparkSession, log_path: str, key: str = "_id",
     """The log as a one-column set of keys; empty when never written.
     ``exclude_batch`` leaves out one run's own part (a partition filter,
     pruned at the scan)."""
-    try:
-        df = spark.read.schema(log_schema(key)).parquet(log_path)
-        df.schema
-    except Exception as e:  # noqa: BLE001 - a missing folder means an empty log
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], log_schema(key)).select(key)
-        raise
+    if not path_exists(spark, log_path):
+        return spark.createDataFrame([], log_schema(key)).select(key)
+    df = spark.read.schema(log_schema(key)).parquet(log_path)
     if exclude_batch is not None:
         df = df.where(F.col("batch") != F.lit(exclude_batch))
     return df.select(key)
@@ -62,15 +64,35 @@ def incremental_select(catalog: DataFrame, log_path: str, k: int, key: str = "_i
     return picked
 
 
-def start_incremental_stream(stream: DataFrame, log_path: str, checkpoint_location: str, k: int,
-                             key: str = "_id", order: str = "stars", ok: str = "ok",
-                             available_now: bool = True):
-    """Streaming form: every micro-batch of new catalog rows goes through one
-    run of ``incremental_select``; the micro-batch id names the log part, so
-    a replayed batch rewrites the same part."""
-    def run(batch: DataFrame, epoch_id: int) -> None:
-        incremental_select(batch, log_path, k, key, order, ok, batch_id=f"e{epoch_id}")
+def read_candidates(spark: SparkSession, candidates_path: str, key: str = "_id") -> DataFrame:
+    """All candidates that have arrived, one row per key: the latest batch's."""
+    df = spark.read.parquet(candidates_path)
+    rest = [c for c in df.columns if c not in (key, "epoch")]
+    latest = df.groupBy(key).agg(F.max_by(F.struct(*rest), F.col("epoch").cast("long")).alias("_r"))
+    return latest.select(key, *[F.col(f"_r.{c}").alias(c) for c in rest])
+
+
+def gather_candidates(stream: DataFrame, candidates_path: str, checkpoint_location: str,
+                      available_now: bool = True):
+    """Start the stream that stores every micro-batch as a part of the
+    candidate table; returns the streaming query."""
+    def store(batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{candidates_path.rstrip('/')}/epoch={epoch_id}")
 
-    w = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint_location)
+    w = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w
     return w.start()
+
+
+def run_incremental_stream(stream: DataFrame, candidates_path: str, log_path: str, checkpoint_location: str,
+                           k: int, key: str = "_id", order: str = "stars", ok: str = "ok",
+                           batch_id: str | None = None) -> DataFrame:
+    """One run over a stream: take in everything that has arrived, then pick
+    up to k rows from all candidates the log does not hold and log them.
+    Returns the picked rows.  Runs may be repeated; without new input a run
+    picks the next k."""
+    gather_candidates(stream, candidates_path, checkpoint_location).awaitTermination()
+    spark = stream.sparkSession
+    if not path_exists(spark, candidates_path):  # nothing has ever arrived
+        return spark.createDataFrame([], stream.schema)
+    return incremental_select(read_candidates(spark, candidates_path, key), log_path, k, key, order, ok, batch_id)

@@ -42,8 +42,9 @@ def test_samples_and_reports(spark, tmp):
     K.write_sample(df, f"{tmp}/s", "k", 10)
     back = spark.read.option("header", True).option("inferSchema", True).csv(f"{tmp}/s")
     assert [r.k for r in back.collect()] == list(range(10))
-    K.write_report(df.limit(3), f"{tmp}/r")
-    assert spark.read.json(f"{tmp}/r").count() == 3
+    doc = spark.createDataFrame([('{"a \\"b\\"": 1.5}',)], "report string")
+    K.write_report(doc, f"{tmp}/r")
+    assert [r[0] for r in spark.read.text(f"{tmp}/r").collect()] == ['{"a \\"b\\"": 1.5}']
 
 
 def test_line_set_missing_is_empty(spark, tmp):
@@ -74,19 +75,44 @@ def test_materialize_keeps_callers_cache(spark):
     df.unpersist()
 
 
-def test_store_format_is_pluggable(spark, tmp):
-    df = K.with_identity(spark.createDataFrame([(1, 2.5), (2, 3.5)], "k int, v double"), "k")
-    for fmt in ("orc", "json"):
-        n = K.write_collection(df, "db", f"c_{fmt}", tmp, fmt=fmt)
-        back = K.read_collection(spark, "db", f"c_{fmt}", tmp, fmt=fmt)
-        assert n == 2 and sorted(r["_id"] for r in back.collect()) == sorted(r["_id"] for r in df.collect())
+@pytest.mark.parametrize("spelling", ["{r}", "{r}/", "file:{r}", "{r}/../{b}"])
+def test_overwrite_of_its_own_input_is_refused(spark, tmp, spelling):
+    import os
+    df = spark.createDataFrame([(1,), (2,)], "k int")
+    K.write_collection(df, "db", "same", tmp)
+    same = K.read_collection(spark, "db", "same", tmp)
+    root = spelling.format(r=tmp, b=os.path.basename(tmp))
+    with pytest.raises(ValueError):
+        K.write_collection(same.where("k > 1"), "db", "same", root)
+    assert K.read_collection(spark, "db", "same", tmp).count() == 2
 
 
-def test_catalog_table_collections(spark):
-    import pytest
-    df = K.with_identity(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), "k")
-    assert K.write_collection(df, "etl_t", "extract", fmt="table") == 2
-    out = K.copy_collection(spark, ("etl_t", "extract"), ("etl_t", "load"), fmt="table")
-    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, df.collect()))
+def test_etl_with_one_name_for_two_stages_destroys_nothing(spark, tmp):
+    from lodestone.plans import etl
+    spark.createDataFrame([(1, "x")], "Id int, v string").write.option("header", True).csv(f"{tmp}/in")
+    stages = etl.Stages(db="d", extract="same", transform="same", root=tmp)
     with pytest.raises(ValueError):
-        K.copy_collection(spark, ("etl_t", "load"), ("etl_t", "load"), fmt="table")
+        etl.run_etl(spark, f"{tmp}/in", stages, key="Id")
+    assert K.read_collection(spark, "d", "same", tmp).count() == 1
+
+
+def test_first_write_keeps_fields_when_the_order_is_null(spark):
+    rows = spark.createDataFrame([("a", None, "repo-a"), ("b", None, "x"), ("b", 3, "y"), ("c", 1, "z"), ("c", 1, "w")],
+                                 "_id string, stars long, repo string")
+    for n in (1, 5):
+        got = sorted(map(tuple, K.dedupe_first(rows.repartition(n), "_id", "stars").collect()))
+        assert got == [("a", None, "repo-a"), ("b", 3, "y"), ("c", 1, "w")]  # ties: the smaller row
+
+
+def test_first_write_with_a_map_column(spark):
+    rows = spark.createDataFrame([("a", 1, {"k": "2"}), ("a", 1, {"k": "1"})], "_id string, stars long, m map<string,string>")
+    assert K.dedupe_first(rows, "_id", "stars").first()["m"] == {"k": "1"}
+
+
+def test_log_tables_append_and_missing_is_empty(spark, tmp):
+    from pyspark.sql import types as T
+    schema = T._parse_datatype_string("a string, b int")
+    assert K.read_log(spark, f"{tmp}/log", schema).count() == 0
+    for i in range(2):
+        K.append_log(spark.createDataFrame([("x", i)], schema), f"{tmp}/log", partition_by=("a",))
+    assert sorted(map(tuple, K.read_log(spark, f"{tmp}/log", schema).collect())) == [("x", 0), ("x", 1)]

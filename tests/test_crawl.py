@@ -44,32 +44,65 @@ def test_replayed_run_is_idempotent(spark, tmp):
     assert len(keys) == len(set(keys)) == 40
 
 
-def test_stream_second_run_adds_nothing(spark, tmp):
+def _arrivals(spark, tmp, n=5):
+    """The documents as ``n`` files that a stream takes in one by one."""
     docs = read_table(spark, SF_SMALL, "documents")
-    stream = spark.readStream.schema(docs.schema).option("pathGlobFilter", "documents.parquet").parquet(SF_SMALL)
-    cat = stream.select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("_id"),
-                        F.col("n_chars").alias("stars"), (F.col("lang") != "de").alias("ok"))
-    log, ck = f"{tmp}/log", f"{tmp}/ckpt"
-    I.start_incremental_stream(cat, log, ck, 30).awaitTermination()
-    first = I.read_key_log(spark, log).count()
-    I.start_incremental_stream(cat, log, ck, 30).awaitTermination()
-    assert first == 30 and I.read_key_log(spark, log).count() == 30
-
-
-def test_stream_picks_up_new_files_only(spark, tmp):
-    """Files arriving after a run are handled by the next run; earlier
-    picks are not repeated."""
+    docs.repartition(n, "doc_id").write.parquet(f"{tmp}/src")
+    return docs
+
+
+def _stream(spark, docs, tmp, files=1):
+    s = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", files).parquet(f"{tmp}/src")
+    return s.select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("_id"),
+                    F.col("n_chars").alias("stars"), (F.col("lang") != "de").alias("ok"))
+
+
+def _keys(spark, log):
+    return sorted(r[0] for r in I.read_key_log(spark, log).collect())
+
+
+def test_stream_does_not_depend_on_batches_and_takes_the_next_k(spark, tmp):
+    """One run logs the k best of all that has arrived, however the input is cut
+    into micro-batches; the next run takes the next k, although nothing new came."""
+    docs = _arrivals(spark, tmp)
+    batch_log = f"{tmp}/batch-log"
+    want = []
+    for r in range(3):
+        I.incremental_select(_catalog(spark), batch_log, 30, batch_id=f"r{r}")
+        want.append(_keys(spark, batch_log))
+    for files in (1, 4):
+        log = f"{tmp}/log{files}"
+        for r in range(3):
+            picked = I.run_incremental_stream(_stream(spark, docs, tmp, files), f"{tmp}/cand{files}", log, f"{tmp}/ck{files}", 30)
+            assert picked.count() == 30 and _keys(spark, log) == want[r]
+
+
+def test_stream_offers_old_and_new_rows(spark, tmp):
+    """Files that arrive later compete with the rows not picked before."""
     docs = read_table(spark, SF_SMALL, "documents")
-    src = f"{tmp}/src"
-    docs.where("doc_id < 100").write.parquet(f"{src}/part1")
-    schema = docs.schema
-    stream = lambda: spark.readStream.schema(schema).parquet(f"{src}/*")
-    cat = lambda s: s.select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("_id"),
-                             F.col("n_chars").alias("stars"), F.lit(True).alias("ok"))
-    log, ck = f"{tmp}/log", f"{tmp}/ckpt"
-    I.start_incremental_stream(cat(stream()), log, ck, 10).awaitTermination()
-    docs.where("doc_id >= 100").write.parquet(f"{src}/part2")
-    I.start_incremental_stream(cat(stream()), log, ck, 10).awaitTermination()
-    keys = [r[0] for r in I.read_key_log(spark, log).collect()]
-    assert len(keys) == len(set(keys)) == 20
-    assert sum(int(k[1:]) >= 100 for k in keys) == 10
+    docs.where("doc_id < 100").write.parquet(f"{tmp}/src/part1")
+    s = lambda: spark.readStream.schema(docs.schema).parquet(f"{tmp}/src/*").select(
+        F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("_id"), F.col("n_chars").alias("stars"), F.lit(True).alias("ok"))
+    run = lambda: I.run_incremental_stream(s(), f"{tmp}/cand", f"{tmp}/log", f"{tmp}/ck", 10)
+    first = {r._id for r in run().collect()}
+    docs.where("doc_id >= 100").write.parquet(f"{tmp}/src/part2")
+    second = {r._id for r in run().collect()}
+    rows = sorted(((-r.n_chars, f"d{r.doc_id}", r.doc_id) for r in docs.select("doc_id", "n_chars").collect()))
+    assert first == {i for _, i, _ in [x for x in rows if x[2] < 100][:10]}
+    assert second == {i for _, i, _ in [x for x in rows if x[1] not in first][:10]}
+
+
+def test_replayed_batch_rewrites_its_part(spark, tmp):
+    df = spark.createDataFrame([("a", 1, True), ("b", 2, True)], "_id string, stars long, ok boolean")
+    for rows in (df, df.where("_id = 'a'")):  # batch 0 again, with another outcome
+        rows.write.mode("overwrite").parquet(f"{tmp}/cand/epoch=0")
+    df.withColumn("stars", F.lit(9).cast("long")).write.parquet(f"{tmp}/cand/epoch=1")
+    got = {r._id: r.stars for r in I.read_candidates(spark, f"{tmp}/cand").collect()}
+    assert got == {"a": 9, "b": 9}
+
+
+def test_stream_without_any_input(spark, tmp):
+    import os
+    os.makedirs(f"{tmp}/src")
+    s = spark.readStream.schema("_id string, stars long, ok boolean").parquet(f"{tmp}/src")
+    assert I.run_incremental_stream(s, f"{tmp}/cand", f"{tmp}/log", f"{tmp}/ck", 3).count() == 0

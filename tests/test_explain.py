@@ -41,3 +41,11 @@ def test_centred_curve_has_zero_mean(spark):
     curve = X.partial_dependence(li, ["a"], _scorer, ["p0", "p1"], points=5, centre=True)
     for r in curve.groupBy("class").agg(F.avg("pd").alias("m")).collect():
         assert abs(r.m) < 1e-12
+
+
+def test_features_without_values_have_no_curve(spark):
+    df = spark.createDataFrame([(1.0, None), (2.0, None)], "a double, b double")
+    got = X.partial_dependence(df, ["a", "b"], _scorer, ["p0", "p1"], points=3).collect()
+    assert {r.feature for r in got} == {"a"} and len(got) == 6
+    assert X.partial_dependence(df.limit(0), ["a"], _scorer, ["p0", "p1"], points=3).count() == 0
+    assert X.pdp_grid(df, ["a", "b"], points=3).count() == 3

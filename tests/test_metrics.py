@@ -29,6 +29,7 @@ def test_empty_input(spark):
     assert M.confusion_matrix(df, "actual", "predicted").count() == 0
     assert M.accuracy(df, "actual", "predicted").first()[0] is None
     rep = {r["class"]: r for r in M.classification_report(df, "actual", "predicted").collect()}
+    assert all(r.kind == "summary" for r in rep.values())
     assert set(rep) == {"accuracy", "macro avg", "weighted avg"}
     assert all(r.support == 0 and r.f1_score is None for r in rep.values())
 
@@ -55,3 +56,41 @@ def test_param_grid_order():
     from lodestone.operators.grid import DEFAULT_GRID, param_grid
     got = [(c["max_depth"], c["n_estimators"]) for c in param_grid(DEFAULT_GRID)]
     assert got == [(3, 50), (3, 100), (5, 50), (5, 100)]
+
+
+def test_one_rule_for_nulls(spark):
+    df = _df(spark, [("a", "a"), ("a", None), (None, "a"), (None, None)])
+    assert sum(r.n for r in M.confusion_matrix(df, "actual", "predicted").collect()) == 4
+    rep = {(r.kind, r["class"]): r for r in M.classification_report(df, "actual", "predicted").collect()}
+    assert rep["summary", "accuracy"].support == 4 and rep["class", None].support == 2
+    assert rep["summary", "accuracy"].f1_score == M.accuracy(df, "actual", "predicted").first()[0] == 0.5
+
+
+def test_label_types_are_kept(spark):
+    df = _df(spark, [(1, 1), (2, 1)], "bigint")
+    assert dict(M.confusion_matrix(df, "actual", "predicted").dtypes)["actual"] == "bigint"
+
+
+def test_labels_named_like_summary_rows_or_with_quotes(spark):
+    import json
+    df = _df(spark, [("accuracy", "accuracy"), ("weighted avg", "accuracy"), ('q"\\\n', 'q"\\\n')])
+    rep = M.classification_report(df, "actual", "predicted", digits=None)
+    e = M.evaluate_classifier(df, "actual", "predicted").first()
+    assert e.accuracy == pytest.approx(2 / 3, abs=1e-6) and e.recall_weighted == pytest.approx(2 / 3, abs=1e-6)
+    doc = json.loads(M.report_json(rep).first()[0])
+    assert doc["accuracy"] == 2 / 3  # full precision
+    assert doc["class accuracy"]["support"] == 1 and doc["class weighted avg"]["recall"] == 0 and doc['q"\\\n']["f1-score"] == 1
+
+
+def test_ranks_use_exact_means(spark):
+    scores = spark.createDataFrame([(0, 0, 0.9000001), (1, 0, 0.9000004)], "candidate int, fold int, score double")
+    s = M.fold_score_summary(scores)
+    assert {r.candidate: r.rank_test_score for r in s.collect()} == {0: 2, 1: 1}
+    assert M.best_candidate(s).first().candidate == 1
+
+
+def test_many_classes(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(9000).select((F.col("id") % 4500).alias("actual"), (F.col("id") % 4500).alias("predicted"))
+    rep = M.classification_report(df, "actual", "predicted")
+    assert rep.count() == 4503 and rep.where("class = 'accuracy'").first().f1_score == 1.0

@@ -1,4 +1,5 @@
 """Model pipeline invariants on MLlib."""
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_MID
@@ -32,7 +33,15 @@ def test_pipeline_beats_majority_and_registers(spark, tmp):
     a = res["model"].transform(data).select("doc_id", "prediction")
     b = R.load_latest(spark, tmp, "q").transform(data).select("doc_id", "prediction")
     assert a.exceptAll(b).count() == 0
-    assert spark.read.json(f"{tmp}/art/evaluation").count() == 1
+    import json
+    doc = json.loads(spark.read.text(f"{tmp}/art/evaluation").first()[0])
+    assert doc["accuracy"] == pytest.approx(rep["accuracy"].f1_score, abs=1e-6)
+    assert {(r["dir"]) for r in R.read(spark, tmp, "artifacts").collect()} == {"model", "dataset_samples", "evaluation"}
+    assert {r["key"] for r in R.read(spark, tmp, "tags").collect()} == {"model_type", "dataset"}
+    sig = R.read(spark, tmp, "signatures").where("side = 'inputs'").orderBy("position").collect()
+    assert [r["name"] for r in sig] == ml.QUALITY_FEATURES
+    uri = R.read(spark, tmp, "models").orderBy("version").first()["uri"]
+    assert spark.read.json(f"{uri}-input_example").count() == 5
     board = R.leaderboard(R.read(spark, tmp, "runs"), R.read(spark, tmp, "params"), R.read(spark, tmp, "metrics"),
                           ["mean_test_score", "std_test_score"], ["max_depth", "n_estimators"])
     assert board.count() == 2
@@ -84,3 +93,33 @@ def test_class_count_metadata_is_used(spark):
     m = T.fit_forest(df, ["x"], "y", 3, 2, 1, n_classes=3)
     assert m.stages[-1].numClasses == 3
     assert T.fit_forest(df, ["x"], "y", 3, 2, 1).stages[-1].numClasses == 2
+
+
+def test_training_twice_gives_two_runs(spark, tmp):
+    data = ml.prepare(_quality(spark))
+    one = {"n_estimators": [3], "max_depth": [2], "random_state": [1]}
+    res = [ml.train_and_register(spark, data, ml.QUALITY_FEATURES, "quality", "doc_id", tmp, "q", grid=one) for _ in range(2)]
+    assert res[0]["run_id"] != res[1]["run_id"] and [r["version"] for r in res] == [1, 2]
+    runs = R.read(spark, tmp, "runs")
+    roll = R.child_rollup(runs, R.read(spark, tmp, "metrics"), "mean_test_score").collect()
+    assert len(roll) == 2 and all(r["n_children"] == 1 for r in roll)
+    plan = R.experiment_runs(runs, "ml")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(experiment" in plan
+    # the same rows and seed: the same split and folds, and the same forest in any layout
+    a, b = (sorted(map(tuple, r["split"].select("doc_id", "split").collect())) for r in res)
+    assert a == b
+    f = [T.fit_forest(data.repartition(n), ml.QUALITY_FEATURES, "quality", 5, 3, 42, key="doc_id").stages[-1] for n in (1, 6)]
+    assert f[0].toDebugString == f[1].toDebugString or f[0].featureImportances == f[1].featureImportances
+
+
+def test_missing_labels_are_left_out_and_counted(spark, tmp):
+    data = _quality(spark).withColumn("quality", F.when(F.col("doc_id") % 9 == 0, None).when(F.col("doc_id") % 9 == 1, -1).otherwise(F.col("quality")))
+    n = data.where("quality >= 0").count()
+    res = ml.train_and_register(spark, data, ml.QUALITY_FEATURES, "quality", "doc_id", tmp, "q",
+                                grid={"n_estimators": [3], "max_depth": [2], "random_state": [1]})
+    assert res["unlabelled"] == data.count() - n and res["split"].count() == n and res["n_classes"] == 2
+
+
+def test_two_trainers_never_share_a_version(spark, tmp):
+    assert R.claim_version(spark, tmp, "m") == 1
+    assert R.claim_version(spark, tmp, "m") == 2  # claimed, though nothing is registered yet

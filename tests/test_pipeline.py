@@ -40,3 +40,18 @@ def test_ml_pipeline_end_to_end(spark, tmp):
     curves = res["curves"].collect()
     assert len(curves) == 4 * 3 * 5  # features x classes x points
     assert len({(r.feature, r["class"]) for r in curves}) == 12
+    from lodestone.operators import registry as R
+    runs = R.read(spark, f"{tmp}/registry", "runs")
+    assert runs.where("run_name = 'explain'").count() == 1
+    assert R.read(spark, f"{tmp}/registry", "explanations").where(F.col("run_id") == res["explain_run_id"]).count() == len(curves)
+
+
+def test_the_pipeline_repeats(spark, tmp):
+    _iris_like(f"{tmp}/iris.csv")
+    one = {"n_estimators": [3], "max_depth": [2], "random_state": [42]}
+    parts = []
+    for i in range(2):
+        stages = etl.Stages(db=f"iris{i}", extract="extract", transform="preprocessed", load="train", root=f"{tmp}/store")
+        res = ml.run_ml_pipeline(spark, f"{tmp}/iris.csv", stages, f"{tmp}/registry{i}", "rf", grid=one, points=2)
+        parts.append((sorted(map(tuple, res["split"].select("_id", "split").collect())), res["report"].collect()))
+    assert parts[0] == parts[1]

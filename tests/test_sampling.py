@@ -68,3 +68,34 @@ def test_bucketed_global_rank_equals_plain(spark):
     a = {r.k: r._rank for r in S.exact_rank(df, "k", 3).collect()}
     b = {r.k: r._rank for r in S.exact_rank(df, "k", 3, group_rows=7).collect()}
     assert a == b and sorted(a.values()) == list(range(1, 3001))
+
+
+def test_null_keys_are_kept_in_every_form(spark):
+    df = spark.range(100).select(F.when(F.col("id") >= 10, F.col("id")).alias("k"), (F.col("id") % 2).alias("c"))
+    train, test = S.train_test_split(df, "k", 0.2, 42)
+    assert (train.count(), test.count()) == (80, 20)
+    tagged = S.with_split(df, "k", 0.2, 42)
+    assert {r[0]: r[1] for r in tagged.groupBy("split").count().collect()} == {"train": 80, "test": 20}
+    assert test.where("k is null").count() == tagged.where("split = 'test' and k is null").count() == 10
+    for group_rows in (S.GROUP_ROWS, 7):
+        f = S.stratified_folds(df, "c", "k", 3, 42, group_rows=group_rows)
+        assert f.count() == 100 and f.where("fold is null").count() == 0
+
+
+def test_a_cut_among_equal_keys_is_an_error_at_any_size(spark, monkeypatch):
+    import pytest
+    df = spark.range(100).select((F.col("id") % 10).alias("k"))
+    for finish in (S._FINISH_ROWS, 3):
+        monkeypatch.setattr(S, "_FINISH_ROWS", finish)
+        with pytest.raises(ValueError, match="unique"):
+            S.with_split(df, "k", 0.25)
+        assert S.with_split(df, "k", 0.2).where("split = 'test'").count() == 20  # the cut falls between keys
+        with pytest.raises(ValueError, match="unique"):
+            S.with_split(spark.range(20).select(F.lit(None).cast("long").alias("k")), "k", 0.5)
+
+
+def test_split_edges(spark):
+    df = spark.range(10).select(F.col("id").alias("k"))
+    for size, n in ((0, 0), (0.0, 0), (10, 10), (1.0, 10), (25, 10), (3, 3)):
+        assert S.with_split(df, "k", size).where("split = 'test'").count() == n
+    assert S.with_split(df.limit(0), "k", 0.2).count() == 0
