@@ -37,10 +37,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.arrays import Words, doc_grams, mix64, pack, shard_of, text_buffer, unpack
+from lodestone.llm.arrays import Words, doc_grams, mix64, pack, shard_of, slices, text_buffer, unpack
 from lodestone.llm.common import narrow, stored
 from lodestone.llm.components import connected_components
 from lodestone.session import join_small
@@ -49,6 +50,8 @@ WORDS = 4
 PERCENT = 85
 #: Elements of the sets that are joined in one task.
 BLOCK = 4_000_000
+#: Text that is hashed at a time.
+SLICE_BYTES = 6 << 20
 FANOUT = 8
 _U = np.uint64
 
@@ -144,8 +147,12 @@ _SCAN = "doc_id long, n long, digest binary, cls long, shard int, blob binary"
 def scan_documents(docs: DataFrame, doc_id: str, text: str, n: int, percent: int, shards: int) -> DataFrame:
     """One pass over the texts: a row per document (doc_id, n, digest, cls) and
     rows of packed signatures per shard."""
-    def run(batches):
+    def parts(batches):
         for b in batches:
+            yield from slices(b, np.asarray(pc.binary_length(b.column(1)).fill_null(0)), SLICE_BYTES)
+
+    def run(batches):
+        for b in parts(batches):
             elements, first = batch_sets(b.column(1), n)
             m = b.num_rows
             size = np.diff(first)
@@ -433,5 +440,5 @@ def near_duplicate_survivors(docs: DataFrame, doc_id: str = "doc_id", text: str
     does: the smallest id; rows without words and rows with a null id stay.
     All columns are returned."""
     comp = jaccard_components(docs, doc_id, text, words, percent)
-    gone = stored(comp.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    return docs.join(gone.hint("shuffle_hash"), F.col(f"`{doc_id}`") == F.col("__gone"), "left_anti")
+    gone = stored(comp.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "gone")
+    return docs.join(gone.hint("shuffle_hash"), docs[f"`{doc_id}`"] == gone["gone"], "left_anti")
