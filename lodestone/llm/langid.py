@@ -1,10 +1,12 @@
 """Language identification by compression.
 
 Per language a raw-content dictionary for zstandard is filled with labelled
-texts.  A text is cut into blocks of ``BLOCK`` bytes; every block is compressed
-with each dictionary, and the language with the smallest sum of sizes wins:
-its dictionary already holds the strings the text is made of.  Texts whose
-margin to the second language is narrow are marked ``accepted = false``.
+texts.  Texts are reduced to lower-case letters with single spaces between the
+runs (what else they hold says little about the language) and cut into blocks
+of ``BLOCK`` bytes; every block is compressed with each dictionary, and the
+language with the smallest sum of sizes wins: its dictionary already holds the
+strings the text is made of.  Texts whose margin to the second language is
+narrow are marked ``accepted = false``.
 
 Learning reads a bounded sample: ``SAMPLES`` texts per language, those with the
 smallest hash of the id in each of ``SAMPLES`` hash classes, up to
@@ -35,7 +37,12 @@ DICT_BYTES = 96 * 1024
 BLOCK = 4096
 LEVEL = 5
 MARGIN = 0.02
-_LETTER = re.compile(r"[^\W\d_]")
+_OTHER = re.compile(r"[\W\d_]+")
+
+
+def letters(text: str) -> str:
+    """The letters of a text in lower case, other runs as single spaces."""
+    return _OTHER.sub(" ", text.lower()).strip()
 
 
 def learn(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text",
@@ -55,11 +62,11 @@ def learn(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
     # of a long text a slot's share of the dictionary is used; ties of the hash take the smallest text
     share = 4 * DICT_BYTES // SAMPLES
     texts = (rows.join(F.broadcast(chosen), ["lang", "slot", "h"])
-             .groupBy("lang", "slot").agg(F.min(F.substring(F.lower("text"), 1, share)).alias("t")).collect())
+             .groupBy("lang", "slot").agg(F.min(F.substring("text", 1, share)).alias("t")).collect())
     out = []
     for name in sorted(totals, key=lambda k: (-totals[k], k)):
-        parts = sorted((r["t"].encode() for r in texts if r["lang"] == name), key=len)
-        out.append((name, b"\n".join(parts)[-DICT_BYTES:]))
+        parts = sorted((letters(r["t"]).encode() for r in texts if r["lang"] == name), key=len)
+        out.append((name, b" ".join(parts)[-DICT_BYTES:]))
     return out
 
 
@@ -84,11 +91,11 @@ def predict(docs: DataFrame, dictionaries: list[tuple[str, bytes]], doc_id: str
         for b in batches:
             pred, score, gap = [], [], []
             for t in b.column(1):
-                t = t.as_py()
-                if not t or not packers or not _LETTER.search(t):
+                t = letters(t.as_py() or "")
+                if not t or not packers:
                     pred.append("und"), score.append(0.0), gap.append(0.0)
                     continue
-                raw = t.lower().encode()
+                raw = t.encode()
                 sizes = [0] * len(packers)
                 for at in range(0, len(raw), BLOCK):
                     block = raw[at:at + BLOCK]
