@@ -42,7 +42,9 @@ GRAM = 16
 #: Bytes of the strings of one minimiser that are sorted together.
 TEXT_BYTES = 8192
 #: Bytes that are sorted in step.
-BATCH_BYTES = 1_500_000
+BATCH_BYTES = 1_000_000
+#: Text of a chunk row.
+CHUNK_BYTES = 4 << 20
 _U = np.uint64
 _NULL_ID = -(1 << 63)
 
@@ -343,7 +345,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     if not 8 <= gram <= length or length - gram + 1 > 64:
         raise ValueError("gram must be from 8 to length, and a run at most 64 windows")
     shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunks = chunked(docs, doc_id, text)
+    chunks = chunked(docs, doc_id, text, size=CHUNK_BYTES)
     flags = stored(repeated(minimisers(chunks, shards, length, gram)), "flags")
     asked = stored(with_answers(chunks, flags), "asked")
     masks = stored(judged(candidate_runs(asked, shards, length, gram), length, gram), "masks")
@@ -355,35 +357,30 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 s, _, _, _ = _candidates(r, r["answers"], shards, length, gram)
                 m = [unpack(x["blob"], _U) for x in r["masks"] or []]
                 m = np.concatenate(m) if m else np.zeros(0, _U)
-                cover = np.zeros(len(r["buf"]) + 1, dtype=np.int32)
+                buf, offs = r["buf"], r["offs"]
+                starts = np.zeros(len(buf) + length, dtype=np.int32)  # windows to remove, shifted by ``length``
                 for o in range(length - gram + 1):
-                    at = s[(m >> _U(o) & _U(1)) == 1] + o
-                    np.add.at(cover, at, 1)
-                    np.add.at(cover, at + length, -1)
-                gone = np.cumsum(cover[:-1]) > 0
-                offs = r["offs"]
-                begin = gone.copy()
+                    starts[s[(m >> _U(o) & _U(1)) == 1] + o + length] = 1
+                np.cumsum(starts, out=starts)
+                gone = starts[length:] > starts[:len(buf)]  # a window starts among the last ``length`` bytes
+                begin, finish = gone.copy(), gone.copy()
                 begin[1:] &= ~gone[:-1]
-                inner = offs[:-1][np.diff(offs) > 0]
-                begin[inner] = gone[inner]
-                finish = gone.copy()
                 finish[:-1] &= ~gone[1:]
-                last = offs[1:][np.diff(offs) > 0] - 1
-                finish[last] = gone[last]
+                full = np.diff(offs) > 0  # spans end with their text
+                begin[offs[:-1][full]] = gone[offs[:-1][full]]
+                finish[offs[1:][full] - 1] = gone[offs[1:][full] - 1]
                 x, y = np.flatnonzero(begin), np.flatnonzero(finish) + 1
                 of = np.searchsorted(offs, x, side="right") - 1
-                n = len(offs) - 1
-                first = np.searchsorted(of, np.arange(n + 1))
-                kept, spans = [], []
-                for i in range(n):
-                    lo, hi = int(offs[i]), int(offs[i + 1])
-                    kept.append(r["buf"][lo:hi][~gone[lo:hi]].tobytes())
-                    spans.append([{"from": int(p) - lo, "to": int(q) - lo} for p, q in zip(x[first[i]:first[i + 1]], y[first[i]:first[i + 1]])])
+                first = np.searchsorted(of, np.arange(len(offs)))
+                left = np.concatenate([[0], np.cumsum(~gone, dtype=np.int64)])[offs]
+                kept = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offs) - 1, [
+                    None, pa.py_buffer(left.astype(np.int64).tobytes()), pa.py_buffer(buf[~gone].tobytes())])
+                spans = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.StructArray.from_arrays(
+                    [pa.array(x - offs[of]), pa.array(y - offs[of])], names=["from", "to"]))
                 total = np.diff(offs)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(r["doc_ids"], pa.int64()), pa.array(total), pa.array([len(s) for s in spans], pa.int64()),
-                     pa.array(total - np.array([len(k) for k in kept], dtype=np.int64)), pa.array(kept, pa.binary()),
-                     pa.array(spans, pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())])))],
+                    [pa.array(r["doc_ids"], pa.int64()), pa.array(total), pa.array(np.diff(first)),
+                     pa.array(total - np.diff(left)), kept.cast(pa.binary()), spans],
                     names=["doc_id", "n_bytes", "n_spans", "n_removed", "kept", "spans"])
     return (asked.join(marks, "chunk", "left").mapInArrow(
         cut, "doc_id long, n_bytes long, n_spans long, n_removed long, kept binary, spans array<struct<from: long, to: long>>"))
