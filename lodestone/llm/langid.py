@@ -8,9 +8,10 @@ language with the smallest sum of sizes wins: its dictionary already holds the
 strings the text is made of.  Texts whose margin to the second language is
 narrow are marked ``accepted = false``.
 
-Learning reads a bounded sample: ``SAMPLES`` texts per language, those with the
-smallest hash of the id in each of ``SAMPLES`` hash classes, up to
-``DICT_BYTES`` bytes per language.  Prediction reads every whole text.
+Learning uses a bounded sample: ``SAMPLES`` texts per language, those with the
+smallest hash of the id in each of ``SAMPLES`` hash classes, at most
+``SAMPLE_CHARS`` characters of each and ``DICT_BYTES`` bytes per language.
+Prediction reads every whole text.
 
 Defined results: null text, or text without a letter: ``und``, score 0, not
 accepted; equal sizes: the language with more training rows, then the smaller
@@ -34,6 +35,7 @@ from lodestone.llm.common import narrow
 
 SAMPLES = 96
 DICT_BYTES = 96 * 1024
+SAMPLE_CHARS = 4 * DICT_BYTES // SAMPLES
 BLOCK = 4096
 LEVEL = 5
 MARGIN = 0.02
@@ -59,10 +61,9 @@ def learn(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
     for r in picked:
         totals[r["lang"]] = totals.get(r["lang"], 0) + r["n"]
     chosen = docs.sparkSession.createDataFrame([(r["lang"], r["slot"], r["h"]) for r in picked], "lang string, slot long, h long")
-    # of a long text a slot's share of the dictionary is used; ties of the hash take the smallest text
-    share = 4 * DICT_BYTES // SAMPLES
+    # ties of the hash take the smallest text
     texts = (rows.join(F.broadcast(chosen), ["lang", "slot", "h"])
-             .groupBy("lang", "slot").agg(F.min(F.substring("text", 1, share)).alias("t")).collect())
+             .groupBy("lang", "slot").agg(F.min(F.substring("text", 1, SAMPLE_CHARS)).alias("t")).collect())
     out = []
     for name in sorted(totals, key=lambda k: (-totals[k], k)):
         parts = sorted((letters(r["t"]).encode() for r in texts if r["lang"] == name), key=len)
