@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 
 U64 = np.uint64
@@ -82,10 +83,22 @@ def text_buffer(col) -> tuple[np.ndarray, np.ndarray]:
     return buf[offs[0]:offs[-1]], offs - offs[0]
 
 
+def text_parts(col, limit: int = 2 << 20):
+    """A text column in parts of about ``limit`` bytes: (first row, last row + 1,
+    part)."""
+    sizes = np.asarray(pc.binary_length(col).fill_null(0)).astype(np.int64)
+    ends, i = np.cumsum(sizes), 0
+    while i < len(col):
+        done = int(ends[i - 1]) if i else 0
+        j = max(i + 1, int(np.searchsorted(ends, done + limit, side="right")))
+        yield i, j, col.slice(i, j - i)
+        i = j
+
+
 def slices(batch: pa.RecordBatch, sizes: np.ndarray, limit: int):
     """A batch in parts of about ``limit`` units, so that the working arrays of
     a part stay small (a larger row is a part of its own)."""
-    ends, i = np.cumsum(sizes), 0
+    ends, i = np.cumsum(sizes, dtype=np.int64), 0
     while i < batch.num_rows:
         done = int(ends[i - 1]) if i else 0
         j = max(i + 1, int(np.searchsorted(ends, done + limit, side="right")))

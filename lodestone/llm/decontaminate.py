@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.arrays import NOT_ALNUM, Words, gram_hash, text_buffer
+from lodestone.llm.arrays import NOT_ALNUM, Words, gram_hash, text_buffer, text_parts
 from lodestone.llm.common import filtered, narrow
 
 SHINGLE = 5
@@ -97,6 +97,13 @@ class Index:
                         found[w, i] = int((prints[w] != self.print[i]).sum())
         return [(w, i, d) for (w, i), d in found.items() if d <= self.radius]
 
+    def search_texts(self, col, least: float) -> dict[tuple[int, int], tuple[float, int, int]]:
+        """``search`` over a text column, part by part."""
+        out: dict[tuple[int, int], tuple[float, int, int]] = {}
+        for a, _, part in text_parts(col):
+            out.update({(a + d, i): v for (d, i), v in self.search(_words(part), least).items()})
+        return out
+
     def search(self, words: Words, least: float) -> dict[tuple[int, int], tuple[float, int, int]]:
         """(document, item) -> (similarity, distance, first word) of the best window."""
         out: dict[tuple[int, int], tuple[float, int, int]] = {}
@@ -165,7 +172,7 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
             ids, words = shared.value
             index = Index(words)
             for b in batches:
-                found = index.search(_words(b.column(1)), least)
+                found = index.search_texts(b.column(1), least)
                 keys = sorted(found)
                 yield pa.RecordBatch.from_arrays([
                     b.column(0).take(pa.array([d for d, _ in keys], pa.int64())),
@@ -190,7 +197,7 @@ def drop_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: s
             if "index" not in held:
                 held["index"] = Index(shared.value[1])
             mask = np.ones(b.num_rows, bool)
-            mask[[d for d, _ in held["index"].search(_words(b.column(at)), least)]] = False
+            mask[[d for d, _ in held["index"].search_texts(b.column(at), least)]] = False
             return mask
         docs = filtered(docs, clean)
     return docs

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.arrays import SPACE, Words, gram_hash, pieces, text_buffer
+from lodestone.llm.arrays import SPACE, Words, gram_hash, pieces, text_buffer, text_parts
 from lodestone.llm.common import filtered, narrow
 
 BUCKETS = 1 << 16
@@ -120,17 +120,16 @@ def features(docs: DataFrame) -> DataFrame:
     their shares of its features as float32, both as bytes."""
     def run(batches):
         for b in batches:
-            buf, offs = text_buffer(b.column(1))
-            n = len(offs) - 1
-            keys = [d * BUCKETS + k for d, k in bucket_stream(buf, offs)]
-            u, c = np.unique(np.concatenate(keys), return_counts=True) if keys else (np.zeros(0, np.int64),) * 2
-            cut = np.searchsorted(u, np.arange(n + 1) * BUCKETS)
-            k = (u % BUCKETS).astype(np.int32)
-            rows = [(k[s:e].tobytes(), (c[s:e] / max(c[s:e].sum(), 1)).astype(np.float32).tobytes())
-                    for s, e in zip(cut[:-1], cut[1:])]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r[0] for r in rows], pa.binary()),
-                                              pa.array([r[1] for r in rows], pa.binary())],
-                                             names=["doc_id", "buckets", "weights"])
+            for i, j, part in text_parts(b.column(1)):
+                keys = [d * BUCKETS + k for d, k in bucket_stream(*text_buffer(part))]
+                u, c = np.unique(np.concatenate(keys), return_counts=True)
+                cut = np.searchsorted(u, np.arange(j - i + 1) * BUCKETS)
+                k = (u % BUCKETS).astype(np.int32)
+                rows = [(k[s:e].tobytes(), (c[s:e] / max(c[s:e].sum(), 1)).astype(np.float32).tobytes())
+                        for s, e in zip(cut[:-1], cut[1:])]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array([r[0] for r in rows], pa.binary()),
+                                                  pa.array([r[1] for r in rows], pa.binary())],
+                                                 names=["doc_id", "buckets", "weights"])
     return narrow(docs, doc_id="doc_id", text="text").mapInArrow(run, "doc_id long, buckets binary, weights binary")
 
 
@@ -181,12 +180,11 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: Column, size: int = SA
 
 def batch_scores(weight: np.ndarray, offset: float, col) -> np.ndarray:
     """The probability of class 1 for every text of an Arrow column."""
-    buf, offs = text_buffer(col)
-    n = len(offs) - 1
-    total, count = np.zeros(n), np.zeros(n)
-    for d, k in bucket_stream(buf, offs):
-        total += np.bincount(d, weights=weight[k], minlength=n)
-        count += np.bincount(d, minlength=n)
+    total, count = np.zeros(len(col)), np.zeros(len(col))
+    for i, j, part in text_parts(col):
+        for d, k in bucket_stream(*text_buffer(part)):
+            total[i:j] += np.bincount(d, weights=weight[k], minlength=j - i)
+            count[i:j] += np.bincount(d, minlength=j - i)
     z = total / np.maximum(count, 1) + offset
     return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
