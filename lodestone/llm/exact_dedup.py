@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from lodestone.llm.arrays import text_buffer
 from lodestone.llm.common import narrow, stored
+from lodestone.session import join_small
 
 COUNTERS = 1024
 _FOLD = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -95,28 +96,22 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
 def drop_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     counters: int = COUNTERS) -> DataFrame:
-    """The input rows that stay, with all their columns.  The texts move once,
-    to meet the list of kept ids; of fully repeated rows one is taken."""
-    kept = stored(exact_duplicates(docs, doc_id, text, counters).where("kept").select("doc_id", "text_sha256"), "kept")
-    return keep_listed(docs, kept, doc_id, text)
-
-
-def keep_listed(docs: DataFrame, kept: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Rows of ``docs`` whose (id, normalised text) is listed in ``kept``
-    (doc_id, text_sha256); a repeated row stays once.  Ids that occur once, the
-    usual case, need no look at the text."""
+    """The input rows that stay, with all their columns.  The list of ids that
+    go meets the texts where they are scanned when its bytes allow, else by one
+    shuffle; of fully repeated rows one is taken."""
+    decided = stored(exact_duplicates(docs, doc_id, text, counters).select("doc_id", "kept", "text_sha256"), "decided")
     cols = [F.col(f"`{c}`") for c in docs.columns]
     whole = docs.select(F.struct(*cols).alias("r"), F.col(f"`{doc_id}`").cast("long").alias("i"))
-    repeated = stored(docs.groupBy(F.col(f"`{doc_id}`").cast("long").alias("t")).agg(F.count(F.lit(1)).alias("c"))
+    repeated = stored(decided.groupBy(F.col("doc_id").alias("t")).agg(F.count(F.lit(1)).alias("c"))
                       .where("c > 1").select("t"), "repeated")
-    ids = kept.select(F.col("doc_id").alias("k"), F.col("text_sha256").alias("h"))
-    if repeated.isEmpty():
-        return whole.join(ids.hint("shuffle_hash"), F.col("i").eqNullSafe(F.col("k")), "left_semi").select("r.*")
+    gone = decided.where("not kept").select(F.col("doc_id").alias("k")).distinct()
+    if repeated.isEmpty():  # the usual case: an id names a row
+        return join_small(whole, gone, F.col("i").eqNullSafe(F.col("k")), "left_anti").select("r.*")
     once = F.col("i").eqNullSafe(F.col("t"))
-    lone = (whole.join(repeated, once, "left_anti")
-            .join(ids.hint("shuffle_hash"), F.col("i").eqNullSafe(F.col("k")), "left_semi"))
-    again = (whole.join(repeated, once, "left_semi").withColumn("s", sha_of(F.col("r").getField(text)))
-             .join(ids, F.col("i").eqNullSafe(F.col("k")) & (F.col("s") == F.col("h")))
+    lone = (join_small(join_small(whole, repeated, once, "left_anti"), gone, F.col("i").eqNullSafe(F.col("k")), "left_anti"))
+    stays = decided.where("kept").select(F.col("doc_id").alias("k"), F.col("text_sha256").alias("h"))
+    again = (join_small(whole, repeated, once, "left_semi").withColumn("s", sha_of(F.col("r").getField(text)))
+             .join(stays, F.col("i").eqNullSafe(F.col("k")) & (F.col("s") == F.col("h")))
              .groupBy("i", "h").agg(F.first("r").alias("r")))
     return lone.select("r").unionByName(again.select("r")).select("r.*")
 
