@@ -41,17 +41,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.arrays import Words, doc_grams, mix64, pack, shard_of, slices, text_buffer, unpack
+from lodestone.llm.arrays import Words, doc_grams, mix64, pack, shard_of, slices, text_buffer, text_parts, unpack
 from lodestone.llm.common import narrow, stored
-from lodestone.llm.components import connected_components
+from lodestone.llm.components import connected_components, stars
 from lodestone.session import join_small
 
 WORDS = 4
 PERCENT = 85
 #: Elements of the sets that are joined in one task.
-BLOCK = 4_000_000
+BLOCK = 2_000_000
 #: Text that is hashed at a time.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 4 << 20
 FANOUT = 8
 _U = np.uint64
 
@@ -72,6 +72,15 @@ def batch_sets(col, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(sets) if sets else np.zeros(0, _U), first
 
 
+def row_sets(col, n: int) -> list[np.ndarray]:
+    """The set of every text, read part by part."""
+    out = []
+    for _, _, part in text_parts(col, SLICE_BYTES):
+        elements, first = batch_sets(part, n)
+        out += [elements[a:b].copy() for a, b in zip(first[:-1], first[1:])]
+    return out
+
+
 def digest(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
@@ -145,8 +154,9 @@ _SCAN = "doc_id long, n long, digest binary, cls long, shard int, blob binary"
 
 
 def scan_documents(docs: DataFrame, doc_id: str, text: str, n: int, percent: int, shards: int) -> DataFrame:
-    """One pass over the texts: a row per document (doc_id, n, digest, cls) and
-    rows of packed signatures per shard."""
+    """One pass over the texts: a row per document (doc_id, n, digest, cls),
+    addressed to shards of their own (``shards`` and on), and rows of packed
+    signatures per shard."""
     def parts(batches):
         for b in batches:
             yield from slices(b, np.asarray(pc.binary_length(b.column(1)).fill_null(0)), SLICE_BYTES)
@@ -160,7 +170,8 @@ def scan_documents(docs: DataFrame, doc_id: str, text: str, n: int, percent: int
             cls = [class_key(x) for x in d]
             null = pa.nulls
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), pa.array(d, pa.binary()), pa.array(cls, pa.int64()),
-                                              null(m, pa.int32()), null(m, pa.binary())], names=_names(_SCAN))
+                                              pa.array([shards + c % shards for c in cls], pa.int32()), null(m, pa.binary())],
+                                             names=_names(_SCAN))
             one = {c: i for i, (c, known) in enumerate(zip(cls, b.column(0).is_valid().to_pylist())) if known}
             keep = np.array(sorted(one.values()), dtype=np.int64)
             sub = np.concatenate([elements[first[i]:first[i + 1]] for i in keep]) if len(keep) else elements[:0]
@@ -201,8 +212,21 @@ def _split(blob: bytes) -> list[bytes]:
     return out
 
 
-def chains(blobs: DataFrame, percent: int) -> DataFrame:
-    """(a, b): classes that follow each other in size under a common signature."""
+_ROUTED = "doc_id long, n long, digest binary, cls long, a long, b long"
+
+
+def chains(scan: DataFrame, percent: int, shards: int) -> DataFrame:
+    """(a, b): classes that follow each other in size under a common signature,
+    as stars of the components they form in their shard.  Document rows pass as they are, so one shuffle carries both and the packed
+    signatures are never stored."""
+    def route(table: pa.Table) -> pa.Table:
+        if table["shard"][0].as_py() < shards:
+            pairs = run(table)  # at most a link per class
+            blank = {c: pa.nulls(len(pairs), table.schema.field(c).type) for c in ("doc_id", "n", "digest", "cls")}
+            return pa.table({**blank, "a": pairs["a"], "b": pairs["b"]})
+        none = pa.nulls(len(table), pa.int64())
+        return table.select(["doc_id", "n", "digest", "cls"]).append_column("a", none).append_column("b", none)
+
     def run(table: pa.Table) -> pa.Table:
         sig, cls, size = [], [], []
         for blob in table["blob"].to_pylist():
@@ -221,9 +245,9 @@ def chains(blobs: DataFrame, percent: int) -> DataFrame:
         o = o[np.lexsort((cls[o], size[o], sig[o]))]
         s, c, n = sig[o], cls[o], size[o]
         near = (s[1:] == s[:-1]) & (c[1:] != c[:-1]) & (100 * n[:-1] >= percent * n[1:])
-        pairs = np.unique(np.stack([np.minimum(c[:-1], c[1:])[near], np.maximum(c[:-1], c[1:])[near]]), axis=1)
-        return pa.table({"a": pairs[0], "b": pairs[1]})
-    return blobs.groupBy("shard").applyInArrow(run, "a long, b long")
+        a, b = stars(c[:-1][near], c[1:][near])
+        return pa.table({"a": a, "b": b})
+    return scan.groupBy("shard").applyInArrow(route, _ROUTED)
 
 
 class UnionFind:
@@ -351,13 +375,14 @@ def _block_links(percent: int, n: int, two_sided: bool):
     """Task function: rows (task, label, side, comp, doc_id, digest, text) to
     the links (a, b) of a spanning forest of each label's components."""
     def run(table: pa.Table) -> pa.Table:
-        elements, first = batch_sets(table["text"], n)
+        sets = row_sets(table["text"], n)
+        table = table.drop_columns("text")
         ids = table["doc_id"].to_pylist()
         label, want = table["label"].to_pylist(), table["digest"].to_pylist()
         side, known = table["side"].to_numpy(), table["comp"].to_pylist()
         rows: dict[int, dict[int, int]] = {}
         for i, (l, d) in enumerate(zip(label, want)):
-            if digest(elements[first[i]:first[i + 1]]) == d:  # an id may stand at two texts
+            if digest(sets[i]) == d:  # an id may stand at two texts
                 rows.setdefault(l, {}).setdefault(ids[i], i)
         a, b = [], []
         for own in rows.values():
@@ -367,7 +392,7 @@ def _block_links(percent: int, n: int, two_sided: bool):
                 one: dict = {}
                 for k, i in enumerate(at):
                     uf.union(one.setdefault(known[i], k), k)
-            uf = join_block([elements[first[i]:first[i + 1]] for i in at], percent, side[at] if two_sided else None, uf)
+            uf = join_block([sets[i] for i in at], percent, side[at] if two_sided else None, uf)
             for k, r in enumerate(uf.roots().tolist()):
                 if r != k:
                     a.append(ids[at[k]])
@@ -382,9 +407,9 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     set, the smallest id reachable by links, the smallest id with an equal set."""
     spark = docs.sparkSession
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    scan = stored(scan_documents(docs, doc_id, text, words, percent, shards), "scan")
-    rows = scan.where("shard is null").select("doc_id", "n", "digest", "cls")
-    pairs = stored(chains(scan.where("shard is not null").select("shard", "blob"), percent), "chains")
+    routed = stored(chains(scan_documents(docs, doc_id, text, words, percent, shards), percent, shards), "scan")
+    rows = routed.where("a is null").select("doc_id", "n", "digest", "cls")
+    pairs = routed.where("a is not null").select("a", "b")
     classes = stored(rows.where("n > 0 and doc_id is not null").groupBy("digest")
                      .agg(F.min("doc_id").alias("class_id"), F.first("n").alias("n"), F.first("cls").alias("cls")), "classes")
     label = connected_components(pairs).select(F.col("node").alias("cls"), F.col("component").alias("label"))
@@ -408,7 +433,7 @@ def _member_links(docs, members, doc_id, text, words, percent, block) -> DataFra
     whole = members.agg(F.sum("n").alias("n"), F.max("cuts").alias("cuts")).first()
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(whole["n"] or 0) // block))
     src = narrow(docs, doc_id=F.col(f"`{doc_id}`").cast("long"), text=text)
-    held = stored(join_small(src, members.withColumnRenamed("class_id", "doc_id"), "doc_id"), "texts")
+    held = join_small(src, members.withColumnRenamed("class_id", "doc_id"), "doc_id")
     columns = ["task", "label", "side", "comp", "doc_id", "digest", "text"]
     first = held.withColumn("task", F.pmod(F.xxhash64("label", "part"), F.lit(tasks))).withColumn("side", F.lit(0)).withColumn("comp", F.lit(0).cast("long"))
     links = stored(first.select(columns).groupBy("task").applyInArrow(_block_links(percent, words, False), "a long, b long"), "links")
@@ -441,4 +466,4 @@ def near_duplicate_survivors(docs: DataFrame, doc_id: str = "doc_id", text: str
     All columns are returned."""
     comp = jaccard_components(docs, doc_id, text, words, percent)
     gone = stored(comp.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "gone")
-    return docs.join(gone.hint("shuffle_hash"), docs[f"`{doc_id}`"] == gone["gone"], "left_anti")
+    return join_small(docs, gone, docs[f"`{doc_id}`"] == gone["gone"], "left_anti")
