@@ -22,28 +22,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm import decontaminate, exact_dedup, ngram_join, quality, sentencepiece_scan
-from lodestone.llm.common import fold_of, read_table, stored
+from lodestone.llm.common import fold_of, read_table, small_batches, stored
 from lodestone.llm.queries import piece_model
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     model = quality.learn(docs, read_table(spark, sf_dir, "labels"), fold_of("doc_id", 5) != 0)
     return quality.keep_good(docs, model)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return exact_dedup.drop_duplicates(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return ngram_join.near_duplicate_survivors(docs, words=5, percent=80)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return decontaminate.drop_leaks(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     encoded = sentencepiece_scan.encode(docs, piece_model())
     return (sentencepiece_scan.decode(encoded, piece_model())
             .select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"),

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from lodestone.session import read_table, scratch_path
 
-__all__ = ["read_table", "stored", "narrow", "filtered", "fold_of", "split_count"]
+__all__ = ["read_table", "stored", "narrow", "filtered", "fold_of", "small_batches"]
+
+BATCH_ROWS = 1000
 
 
 def stored(df: DataFrame, *name: str) -> DataFrame:
@@ -41,6 +43,10 @@ def fold_of(doc_id, n: int):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % n
 
 
-def split_count(spark: SparkSession, size: int, target: int, least: int = 1) -> int:
-    """How many splits hold ``size`` units at about ``target`` each."""
-    return max(least, -(-int(size) // int(target)))
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Let at most ``rows`` rows travel to Python at a time in this session: with
+    whole texts in the rows, Spark's default of 10,000 makes batches of tens
+    of megabytes on both sides of every running task."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))

@@ -22,7 +22,8 @@ traversed together; a pair is pruned when the most its sets can overlap, the
 common bits plus the smaller surplus, or the smaller size, is less than a link
 needs, and also when both lie in one component already, so a group of near
 copies costs about as many comparisons as it has members.  Surviving leaves are
-compared exactly.  Blocks larger than ``BLOCK`` elements are cut by hash; parts
+compared exactly.  Blocks larger than ``BLOCK`` elements are divided into groups of
+neighbouring size intervals, and groups still larger are cut by hash; parts
 that did not grow together are compared part against part, the rest need not be.
 
 Defined results: null, empty and blank texts have size 0 and link to nothing;
@@ -49,7 +50,7 @@ from lodestone.session import join_small
 WORDS = 4
 PERCENT = 85
 #: Elements of the sets that are joined in one task.
-BLOCK = 2_000_000
+BLOCK = 8_000_000
 #: Text that is hashed at a time.
 SLICE_BYTES = 4 << 20
 FANOUT = 8
@@ -425,8 +426,22 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
             .withColumn("class_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id"))))
 
 
+def _by_size(members: DataFrame, percent: int, block: int) -> DataFrame:
+    """Labels larger than a block fall into groups of two neighbouring size
+    intervals: linked sets share a group, and a set is in two."""
+    largest = members.agg(F.max("n").alias("n")).first()["n"] or 1
+    low = F.array(*[F.lit(int(x)) for x in Intervals(percent, largest).low])
+    own = F.size(F.filter(low, lambda t: t <= F.col("n"))) - 1
+    total = members.groupBy("label").agg(F.sum("n").alias("total"))
+    groups = F.when(F.col("total") > block, F.array(own, own - 1)).otherwise(F.array(F.lit(-1)))
+    return (members.join(total, "label").withColumn("own", F.explode(groups))
+            .withColumn("label", F.when(F.col("total") > block, F.xxhash64("label", "own")).otherwise(F.col("label")))
+            .drop("total", "own"))
+
+
 def _member_links(docs, members, doc_id, text, words, percent, block) -> DataFrame:
     """Links of a spanning forest between class representatives."""
+    members = _by_size(members, percent, block)
     total = members.groupBy("label").agg(F.sum("n").alias("total"))
     members = members.join(total, "label").withColumn("cuts", F.ceil(F.col("total") / block).cast("int"))
     members = stored(members.withColumn("part", F.pmod(F.xxhash64("class_id"), F.col("cuts")).cast("int")), "parts")
