@@ -35,10 +35,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm import rans
-from lodestone.llm.arrays import SPACE, Remembered, _byte_codes, ragged, text_buffer, tiled_hash, worker_cache
+from lodestone.llm.arrays import SPACE, Remembered, _byte_codes, ragged, text_buffer, text_parts, tiled_hash, worker_cache
 from lodestone.llm.common import narrow, stored
 
 RUN = 1 << 18
+#: Text that is tokenised at a time.
+PART_BYTES = 6 << 20
 #: Distinct units a worker remembers (about 40 bytes each).
 REMEMBERED = 1_500_000
 
@@ -159,22 +161,23 @@ def token_runs(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc_
             if not n:
                 continue
             part = b.column(0)[0].as_py()
-            ids, sizes = enc.batch(*text_buffer(b.column(2)), end_id)
-            names = b.column(1).to_pylist()
-            ends = np.cumsum(sizes)
-            rows = []
-            for a in range(0, len(ids), run):
-                z = min(a + run, len(ids))
-                i, j = int(np.searchsorted(ends, a, side="right")), int(np.searchsorted(ends, z))
-                lows = np.maximum(ends[i:j + 1] - sizes[i:j + 1], a)
-                rows.append((part, at + a, names[i:j + 1], (np.minimum(ends[i:j + 1], z) - lows).tolist(),
-                             at + int(ends[i] - sizes[i]), bool(ends[j] > z), bool(ends[i] - sizes[i] < a),
-                             ids[a:z].astype("<u4").tobytes()))
-            at += len(ids)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[k] for r in rows], t) for k, t in enumerate(
-                    (pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.bool_(), pa.bool_(), pa.binary()))],
-                names=["part", "at", "doc_ids", "n_tokens", "doc_start", "goes_on", "went_on", "ids"])
+            for i0, i1, texts in text_parts(b.column(2), PART_BYTES):
+                ids, sizes = enc.batch(*text_buffer(texts), end_id)
+                names = b.column(1).slice(i0, i1 - i0).to_pylist()
+                ends = np.cumsum(sizes)
+                rows = []
+                for a in range(0, len(ids), run):
+                    z = min(a + run, len(ids))
+                    i, j = int(np.searchsorted(ends, a, side="right")), int(np.searchsorted(ends, z))
+                    lows = np.maximum(ends[i:j + 1] - sizes[i:j + 1], a)
+                    rows.append((part, at + a, names[i:j + 1], (np.minimum(ends[i:j + 1], z) - lows).tolist(),
+                                 at + int(ends[i] - sizes[i]), bool(ends[j] > z), bool(ends[i] - sizes[i] < a),
+                                 ids[a:z].astype("<u4").tobytes()))
+                at += len(ids)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[k] for r in rows], t) for k, t in enumerate(
+                        (pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.bool_(), pa.bool_(), pa.binary()))],
+                    names=["part", "at", "doc_ids", "n_tokens", "doc_start", "goes_on", "went_on", "ids"])
     return ordered.mapInArrow(tokenise, _RUNS)
 
 
