@@ -40,9 +40,9 @@ from lodestone.llm.common import narrow, stored
 MARK = 0x2581
 LITERAL = 0x110000 + MARK  # a mark that was in the text
 CHUNK = 1 << 16
-GROUP_BYTES = 2 << 20
-GROUP_IDS = 400_000
-REMEMBERED = 1_500_000
+GROUP_BYTES = 1 << 20
+GROUP_IDS = 200_000
+REMEMBERED = 300_000
 NONE = -np.inf
 _UNKNOWN_PENALTY = 10.0
 _MUL = np.uint64(0x9E3779B97F4A7C15)
