@@ -54,6 +54,8 @@ BLOCK = 8_000_000
 #: Text that is hashed at a time.
 SLICE_BYTES = 4 << 20
 FANOUT = 8
+#: Orders in which neighbours are compared before the tree is.
+ORDERS = 4
 _U = np.uint64
 
 
@@ -333,7 +335,7 @@ def join_block(sets: list[np.ndarray], percent: int, side: np.ndarray | None = N
             if uf.root(i) != uf.root(j) and linked(sets[i], sets[j], percent):
                 uf.union(i, j)
     # near copies have smallest elements in common: neighbours in such orders first
-    for salt in range(4 if len(sets) > 3 else 0):
+    for salt in range(ORDERS if len(sets) > 3 else 0):
         low = [int((s * _U(2 * salt + 1) ^ _U(salt * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)).min()) for s in sets]
         o = np.lexsort(([len(s) for s in sets], low)).tolist()
         test(zip(o, o[1:]))
@@ -454,24 +456,33 @@ def _member_links(docs, members, doc_id, text, words, percent, block) -> DataFra
     links = stored(first.select(columns).groupBy("task").applyInArrow(_block_links(percent, words, False), "a long, b long"), "links")
     if (whole["cuts"] or 0) <= 1:
         return links
-    # labels cut in parts: the largest component against the rest, and the rest among itself
+    cut = stored(_second_pass(held, links, block), "cut")
+    more = stored(cut.select(columns).groupBy("task").applyInArrow(_block_links(percent, words, True), "a long, b long"), "more")
+    return links.unionByName(more)
+
+
+def _second_pass(held: DataFrame, links: DataFrame, block: int) -> DataFrame:
+    """Rows of the labels cut in parts with the tasks of their second pass: the
+    largest component against the rest, and the rest among itself.  Two rows of
+    a label meet in a task on different sides unless the first pass has them in
+    one part or both are of the largest component."""
     comp = connected_components(links).select(F.col("node").alias("doc_id"), F.col("component").alias("comp"))
     cut = held.where("cuts > 1").join(comp, "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
     counts = cut.groupBy("label", "comp").agg(F.count(F.lit(1)).alias("c"))
     main = counts.groupBy("label").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"))
-    cut = stored(cut.join(main, "label").withColumn("rest", F.col("comp") != F.col("main")), "cut")
+    cut = stored(cut.join(main, "label").withColumn("rest", F.col("comp") != F.col("main")), "rest")
     rest_cuts = cut.where("rest").groupBy("label").agg(F.ceil(F.sum("n") / block).cast("int").alias("rest_cuts"))
     cut = cut.join(rest_cuts, "label")
     me = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.col("rest_cuts")).cast("int")
     # a task is a part of the rest and any other part; the rest is copied to all parts it meets
-    as_rest = cut.where("rest").withColumn("p", me).withColumn("q", F.explode(F.expr("sequence(0, cuts + rest_cuts - 1)"))).withColumn("side", F.lit(0))
+    # a part of the rest that meets itself has the parts of the first pass as sides
+    as_rest = (cut.where("rest").withColumn("p", me).withColumn("q", F.explode(F.expr("sequence(0, cuts + rest_cuts - 1)")))
+               .withColumn("side", F.when(F.col("q") == F.col("cuts") + F.col("p"), F.col("part")).otherwise(0)))
     as_main = cut.where("not rest").withColumn("q", F.col("part")).withColumn("p", F.explode(F.expr("sequence(0, rest_cuts - 1)"))).withColumn("side", F.lit(1))
     rest_too = (cut.where("rest").withColumn("q", F.col("cuts") + me).withColumn("p", F.explode(F.expr("sequence(0, rest_cuts - 1)")))
                 .where(F.col("p") < me).withColumn("side", F.lit(2)))
     both = as_rest.unionByName(as_main).unionByName(rest_too)
-    both = both.withColumn("task", F.xxhash64("label", "p", "q"))
-    more = stored(both.select(columns).groupBy("task").applyInArrow(_block_links(percent, words, True), "a long, b long"), "more")
-    return links.unionByName(more)
+    return both.withColumn("task", F.xxhash64("label", "p", "q"))
 
 
 def near_duplicate_survivors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5,

@@ -127,3 +127,35 @@ def test_survivors(spark):
 def test_empty(spark):
     assert J.jaccard_components(empty(spark)).count() == 0
     assert J.near_duplicate_survivors(empty(spark)).count() == 0
+
+
+def test_second_pass_meets_every_pair_of_the_rest(spark, monkeypatch):
+    """A label cut in parts with many families besides its largest component,
+    by the trees alone (no neighbour orders)."""
+    monkeypatch.setattr(J, "ORDERS", 0)
+    rnd = random.Random(4)
+    voc = [f"w{i}" for i in range(3000)]
+    texts = []
+    for _ in range(30):
+        base = [rnd.choice(voc) for _ in range(60)]
+        texts += [" ".join(base[:k] + [rnd.choice(voc)] + base[k:]) for k in (0, 60)]
+    main = " ".join(rnd.choice(voc) for _ in range(60))
+    texts += [main + f" m{i}" for i in range(8)]
+    sets = J.row_sets(__import__("pyarrow").array(texts), 4)
+    for cuts, rest_cuts in ((2, 1), (4, 3)):
+        rest_n = sum(map(len, sets[:60]))
+        rows = [(i, 7, i // 2 % cuts if i % 2 else (i // 2 + 1) % cuts, cuts, len(sets[i]), J.digest(sets[i]), t) for i, t in enumerate(texts)]
+        held = spark.createDataFrame(rows, "doc_id long, label long, part int, cuts int, n long, digest binary, text string")
+        links = spark.createDataFrame([(i, 60) for i in range(61, 68)], "a long, b long")
+        got = J._second_pass(held, links, -(-rest_n // rest_cuts))
+        met, found = set(), set()
+        table = got.select("task", "label", "side", "comp", "doc_id", "digest", "text").toArrow()
+        for task in set(table["task"].to_pylist()):
+            part = table.filter(__import__("pyarrow.compute").compute.equal(table["task"], task))
+            who = list(zip(part["doc_id"].to_pylist(), part["side"].to_pylist()))
+            met |= {frozenset((a, b)) for (a, x), (b, y) in itertools.combinations(who, 2) if x != y}
+            out = J._block_links(85, 4, True)(part)
+            found |= {frozenset(p) for p in zip(out["a"].to_pylist(), out["b"].to_pylist())}
+        place = {r[0]: r[2] for r in rows}
+        assert all(frozenset(p) in met for p in itertools.combinations(range(60), 2) if place[p[0]] != place[p[1]])
+        assert {frozenset((i, i + 1)) for i in range(0, 60, 2)} <= found
