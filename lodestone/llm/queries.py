@@ -46,7 +46,7 @@ def byte_bpe() -> str:
 @query("op3_token_output")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
-    token_output.write_tokens(read_table(spark, sf_dir, "documents"), path, byte_bpe(), end_id=2)
+    token_output.write_tokens(read_table(spark, sf_dir, "documents"), path, byte_bpe(), end_id=2, added=True)
     return token_output.read_documents(spark, path)
 
 

@@ -16,7 +16,9 @@ run spans blocks, and its checksum is joined from those of its parts.
 
 Byte-level BPE never merges across the start of white space that follows
 another character, so a text is cut there into units and each distinct unit
-is encoded once per worker; the result equals encoding the whole text.
+is encoded once per worker; the result equals encoding the whole text.  An
+added token that stands literally in a text (``<|endoftext|>``) is its own id
+with ``added``, as the library has it, and the ids of its characters without.
 
 Defined results: null text is empty (its only id is the end id); null ids come
 first; repeated ids are ordered by their text; an empty table gives empty
@@ -26,6 +28,7 @@ files; other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -52,11 +55,16 @@ _KIND = np.array([1 if b < 128 and chr(b).isalpha() else 2 if 32 < b < 127 and n
 class UnitEncoder:
     """Token ids of whole batches, each distinct unit encoded once."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = not added
+        tokens = self.tok.get_added_tokens_decoder().values() if added else ()
+        if any(t.lstrip or t.rstrip or t.single_word for t in tokens):
+            raise ValueError("an added token that depends on what is around it")
+        names = sorted((t.content.encode() for t in tokens), key=len, reverse=True)
+        self.literal = re.compile(b"|".join(map(re.escape, names))) if names else None
         vocab = self.tok.get_vocab()
         self.width = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
         for t, i in vocab.items():
@@ -93,7 +101,7 @@ class UnitEncoder:
         """(ids of all texts one after another, number of ids per text), each
         text closed by ``end_id``."""
         n = len(offs) - 1
-        starts = self._units(buf, offs)
+        starts = self._apart(buf, offs, self._units(buf, offs))
         lens = np.diff(starts, append=len(buf))
         step = 100_000
         edges = np.append(starts, len(buf))
@@ -110,6 +118,17 @@ class UnitEncoder:
         out = [flat[ragged(begin[a:a + step], size[a:a + step])] for a in range(0, len(size), step)]
         return np.concatenate(out) if out else np.zeros(0, np.uint32), per_doc
 
+    def _apart(self, buf: np.ndarray, offs: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """The starts with every literal added token a unit of its own."""
+        raw = buf.tobytes() if self.literal else b""
+        if not raw or not self.literal.search(raw):
+            return starts
+        spans = np.array([m.span() for a, z in zip(offs[:-1].tolist(), offs[1:].tolist()) for m in self.literal.finditer(raw, a, z)],
+                         dtype=np.int64).reshape(-1, 2)
+        inside = np.searchsorted(spans[:, 0], starts, side="left") > np.searchsorted(spans[:, 1], starts, side="right")
+        ends = spans[:, 1]
+        return np.unique(np.concatenate([starts[~inside], spans[:, 0], ends[ends < len(buf)]]))
+
     @staticmethod
     def _units(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
         """Where units start: at texts, at white space after other characters
@@ -135,11 +154,11 @@ class UnitEncoder:
         return np.flatnonzero(cut)
 
 
-def _encoder(path: str) -> UnitEncoder:
+def _encoder(path: str, added: bool) -> UnitEncoder:
     held = worker_cache()
-    if ("units", path) not in held:
-        held["units", path] = UnitEncoder(path)
-    return held["units", path]
+    if ("units", path, added) not in held:
+        held["units", path, added] = UnitEncoder(path, added)
+    return held["units", path, added]
 
 
 _RUNS = ("part int, at long, doc_ids array<long>, n_tokens array<long>, doc_start long, "
@@ -147,7 +166,7 @@ _RUNS = ("part int, at long, doc_ids array<long>, n_tokens array<long>, doc_star
 
 
 def token_runs(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text",
-               run: int = RUN) -> DataFrame:
+               run: int = RUN, added: bool = False) -> DataFrame:
     """Runs of ids in ascending document order; ``at`` and ``doc_start`` count
     from the start of the partition ``part``."""
     src = narrow(docs, doc_id=F.col(f"`{doc_id}`").cast("long"), text=text)
@@ -155,7 +174,7 @@ def token_runs(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc_
                .select(F.spark_partition_id().alias("part"), "doc_id", "text"))
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, at = _encoder(tokenizer), 0
+        enc, at = _encoder(tokenizer, added), 0
         for b in batches:
             n = b.num_rows
             if not n:
@@ -197,10 +216,10 @@ def symbol_counts(runs: DataFrame) -> DataFrame:
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id: str = "doc_id",
-                 text: str = "text", run: int = RUN) -> None:
+                 text: str = "text", run: int = RUN, added: bool = False) -> None:
     """Write the file set below ``path``."""
     spark = docs.sparkSession
-    runs = stored(token_runs(docs, tokenizer, end_id, doc_id, text, run), "runs")
+    runs = stored(token_runs(docs, tokenizer, end_id, doc_id, text, run, added), "runs")
     counted = symbol_counts(runs).collect()  # at most one row per entry of the vocabulary
     table = rans.quantise(np.array([r["symbol"] for r in counted], dtype=np.int64),
                           np.array([r["n"] for r in counted], dtype=np.int64))

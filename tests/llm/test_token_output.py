@@ -63,3 +63,20 @@ def test_crc_of_joined_parts():
     a, b = b"x" * 1000, bytes(range(256)) * 9
     assert rans.crc32_combine(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
     assert rans.crc32_combine(zlib.crc32(a), zlib.crc32(b""), 0) == zlib.crc32(a)
+
+
+def test_literal_added_tokens_as_the_untouched_tokenizer(spark, tmp_path):
+    from tokenizers import Tokenizer
+    from lodestone.llm.queries import QUERIES
+    tok = Tokenizer.from_file(byte_bpe())
+    texts = ["end <|endoftext|>|", "<|endoftext|>", "<|endoftext|><|endoftext|> y", "x  <|endoftext|>  y\n", "don't<|endoftext|>'s a.b",
+             "<|endof", "text|> <|endoftext|", "> z", None, "", "plain text"]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(path)
+    got = sorted(map(tuple, QUERIES["op3_token_output"](spark, str(tmp_path)).collect()))
+    want, at = [], 0
+    for d, t in enumerate(texts):
+        ids = tok.encode(t or "", add_special_tokens=False).ids + [2]
+        want.append((d, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    assert got == want
