@@ -1,16 +1,19 @@
-"""SentencePiece encoding as a max-plus product, and decoding.
+"""SentencePiece encoding by merges or as a max-plus product, and decoding.
 
-The pieces and scores are those of a SentencePiece model; the segmentation is
+The pieces and scores are those of a SentencePiece model.  A model of merges
+(its type is BPE) is segmented in merge order, by the library, stretch by
+stretch; giant documents are split at cuts that no piece contains, so ids are
+the library's.  For any other model the segmentation is
 the one with the largest sum of piece scores (ties: the earlier, longer piece,
 as in a left-to-right Viterbi pass).  Spaces become the mark U+2581, one mark is put
 in front, unknown characters fall back to byte pieces.
 
 No piece has the mark after another character, so every mark that follows
 another character is a cut all segmentations share.  Between cuts, all distinct
-stretches of a batch run through one vectorised Viterbi pass side by side, and a
-worker remembers what it has seen.
+stretches of a batch run through one vectorised Viterbi pass side by side (or
+through the merges), and a worker remembers what it has seen.
 
-Giant documents (more than ``CHUNK`` characters) are split into chunks that are
+Without merges, giant documents (more than ``CHUNK`` characters) are split into chunks that are
 rows of their own.  A chunk's state is how many characters a piece reaches
 beyond its edge (0 .. K - 1, K the longest piece).  Its transfer matrix, the best score
 from every entering to every leaving state, is computed on its own;
@@ -61,6 +64,19 @@ def load_pieces(path: str) -> tuple[list[str], list[float], list[int], int]:
     return pieces, [sp.get_score(i) for i in range(n)], kind, sp.unk_id()
 
 
+def merge_model(path: str) -> bytes | None:
+    """A model of merges without the mark it puts in front (``code_points``
+    does that), None for other models."""
+    from sentencepiece import sentencepiece_model_pb2 as pb
+    m = pb.ModelProto()
+    with open(path, "rb") as f:
+        m.ParseFromString(f.read())
+    if m.trainer_spec.model_type != pb.TrainerSpec.BPE:
+        return None
+    m.normalizer_spec.add_dummy_prefix = False
+    return m.SerializeToString()
+
+
 def char_codes(cp: np.ndarray) -> np.ndarray:
     return (cp.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
 
@@ -85,7 +101,14 @@ def scan(mats: np.ndarray) -> np.ndarray:
 class Encoder:
     """Pieces as a hash table of all their prefixes, and the Viterbi pass."""
 
-    def __init__(self, pieces, scores, kind, unknown):
+    def __init__(self, pieces, scores, kind, unknown, merges: bytes | None = None):
+        self.merges = None
+        if merges is not None:
+            import sentencepiece
+            self.merges = sentencepiece.SentencePieceProcessor(model_proto=merges)
+            inside = {(ord(a), ord(b)) for p, k in zip(pieces, kind) if k == -1 for a, b in zip(p, p[1:])}
+            self.pairs = np.sort(np.array([a << 32 | b for a, b in inside], dtype=np.uint64))
+            self.known = {ord(c) for p, k in zip(pieces, kind) if k == -1 for c in p}
         self.unknown = unknown
         self.byte = np.full(256, unknown, dtype=np.int32)
         prefixes: dict[str, int] = {}
@@ -255,6 +278,8 @@ class Encoder:
 
     def segment(self, cp: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Viterbi over the given stretches, side by side in order of length."""
+        if self.merges is not None:
+            return self.merged(cp, starts, lens)
         order = np.argsort(lens, kind="stable")
         parts, counts = [], np.zeros(len(starts), dtype=np.int64)
         a = 0
@@ -283,6 +308,39 @@ class Encoder:
         at[order] = np.cumsum(by_order) - by_order
         return flat[ragged(at, counts)], counts
 
+    def merged(self, cp: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The given stretches in the merge order of the model."""
+        literal, stand = cp == LITERAL, 0
+        if literal.any():  # an unknown character in place of literal marks
+            used = self.known | set(np.unique(cp).tolist())
+            stand = next(c for c in range(0x10FFFD, 0xFFFFF, -1) if c not in used)
+            cp = np.where(literal, np.uint32(stand), cp)
+        text = cp.astype("<u4").tobytes().decode("utf-32-le")
+        got = self.merges.encode([text[s:s + w] for s, w in zip(starts.tolist(), lens.tolist())], num_threads=1)
+        if stand:
+            old, new = ([int(self.byte[b]) for b in chr(c).encode()] for c in (stand, MARK))
+            for i, ids in enumerate(got):
+                at = [j for j in range(len(ids)) if ids[j:j + len(old)] == old]
+                for j in reversed(at):
+                    ids[j:j + len(old)] = new
+                got[i] = ids
+        count = np.array([len(g) for g in got], dtype=np.int64)
+        return np.fromiter((i for g in got for i in g), np.int32, int(count.sum())), count
+
+    def safe_parts(self, cp: np.ndarray, chunk: int) -> list[tuple[int, int]]:
+        """Parts of a text of at most ``chunk`` characters (more where it has
+        no cut) between characters that no piece has side by side."""
+        pair = cp[:-1].astype(np.uint64) << np.uint64(32) | cp[1:].astype(np.uint64)
+        apart = np.flatnonzero(~np.isin(pair, self.pairs)) + 1
+        safe = np.union1d(apart, cuts(cp, np.array([0, len(cp)])))
+        out, a = [], 0
+        while len(cp) - a > chunk:
+            i = int(np.searchsorted(safe, a + chunk, side="right"))
+            z = int(safe[i - 1]) if i and safe[i - 1] > a else int(safe[i]) if i < len(safe) else len(cp)
+            out.append((a, z))
+            a = z
+        return out + [(a, len(cp))] if a < len(cp) else out
+
     def batch(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, number per text)."""
         n, ids, counts = len(offs) - 1, [], []
@@ -402,14 +460,14 @@ def cuts(cp: np.ndarray, at: np.ndarray) -> np.ndarray:
 def _encoder(spark_value) -> Encoder:
     held, key = worker_cache(), ("pieces", spark_value[4])
     if key not in held:
-        held[key] = Encoder(*spark_value[:4])
+        held[key] = Encoder(*spark_value[:4], spark_value[5])
     return held[key]
 
 
 def _share(spark, path: str):
-    model = load_pieces(path)
-    name = hashlib.sha256(repr(model).encode()).hexdigest()
-    return spark.sparkContext.broadcast((*model, name))  # a vocabulary
+    model, merges = load_pieces(path), merge_model(path)
+    name = hashlib.sha256(repr((model, merges)).encode()).hexdigest()
+    return spark.sparkContext.broadcast((*model, name, merges))  # a vocabulary
 
 
 def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", chunk: int = CHUNK) -> DataFrame:
@@ -427,7 +485,43 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column(0), lists, part.column(2)], names=["doc_id", "ids", "text_hash"])
     small = src.where(F.length("text") <= chunk).mapInArrow(run, "doc_id long, ids array<int>, text_hash long")
-    return small.unionByName(_encode_giant(src.where(F.length("text") > chunk), model, chunk))
+    giant = _encode_giant if model.value[5] is None else _merge_giant
+    return small.unionByName(giant(src.where(F.length("text") > chunk), model, chunk))
+
+
+def _merge_giant(docs: DataFrame, model, chunk: int) -> DataFrame:
+    """Documents longer than a chunk by merges, in parts between safe cuts."""
+    def split(batches):
+        enc = _encoder(model.value)
+        for b in batches:
+            for i in range(b.num_rows):
+                cp, _ = code_points(*text_buffer(b.column(2).slice(i, 1)), mark=True)
+                for k, (a, z) in enumerate(enc.safe_parts(cp, chunk)):
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column(0).slice(i, 1), b.column(1).slice(i, 1), b.column(3).slice(i, 1), pa.array([k], pa.int64()),
+                         pa.array([cp[a:z].astype("<u4").tobytes()], pa.binary())],
+                        names=["uid", "doc_id", "text_hash", "k", "cp"])
+
+    def emit(batches):
+        enc = _encoder(model.value)
+        for b in batches:
+            out = []
+            for c in b.column("cp"):
+                cp = np.frombuffer(c.as_buffer(), "<u4")
+                starts = cuts(cp, np.array([0, len(cp)]))
+                out.append(enc.stretches(cp, starts, np.diff(starts, append=len(cp)))[0])
+            yield pa.RecordBatch.from_arrays([b.column("uid"), b.column("doc_id"), b.column("text_hash"), b.column("k"),
+                                              pa.array(out, pa.list_(pa.int32()))], names=["uid", "doc_id", "text_hash", "k", "ids"])
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text", "text_hash")
+                  .mapInArrow(split, "uid long, doc_id long, text_hash long, k long, cp binary")
+                  .repartition("uid", "k"), "chunks")
+    return _joined(rows.mapInArrow(emit, "uid long, doc_id long, text_hash long, k long, ids array<int>"))
+
+
+def _joined(done: DataFrame) -> DataFrame:
+    return (done.groupBy("uid").agg(F.first("doc_id").alias("doc_id"),
+                                    F.sort_array(F.collect_list(F.struct("k", "ids"))).alias("p"), F.first("text_hash").alias("text_hash"))
+            .select("doc_id", F.flatten(F.col("p.ids")).alias("ids"), "text_hash"))
 
 
 def _encode_giant(docs: DataFrame, model, chunk: int) -> DataFrame:
@@ -494,9 +588,7 @@ def _encode_giant(docs: DataFrame, model, chunk: int) -> DataFrame:
                    .groupBy("uid").applyInArrow(chain, "uid long, k long, leave long"), "leave")
     done = (with_v.join(leave, ["uid", "k"])
             .mapInArrow(emit, "uid long, doc_id long, text_hash long, k long, ids array<int>"))
-    return (done.groupBy("uid").agg(F.first("doc_id").alias("doc_id"),
-                                    F.sort_array(F.collect_list(F.struct("k", "ids"))).alias("p"), F.first("text_hash").alias("text_hash"))
-            .select("doc_id", F.flatten(F.col("p.ids")).alias("ids"), "text_hash"))
+    return _joined(done)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:

@@ -100,3 +100,14 @@ def test_empty(spark):
     e = S.encode(empty(spark), piece_model())
     assert e.count() == 0 and S.decode(e, piece_model()).count() == 0
     assert S.decode(e.select(F.lit("x").alias("a.b"), "ids"), piece_model()).columns == ["a.b", "ids", "text"]
+
+
+@pytest.mark.parametrize("chunk", [S.CHUNK, 40])
+def test_ids_are_those_of_the_library(spark, chunk):
+    import sentencepiece
+    sp = sentencepiece.SentencePieceProcessor(model_file=piece_model())
+    more = ["un  b" * 40, "abab" * 100 + "\u65e5\u672c\u8a9e" * 60, "<s> </s> <0x41> <unk>", "Unbelievably, the internationalisation of tokenisers; (re)considered\u2026\n\n\tfoo_bar(baz)  " * 5]
+    texts = [t for t in TEXTS if "\u2581" not in t] + more
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["ids"] for r in S.encode(df, piece_model(), chunk=chunk).collect()}
+    assert got == {i: sp.encode(t) for i, t in enumerate(texts)}
