@@ -1,7 +1,7 @@
 """Top-k selection against a log, incremental runs and the streaming form (F1, F2, L1)."""
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 from lodestone.operators.selection import crawl_select
 from lodestone.session import read_table
 from lodestone.streaming import incremental as I

@@ -2,7 +2,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from sf_dirs import SF_MID
 from lodestone.operators import registry as R
 from lodestone.operators import training as T
 from lodestone.plans import ml

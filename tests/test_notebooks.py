@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 from lodestone.functions.predicates import cells_contain_grouped, notebook_contains
 from lodestone.session import read_table
 from lodestone.sources.files import notebook_scan

@@ -2,7 +2,7 @@
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 from lodestone.plans.queries import ORACLE_SQL, QUERIES
 from scripts.check_oracle import TABLES, digest
 

@@ -2,7 +2,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from sf_dirs import SF_MID
 from lodestone.operators import sampling as S
 from lodestone.session import read_table
 

@@ -2,7 +2,7 @@
 that must not depend on the number of partitions."""
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from sf_dirs import SF_MID
 from lodestone.operators import sampling as S
 from lodestone.operators.selection import crawl_select
 from lodestone.session import read_table
