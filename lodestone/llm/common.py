@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestone.session import read_table, scratch_path
 
-__all__ = ["read_table", "stored", "narrow", "filtered", "fold_of", "small_batches"]
+__all__ = ["read_table", "stored", "narrow", "filtered", "fold_of", "small_batches", "batches_of", "running_blocks"]
 
 BATCH_ROWS = 1000
 
@@ -50,3 +52,34 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name)) <= rows:
         spark.conf.set(name, str(rows))
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int = BATCH_ROWS):
+    """``small_batches`` for the jobs run inside the ``with`` block only."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def running_blocks(df: DataFrame, size: str, limit: int, *order) -> DataFrame:
+    """``df`` as a stored table with a ``block`` number: rows in the given order,
+    cut where the running sum of ``size`` passes a multiple of ``limit``.  A
+    block holds less than ``limit`` plus its last row.  One number per
+    partition of the sorted table comes to the driver."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = stored(df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+                  .withColumn("at_", F.monotonically_increasing_id()), "ordered").withColumn("part_", F.shiftright("at_", 33))
+    rows, before = [], 0
+    for r in held.groupBy("part_").agg(F.sum(size).alias("n")).orderBy("part_").collect():
+        rows.append((r["part_"], before))
+        before += r["n"] or 0
+    offsets = df.sparkSession.createDataFrame(rows, "part_ long, before_ long")
+    inside = F.sum(size).over(Window.partitionBy("part_").orderBy("at_").rowsBetween(Window.unboundedPreceding, -1))
+    return stored(held.join(F.broadcast(offsets), "part_")
+                  .withColumn("block", F.floor((F.col("before_") + F.coalesce(inside, F.lit(0))) / F.lit(limit)))
+                  .drop("at_", "part_", "before_"), "blocks")

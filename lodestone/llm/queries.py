@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import decontaminate, exact_dedup, langid, ngram_join, ngram_lm, quality, sentencepiece_scan, suffix_dedup, token_output, url_filter
+from lodestone.llm import decontaminate, exact_dedup, langid, ngram_join, ngram_lm, quality, ranked_search, sentencepiece_scan, suffix_dedup, token_output, url_filter
 from lodestone.llm.common import fold_of, read_table
 from lodestone.session import scratch_path
 
@@ -115,3 +115,36 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op12_ranked_search", r"""
+with folded as (
+  select row_number() over () as u, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w
+  from documents),
+docs as (select u, doc_id, w, len(w) as n from folded where len(w) > 0),
+stat as (select count(*) as docs, coalesce(sum(n), 0)::bigint as total from docs),
+item_term as (
+  select distinct item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from benchmark),
+token as (select u, unnest(w) as term from docs),
+tf as (select u, term, count(*) as tf from token where term in (select term from item_term) group by all),
+weight as (
+  select term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::bigint as w
+  from tf, stat group by term, docs),
+norm as (select u, doc_id, 10 + (90 * n * docs) // total as m from docs, stat),
+score as (
+  select item_id, u, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint as score
+  from tf join weight using (term) join item_term using (term) join norm using (u)
+  group by item_id, u, doc_id),
+ranked as (
+  select item_id, row_number() over (partition by item_id order by score desc, doc_id asc nulls last, u)::integer as rank,
+         doc_id, score
+  from score where score > 0)
+select * from ranked where rank <= 10
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
