@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import decontaminate, exact_dedup, langid, ngram_join, ngram_lm, quality, ranked_search, sentencepiece_scan, suffix_dedup, token_output, url_filter
+from lodestone.llm import decontaminate, exact_dedup, langid, ngram_join, ngram_lm, quality, ranked_search, sentencepiece_scan, suffix_dedup, token_output, url_filter, whitening
 from lodestone.llm.common import fold_of, read_table
 from lodestone.session import scratch_path
 
@@ -148,3 +148,8 @@ select * from ranked where rank <= 10
 """)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_embedding_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
