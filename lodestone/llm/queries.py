@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import decontaminate, exact_dedup, langid, ngram_join, ngram_lm, quality, ranked_search, sentencepiece_scan, suffix_dedup, token_output, url_filter, whitening
+from lodestone.llm import decontaminate, exact_dedup, langid, license_scan, ngram_join, ngram_lm, quality, ranked_search, sentencepiece_scan, suffix_dedup, token_output, url_filter, whitening
 from lodestone.llm.common import fold_of, read_table
 from lodestone.session import scratch_path
 
@@ -153,3 +153,58 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_embedding_whitening")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+#: Fixed phrases of the query: (label, words).
+LICENSE_PHRASES = [("mit", "under the mit license"), ("apache-2", "apache license version 2"), ("cc-by-nc", "cc by nc")]
+
+
+def _license_sql() -> str:
+    """The scan in SQL, over the same templates."""
+    rows = ", ".join(f"({t}, '{label}', {str(exact).lower()}, '{' '.join(w)}')"
+                     for t, label, exact, w in license_scan.templates(LICENSE_PHRASES, license_scan.NOTICES))
+    return rf"""
+with doc as (
+  select row_number() over () as u, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents),
+template(tpl, label, base, phrase) as (values {rows}),
+place as (
+  select tpl, label, base, len(p) - 2 as grams, unnest(range(len(p) - 2)) as tpos, p
+  from (select *, string_split(phrase, ' ') as p from template)),
+tgram as (select * exclude (p), p[tpos + 1] || ' ' || p[tpos + 2] || ' ' || p[tpos + 3] as gram from place),
+begin_at as (select u, w, unnest(range(len(w) - 2)) as pos from doc),
+dgram as (select u, pos, w[pos + 1] || ' ' || w[pos + 2] || ' ' || w[pos + 3] as gram from begin_at),
+hit as (select u, tpl, label, base, grams, tpos, pos, pos - tpos as diag from dgram join tgram using (gram)),
+voted as (
+  select *, count(*) over (partition by u, tpl, diag) as votes,
+         case when diag - lag(diag) over (partition by u, tpl order by diag) > {license_scan.GAP} then 1 else 0 end as apart
+  from hit),
+spanned as (
+  select *, sum(apart) over (partition by u, tpl order by diag rows unbounded preceding) as span,
+         case when base and votes = grams and tpos = 0 then diag end as start
+  from voted),
+span as (
+  select u, tpl, span, label, grams, max(votes) as votes, count(distinct tpos) as covered,
+         max(pos) - min(pos) + 3 as length, count(start) as places, min(start) as first, max(start) as last
+  from spanned group by all),
+judged as (
+  select *, places > 0 or votes >= grams * {license_scan.COVER}
+            or (covered >= grams * {license_scan.COVER} and length <= (grams + 2) * {license_scan.SLACK}) as verified
+  from span),
+per as (
+  select u, sum(places)::bigint as n_base, min(first) as first_word, max(last) as last_word,
+         string_agg(distinct label, ',' order by label) filter (places > 0) as base_labels,
+         string_agg(distinct label, ',' order by label) filter (verified) as labels,
+         max(covered / grams) as score
+  from judged group by u)
+select doc_id, len(w)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word, last_word,
+       coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0.0)::double as score
+from doc left join per using (u)
+"""
+
+
+@query("op11_license_scan", _license_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read_table(spark, sf_dir, "documents"), LICENSE_PHRASES)
