@@ -74,10 +74,10 @@ def batches_of(spark: SparkSession, rows: int = BATCH_ROWS):
 
 
 def running_blocks(df: DataFrame, size: str, limit: int, *order) -> DataFrame:
-    """``df`` as a stored table with a ``block`` number: rows in the given order,
-    cut where the running sum of ``size`` passes a multiple of ``limit``.  A
-    block holds less than ``limit`` plus its last row.  One number per
-    partition of the sorted table comes to the driver."""
+    """``df`` as a stored table with a ``block`` and a unique ``row`` number: rows in
+    the given order, cut where the running sum of ``size`` passes a multiple of
+    ``limit``.  A block holds less than ``limit`` plus its last row.  One number
+    per partition of the sorted table comes to the driver."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     held = stored(df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
                   .withColumn("at_", F.monotonically_increasing_id()), "ordered").withColumn("part_", F.shiftright("at_", 33))
@@ -89,4 +89,4 @@ def running_blocks(df: DataFrame, size: str, limit: int, *order) -> DataFrame:
     inside = F.sum(size).over(Window.partitionBy("part_").orderBy("at_").rowsBetween(Window.unboundedPreceding, -1))
     return stored(held.join(F.broadcast(offsets), "part_")
                   .withColumn("block", F.floor((F.col("before_") + F.coalesce(inside, F.lit(0))) / F.lit(limit)))
-                  .drop("at_", "part_", "before_"), "blocks")
+                  .withColumnRenamed("at_", "row").drop("part_", "before_"), "blocks")

@@ -1,6 +1,7 @@
 """Benchmark decontamination with SimHash over item-sized windows.
 
-Words are runs of letters and digits (lower case); shingles are five words.
+Words are runs of letters, marks and digits of any script (lower case); shingles
+are five words.
 For each benchmark item, every window of a document that is as long as the item
 and shares a shingle with it gets a 64-bit SimHash of its weighted shingles
 (weight: how often the shingle occurs).  A multi-index finds the items near a
@@ -14,13 +15,15 @@ exact.  At similarity 0.8 fingerprints differ in about 10 bits with a standard
 deviation of 3; the radius of 18 leaves less than one in five hundred outside
 exactly at the threshold, and none in practice above it.)
 
-The index is broadcast: items are cut into blocks of at most ``BLOCK_BYTES`` of
-text, and the documents are scanned once per block, so a large benchmark means
-more scans and never a larger broadcast.
+The index is broadcast: distinct item texts are cut into blocks by running size,
+less than ``BLOCK_BYTES`` and one text each, and the documents are scanned once
+per block, so a large benchmark means more scans and never a larger broadcast.
+Ids are joined to the texts found at the end.
 
 Defined results: null and empty texts match nothing; an item of fewer than five
-words is one shingle of all its words; repeated items and documents are each
-reported; a null item id is kept; empty tables give an empty result.
+words is one shingle of all its words; items with one text are searched once
+and reported each, repeated documents too; a null item id is kept; empty tables
+give an empty result; other columns are ignored whatever their names.
 """
 
 from __future__ import annotations
@@ -33,8 +36,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.arrays import NOT_ALNUM, Words, gram_hash, text_buffer, text_parts
-from lodestone.llm.common import filtered, narrow
+from lodestone.llm.arrays import NOT_ALNUM, Words, gram_hash, ragged, text_buffer, text_parts
+from lodestone.llm.common import filtered, narrow, running_blocks
+from lodestone.session import join_small
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -45,6 +49,8 @@ BLOCK_BYTES = 16 << 20
 def _words(col) -> Words:
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
+    if text_buffer(col)[0].max(initial=0) > 127:  # quotes, dashes and blanks beyond ASCII
+        col = pc.replace_substring_regex(col.cast(pa.large_string()), r"[^\pL\pM\pN]+", " ")
     return Words(*text_buffer(pc.utf8_lower(col.cast(pa.large_string()))), apart=NOT_ALNUM, seed=3)
 
 
@@ -115,12 +121,15 @@ class Index:
             at = np.searchsorted(keys, g)
             at[at == len(keys)] = 0
             hit = np.flatnonzero((keys[at] == g) & (doc[:len(g)] == doc[k - 1:]))
-            pairs: dict[tuple[int, int], list[int]] = {}
-            for p in hit.tolist():
-                for j in range(int(np.searchsorted(keys, g[p])), int(np.searchsorted(keys, g[p], side="right"))):
-                    pairs.setdefault((int(doc[p]), int(who[j])), []).append(p)
-            for (d, i), places in pairs.items():
-                self._windows(words, g, k, d, i, places, least, out)
+            low = np.searchsorted(keys, g[hit])
+            n = np.searchsorted(keys, g[hit], side="right") - low
+            p, i = np.repeat(hit, n), who[ragged(low, n)]
+            order = np.lexsort((p, i, doc[p]))
+            p, i = p[order], i[order]
+            d = doc[p]
+            for places in np.split(np.arange(len(p)), np.flatnonzero((d[1:] != d[:-1]) | (i[1:] != i[:-1])) + 1):
+                if len(places):
+                    self._windows(words, g, k, int(d[places[0]]), int(i[places[0]]), p[places], least, out)
         return out
 
     def _windows(self, words, g, k, d, i, places, least, out) -> None:
@@ -144,21 +153,22 @@ class Index:
                         out[d, j] = (sim, dist, s + w - lo)
 
 
-def _item_blocks(items: DataFrame, item_id: str, text: str, block_bytes: int) -> list[list[tuple]]:
-    """The items in blocks of bounded text, read block by block by id hash."""
-    rows = narrow(items, item_id=F.col(f"`{item_id}`").cast("long"), text=text)
-    size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    n = max(1, -(-size // block_bytes))
-    for b in range(n):
-        part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("text"), F.lit(n)) == b)
-        yield [(r["item_id"], r["text"]) for r in part.orderBy("item_id", "text").collect()]
+def _items(items: DataFrame, item_id: str, text: str, block_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """(texts, names): the distinct texts that hold anything, numbered (``row``) and
+    in blocks by running size, and (row, item_id) of every item."""
+    rows = narrow(items, item_id=F.col(f"`{item_id}`").cast("long"), text=text).where(F.length("text") > 0)
+    texts = rows.select("text").distinct().withColumn("size", F.octet_length("text").cast("long"))
+    texts = running_blocks(texts, "size", block_bytes, F.col("text"))
+    return texts, rows.join(texts.select("text", "row"), "text").select("row", "item_id")
 
 
-def _searchers(docs: DataFrame, items: DataFrame, item_id: str, text: str, block_bytes: int):
-    for block in _item_blocks(items, item_id, text, block_bytes):
-        w = _words(pa.array([t for _, t in block], pa.string()))
+def _searchers(docs: DataFrame, texts: DataFrame):
+    """A broadcast (numbers, word hashes) per block that holds a text."""
+    for n in [r["block"] for r in texts.select("block").distinct().orderBy("block").collect()]:
+        block = texts.where(F.col("block") == n).orderBy("row").select("row", "text").collect()
+        w = _words(pa.array([r["text"] for r in block], pa.string()))
         words = [w.hash[w.first[i]:w.first[i + 1]] for i in range(len(block))]
-        yield docs.sparkSession.sparkContext.broadcast(([i for i, _ in block], words))
+        yield docs.sparkSession.sparkContext.broadcast(([r["row"] for r in block], words))
 
 
 def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -167,7 +177,8 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     """(doc_id, item_id, similarity, distance, start_word, n_words): per
     document and item that it holds, the most similar window."""
     out = []
-    for shared in _searchers(docs, items, item_id, item_text, block_bytes):
+    texts, names = _items(items, item_id, item_text, block_bytes)
+    for shared in _searchers(docs, texts):
         def run(batches, shared=shared):
             ids, words = shared.value
             index = Index(words)
@@ -180,17 +191,20 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
                     pa.array([found[k][0] for k in keys], pa.float64()), pa.array([found[k][1] for k in keys], pa.int64()),
                     pa.array([found[k][2] for k in keys], pa.int64()),
                     pa.array([int(index.length[i]) for _, i in keys], pa.int64())],
-                    names=["doc_id", "item_id", "similarity", "distance", "start_word", "n_words"])
+                    names=["doc_id", "row", "similarity", "distance", "start_word", "n_words"])
         out.append(narrow(docs, doc_id=F.col(f"`{doc_id}`").cast("long"), text=text).mapInArrow(
-            run, "doc_id long, item_id long, similarity double, distance long, start_word long, n_words long"))
-    return reduce(DataFrame.unionByName, out)
+            run, "doc_id long, row long, similarity double, distance long, start_word long, n_words long"))
+    if not out:
+        return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, similarity double, distance long, start_word long, n_words long")
+    return (join_small(reduce(DataFrame.unionByName, out), names, "row")
+            .select("doc_id", "item_id", "similarity", "distance", "start_word", "n_words"))
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id",
                item_text: str = "text", least: float = SIMILARITY, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents that hold no item, all columns as they are."""
     at = docs.columns.index(text)
-    for shared in _searchers(docs, items, item_id, item_text, block_bytes):
+    for shared in _searchers(docs, _items(items, item_id, item_text, block_bytes)[0]):
         held: dict = {}  # the index, built once per task
 
         def clean(b, shared=shared, held=held):

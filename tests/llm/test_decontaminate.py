@@ -3,6 +3,8 @@ import re
 from collections import Counter
 
 from fixtures_llm import awkward, empty
+from pyspark.sql import functions as F
+
 from lodestone.llm import decontaminate as D
 
 
@@ -79,3 +81,49 @@ def test_awkward_and_empty(spark):
     assert out.columns == df.columns and out.count() == df.count() - 1
     assert D.leaks(empty(spark), items).count() == 0
     assert D.drop_leaks(df, items.limit(0)).count() == df.count()
+
+
+def test_equal_items_are_one_text_and_blocks_are_bounded(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "x the only text of many items stands here y")], "doc_id long, text string")
+    items = spark.createDataFrame([(i, "the only text of many items stands here") for i in range(400)] + [(900 + i, f"other words number{i} of an item") for i in range(40)],
+                                  "item_id long, text string")
+    texts, names = D._items(items, "item_id", "text", 300)
+    per = [(r["n"], r["b"]) for r in texts.groupBy("block").agg(F.count("row").alias("n"), F.sum("size").alias("b")).collect()]
+    assert sum(n for n, _ in per) == 41 and all(n and b < 300 + 50 for n, b in per) and names.count() == 440
+    assert sorted(r["item_id"] for r in D.leaks(docs, items, block_bytes=300).collect()) == list(range(400))
+    assert len(list(D._searchers(docs, texts))) == len(per)  # no scan without items
+
+
+def test_marks_beyond_ascii_are_no_word_characters(spark):
+    text = "seven plain words that make an item"
+    docs = [(1, f"\u201c{text}\u201d"), (2, f"\u2014{text}\u2026"), (3, text.replace(" ", "\u00a0")), (4, "é" + text), (5, "Überall: 日本語"), (6, text.replace("plain", "pl\u0131in"))]
+    got = D.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, text), (2, "überall 日本語")], "item_id long, text string"))
+    assert sorted((r["doc_id"], r["item_id"]) for r in got.collect()) == [(1, 1), (2, 1), (3, 1), (5, 2)]
+
+
+def test_recall_of_the_radius():
+    """Of windows that differ from an item as much as similarity 0.80 to 0.85 allows,
+    the share whose fingerprint is within the radius."""
+    import numpy as np
+    rng = np.random.default_rng(7)
+    recall = {}
+    for n in (40, 60, 100, 300):
+        found = total = 0
+        for _ in range(400):
+            item = rng.integers(0, 2**63, n).astype(np.uint64)
+            window = item.copy()
+            for _ in range(40 + n):  # change words as long as the similarity stays at 0.8 or more
+                trial = window.copy()
+                trial[rng.integers(0, n)] = rng.integers(0, 2**63)
+                if D.similarity(D.gram_hash(trial, 5), D.gram_hash(item, 5)) < 0.8:
+                    continue
+                window = trial
+            sim = D.similarity(D.gram_hash(window, 5), D.gram_hash(item, 5))
+            if sim > 0.85:
+                continue
+            total += 1
+            g = D.gram_hash(window, 5)
+            found += bool(D.Index([item]).near(n, D.fingerprints(g, len(g))))
+        recall[n] = found / total
+    assert min(recall.values()) >= 0.97, recall
+    print(recall)
