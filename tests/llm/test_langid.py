@@ -33,3 +33,41 @@ def test_dictionary_is_bounded(spark):
     df = spark.range(3000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 2000).alias("text"), F.lit("en").alias("lang"))
     ((_, d),) = langid.learn(df, F.lit(True))
     assert 0 < len(d) <= langid.DICT_BYTES
+
+
+def test_letters_are_of_category_l(spark):
+    rows = [(0, "the quick brown fox", "en"), (1, "² ½ ①", None), (2, "Ⅷ ⅷ", None), (3, "\u0301\u0308 \u093f", None), (4, "x²", None), (5, "ª", None), (6, "Ⓐ ⒜", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in langid.predict(df, langid.learn(df, F.lit(True))).collect()}
+    assert [got[i]["lang_pred"] for i in range(7)] == ["en", "und", "und", "und", "en", "en", "und"]
+    assert all(got[i]["score"] == 0 for i in (1, 2, 3, 6))
+
+
+def test_a_head_without_letters_does_not_empty_the_dictionary(spark):
+    rows = [(i, "0123456789 " * 500 + " ".join(f"word{chr(97 + (i + k) % 26)}{chr(97 + k % 26)}" for k in range(1400)), "en") for i in range(20)]
+    ((_, d),) = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    assert len(d) > 50_000 and set(d.decode()) <= set("abcdefghijklmnopqrstuvwxyz ")
+
+
+def test_stretches_reach_from_head_to_tail():
+    t = b"".join(b"%06d " % i for i in range(20_000))
+    s = langid.stretches(t, 2000)
+    assert len(s) <= 2000 and s.startswith(b"000000 ") and s.endswith(b"019999 ") and b"01000" in s
+    assert langid.stretches(b"abc", 2000) == b"abc"
+
+
+def test_against_plain_compression(spark):
+    import zstandard
+    df = spark.read.parquet(f"{SF_MID}/documents.parquet").where("doc_id % 9 = 0").select("doc_id", "text", "lang")
+    df = df.unionByName(awkward(spark, clashing=False).selectExpr("doc_id + 100000 as doc_id", "text", "lang"))
+    model = langid.learn(df, F.lit(True))
+    texts = {r["doc_id"]: r["text"] for r in df.where("doc_id is not null and doc_id <> 100008").collect()}
+    for r in langid.predict(df, model).where("doc_id is not null and doc_id <> 100008").collect():
+        t = langid.letters(texts[r["doc_id"]] or "").encode()
+        sizes = []
+        for _, d in model:
+            p = zstandard.ZstdCompressionParameters.from_level(langid.LEVEL, dict_size=len(d), source_size=langid.BLOCK,
+                                                               write_content_size=False, write_checksum=False, write_dict_id=False)
+            z = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=p)
+            sizes.append(sum(len(z.compress(t[i:i + langid.BLOCK])) for i in range(0, len(t), langid.BLOCK)))
+        assert r["lang_pred"] == (model[sizes.index(min(sizes))][0] if t else "und")
