@@ -7,17 +7,21 @@ character's probability interpolates all orders from 0 to ``order``
 distinct successors), so rare contexts lean on shorter ones.  A URL's score is
 the mean per character of the difference of the two log-likelihoods; a
 logistic calibration (means and variance of the two classes on URLs left out
-of the counts) turns it into a probability.
+of the counts, or on all examples where those lack a class) turns it into a
+probability.  The models read the whole URL behind the scheme: host, path, query
+and fragment, and all of a URL without a scheme.
 
 Everything is DataFrame functions: no Python runs on executors.  Statistics
 cover all URLs.  The grams of the query side are looked up once per distinct
-gram, not once per position, and the per-gram scores reach the URLs by a
-salted join, so a gram that all URLs share is no hot key.
+gram, not once per position; grams of one or two characters, which all others end
+in, are a small table that is joined by a broadcast when its measured size
+allows; and the per-gram scores reach the URLs by a salted join, so a gram that
+all URLs share is no hot key.
 
 Defined results: null or URLs without ``://`` have empty host and path and no
 rule; a URL without characters, and every URL when the rules leave one class
-without examples, scores 0 and is allowed; repeated rows are scored each;
-an empty table gives an empty result.
+without examples, scores 0 and is allowed; repeated rows are scored each; an
+empty table gives an empty result; other columns are ignored whatever their names.
 """
 
 from __future__ import annotations
@@ -26,13 +30,15 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lodestone.llm.common import narrow, stored
+from lodestone.session import join_small
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ORDER = 4
 SALTS = 16
+#: Grams up to this many characters are few, and met by nearly every other gram.
+SHORT = 2
 
 
 def fold_ascii(c: Column) -> Column:
@@ -49,6 +55,13 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def model_text(url: Column) -> Column:
+    """What the models read: the host, folded, and all behind it as it stands; the
+    URL itself where it has no ``://``."""
+    rest = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*(.*)$", 1)
+    return F.coalesce(F.when(F.contains(url, F.lit("://")), F.concat(host_of(url), rest)).otherwise(url), F.lit(""))
+
+
 def rule_columns(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tuple[Column, Column]:
     """(rule, verdict) of the longest fitting rule; ``rules`` holds (verdict,
     host, path prefix).  A rule fits its host and all subdomains when the
@@ -94,7 +107,16 @@ def gram_scores(query: DataFrame, counts: DataFrame, order: int) -> DataFrame:
     suffix = F.transform(F.sequence(F.lit(1), F.length("g")), lambda n: F.substring(F.col("g"), -n, n))
     asked = query.select("g").distinct()
     long = asked.select(F.col("g").alias("q"), F.explode(suffix).alias("g"))
-    found = (long.join(counts, "g", "left").withColumn("ctx", ctx).join(context, "ctx", "left")
+    # (what stands before a short gram's last character is shorter still)
+    parts = []
+    for few in (True, False):
+        own = F.length("g") <= SHORT if few else F.length("g") > SHORT
+        before = F.length("ctx") < SHORT if few else F.length("ctx") >= SHORT
+        asks, has, ctxs = long.where(own), counts.where(own), context.where(before)
+        got = join_small(asks, has, "g", "left") if few else asks.join(has, "g", "left")
+        got = got.withColumn("ctx", ctx)
+        parts.append(join_small(got, ctxs, "ctx", "left") if few else got.join(ctxs, "ctx", "left"))
+    found = (parts[0].unionByName(parts[1])
              .select("q", F.length("g").alias("n"),
                      *[F.coalesce(F.col(c), F.lit(0)).cast("double").alias(c) for c in ("a", "r", "ca", "cr", "ta", "tr")]))
     # from the shortest order up: p = (count + types * p_shorter) / (context + types)
@@ -118,14 +140,15 @@ def url_scores(urls: DataFrame, scores: DataFrame, order: int) -> DataFrame:
             .agg((F.sum(F.col("d") * F.col("n")) / F.sum("n")).alias("x")))
 
 
-def calibration(scored: DataFrame) -> tuple[float, float]:
+def calibration(scored: DataFrame) -> tuple[float, float] | None:
     """Slope and offset of the logistic of two normal classes with a common
-    variance and equal priors, from class means and variances (one row)."""
+    variance and equal priors, from class means and variances (one row); None
+    where a class has no row."""
     m = scored.agg(*[F.avg(F.when(F.col("accept") == v, F.col("x"))).alias(f"m{k}") for k, v in ((1, True), (0, False))],
                    *[F.var_pop(F.when(F.col("accept") == v, F.col("x"))).alias(f"v{k}") for k, v in ((1, True), (0, False))]
                    ).first()
     if m["m1"] is None or m["m0"] is None:
-        return 0.0, 0.0
+        return None
     var = max((m["v1"] + m["v0"]) / 2, 1e-6)
     slope = (m["m1"] - m["m0"]) / var
     return slope, -slope * (m["m1"] + m["m0"]) / 2
@@ -140,17 +163,16 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], url: str = "url",
     base = narrow(pages, uid=F.monotonically_increasing_id(), page_id=key, url=url)
     base = base.withColumn("host", host_of(u)).withColumn("path", path_of(u))
     rule, by_rule = rule_columns(F.col("host"), F.col("path"), rules)
-    # the models read host and path, the part of a URL that rules speak about
     base = stored(base.withColumn("rule", rule).withColumn("by_rule", by_rule)
-                  .withColumn("s", F.concat("host", "path"))
+                  .withColumn("s", model_text(u))
                   .withColumn("held", F.pmod(F.xxhash64("s"), F.lit(hold_out)) == 0), "urls")
     known = base.where("by_rule is not null").withColumn("accept", F.col("by_rule") == "allow")
     counts = stored(gram_counts(known.where("not held").select("accept", "s"), order), "counts")
     scores = stored(gram_scores(grams(base.select("s"), order), counts, order), "scores")
     x = stored(url_scores(base, scores, order), "x")
-    a, b = calibration(known.where("held").join(x, "uid"))
-    if not math.isfinite(a + b):
-        a, b = 0.0, 0.0
+    examples = known.join(x, "uid")
+    ab = calibration(examples.where("held")) or calibration(examples) or (0.0, 0.0)
+    a, b = ab if math.isfinite(sum(ab)) else (0.0, 0.0)
     p = 1 / (1 + F.exp(-(F.lit(a) * F.col("score") + F.lit(b))))
     return (base.join(x, "uid", "left").withColumn("score", F.coalesce("x", F.lit(0.0)))
             .withColumn("p_accept", F.when(F.length("s") == 0, F.lit(0.5)).otherwise(p))

@@ -27,7 +27,19 @@ def test_rules_against_brute_force(spark):
         host, path, rule, verdict = rules_of(u)
         assert (got[i]["host"], got[i]["path"], got[i]["rule"]) == (host, path, rule), u
         assert got[i]["verdict"] in ("allow", "block") and (verdict is None or got[i]["verdict"] == verdict)
-    assert all(got[i]["verdict"] == "allow" and got[i]["score"] == 0 for i in (7, 8, 9))
+    assert all(got[i]["verdict"] == "allow" and got[i]["score"] == 0 for i in (7, 8)) and got[9]["score"] != 0
+
+
+def seen(u):
+    """What the models read of a URL."""
+    m = re.match(r"(?s)(.*?)://([^/?#]*)(.*)", u or "")
+    return re.sub("[A-Z]", lambda x: x.group().lower(), m[2]) + m[3] if m else u or ""
+
+
+def test_models_read_the_whole_url(spark):
+    df = spark.createDataFrame(list(enumerate(URLS)), "page_id long, url string")
+    got = {r["page_id"]: r["s"] for r in df.select("page_id", U.model_text(df.url).alias("s")).collect()}
+    assert [got[i] for i in range(len(URLS))] == [seen(u) for u in URLS]
 
 
 def brute_score(train, s, order):
@@ -65,16 +77,14 @@ def test_scores_against_brute_force(spark):
     df = spark.read.parquet(f"{SF_SMALL}/pages.parquet").select("page_id", "url")
     rows = df.collect()
     got = {r["page_id"]: r for r in U.judge(df, queries.URL_RULES).collect()}
-    held = {r["page_id"]: r["h"] for r in df.selectExpr("page_id", "url").withColumn("s", __import__("pyspark.sql.functions", fromlist=["x"]).concat(
-        U.host_of(df.url), U.path_of(df.url))).selectExpr("page_id", "pmod(xxhash64(s), 5) = 0 as h").collect()}
+    held = {r["page_id"]: r["h"] for r in df.withColumn("s", U.model_text(df.url)).selectExpr("page_id", "pmod(xxhash64(s), 5) = 0 as h").collect()}
     train = []
     for r in rows:
         host, path, _, v = rules_of(r["url"])
         if v and not held[r["page_id"]]:
-            train.append((host + path, v == "allow"))
+            train.append((seen(r["url"]), v == "allow"))
     for r in rows[:20]:
-        host, path, *_ = rules_of(r["url"])
-        assert got[r["page_id"]]["score"] == pytest.approx(brute_score(train, host + path, U.ORDER), abs=1e-9)
+        assert got[r["page_id"]]["score"] == pytest.approx(brute_score(train, seen(r["url"]), U.ORDER), abs=1e-9)
 
 
 def test_no_python_in_the_plan(spark):
@@ -89,3 +99,19 @@ def test_empty_repeated_and_one_sided(spark):
     one = spark.createDataFrame([(1, "https://a.org/x", "h")] * 3 + [(2, "https://b.net/", "h")], "page_id long, url string, score string")
     got = U.judge(one, queries.URL_RULES).collect()
     assert len(got) == 4 and {r["verdict"] for r in got} == {"allow"}
+
+
+def test_one_blocked_url_calibrates_too(spark):
+    """The held-out fifth lacks a class: all examples calibrate instead."""
+    rows = [f"https://site{i}.org/page/{i}" for i in range(40)] + ["https://example.org/es/1"] * 40 + ["https://other.net/es/1", "https://site7.net/page/7", "other.net/es/1"]
+    got = {r["url"]: r for r in U.judge(spark.createDataFrame(list(enumerate(rows)), "page_id long, url string"), queries.URL_RULES)
+           .join(spark.createDataFrame(list(enumerate(rows)), "page_id long, url string"), "page_id").collect()}
+    assert got[rows[-3]]["p_accept"] < 0.5 < got[rows[-2]]["p_accept"] and got[rows[-3]]["verdict"] == got[rows[-1]]["verdict"] == "block"
+
+
+def test_a_query_string_decides(spark):
+    rows = [f"https://a{i}.org/p?id={i}" for i in range(60)] + [f"https://example.org/es/?casino=win&spin={i}" for i in range(60)]
+    rows += ["https://new.net/p?casino=win&spin=3", "https://new.net/p?id=3"]
+    df = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    got = {r["page_id"]: r for r in U.judge(df, queries.URL_RULES).collect()}
+    assert got[120]["score"] < got[121]["score"] and got[120]["verdict"] == "block"
