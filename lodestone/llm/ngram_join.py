@@ -39,8 +39,10 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestone.llm.arrays import Words, doc_grams, mix64, pack, shard_of, slices, text_buffer, text_parts, unpack
 from lodestone.llm.common import narrow, stored
@@ -53,6 +55,8 @@ PERCENT = 85
 BLOCK = 8_000_000
 #: Text that is hashed at a time.
 SLICE_BYTES = 4 << 20
+#: Text whose signatures a hash shard holds on average.
+SHARD_BYTES = 32 << 20
 FANOUT = 8
 #: Orders in which neighbours are compared before the tree is.
 ORDERS = 4
@@ -158,22 +162,24 @@ _SCAN = "doc_id long, n long, digest binary, cls long, shard int, blob binary"
 
 def scan_documents(docs: DataFrame, doc_id: str, text: str, n: int, percent: int, shards: int) -> DataFrame:
     """One pass over the texts: a row per document (doc_id, n, digest, cls),
-    addressed to shards of their own (``shards`` and on), and rows of packed
+    dealt in turn to shards of their own (``shards`` and on), and rows of packed
     signatures per shard."""
     def parts(batches):
         for b in batches:
             yield from slices(b, np.asarray(pc.binary_length(b.column(1)).fill_null(0)), SLICE_BYTES)
 
     def run(batches):
+        seen = TaskContext.get().partitionId()
         for b in parts(batches):
             elements, first = batch_sets(b.column(1), n)
             m = b.num_rows
+            place, seen = shards + (seen + np.arange(m)) % shards, seen + m
             size = np.diff(first)
             d = [digest(elements[first[i]:first[i + 1]]) for i in range(m)]
             cls = [class_key(x) for x in d]
             null = pa.nulls
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), pa.array(d, pa.binary()), pa.array(cls, pa.int64()),
-                                              pa.array([shards + c % shards for c in cls], pa.int32()), null(m, pa.binary())],
+                                              pa.array(place.astype(np.int32)), null(m, pa.binary())],
                                              names=_names(_SCAN))
             one = {c: i for i, (c, known) in enumerate(zip(cls, b.column(0).is_valid().to_pylist())) if known}
             keep = np.array(sorted(one.values()), dtype=np.int64)
@@ -376,16 +382,17 @@ def join_block(sets: list[np.ndarray], percent: int, side: np.ndarray | None = N
 
 def _block_links(percent: int, n: int, two_sided: bool):
     """Task function: rows (task, label, side, comp, doc_id, digest, text) to
-    the links (a, b) of a spanning forest of each label's components."""
+    the links (a, b) of a spanning forest of each label's components.  A node is
+    the smallest id of a class with the class, as an id may stand at two texts."""
     def run(table: pa.Table) -> pa.Table:
         sets = row_sets(table["text"], n)
         table = table.drop_columns("text")
-        ids = table["doc_id"].to_pylist()
+        ids = list(zip(table["doc_id"].to_pylist(), map(class_key, table["digest"].to_pylist())))
         label, want = table["label"].to_pylist(), table["digest"].to_pylist()
         side, known = table["side"].to_numpy(), table["comp"].to_pylist()
-        rows: dict[int, dict[int, int]] = {}
+        rows: dict[int, dict[tuple[int, int], int]] = {}
         for i, (l, d) in enumerate(zip(label, want)):
-            if digest(sets[i]) == d:  # an id may stand at two texts
+            if digest(sets[i]) == d:  # the other text of an id is not meant
                 rows.setdefault(l, {}).setdefault(ids[i], i)
         a, b = [], []
         for own in rows.values():
@@ -400,32 +407,55 @@ def _block_links(percent: int, n: int, two_sided: bool):
                 if r != k:
                     a.append(ids[at[k]])
                     b.append(ids[at[r]])
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        node = pa.struct([("id", pa.int64()), ("cls", pa.int64())])
+        return pa.table({k: pa.array([dict(id=i, cls=c) for i, c in v], node) for k, v in (("a", a), ("b", b))})
     return run
 
 
+_LINKS = "a struct<id: long, cls: long>, b struct<id: long, cls: long>"
+
+
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS,
                        percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id, class_id) per row: the size of its
     set, the smallest id reachable by links, the smallest id with an equal set."""
-    spark = docs.sparkSession
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return _components(docs, doc_id, text, words, percent, block).select("doc_id", "n_shingles", "component_id", "class_id")
+
+
+def _shards(docs: DataFrame, text: str) -> int:
+    """As many hash shards as the texts' bytes ask for, at least as many as the
+    session's shuffle partitions."""
+    size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`"))).alias("n")).first()["n"] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
+
+
+def _components(docs, doc_id, text, words, percent, block) -> DataFrame:
+    """``jaccard_components`` with the digest of each row's set and whether the
+    row is of the class its component is named after (``first``)."""
+    shards = _shards(docs, text)
     routed = stored(chains(scan_documents(docs, doc_id, text, words, percent, shards), percent, shards), "scan")
     rows = routed.where("a is null").select("doc_id", "n", "digest", "cls")
     pairs = routed.where("a is not null").select("a", "b")
     classes = stored(rows.where("n > 0 and doc_id is not null").groupBy("digest")
-                     .agg(F.min("doc_id").alias("class_id"), F.first("n").alias("n"), F.first("cls").alias("cls")), "classes")
+                     .agg(F.min("doc_id").alias("class_id"), F.first("n").alias("n"), F.first("cls").alias("cls"),
+                          F.count(F.lit(1)).alias("copies")), "classes")
     label = connected_components(pairs).select(F.col("node").alias("cls"), F.col("component").alias("label"))
-    members = stored(classes.join(label, "cls").select("class_id", "digest", "n", "label"), "members")
+    members = stored(classes.join(label, "cls").select("class_id", "digest", "cls", "n", "label"), "members")
     links = _member_links(docs, members, doc_id, text, words, percent, block)
-    comp = connected_components(links).select(F.col("node").alias("class_id"), F.col("component").alias("comp"))
-    known = classes.select("digest", "class_id").join(comp, "class_id", "left")
-    return (rows.join(known, "digest", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.coalesce("comp", "class_id")).otherwise(F.col("doc_id")).alias("component_id"),
-                    F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))
-            .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
-            .withColumn("class_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id"))))
+    comp = connected_components(links).select(F.col("node.cls").alias("cls"), F.col("component.id").alias("comp"),
+                                              (F.col("component.cls") == F.col("node.cls")).alias("first"))
+    known = stored(classes.join(comp, "cls", "left").select("digest", "class_id", "copies", F.coalesce("comp", "class_id").alias("comp"),
+                                                            F.coalesce("first", F.lit(True)).alias("first")), "known")
+    # a class with more than a thousandth of all rows (fewer than a thousand are) meets its rows by a broadcast
+    large = known.where(F.col("copies") * 1000 > max(rows.count(), 1000)).drop("copies")
+    none, full = rows.where("n = 0"), rows.where("n > 0")
+    plain = full.join(F.broadcast(large.select("digest")), "digest", "left_anti").join(known.drop("copies"), "digest", "left")
+    both = plain.unionByName(full.join(F.broadcast(large), "digest"))
+    own = F.col("doc_id").isNotNull()
+    return (both.select("doc_id", "digest", F.col("n").alias("n_shingles"), F.when(own, F.col("comp")).alias("component_id"),
+                        F.when(own, F.col("class_id")).alias("class_id"), F.coalesce("first", F.lit(True)).alias("first"))
+            .unionByName(none.select("doc_id", "digest", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"),
+                                     F.col("doc_id").alias("class_id"), F.lit(True).alias("first"))))
 
 
 def _by_size(members: DataFrame, percent: int, block: int) -> DataFrame:
@@ -453,11 +483,11 @@ def _member_links(docs, members, doc_id, text, words, percent, block) -> DataFra
     held = join_small(src, members.withColumnRenamed("class_id", "doc_id"), "doc_id")
     columns = ["task", "label", "side", "comp", "doc_id", "digest", "text"]
     first = held.withColumn("task", F.pmod(F.xxhash64("label", "part"), F.lit(tasks))).withColumn("side", F.lit(0)).withColumn("comp", F.lit(0).cast("long"))
-    links = stored(first.select(columns).groupBy("task").applyInArrow(_block_links(percent, words, False), "a long, b long"), "links")
+    links = stored(first.select(columns).groupBy("task").applyInArrow(_block_links(percent, words, False), _LINKS), "links")
     if (whole["cuts"] or 0) <= 1:
         return links
     cut = stored(_second_pass(held, links, block), "cut")
-    more = stored(cut.select(columns).groupBy("task").applyInArrow(_block_links(percent, words, True), "a long, b long"), "more")
+    more = stored(cut.select(columns).groupBy("task").applyInArrow(_block_links(percent, words, True), _LINKS), "more")
     return links.unionByName(more)
 
 
@@ -466,8 +496,8 @@ def _second_pass(held: DataFrame, links: DataFrame, block: int) -> DataFrame:
     largest component against the rest, and the rest among itself.  Two rows of
     a label meet in a task on different sides unless the first pass has them in
     one part or both are of the largest component."""
-    comp = connected_components(links).select(F.col("node").alias("doc_id"), F.col("component").alias("comp"))
-    cut = held.where("cuts > 1").join(comp, "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
+    comp = connected_components(links).select(F.col("node.cls").alias("cls"), F.col("component.cls").alias("comp"))
+    cut = held.where("cuts > 1").join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     counts = cut.groupBy("label", "comp").agg(F.count(F.lit(1)).alias("c"))
     main = counts.groupBy("label").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"))
     cut = stored(cut.join(main, "label").withColumn("rest", F.col("comp") != F.col("main")), "rest")
@@ -488,8 +518,27 @@ def _second_pass(held: DataFrame, links: DataFrame, block: int) -> DataFrame:
 def near_duplicate_survivors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5,
                              percent: int = 80) -> DataFrame:
     """The rows that stay when one document of each group of linked documents
-    does: the smallest id; rows without words and rows with a null id stay.
-    All columns are returned."""
-    comp = jaccard_components(docs, doc_id, text, words, percent)
-    gone = stored(comp.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "gone")
-    return join_small(docs, gone, docs[f"`{doc_id}`"] == gone["gone"], "left_anti")
+    does: the smallest id (and of two texts with this id one); rows without words
+    and rows with a null id stay, and rows that repeat the id and the set of the one
+    that stays do.  A text is judged by its id and its set, so an id at two texts can
+    lose one and keep the other.  All columns are returned."""
+    comp = stored(_components(docs, doc_id, text, words, percent, BLOCK), "judged")
+    stays = (F.col("doc_id") == F.col("component_id")) & F.col("first")
+    gone = stored(comp.where("doc_id is not null").where(~stays).select(F.col("doc_id").alias("gone"), "digest").distinct(), "gone")
+    several = stored(comp.where("doc_id is not null").groupBy(F.col("doc_id").alias("several")).agg(F.min("digest").alias("x"), F.max("digest").alias("y"))
+                     .where("x <> y").select("several"), "several")
+    key = docs[f"`{doc_id}`"]
+    if several.isEmpty():  # the usual case: an id names a text
+        return join_small(docs, gone, key == gone["gone"], "left_anti")
+    once = join_small(join_small(docs, several, key == several["several"], "left_anti"), gone, key == gone["gone"], "left_anti")
+    again = join_small(docs, several, key == several["several"], "left_semi")
+    names, at = [f"c{i}" for i in range(len(docs.columns))], docs.columns.index(text)
+
+    def run(batches):
+        for b in batches:
+            found = [digest(s) for s in row_sets(b.column(at), words)]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.binary())], names=[*names, "digest"])
+    plain = again.toDF(*names)
+    held = plain.mapInArrow(run, T.StructType([*plain.schema.fields, T.StructField("digest", T.BinaryType())]))
+    same = (held[names[docs.columns.index(doc_id)]] == gone["gone"]) & (held["digest"] == gone["digest"])
+    return once.unionByName(join_small(held, gone, same, "left_anti").select(*names).toDF(*docs.columns))

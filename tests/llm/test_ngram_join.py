@@ -144,9 +144,10 @@ def test_second_pass_meets_every_pair_of_the_rest(spark, monkeypatch):
     sets = J.row_sets(__import__("pyarrow").array(texts), 4)
     for cuts, rest_cuts in ((2, 1), (4, 3)):
         rest_n = sum(map(len, sets[:60]))
-        rows = [(i, 7, i // 2 % cuts if i % 2 else (i // 2 + 1) % cuts, cuts, len(sets[i]), J.digest(sets[i]), t) for i, t in enumerate(texts)]
-        held = spark.createDataFrame(rows, "doc_id long, label long, part int, cuts int, n long, digest binary, text string")
-        links = spark.createDataFrame([(i, 60) for i in range(61, 68)], "a long, b long")
+        rows = [(i, 7, i // 2 % cuts if i % 2 else (i // 2 + 1) % cuts, cuts, len(sets[i]), J.digest(sets[i]), J.class_key(J.digest(sets[i])), t) for i, t in enumerate(texts)]
+        held = spark.createDataFrame(rows, "doc_id long, label long, part int, cuts int, n long, digest binary, cls long, text string")
+        node = [(i, J.class_key(J.digest(s))) for i, s in enumerate(sets)]
+        links = spark.createDataFrame([(node[i], node[60]) for i in range(61, 68)], J._LINKS)
         got = J._second_pass(held, links, -(-rest_n // rest_cuts))
         met, found = set(), set()
         table = got.select("task", "label", "side", "comp", "doc_id", "digest", "text").toArrow()
@@ -155,7 +156,36 @@ def test_second_pass_meets_every_pair_of_the_rest(spark, monkeypatch):
             who = list(zip(part["doc_id"].to_pylist(), part["side"].to_pylist()))
             met |= {frozenset((a, b)) for (a, x), (b, y) in itertools.combinations(who, 2) if x != y}
             out = J._block_links(85, 4, True)(part)
-            found |= {frozenset(p) for p in zip(out["a"].to_pylist(), out["b"].to_pylist())}
+            found |= {frozenset((a["id"], b["id"])) for a, b in zip(out["a"].to_pylist(), out["b"].to_pylist())}
         place = {r[0]: r[2] for r in rows}
         assert all(frozenset(p) in met for p in itertools.combinations(range(60), 2) if place[p[0]] != place[p[1]])
         assert {frozenset((i, i + 1)) for i in range(0, 60, 2)} <= found
+
+
+def test_an_id_at_two_texts_keeps_the_unlinked_one(spark):
+    a = " ".join(f"w{i}" for i in range(60))
+    b = " ".join(f"v{i}" for i in range(60))
+    rows = [(1, a), (5, a + " tail"), (5, b), (9, b + " end"), (9, "another text of its own entirely"), (7, a + " x"), (7, a + " y")]
+    df = spark.createDataFrame([(*r, "k") for r in rows], "doc_id long, text string, digest string")
+    got = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in J.jaccard_components(df, words=5, percent=80).collect()}
+    assert got[5, 57] == 1 and got[5, 56] == 5 and got[9, 57] == 5 and got[9, 2] == 9 and got[7, 57] == 1
+    left = {(r["doc_id"], r["text"]) for r in J.near_duplicate_survivors(df).collect()}
+    assert left == {(1, a), (5, b), (9, "another text of its own entirely")}
+
+
+def test_words_a_polynomial_cannot_tell_apart_do_not_link(spark):
+    x, y = "a", "b"
+    for _ in range(11):
+        x, y = x + y, y + x
+    got = J.jaccard_components(spark.createDataFrame([(1, x), (2, y), (3, x + " tail"), (4, y + " tail")], "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {1: 1, 2: 2, 3: 3, 4: 4}
+
+
+def test_copies_and_empty_texts_are_dealt_evenly(spark):
+    """A third of all rows one text, a third empty: no shard of document rows holds them together."""
+    rows = [(i, "one text that a third of all rows hold") for i in range(300)] + [(i, "") for i in range(300, 600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    per = J.scan_documents(df, "doc_id", "text", 4, 85, 8).where("shard >= 8").groupBy("shard").count().collect()
+    assert len(per) == 8 and max(r["count"] for r in per) <= 600 // 8 + 2
+    got = J.jaccard_components(df).collect()
+    assert {r["component_id"] for r in got if r["doc_id"] < 300} == {0} and all(r["component_id"] == r["doc_id"] for r in got if r["doc_id"] >= 300)
