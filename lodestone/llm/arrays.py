@@ -33,18 +33,15 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _byte_codes(seed: int, fold_case: bool) -> np.ndarray:
-    t = mix64(np.arange(256, dtype=U64) + U64(seed))
-    if fold_case:
-        t[65:91] = t[97:123]
-    return t
-
-
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 #: Every ASCII byte that is neither letter nor digit.
 NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _BASE = 0x9E3779B97F4A7C15 | 1
+#: Bytes with A-Z as a-z.
+_FOLD = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+#: The low 0 to 8 bytes of a number.
+_LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=U64)
 
 
 def worker_cache() -> dict:
@@ -54,17 +51,6 @@ def worker_cache() -> dict:
     return module.__dict__.setdefault("held", {})
 
 
-def powers(n: int) -> np.ndarray:
-    """The first ``n`` powers of the hash base, kept between calls."""
-    held = worker_cache()
-    have = held.get("powers")
-    if have is None or len(have) < n:
-        p = np.full(max(n, 4096, 2 * len(have) if have is not None else 0), U64(_BASE))
-        p[0] = 1
-        have = held["powers"] = np.multiply.accumulate(p)
-    return have[:n]
-
-
 def text_buffer(col) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and ``n + 1`` offsets of an Arrow string or binary column; null
     counts as empty."""
@@ -129,33 +115,48 @@ def pieces(buf: np.ndarray, offs: np.ndarray, limit: int = 1 << 20) -> Iterator[
         at = to
 
 
-def segment_hash(buf: np.ndarray, starts: np.ndarray, lens: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    """64-bit hash of each of the disjoint ascending segments of ``buf``."""
+def eights(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes from every position on as a number (0 beyond the end)."""
+    padded = np.concatenate([buf, np.zeros(8, np.uint8)])
+    return np.ndarray((len(buf) + 1,), "<u8", padded, strides=(1,))
+
+
+def segment_hash(buf: np.ndarray, starts: np.ndarray, lens: np.ndarray, seed: int = 1) -> np.ndarray:
+    """64-bit hash of each given segment of ``buf``.  Every eight bytes are mixed
+    with their place before they are added, so no arrangement of the bytes makes
+    two segments equal by construction."""
     if not len(starts):
         return np.zeros(0, dtype=U64)
-    total = int(lens.sum())
-    first = np.cumsum(lens) - lens
-    pos = np.arange(total, dtype=np.int64) - np.repeat(first, lens)
-    at = pos + np.repeat(starts, lens)
-    vals = codes[buf[at]]
-    vals *= powers(int(lens.max()))[pos]
-    nonempty = lens > 0
-    h = np.zeros(len(starts), dtype=U64)
-    if nonempty.any():
-        h[nonempty] = np.add.reduceat(vals, first[nonempty])
+    held = eights(buf)
+    salt = int(seed) * 0xA24BAED4963EE407 + 0x9FB21C651E98DF25
+    h = mix64((held[starts] & _LOW[np.minimum(lens, 8)]) + U64(salt & _MASK))
+    long = np.flatnonzero(lens > 8)
+    step = 1 << 16
+    for a in range(0, len(long), step):  # the blocks behind the first one
+        i = long[a:a + step]
+        n = (lens[i] - 1) >> 3
+        first = np.cumsum(n) - n
+        k = np.arange(int(n.sum()), dtype=np.int64) - np.repeat(first, n) + 1
+        at = np.repeat(starts[i], n) + 8 * k
+        left = np.minimum(np.repeat(lens[i], n) - 8 * k, 8)
+        block = (held[at] & _LOW[left]) + (k.astype(U64) * U64(0xD1342543DE82EF95) + U64(salt & _MASK))
+        h[i] += np.add.reduceat(mix64(block), first)
     return mix64(h + lens.astype(U64) * U64(0xD6E8FEB86659FD93))
 
 
-def tiled_hash(buf: np.ndarray, starts: np.ndarray, lens: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    """``segment_hash`` of segments that follow each other; bytes between a
-    segment's end and the next start must have code 0."""
-    if not len(starts):
-        return np.zeros(0, dtype=U64)
-    a = int(starts[0])
-    span = np.diff(starts, append=len(buf))
-    vals = codes[buf[a:]]
-    vals *= powers(int(span.max()))[np.arange(a, len(buf)) - np.repeat(starts, span)]
-    return mix64(np.add.reduceat(vals, starts - a) + lens.astype(U64) * U64(0xD6E8FEB86659FD93))
+def same_segments(a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """Whether segments of equal lengths hold the same bytes."""
+    x, y = eights(a), eights(b)
+    same = (x[a_at] ^ y[b_at]) & _LOW[np.minimum(lens, 8)] == 0
+    long = np.flatnonzero(same & (lens > 8))
+    for c in range(0, len(long), 1 << 16):
+        i = long[c:c + (1 << 16)]
+        n = (lens[i] - 1) >> 3
+        k = np.arange(int(n.sum()), dtype=np.int64) - np.repeat(np.cumsum(n) - n, n) + 1
+        left = np.minimum(np.repeat(lens[i], n) - 8 * k, 8)
+        odd = (x[np.repeat(a_at[i], n) + 8 * k] ^ y[np.repeat(b_at[i], n) + 8 * k]) & _LOW[left] != 0
+        same[np.repeat(i, n)[odd]] = False
+    return same
 
 
 class Words:
@@ -164,12 +165,11 @@ class Words:
 
     def __init__(self, buf: np.ndarray, offs: np.ndarray, fold_case: bool = True, seed: int = 1,
                  spans: bool = False, apart: np.ndarray = SPACE):
-        codes = np.where(apart, U64(0), _byte_codes(seed, fold_case))
         hashes, starts_all, lens_all = [], [], []
         is_doc_start = np.zeros(len(buf) + 1, dtype=bool)
         is_doc_start[offs[:-1]] = True
         for a, b in pieces(buf, offs):
-            part = buf[a:b]
+            part = _FOLD[buf[a:b]] if fold_case else buf[a:b]
             solid = ~apart[part]
             head = solid.copy()
             head[1:] &= ~solid[:-1] | is_doc_start[a + 1:b]
@@ -177,7 +177,7 @@ class Words:
             tail[:-1] &= ~solid[1:] | is_doc_start[a + 1:b]
             s = np.flatnonzero(head)
             n = np.flatnonzero(tail) + 1 - s
-            hashes.append(tiled_hash(part, s, n, codes))
+            hashes.append(segment_hash(part, s, n, seed))
             starts_all.append(s + a)
             if spans:
                 lens_all.append(n)
@@ -200,6 +200,7 @@ def gram_hash(words: np.ndarray, n: int) -> np.ndarray:
         return np.zeros(0, dtype=U64)
     h = np.zeros(m, dtype=U64)
     for k in range(n):
+        h ^= h >> U64(32)
         h *= U64(_BASE)
         h += words[k:k + m]
     return mix64(h)
@@ -223,7 +224,7 @@ def doc_grams(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
 def _short(words: np.ndarray) -> int:
     h = len(words)
     for w in words.tolist():
-        h = (h * _BASE + w) & _MASK
+        h = ((h ^ h >> 32) * _BASE + w) & _MASK
     return int(mix64(np.array([h ^ 0xA5A5A5A5A5A5A5A5], dtype=U64))[0])
 
 
@@ -235,24 +236,26 @@ def ragged(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
 
 
 class Remembered:
-    """Id sequences by 64-bit key, looked up whole arrays at a time; starts
-    over when it holds more than ``limit`` keys, so its memory is bounded."""
+    """Id sequences of byte strings, looked up by hash whole arrays at a time.
+    A hit counts only if the bytes are the same; a string whose hash another
+    one holds goes on under a second hash.  Starts over when it holds more than
+    ``limit`` strings, so its memory is bounded."""
 
     BITS = 20
 
-    def __init__(self, dtype, limit: int):
-        self.dtype, self.limit = dtype, limit
+    def __init__(self, dtype, limit: int, seed: int = 23):
+        self.dtype, self.limit, self.seed = dtype, limit, seed
         self.forget()
 
     def forget(self) -> None:
         self.key = np.zeros(1, U64)  # one more than is used: a safe place to look
-        self.at = np.zeros(1, np.int64)
-        self.size = np.zeros(1, np.int64)
-        self.flat = np.zeros(0, self.dtype)
+        self.at, self.size = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.text_at, self.text_len = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.flat, self.text = np.zeros(0, self.dtype), np.zeros(0, np.uint8)
         self.first = np.zeros((1 << self.BITS) + 1, np.int32)
 
     def find(self, h: np.ndarray) -> np.ndarray:
-        """Index of each key, -1 where it is not held."""
+        """Index of each hash, -1 where it is not held."""
         slot = (h >> U64(64 - self.BITS)).astype(np.int64)
         at, end = self.first[slot], self.first[slot + 1]
         hit = (self.key[at] == h) & (at < end)
@@ -266,28 +269,44 @@ class Remembered:
             rest = rest[~ok & (end[rest] - r > 1)]
         return out
 
-    def add(self, h: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
+    def add(self, h: np.ndarray, size: np.ndarray, ids: np.ndarray, lens: np.ndarray, text: np.ndarray) -> None:
         key = np.concatenate([self.key[:-1], h])
         at = np.concatenate([self.at[:-1], len(self.flat) + np.cumsum(size) - size])
-        size = np.concatenate([self.size[:-1], size])
-        self.flat = np.concatenate([self.flat, ids])
+        text_at = np.concatenate([self.text_at[:-1], len(self.text) + np.cumsum(lens) - lens])
+        size, text_len = np.concatenate([self.size[:-1], size]), np.concatenate([self.text_len[:-1], lens])
+        self.flat, self.text = np.concatenate([self.flat, ids]), np.concatenate([self.text, text])
         by = np.argsort(key)
-        self.key, self.at, self.size = (np.append(x[by], x.dtype.type(0)) for x in (key, at, size))
+        self.key, self.at, self.size, self.text_at, self.text_len = (
+            np.append(x[by], x.dtype.type(0)) for x in (key, at, size, text_at, text_len))
         slot = (self.key[:-1] >> U64(64 - self.BITS)).astype(np.int64)
         self.first = np.concatenate([[0], np.cumsum(np.bincount(slot, minlength=1 << self.BITS))]).astype(np.int32)
 
-    def resolve(self, h: np.ndarray, learn) -> np.ndarray:
-        """Index of each key; ``learn(places)`` gives (sizes, ids) of keys that
-        are new, by where they first stand in ``h``."""
+    def resolve(self, buf: np.ndarray, starts: np.ndarray, lens: np.ndarray, learn) -> np.ndarray:
+        """Index of each segment of ``buf``; ``learn(places)`` gives (sizes, ids)
+        of segments that are new, by where they first stand."""
+        h, turn = segment_hash(buf, starts, lens, self.seed), 0
+        while True:
+            out = self._held(h, buf, starts, lens, learn)
+            same = self.text_len[out] == lens
+            i = np.flatnonzero(same)
+            same[i] = same_segments(buf, starts[i], self.text, self.text_at[out[i]], lens[i])
+            odd = np.flatnonzero(~same)
+            if not len(odd):
+                return out
+            turn += 1
+            h[odd] = segment_hash(buf, starts[odd], lens[odd], self.seed + turn)
+
+    def _held(self, h, buf, starts, lens, learn) -> np.ndarray:
         out = self.find(h)
         missing = np.flatnonzero(out < 0)
         if len(missing):
             u, one = np.unique(h[missing], return_index=True)
             if len(self.key) + len(u) > self.limit and len(self.key) > 1:
                 self.forget()
-                return self.resolve(h, learn)
-            size, ids = learn(missing[one])
-            self.add(u, size, ids)
+                return self._held(h, buf, starts, lens, learn)
+            i = missing[one]
+            size, ids = learn(i)
+            self.add(u, size, ids, lens[i], buf[ragged(starts[i], lens[i])])
             out = self.find(h)
         return out
 

@@ -43,6 +43,13 @@ def chunked(docs: DataFrame, doc_id: str, text: str, flag: Column | None = None,
     return stored(src.mapInArrow(run, SCHEMA), "chunks")
 
 
+def shards_for(chunks: DataFrame, chunk_bytes: int, shard_bytes: int) -> int:
+    """As many hash shards as the chunks' bytes ask for, at least as many as the
+    session's shuffle partitions, so that a shard keeps its size as the corpus grows."""
+    least = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-chunks.count() * chunk_bytes // shard_bytes))
+
+
 def rows(batch: pa.RecordBatch):
     """The rows of a batch of chunks as dictionaries; ``buf`` and ``offs`` as arrays."""
     unpress = zstandard.ZstdDecompressor()

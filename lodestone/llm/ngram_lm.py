@@ -10,8 +10,8 @@ often, but in falling proportion.  It sums to one for every h.  The log of a
 text is a sum of three parts, log p(w), log of k / (c + k), and for bigrams seen
 in training delta = log(1 + c(h w) / (k(h) p(w))), which is what the trie stores.
 
-The corpus and the model are spread over hash shards; no task holds the
-vocabulary or all bigrams.  Texts are packed in chunk rows.  Every chunk sends its
+The corpus and the model are spread over hash shards, as many as the texts' bytes
+ask for; no task holds the vocabulary or all bigrams.  Texts are packed in chunk rows.  Every chunk sends its
 distinct words to the word shards and gets back id and count; with them it sums
 the unigram parts and sends its distinct bigrams, with the texts they stand in, to
 the bigram shards.  A shard merges the counts of all chunks, builds its part of
@@ -35,11 +35,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.arrays import Words, mix64, pack, shard_of, unpack
-from lodestone.llm.chunks import chunked, rows, with_answers
+from lodestone.llm.chunks import CHUNK_BYTES, chunked, rows, shards_for, with_answers
 from lodestone.llm.common import stored
 from lodestone.llm.elias_fano import EliasFano
 
 CONCENTRATION = 0.9
+#: Text of all chunks per hash shard on average.
+SHARD_BYTES = 32 << 20
 _U = np.uint64
 #: Ids: 0 is a word that training did not see, 1 the end of a text (and the
 #: context of its first word), 2 and on the words.
@@ -289,9 +291,8 @@ def corpus_scores(docs: DataFrame, train: Column, doc_id: str = "doc_id", text:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) per row,
     learning from the rows where ``train`` holds.  ``levels_to`` names a folder
     for the trie's levels (Parquet rows of one binary level per shard)."""
-    spark = docs.sparkSession
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     chunks = chunked(docs, doc_id, text, train)
+    shards = shards_for(chunks, CHUNK_BYTES, SHARD_BYTES)
     ends = chunks.agg(F.sum(F.size(F.filter("flags", lambda f: f))).alias("n")).first()["n"] or 0
     answers = stored(vocabulary(word_counts(chunks, shards)), "vocabulary")
     per = {r["shard"]: (r["n"], r["v"]) for r in answers.groupBy("shard").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect()}

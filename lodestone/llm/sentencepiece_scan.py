@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.arrays import Remembered, mix64, powers, ragged, slices, text_buffer, worker_cache
+from lodestone.llm.arrays import Remembered, ragged, slices, text_buffer, worker_cache
 from lodestone.llm.common import narrow, stored
 
 MARK = 0x2581
@@ -264,15 +264,8 @@ class Encoder:
     def stretches(self, cp: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids) of stretches between cuts, each distinct one
         segmented once per worker."""
-        codes, h = char_codes(cp), []
-        for a in range(0, len(starts), 100000):
-            s, w = starts[a:a + 100000], lens[a:a + 100000]
-            at = ragged(s, w)
-            first = np.cumsum(w) - w
-            vals = codes[at] * powers(int(w.max()))[at - np.repeat(s, w)]
-            h.append(mix64(np.add.reduceat(vals, first) + w.astype(np.uint64)))
-        h = np.concatenate(h) if h else np.zeros(0, np.uint64)
-        at = self.held.resolve(h, lambda i: self.segment(cp, starts[i], lens[i])[::-1])
+        raw = np.ascontiguousarray(cp, "<u4").view(np.uint8)
+        at = self.held.resolve(raw, 4 * starts, 4 * lens, lambda i: self.segment(cp, starts[i], lens[i])[::-1])
         size = self.held.size[at]
         return self.held.flat[ragged(self.held.at[at], size)], size
 

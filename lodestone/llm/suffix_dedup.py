@@ -8,8 +8,11 @@ the ``GRAM``-byte strings in it.  Equal windows have equal minimisers, so each t
 cut into runs of windows with a common minimiser, and a run (at most ``LENGTH - GRAM
 + 1`` windows) goes, with its bytes, to the hash shard of that minimiser.  A first
 round of packed hashes finds the minimisers that occur in more than one
-document; runs of all others cannot repeat and stay where they are.  In a shard
-equal runs are one string with its smallest id.  Where different strings have
+document; runs of all others cannot repeat and stay where they are.  A chunk of
+texts sends equal runs once, with the smallest id it has them in: all windows of
+the copies under larger ids go for certain, so only that one needs an answer.
+There are as many shards as the texts' bytes ask for.  In a shard equal runs are
+one string with its smallest id.  Where different strings have
 a minimiser in common, a suffix array of them (``lyndon_suffixes``, linear
 grouping) brings equal windows side by side, and each group of equal windows
 gets the smallest id of its strings.  What goes back is one bit per window: does it
@@ -32,8 +35,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.arrays import _byte_codes, mix64, pack, powers, ragged, shard_of, unpack
-from lodestone.llm.chunks import chunked, rows, with_answers
+from lodestone.llm.arrays import mix64, pack, ragged, same_segments, segment_hash, shard_of, unpack
+from lodestone.llm.chunks import chunked, rows, shards_for, with_answers
 from lodestone.llm.common import stored
 from lodestone.llm.lyndon_suffixes import suffix_orders
 
@@ -43,15 +46,16 @@ GRAM = 16
 TEXT_BYTES = 8192
 #: Bytes that are sorted in step.
 BATCH_BYTES = 1_000_000
-#: Text of a chunk row.
+#: Text of a chunk row, and of all chunks per hash shard on average.
 CHUNK_BYTES = 4 << 20
+SHARD_BYTES = 32 << 20
 _U = np.uint64
 _NULL_ID = -(1 << 63)
 
 
 def gram_hashes(part: np.ndarray, gram: int) -> np.ndarray:
     """Hash of every ``gram``-byte string, by doubling."""
-    codes = _byte_codes(31, False)
+    codes = mix64(np.arange(256, dtype=_U) + _U(31))
     h, size, mul = codes[part], 1, np.array([0x9E3779B97F4A7C15], dtype=_U)
     while size * 2 <= gram:
         h = h[:-size] * mul + h[size:]
@@ -158,7 +162,8 @@ def repeated(found: DataFrame) -> DataFrame:
 
 
 def _candidates(r: dict, answers, shards: int, length: int, gram: int):
-    """Runs whose minimiser is in several documents, in order of minimiser."""
+    """Runs whose minimiser is in several documents, in order of minimiser, the
+    first of each string (under its smallest id), and the string of each run."""
     s, w, v, doc = _chunk_runs(r, length, gram)
     u, inv = np.unique(v >> _U(16), return_inverse=True)
     cut = np.searchsorted(shard_of(u << _U(16), shards), np.arange(shards + 1))
@@ -167,17 +172,25 @@ def _candidates(r: dict, answers, shards: int, length: int, gram: int):
         x, y = cut[a["shard"]], cut[a["shard"] + 1]
         flag[x:y] = np.unpackbits(np.frombuffer(a["blob"], np.uint8), count=y - x)
     use = np.flatnonzero(flag[inv])
-    use = use[np.argsort(v[use], kind="stable")]
-    return s[use], w[use], v[use], doc[use]
+    s, w, v, doc = s[use], w[use], v[use], doc[use]
+    h = segment_hash(r["buf"], s, w + length - 1, 41)
+    by = np.lexsort((doc, h, v))
+    s, w, v, doc, h = (x[by] for x in (s, w, v, doc, h))
+    same = np.concatenate([[False], (v[1:] == v[:-1]) & (h[1:] == h[:-1]) & (w[1:] == w[:-1])]) if len(s) else np.zeros(0, bool)
+    twin = np.flatnonzero(same)
+    same[twin] = same_segments(r["buf"], s[twin], r["buf"], s[twin - 1], w[twin] + length - 1)
+    return s, w, v, doc, np.flatnonzero(~same), np.cumsum(~same) - 1
 
 
 def candidate_runs(chunks: DataFrame, shards: int, length: int, gram: int) -> DataFrame:
-    """(shard, chunk, blob): the candidate runs of a chunk with their bytes."""
+    """(shard, chunk, blob): the distinct candidate runs of a chunk with their
+    bytes and the smallest id they stand under."""
     def run(batches):
         press = zstandard.ZstdCompressor(level=1)
         for b in batches:
             for r in rows(b):
-                s, w, v, doc = _candidates(r, r["answers"], shards, length, gram)
+                s, w, v, doc, head, _ = _candidates(r, r["answers"], shards, length, gram)
+                s, w, v, doc = s[head], w[head], v[head], doc[head]
                 cut = np.searchsorted(shard_of(v, shards), np.arange(shards + 1))
                 own, blobs = [], []
                 for k in range(shards):
@@ -192,18 +205,6 @@ def candidate_runs(chunks: DataFrame, shards: int, length: int, gram: int) -> Da
     return chunks.mapInArrow(run, "shard int, chunk long, blob binary")
 
 
-def string_hashes(data: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
-    """64-bit hash of each string, in parts of bounded size."""
-    codes, out = _byte_codes(37, False), []
-    for a in range(0, len(starts), 50000):
-        s, n = starts[a:a + 50000], lens[a:a + 50000]
-        first = np.cumsum(n) - n
-        at = ragged(s, n)
-        vals = codes[data[at]] * powers(int(n.max()))[at - np.repeat(s, n)]
-        out.append(mix64(np.add.reduceat(vals, first) + n.astype(_U)))
-    return np.concatenate(out) if out else np.zeros(0, _U)
-
-
 def window_owners(data: np.ndarray, starts: np.ndarray, wins: np.ndarray, key: np.ndarray, owner: np.ndarray,
                   length: int, gram: int, text_bytes: int = TEXT_BYTES, batch_bytes: int = BATCH_BYTES) -> np.ndarray:
     """The smallest owner of every window (a row of windows per string, in
@@ -216,10 +217,12 @@ def window_owners(data: np.ndarray, starts: np.ndarray, wins: np.ndarray, key: n
     work = (key, starts, wins, owner, place)
     while len(work[0]):
         k, s, w, own, at = work
-        h = mix64(string_hashes(data, s, w + length - 1) ^ k)
+        h = mix64(segment_hash(data, s, w + length - 1, 37) ^ k)
         o = np.lexsort((own, h, k))
         k, s, w, own, at, h = (x[o] for x in (k, s, w, own, at, h))
-        same = np.concatenate([[False], (h[1:] == h[:-1]) & (k[1:] == k[:-1])])
+        same = np.concatenate([[False], (h[1:] == h[:-1]) & (k[1:] == k[:-1]) & (w[1:] == w[:-1])])
+        twin = np.flatnonzero(same)  # the hash brings equal strings together, the bytes decide
+        same[twin] = same_segments(data, s[twin], data, s[twin - 1], w[twin] + length - 1)
         head = np.flatnonzero(~same)
         times = np.diff(np.append(head, len(h)))
         low = own[head]  # sorted: the smallest owner of equal strings stands first
@@ -344,8 +347,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     that stay and the removed spans as (from, to)."""
     if not 8 <= gram <= length or length - gram + 1 > 64:
         raise ValueError("gram must be from 8 to length, and a run at most 64 windows")
-    shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = chunked(docs, doc_id, text, size=CHUNK_BYTES)
+    shards = shards_for(chunks, CHUNK_BYTES, SHARD_BYTES)
     flags = stored(repeated(minimisers(chunks, shards, length, gram)), "flags")
     asked = stored(with_answers(chunks, flags), "asked")
     masks = stored(judged(candidate_runs(asked, shards, length, gram), length, gram), "masks")
@@ -354,9 +357,11 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     def cut(batches):
         for b in batches:
             for r in rows(b):
-                s, _, _, _ = _candidates(r, r["answers"], shards, length, gram)
+                s, w, _, doc, head, one = _candidates(r, r["answers"], shards, length, gram)
                 m = [unpack(x["blob"], _U) for x in r["masks"] or []]
                 m = np.concatenate(m) if m else np.zeros(0, _U)
+                whole = _U(0xFFFFFFFFFFFFFFFF) >> (64 - w).astype(_U)  # every window of a copy under a larger id
+                m = np.where(doc > doc[head][one], whole, m[one]) if len(s) else m
                 buf, offs = r["buf"], r["offs"]
                 starts = np.zeros(len(buf) + length, dtype=np.int32)  # windows to remove, shifted by ``length``
                 for o in range(length - gram + 1):

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm import rans
-from lodestone.llm.arrays import SPACE, Remembered, _byte_codes, ragged, text_buffer, text_parts, tiled_hash, worker_cache
+from lodestone.llm.arrays import SPACE, Remembered, ragged, text_buffer, text_parts, worker_cache
 from lodestone.llm.common import narrow, stored
 
 RUN = 1 << 18
@@ -69,7 +69,6 @@ class UnitEncoder:
         self.width = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
         for t, i in vocab.items():
             self.width[i] = len(t)  # byte-level: one character per byte
-        self.codes = _byte_codes(23, False)
         self.held = Remembered(np.uint32, REMEMBERED)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -104,10 +103,7 @@ class UnitEncoder:
         starts = self._apart(buf, offs, self._units(buf, offs))
         lens = np.diff(starts, append=len(buf))
         step = 100_000
-        edges = np.append(starts, len(buf))
-        h = np.concatenate([tiled_hash(buf[:edges[min(a + step, len(starts))]], starts[a:a + step], lens[a:a + step], self.codes)
-                            for a in range(0, len(starts), step)] or [np.zeros(0, np.uint64)])
-        at = self.held.resolve(h, lambda i: self._learn(buf, starts[i], lens[i]))
+        at = self.held.resolve(buf, starts, lens, lambda i: self._learn(buf, starts[i], lens[i]))
         size, begin, flat = self.held.size[at], self.held.at[at], np.append(self.held.flat, np.uint32(end_id))
         doc = np.searchsorted(offs, starts, side="right") - 1
         per_doc = np.bincount(doc, weights=size, minlength=n).astype(np.int64) + 1
@@ -170,7 +166,9 @@ def token_runs(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc_
     """Runs of ids in ascending document order; ``at`` and ``doc_start`` count
     from the start of the partition ``part``."""
     src = narrow(docs, doc_id=F.col(f"`{doc_id}`").cast("long"), text=text)
-    ordered = (src.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
+    # the row number lets a range end among rows of one id and text
+    src = src.withColumn("h", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
+    ordered = (src.repartitionByRange("doc_id", "h", "row").sortWithinPartitions("doc_id", "h", "row")
                .select(F.spark_partition_id().alias("part"), "doc_id", "text"))
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -83,3 +83,11 @@ def test_the_model_sums_to_one():
     p = lambda w: (c.get(w, 0) + 1) / (n + v + 1)
     total = sum((b.get(("a", w), 0) + k * p(w)) / (c["a"] + k) for w in ("a", "b", None, "unseen"))
     assert abs(total - 1) < 1e-12
+
+
+def test_words_a_polynomial_cannot_tell_apart_are_two(spark):
+    x, y = "a", "b"
+    for _ in range(11):
+        x, y = x + y, y + x
+    rows = [(1, f"{x} {x} {y}"), (2, y), (3, x)]
+    check(spark, spark.createDataFrame(rows, "doc_id long, text string"), rows, [True, True, False], F.col("doc_id") < 3)

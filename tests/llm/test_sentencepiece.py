@@ -111,3 +111,16 @@ def test_ids_are_those_of_the_library(spark, chunk):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r["ids"] for r in S.encode(df, piece_model(), chunk=chunk).collect()}
     assert got == {i: sp.encode(t) for i, t in enumerate(texts)}
+
+
+def test_stretches_a_polynomial_cannot_tell_apart(spark):
+    x, y = "a", "b"
+    for _ in range(12):
+        x, y = x + y, y + x
+    df = spark.createDataFrame([(1, x), (2, y), (3, f"{x} {y}")], "doc_id long, text string").coalesce(1)
+    import sentencepiece
+    sp = sentencepiece.SentencePieceProcessor(model_file=piece_model())
+    encoded = S.encode(df, piece_model())
+    got = {r["doc_id"]: r for r in S.decode(encoded, piece_model()).collect()}
+    for d, t in ((1, x), (2, y), (3, f"{x} {y}")):
+        assert got[d]["text"] == t and list(got[d]["ids"]) == sp.encode(t)

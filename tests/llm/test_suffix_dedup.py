@@ -97,3 +97,26 @@ def test_suffix_orders_against_sorting():
 
 def test_empty(spark):
     assert X.remove_repeats(empty(spark)).count() == 0
+
+
+def test_copies_are_sent_once_per_chunk(spark):
+    """A third of all rows one text: a chunk sends its runs once, not once per copy."""
+    rnd = random.Random(5)
+    line = "".join(rnd.choice("abcdefgh ") for _ in range(200))
+    rows = [(i, line) for i in range(400)] + [(1000 + i, "".join(rnd.choice("ijklmnop ") for _ in range(120))) for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    chunks = X.chunked(df, "doc_id", "text", size=X.CHUNK_BYTES)
+    flags = X.repeated(X.minimisers(chunks, 8, 50, 16))
+    sent = X.candidate_runs(X.with_answers(chunks, flags), 8, 50, 16).collect()
+    n = sum(len(X.unpack(X._split(r["blob"])[1], np.uint8)) for r in sent)
+    assert 0 < n <= chunks.count() * 200  # at most a run per byte of the line and chunk
+    check(df, rows)
+
+
+def test_shards_follow_the_bytes(spark, monkeypatch):
+    monkeypatch.setattr(X, "SHARD_BYTES", 400)
+    monkeypatch.setattr(X, "CHUNK_BYTES", 2000)
+    rows = near_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert X.shards_for(X.chunked(df, "doc_id", "text", size=2000), 2000, 400) > 20
+    check(df, rows)

@@ -10,9 +10,9 @@ from lodestone.session import scratch_path
 
 
 def expected(rows):
+    """By the untouched library."""
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(byte_bpe())
-    tok.encode_special_tokens = True
     out, at = [], 0
     for d, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
         ids = tok.encode(t or "", add_special_tokens=False).ids + [2]
@@ -28,8 +28,8 @@ def test_files_against_the_tokenizer(spark, run):
     df = awkward(spark).where("doc_id is not null or text is not null")
     rows = [r for r in awkward_rows() if r != (None, None)]
     extra = [(50, "don't they'll (a) x.y@z.com it's... \"q\"'d <|endoftext|>.x l'été a1b2,3.4"), (51, " lead"), (52, "tail    x\x85y\n\n z ")]
-    df = df.select("doc_id", "text").unionByName(spark.createDataFrame(extra, "doc_id long, text string"))
-    T.write_tokens(df, path, byte_bpe(), 2, run=run)
+    df = df.unionByName(spark.createDataFrame(extra, "doc_id long, text string"), allowMissingColumns=True)  # clashing names stay
+    T.write_tokens(df, path, byte_bpe(), 2, run=run, added=True)
     got = sorted(map(tuple, T.read_documents(spark, path).collect()), key=lambda r: r[1])
     assert got == expected(rows + extra)
 
@@ -80,3 +80,26 @@ def test_literal_added_tokens_as_the_untouched_tokenizer(spark, tmp_path):
         want.append((d, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         at += len(ids)
     assert got == want
+
+
+def test_units_a_polynomial_cannot_tell_apart(spark):
+    x, y = "a", "b"
+    for _ in range(12):
+        x, y = x + y, y + x
+    rows = [(1, x), (2, y), (3, "pre " + x + " and " + y)]
+    path = scratch_path(spark, "t")
+    T.write_tokens(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), path, byte_bpe(), 2, added=True)
+    assert sorted(map(tuple, T.read_documents(spark, path).collect())) == expected(rows)
+
+
+def test_equal_rows_are_dealt_to_several_ranges(spark):
+    df = spark.createDataFrame([(None, "one text")] * 600 + [(i, f"t{i}") for i in range(600)], "doc_id long, text string").repartition(6)
+    runs = T.token_runs(df, byte_bpe(), 2)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert runs.where("exists(doc_ids, x -> x is null)").groupBy("part").count().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    path = scratch_path(spark, "t")
+    T.write_tokens(df, path, byte_bpe(), 2)
+    assert T.read_documents(spark, path).count() == 1200
