@@ -8,11 +8,12 @@ between the two; counts are BIGINT on both sides.
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions import columns, predicates
-from lodestone.operators import explain, grid, labels, metrics, registry, sampling, selection, training
+from lodestone.operators import explain, grid, labels, membership, metrics, registry, sampling, selection, sorted_runs, training
 from lodestone.plans import crawl, etl, ml
 from lodestone.session import read_table, scratch_path, small_table, spread
 from lodestone.sources import collections
@@ -52,10 +53,29 @@ from customer
 """)
 def q_etl_chain_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = _csv_copy(read_table(spark, sf_dir, "customer"), spark, "customer")
-    stages = etl.Stages(db="etl_customer", root=scratch_path(spark, "store"))
+    stages = etl.Stages(db="etl_customer", root=scratch_path(spark, "store"), fmt="snapshot")
     return etl.run_etl(spark, src, stages, key="c_custkey", drop=("extra", "c_name"))
 
 
+@query("etl_refresh_keeps_old_rows_customer", """
+select 'after_failure' as state, c_custkey, c_acctbal from customer where c_acctbal >= 0
+union all select 'after_refresh', c_custkey, c_acctbal from customer
+""")
+def q_etl_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full refresh that dies in its tasks leaves the rows of the last one
+    readable; the next refresh replaces them in one step."""
+    c, root = read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal"), scratch_path(spark, "store")
+    collections.write_collection(c.where("c_acctbal >= 0"), "etl", "load", root, "snapshot")
+    broken = c.withColumn("c_acctbal", F.when(F.col("c_acctbal") < 0, F.raise_error(F.lit("bad row")).cast("double")).otherwise(F.col("c_acctbal")))
+    try:
+        collections.write_collection(broken, "etl", "load", root, "snapshot")
+    except PySparkException:
+        pass
+    kept = collections.read_collection(spark, "etl", "load", root, "snapshot").select(F.lit("after_failure").alias("state"), "*")
+    collections.write_collection(c, "etl", "load", root, "snapshot")
+    return kept.unionByName(collections.read_collection(spark, "etl", "load", root, "snapshot").select(F.lit("after_refresh").alias("state"), "*"))
+
+
 @query("csv_scan_supplier_pipe", """
 select cast(s_suppkey as integer) as s_suppkey, s_name, s_nationkey, s_acctbal from supplier
 """)
@@ -507,6 +527,48 @@ def q_crawl_stream(spark, sf_dir):
     return incremental.read_key_log(spark, log)
 
 
+@query("crawl_sorted_runs_documents", ORACLE_SQL["crawl_incremental_documents"])
+def q_crawl_sorted_runs(spark, sf_dir):
+    """The incremental runs over a catalog stored as three runs sorted by stars:
+    each reads leading files only."""
+    cat = _crawl_catalog(read_table(spark, sf_dir, "documents"))
+    log, root = scratch_path(spark, "crawl-log"), scratch_path(spark, "runs")
+    for i in range(3):  # the catalog arrived in three parts
+        sorted_runs.add_run(cat.where(F.pmod(F.xxhash64("_id"), F.lit(3)) == i), root, "stars", "_id", file_rows=10_000)
+    incremental.write_log_part(crawl.load_seen(spark, _seen_log_file(spark, sf_dir)), log, "initial")
+    for run in range(2):
+        incremental.incremental_select_runs(spark, root, log, 25, batch_id=f"r{run}")
+    return incremental.read_key_log(spark, log)
+
+
+@query("crawl_filtered_documents", ORACLE_SQL["crawl_select_documents"])
+def q_crawl_filtered(spark, sf_dir):
+    """The selection with a Bloom filter of the log in front of the anti join."""
+    cat = _crawl_catalog(read_table(spark, sf_dir, "documents"))
+    new = membership.unseen_filtered(cat, crawl.load_seen(spark, _seen_log_file(spark, sf_dir)), "_id")
+    return selection.top_k(predicates.succeeded(new, "ok"), 25, "stars", "_id").select("_id", "stars")
+
+
+@query("insert_if_absent_concurrent_catalog", """
+with c as (select source || '/doc' || cast(doc_id as varchar) as _id, n_chars as stars, doc_id from documents)
+select _id, stars, 'second' as writer from c where doc_id % 3 <> 0
+union all select _id, stars, 'first' from c where doc_id % 3 = 0
+""")
+def q_insert_concurrent(spark, sf_dir):
+    """Two writers insert overlapping parts of the catalog; the second begins
+    later and commits earlier.  Each key is stored once, by whoever committed
+    it first."""
+    root = scratch_path(spark, "store")
+    cat = read_table(spark, sf_dir, "documents").select(
+        F.concat_ws("/", "source", F.concat(F.lit("doc"), F.col("doc_id").cast("string"))).alias("_id"), F.col("n_chars").alias("stars"), "doc_id")
+    part = lambda who, rows: cat.where(rows).select("_id", "stars", F.lit(who).alias("writer"))
+    first = collections.begin_insert(part("first", "doc_id % 3 <> 2"), "crawl", "repos", "_id", root)
+    second = collections.begin_insert(part("second", "doc_id % 3 <> 0"), "crawl", "repos", "_id", root)
+    second.commit()
+    first.commit()
+    return collections.read_collection(spark, "crawl", "repos", root, "snapshot")
+
+
 # ---------------------------------------------------------------------------
 # Content test over cells (C1, C2, K3): conversations as notebooks, one row
 # per cell; role "user" plays the code cell.

@@ -2,9 +2,10 @@
 
 A collection ``db.name`` is a table below a store root (by default a folder
 under the shared ``spark.checkpoint.dir``).  The storage format is pluggable:
-``parquet`` by default, ``table`` for a catalog table ``db.name``, or any
-Spark data source such as a document-store connector, which then receives
-``database``/``collection`` options.
+``parquet`` by default, ``snapshot`` for a versioned table whose refreshes and
+inserts are atomic and checked for conflicts (``snapshots.py``), ``table`` for a
+catalog table ``db.name``, or any Spark data source such as a document-store
+connector, which then receives ``database``/``collection`` options.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestone.session import materialize, path_exists, shared_dir
+from lodestone.sources import snapshots
 
 FILE_FORMATS = {"parquet", "orc", "json", "csv", "avro"}
 
@@ -33,6 +35,8 @@ def read_collection(spark: SparkSession, db: str, name: str, root: str | None =
                     fmt: str = "parquet", **options) -> DataFrame:
     """Match-all scan of a collection; filters and projections applied later
     are pushed into the scan by Catalyst."""
+    if fmt == "snapshot":
+        return snapshots.read(spark, collection_path(spark, db, name, root))
     if fmt in FILE_FORMATS:
         return spark.read.format(fmt).options(**options).load(collection_path(spark, db, name, root))
     if fmt == "table":  # a catalog table db.name
@@ -48,9 +52,13 @@ def write_collection(df: DataFrame, db: str, name: str, root: str | None = None,
 
     An overwrite first removes the old files, so a frame that reads the very
     collection it would overwrite is refused: the write would destroy its own
-    input.  An empty frame writes an empty table.
+    input.  An empty frame writes an empty table.  With ``fmt="snapshot"`` old
+    rows stay readable until the new ones are committed, so neither holds.
     """
     spark = df.sparkSession
+    if fmt == "snapshot":
+        change = snapshots.replace if mode == "overwrite" else snapshots.append
+        return change(df, collection_path(spark, db, name, root))
     if mode == "overwrite" and fmt in FILE_FORMATS:
         _refuse_own_input(df, collection_path(spark, db, name, root))
     elif mode == "overwrite" and fmt == "table" and spark.catalog.tableExists(f"`{db}`.`{name}`"):
@@ -158,12 +166,15 @@ def insert_if_absent_delta(target: DataFrame, source: DataFrame, key: str | list
 
 
 def insert_if_absent_into(source: DataFrame, db: str, name: str, key: str | list[str],
-                          root: str | None = None, order: str | None = None) -> int:
+                          root: str | None = None, order: str | None = None, fmt: str = "parquet") -> int:
     """Insert-if-absent into a stored collection: only the rows whose key is
     not stored yet are appended; stored rows are never rewritten.  The delta
     is stored before the append, so the write does not read the table
-    it extends.  Returns the number of rows added."""
+    it extends.  Returns the number of rows added.  Two writers of plain files
+    do not see each other; with ``fmt="snapshot"`` a key is added once."""
     spark = source.sparkSession
+    if fmt == "snapshot":
+        return begin_insert(source, db, name, key, root, order).commit()
     if not path_exists(spark, collection_path(spark, db, name, root)):  # the first insert creates it
         keys = [key] if isinstance(key, str) else list(key)
         return write_collection(dedupe_first(source, keys, order), db, name, root)
@@ -172,6 +183,18 @@ def insert_if_absent_into(source: DataFrame, db: str, name: str, key: str | list
     return write_collection(delta, db, name, root, mode="append")
 
 
+def begin_insert(source: DataFrame, db: str, name: str, key: str | list[str], root: str | None = None,
+                 order: str | None = None) -> snapshots.Insert:
+    """Insert-if-absent into a versioned collection, begun now and added by its
+    ``commit()``: a key that another writer commits in between stays theirs."""
+    spark, path = source.sparkSession, collection_path(source.sparkSession, db, name, root)
+    keys = [key] if isinstance(key, str) else list(key)
+    have = snapshots.current(spark, path)
+    schema = have.schema if have else source.schema
+    new = dedupe_first(source.select(*[f"`{f.name}`" for f in schema.fields]), keys, order)
+    return snapshots.Insert(spark, path, keys, lambda held: new if held is None else new.join(held, keys, "left_anti"), schema)
+
+
 def append_log(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple = ()) -> None:
     """Append rows to a log table."""
     df.write.format(fmt).mode("append").partitionBy(*partition_by).save(path)

@@ -95,8 +95,8 @@ def test_stream_offers_old_and_new_rows(spark, tmp):
 def test_replayed_batch_rewrites_its_part(spark, tmp):
     df = spark.createDataFrame([("a", 1, True), ("b", 2, True)], "_id string, stars long, ok boolean")
     for rows in (df, df.where("_id = 'a'")):  # batch 0 again, with another outcome
-        rows.write.mode("overwrite").parquet(f"{tmp}/cand/epoch=0")
-    df.withColumn("stars", F.lit(9).cast("long")).write.parquet(f"{tmp}/cand/epoch=1")
+        I.store_epoch(rows, f"{tmp}/cand", 0)
+    I.store_epoch(df.withColumn("stars", F.lit(9).cast("long")), f"{tmp}/cand", 1)
     got = {r._id: r.stars for r in I.read_candidates(spark, f"{tmp}/cand").collect()}
     assert got == {"a": 9, "b": 9}
 
@@ -106,3 +106,35 @@ def test_stream_without_any_input(spark, tmp):
     os.makedirs(f"{tmp}/src")
     s = spark.readStream.schema("_id string, stars long, ok boolean").parquet(f"{tmp}/src")
     assert I.run_incremental_stream(s, f"{tmp}/cand", f"{tmp}/log", f"{tmp}/ck", 3).count() == 0
+
+
+def test_two_runs_at_a_time_log_no_key_twice(spark, tmp, monkeypatch):
+    """A second run logs its picks while the first one is about to: the first
+    picks anew and both together log the best 2k."""
+    cat, log = _catalog(spark), f"{tmp}/log"
+    real, other = I.snapshots.Insert.commit, []
+
+    def commit(self):
+        if not other:
+            other.append(True)
+            I.incremental_select(cat, log, 20, batch_id="second")
+        return real(self)
+    monkeypatch.setattr(I.snapshots.Insert, "commit", commit)
+    first = {r._id for r in I.incremental_select(cat, log, 20, batch_id="first").collect()}
+    keys = _keys(spark, log)
+    assert len(keys) == len(set(keys)) == 40 and first <= set(keys)
+    best = crawl_select(cat, spark.createDataFrame([], "_id string"), 40)
+    assert keys == sorted(r._id for r in best.collect())
+
+
+def test_history_does_not_grow_a_run(spark, tmp):
+    """Parts of the candidates and the log are merged: logarithmic in epochs,
+    same candidates as without merging."""
+    want, most = {}, 0
+    for e in range(40):
+        rows = [(f"k{(e * 7 + j) % 50}", e * 3 + j, j != 2) for j in range(4)]
+        want.update({r[0]: r for r in rows})
+        I.store_epoch(spark.createDataFrame(rows, "_id string, stars long, ok boolean").coalesce(1), f"{tmp}/cand", e)
+        most = max(most, len(I.snapshots.current(spark, f"{tmp}/cand").parts))
+    assert most <= 2 * I.snapshots.FAN  # 40 epochs: one tier of fewer than FAN parts above another
+    assert sorted(map(tuple, I.read_candidates(spark, f"{tmp}/cand").collect())) == sorted(want.values())
