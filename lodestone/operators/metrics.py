@@ -145,6 +145,16 @@ def report_json(report: DataFrame) -> DataFrame:
         F.transform(F.array_sort(F.collect_list("s")), lambda x: x["e"]), ", "), F.lit("}")).alias("report"))
 
 
+def matrix_json(cells: DataFrame) -> DataFrame:
+    """A dense confusion matrix as one JSON document: actual label -> predicted
+    label -> count, labels in order (one row, ``matrix``)."""
+    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
+    per = cells.groupBy("actual").agg(F.sort_array(F.collect_list(F.struct("predicted", name("predicted").alias("p"), "n"))).alias("r"))
+    whole = F.sort_array(F.collect_list(F.struct("actual", name("actual").alias("a"), "r")))
+    row = lambda r: F.map_from_entries(F.transform(r, lambda x: F.struct(x["p"], x["n"])))
+    return per.agg(F.to_json(F.map_from_entries(F.transform(whole, lambda x: F.struct(x["a"], row(x["r"]))))).alias("matrix"))
+
+
 def fold_score_summary(scores: DataFrame, candidate: str = "candidate", score: str = "score",
                        digits: int | None = 6) -> DataFrame:
     """Mean and population standard deviation of the fold scores per
@@ -175,11 +185,13 @@ def best_candidate(summary: DataFrame, candidate: str = "candidate",
 def evaluate_classifier(df: DataFrame, actual: str, predicted: str, prob_cols: list[str] | None = None,
                         digits: int | None = 6) -> DataFrame:
     """One row: accuracy, support-weighted precision, recall and f1, and the
-    log loss of the probability columns (column i = class code i).  One
+    log loss of the probability columns (column i = class code i).  An actual
+    value without a column (null, below 0 as the code of a missing label, or
+    beyond the last) and a null probability count as probability 0.  One
     aggregation pass over the data; the rest runs on the table of cells."""
     aggs = [F.count(F.lit(1)).alias("n")]
     if prob_cols:
-        p_true = F.element_at(F.array(*[F.col(c) for c in prob_cols]), F.col(actual).cast("int") + 1)
+        p_true = F.coalesce(F.get(F.array(*[F.col(c) for c in prob_cols]), F.col(actual).cast("int")), F.lit(0.0))
         aggs.append(F.sum(-F.log(F.greatest(p_true, F.lit(LOG_LOSS_EPS)))).alias("ll"))
     counts = small_table(df.groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted")).agg(*aggs))
     rep = report_from_counts(counts.select("actual", "predicted", "n"), digits=None).where("kind = 'summary'")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions.columns import format_name
-from lodestone.operators import explain, metrics, registry, sampling, training
+from lodestone.operators import explain, forest_curves, metrics, registry, sampling, training
 from lodestone.operators.grid import DEFAULT_GRID
 from lodestone.session import materialize
 from lodestone.sources.collections import write_report, write_sample
@@ -98,13 +98,13 @@ def train_and_register(spark: SparkSession, data: DataFrame, features: list[str]
     right = F.sum(F.when(F.col("actual").eqNullSafe(F.col("predicted")), F.col("n")).otherwise(0))
     acc = counts.agg((right / F.sum("n")).alias("accuracy"))
     run_id = registry.new_run_id(experiment, model_name)
-    inputs = train.select(*features)
-    version = registry.register_model(spark, best, model_name, root, run_id, inputs, scored.select("prediction"))
+    version = registry.register_model(spark, best, model_name, root, run_id, test.select(*features), scored.select("prediction"))
     artifacts = [("model", f"{model_name}/{version}")]
     if artifacts_dir:
         write_sample(train.drop("split"), f"{artifacts_dir}/dataset_samples", key)
         write_report(metrics.report_json(exact), f"{artifacts_dir}/evaluation")
-        artifacts += [("dataset_samples", f"{artifacts_dir}/dataset_samples"), ("evaluation", f"{artifacts_dir}/evaluation")]
+        write_report(metrics.matrix_json(metrics.dense_cells(counts)), f"{artifacts_dir}/confusion_matrix")
+        artifacts += [(d, f"{artifacts_dir}/{d}") for d in ("dataset_samples", "evaluation", "confusion_matrix")]
     tags = [("model_type", "RandomForestClassifier"), ("dataset", dataset)]
     _log_run(spark, root, run_id, experiment, cv, training.best_params(cvm, grid), acc, grid, tags, artifacts)
     folded.unpersist()
@@ -137,8 +137,12 @@ def _log_run(spark, root, run_id, experiment, cv, best, acc, grid, tags, artifac
 def explain_latest(spark: SparkSession, data: DataFrame, features: list[str], root: str, model_name: str,
                    n_classes: int, points: int = explain.DEFAULT_POINTS) -> DataFrame:
     """Partial-dependence curves of the latest registered version of a model
-    for every feature and class, over all rows of ``data``."""
+    for every feature and class, over all rows of ``data``.  A forest's follow
+    from leaf counts (one pass, any number of points); other models score
+    rows x points."""
     model = registry.load_latest(spark, root, model_name)
+    if forest_curves.is_plain_forest(model):
+        return forest_curves.curves(data.select(*features), model, features, points)
     scorer = explain.model_scorer(model, features, n_classes)
     return explain.partial_dependence(data.select(*features), features, scorer,
                                       [f"p{i}" for i in range(n_classes)], points)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions import columns, predicates
-from lodestone.operators import explain, grid, labels, membership, metrics, registry, sampling, selection, sorted_runs, training
+from lodestone.operators import explain, forest_curves, grid, labels, membership, metrics, registry, sampling, selection, sorted_runs, text_index, training
 from lodestone.plans import crawl, etl, ml
 from lodestone.session import read_table, scratch_path, small_table, spread
 from lodestone.sources import collections
@@ -205,6 +205,31 @@ def q_folds(spark, sf_dir):
     return sampling.stratified_folds(e, "event_type", "event_id", 3, 42)
 
 
+_REPEATED_SQL = """
+with o as (select case when o_orderkey % 10 < 7 then null else o_custkey end as k, o_orderstatus, o_totalprice from orders)
+select k, o_orderstatus, o_totalprice, {} from o
+"""
+_REPEATED_ORDER = "coalesce(md5('42:' || cast(k as varchar)), ''), k nulls first, {}o_totalprice nulls first"
+
+
+def _repeated_keys(spark, sf_dir):
+    """Orders keyed by customer, the key of seven in ten of them lost."""
+    return read_table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderkey") % 10 >= 7, F.col("o_custkey")).alias("k"), "o_orderstatus", "o_totalprice")
+
+
+@query("split_repeated_keys_orders", _REPEATED_SQL.format(
+    f"case when row_number() over (order by {_REPEATED_ORDER.format('o_orderstatus nulls first, ')}) <= ceil(0.2 * count(*) over ()) then 'test' else 'train' end as split"))
+def q_split_repeated(spark, sf_dir):
+    return sampling.with_split(_repeated_keys(spark, sf_dir), "k", 0.2, 42)
+
+
+@query("folds_repeated_keys_orders", _REPEATED_SQL.format(
+    f"cast((row_number() over (partition by o_orderstatus order by {_REPEATED_ORDER.format('')}) - 1) % 3 as integer) as fold"))
+def q_folds_repeated(spark, sf_dir):
+    return sampling.stratified_folds(_repeated_keys(spark, sf_dir), "o_orderstatus", "k", 3, 42)
+
+
 # ---------------------------------------------------------------------------
 # Metrics (E5-E8, E11, D5, W4, D3/H1)
 # ---------------------------------------------------------------------------
@@ -464,6 +489,25 @@ def q_search_pages(spark, sf_dir):
         .select("page_id", "url")
 
 
+@query("search_pages_indexed", ORACLE_SQL["search_pages"])
+def q_search_pages_indexed(spark, sf_dir):
+    """The search by trigram posting lists built over the pages."""
+    index = text_index.build(read_table(spark, sf_dir, "pages"), "html")
+    return index.search('lang="en"', "html", "url").select("page_id", "url")
+
+
+@query("search_licences_indexed", """
+select doc_id, contains(text, 'under the MIT License') as mit, contains(text, 'General Public License') as gpl
+from documents where contains(text, 'under the MIT License') or contains(text, 'General Public License')
+""")
+def q_search_licences_indexed(spark, sf_dir):
+    """Texts that hold one of two phrases: the union of their candidates, each tested."""
+    terms = ["under the MIT License", "General Public License"]
+    index = text_index.build(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    mit, gpl = [F.contains("text", F.lit(t)) for t in terms]
+    return index.containing(terms).select("doc_id", mit.alias("mit"), gpl.alias("gpl"))
+
+
 @query("first_n_orders", """
 select o_orderkey, o_totalprice from orders order by o_orderkey limit 10
 """)
@@ -667,19 +711,19 @@ def _cv_by_target(spark, sf_dir) -> DataFrame:
     per = small_table(_events_folds(spark, sf_dir).groupBy("fold", "event_type").agg(F.count(F.lit(1)).alias("n"), *below))
     pairs = ", ".join(f"{i}, b{i}" for i in range(len(cands)))
     long = per.select("fold", "event_type", "n", F.expr(f"stack({len(cands)}, {pairs}) as (candidate, b)"))
-    targets = per.select(F.col("event_type").alias("target")).distinct()
-    right = F.when(F.col("event_type") == F.col("target"), F.col("b")).otherwise(F.col("n") - F.col("b"))
-    scores = (long.join(F.broadcast(targets), how="cross").groupBy("target", "candidate", "fold")
-              .agg((F.sum(right) / F.sum("n")).alias("score")))
+    # right for a target: its own rows below, and of all others those that are not
+    all_n, all_b = (F.sum(c).over(Window.partitionBy("candidate", "fold")) for c in ("n", "b"))  # a row per event type
+    right = F.col("b") + (all_n - F.col("n")) - (all_b - F.col("b"))
+    scores = long.select(F.col("event_type").alias("target"), "candidate", "fold", (right / all_n).alias("score"))
     cv = scores.groupBy("target", "candidate").agg(
         F.round(F.avg("score"), 6).alias("mean_test_score"), F.round(F.stddev_pop("score"), 6).alias("std_test_score"))
     return (grid.grid_frame(spark, grid.DEFAULT_GRID).join(cv, "candidate")
             .select("target", "candidate", *sorted(grid.DEFAULT_GRID), "mean_test_score", "std_test_score"))
 
 
-def _run_tables(spark, sf_dir) -> dict:
-    """The tracking tables of the search, written below a registry root and
-    read back: runs, params, metrics, and per run tags (logged out of order,
+def _run_tables(spark, sf_dir, *names: str) -> dict:
+    """The named tracking tables of the search, written below a registry root
+    and read back: runs, params, metrics, and per run tags (logged out of order,
     one key overwritten), artifacts (one path logged twice) and model versions
     (registered in order of their score)."""
     cv = small_table(_cv_by_target(spark, sf_dir))
@@ -702,9 +746,9 @@ def _run_tables(spark, sf_dir) -> dict:
                             F.row_number().over(order).alias("version"), run)
     t["models"] = t["models"].withColumn("uri", registry.model_uri(F.col("name"), F.col("version")))
     root = scratch_path(spark, "registry")
-    for name, rows in t.items():
-        registry.log_rows(rows, root, name)
-    return {name: registry.read(spark, root, name) for name in t}
+    for name in names:
+        registry.log_rows(t[name], root, name)
+    return {name: registry.read(spark, root, name) for name in names}
 
 
 _CV_TARGET_SQL = f"""
@@ -729,7 +773,7 @@ select run_id, parent_run_id, experiment, run_name, mean_test_score, std_test_sc
        '42' as random_state from runs
 """)
 def q_leaderboard(spark, sf_dir):
-    t = _run_tables(spark, sf_dir)
+    t = _run_tables(spark, sf_dir, "runs", "params", "metrics")
     return registry.leaderboard(t["runs"], t["params"], t["metrics"], ["mean_test_score", "std_test_score"],
                                 sorted(grid.DEFAULT_GRID))
 
@@ -741,7 +785,7 @@ select parent_run_id as run_id, count(*) as n_children,
 from runs group by parent_run_id
 """)
 def q_child_rollup(spark, sf_dir):
-    t = _run_tables(spark, sf_dir)
+    t = _run_tables(spark, sf_dir, "runs", "metrics")
     return registry.child_rollup(t["runs"], t["metrics"], "mean_test_score")
 
 
@@ -750,7 +794,7 @@ select run_id, parent_run_id, experiment, run_name from runs where experiment =
 union all select 'purchase/parent', null, 'purchase', 'cv_search'
 """)
 def q_experiment_runs(spark, sf_dir):
-    return registry.experiment_runs(_run_tables(spark, sf_dir)["runs"], "purchase")
+    return registry.experiment_runs(_run_tables(spark, sf_dir, "runs")["runs"], "purchase")
 
 
 _MICRO = "cast(cast(round({} * 1000000) as bigint) as varchar)"
@@ -761,7 +805,7 @@ select run_id, 'score' as key, {_MICRO.format('mean_test_score')} as value from
 union all select run_id, 'spread', {_MICRO.format('std_test_score')} from runs
 """)
 def q_current_tags(spark, sf_dir):
-    return registry.current_tags(_run_tables(spark, sf_dir)["tags"])
+    return registry.current_tags(_run_tables(spark, sf_dir, "tags")["tags"])
 
 
 @query("artifact_index_events", _CV_TARGET_SQL + """
@@ -772,7 +816,7 @@ union all select parent_run_id, 'candidates', list(cast(candidate as varchar) ||
 from runs group by parent_run_id
 """)
 def q_artifact_index(spark, sf_dir):
-    return registry.artifact_index(_run_tables(spark, sf_dir)["artifacts"])
+    return registry.artifact_index(_run_tables(spark, sf_dir, "artifacts")["artifacts"])
 
 
 @query("latest_model_versions_events", _CV_TARGET_SQL + """,
@@ -782,7 +826,7 @@ select 'rf_' || experiment as name, cast(version as integer) as version,
 from v where version = (select count(*) from runs r where r.experiment = v.experiment)
 """)
 def q_latest_versions(spark, sf_dir):
-    return registry.latest_versions(_run_tables(spark, sf_dir)["models"])
+    return registry.latest_versions(_run_tables(spark, sf_dir, "models")["models"])
 
 
 # ---------------------------------------------------------------------------
@@ -818,6 +862,27 @@ def q_ml_pdp(spark, sf_dir):
     return ml.explain_latest(spark, data, ml.QUALITY_FEATURES, root, "quality_rf", 2)
 
 
+@query("ml_forest_curves_agree_quality", """
+with d as (select count(*) as n from documents d join labels l on d.doc_id = l.doc_id)
+select cast(5 * 30 * 2 as bigint) as n_points, true as equal, cast(0 as bigint) as rows_lost from d
+""")
+def q_forest_curves(spark, sf_dir):
+    """Curves from leaf counts against curves by scoring every row at every
+    point: as many values, none further apart than 1e-9, and every row in one
+    leaf of every tree."""
+    data = ml.prepare(_quality(spark, sf_dir))
+    model = training.fit_forest(data, ml.QUALITY_FEATURES, "quality", 20, 5, 42, n_classes=2, key="doc_id")
+    x = data.select(*ml.QUALITY_FEATURES)
+    fast = forest_curves.curves(x, model, ml.QUALITY_FEATURES)
+    plain = explain.partial_dependence(x, ml.QUALITY_FEATURES, explain.model_scorer(model, ml.QUALITY_FEATURES, 2), ["p0", "p1"])
+    both = fast.join(plain.withColumnRenamed("pd", "other").drop("x"), ["feature", "grid_index", "class"])
+    trees = forest_curves.forest_trees(spark, model.stages[-1])
+    per = forest_curves.leaf_counts(x, trees, ml.QUALITY_FEATURES).where("feature = -1").groupBy("tree").agg(F.sum("n").alias("n"))
+    lost = per.agg(F.max(F.abs(F.col("n") - F.lit(data.count()))).alias("rows_lost"))
+    return (both.agg(F.count(F.lit(1)).alias("n_points"), (F.max(F.abs(F.col("pd") - F.col("other"))) < 1e-9).alias("equal"))
+            .join(lost, how="cross"))
+
+
 # ---------------------------------------------------------------------------
 # Stage counts, shapes, train stages, labelled sources (E1, E2, H8, H9, A6,
 # B3, B8), and a Python-model scorer through an Arrow-batched UDF
@@ -914,9 +979,10 @@ def q_forest_fit_lineitem(spark, sf_dir):
     learnable signal, so the output is the fitted model's feature
     importances, not a quality claim."""
     feats = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    li = spread(read_table(spark, sf_dir, "lineitem").select(*feats, "l_returnflag"))
+    line = (F.col("l_orderkey") * 1000 + F.col("l_linenumber")).alias("line")
+    li = spread(read_table(spark, sf_dir, "lineitem").select(line, *feats, "l_returnflag"))
     data = ml.prepare(labels.encode_with_list(li, "l_returnflag", ["A", "N", "R"], out="label"))
-    model = training.fit_forest(data, feats, "label", 50, 5, 42, n_classes=3)
+    model = training.fit_forest(data, feats, "label", 50, 5, 42, n_classes=3, key="line")
     imp = model.stages[-1].featureImportances.toArray().tolist()
     return spark.createDataFrame(list(zip(feats, imp)), "feature string, importance double")
 

@@ -94,3 +94,20 @@ def test_many_classes(spark):
     df = spark.range(9000).select((F.col("id") % 4500).alias("actual"), (F.col("id") % 4500).alias("predicted"))
     rep = M.classification_report(df, "actual", "predicted")
     assert rep.count() == 4503 and rep.where("class = 'accuracy'").first().f1_score == 1.0
+
+
+def test_actual_values_without_a_probability_column(spark):
+    """The code of a missing label, a code beyond the columns, a null: probability 0."""
+    import math
+    rows = [(0, 0, 0.5, 0.5), (-1, 0, 0.9, 0.1), (7, 1, 0.2, 0.8), (None, 1, 0.2, 0.8), (1, 1, 0.25, 0.75), (1, 0, 0.5, None)]
+    df = spark.createDataFrame(rows, "y int, p int, p0 double, p1 double")
+    got = M.evaluate_classifier(df, "y", "p", ["p0", "p1"], digits=None).first()
+    want = -(math.log(0.5) + math.log(0.75) + 4 * math.log(M.LOG_LOSS_EPS)) / 6
+    assert abs(got["log_loss"] - want) < 1e-12 and abs(got["accuracy"] - 2 / 6) < 1e-12
+
+
+def test_matrix_as_json(spark):
+    import json
+    df = spark.createDataFrame([(0, 0), (0, 1), (10, 2), (None, 0)], "y int, p int")
+    got = json.loads(M.matrix_json(M.confusion_matrix(df, "y", "p")).first()["matrix"])
+    assert list(got) == ["null", "0", "1", "2", "10"] and got["0"] == {"null": 0, "0": 1, "1": 1, "2": 0, "10": 0} and got["null"]["0"] == 1

@@ -36,7 +36,7 @@ def test_pipeline_beats_majority_and_registers(spark, tmp):
     import json
     doc = json.loads(spark.read.text(f"{tmp}/art/evaluation").first()[0])
     assert doc["accuracy"] == pytest.approx(rep["accuracy"].f1_score, abs=1e-6)
-    assert {(r["dir"]) for r in R.read(spark, tmp, "artifacts").collect()} == {"model", "dataset_samples", "evaluation"}
+    assert {(r["dir"]) for r in R.read(spark, tmp, "artifacts").collect()} == {"model", "dataset_samples", "evaluation", "confusion_matrix"}
     assert {r["key"] for r in R.read(spark, tmp, "tags").collect()} == {"model_type", "dataset"}
     sig = R.read(spark, tmp, "signatures").where("side = 'inputs'").orderBy("position").collect()
     assert [r["name"] for r in sig] == ml.QUALITY_FEATURES

@@ -1,5 +1,6 @@
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from sf_dirs import SF_MID
@@ -82,16 +83,49 @@ def test_null_keys_are_kept_in_every_form(spark):
         assert f.count() == 100 and f.where("fold is null").count() == 0
 
 
-def test_a_cut_among_equal_keys_is_an_error_at_any_size(spark, monkeypatch):
-    import pytest
-    df = spark.range(100).select((F.col("id") % 10).alias("k"))
-    for finish in (S._FINISH_ROWS, 3):
-        monkeypatch.setattr(S, "_FINISH_ROWS", finish)
-        with pytest.raises(ValueError, match="unique"):
-            S.with_split(df, "k", 0.25)
-        assert S.with_split(df, "k", 0.2).where("split = 'test'").count() == 20  # the cut falls between keys
-        with pytest.raises(ValueError, match="unique"):
-            S.with_split(spark.range(20).select(F.lit(None).cast("long").alias("k")), "k", 0.5)
+def plain_order(rows, seed=42):
+    """Rows (key, other) in the seeded order, by the definition."""
+    import hashlib
+    h = lambda k: "" if k is None else hashlib.md5(f"{seed}:{k}".encode()).hexdigest()
+    return sorted(rows, key=lambda r: (h(r[0]), r[0] is not None, r[0] or 0, r[1] is not None, r[1] or 0))
+
+
+@pytest.mark.parametrize("finish", [S._FINISH_ROWS, 3])
+def test_a_cut_among_equal_keys_is_exact(spark, monkeypatch, finish):
+    monkeypatch.setattr(S, "_FINISH_ROWS", finish)
+    rows = [(i % 10 if i % 10 else None, i // 20 if i % 3 else None) for i in range(200)]  # some rows equal in all columns
+    for parts in (1, 7):
+        df = spark.createDataFrame(rows, "k long, v long").repartition(parts)
+        for size in (1, 37, 0.25, 0.5, 199):
+            n = size if isinstance(size, int) else math.ceil(size * 200)
+            train, test = S.train_test_split(df, "k", size)
+            want = sorted(plain_order(rows)[:n], key=str)
+            assert sorted(map(tuple, test.collect()), key=str) == want and train.count() == 200 - n
+            tagged = S.with_split(df, "k", size)
+            assert sorted(((r.k, r.v) for r in tagged.where("split = 'test'").collect()), key=str) == want and tagged.count() == 200
+
+
+def test_seventy_percent_null_keys(spark):
+    rows = [(None if i % 10 < 7 else i % 40, i if i % 2 else None, i % 3) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k long, v long, c int").repartition(6)
+    train, test = S.train_test_split(df, "k", 0.2)
+    assert (test.count(), train.count()) == (600, 2400)
+    a = S.exact_rank(df, "k", 42, by=["c"]).collect()
+    b = S.exact_rank(df, "k", 42, by=["c"], group_rows=100).collect()
+    key = lambda r: (str(r["k"]), str(r["v"]), r["c"], r["_rank"])
+    assert sorted(map(key, a)) == sorted(map(key, b))
+    for c in range(3):
+        own = plain_order([(k, v) for k, v, x in rows if x == c])
+        assert [(r["k"], r["v"]) for r in sorted((r for r in b if r["c"] == c), key=lambda r: r["_rank"])] == own
+
+
+def test_many_equal_rows_are_dealt_over_ranges(spark):
+    df = spark.range(4000).select(F.lit(None).cast("long").alias("k"), F.lit(1).alias("c")).repartition(4)
+    f = S.stratified_folds(df, "c", "k", 3, group_rows=100)
+    assert sorted(r["count"] for r in f.groupBy("fold").count().collect()) == [1333, 1333, 1334]
+    _, ties = S._cut_key(df, "k", (1, "", None, 1))
+    assert ties.select(F.spark_partition_id().alias("p")).distinct().count() > 1 or ties.count() == 4000
+    assert [r["_index"] for r in ties.orderBy("_index").collect()] == list(range(4000))
 
 
 def test_split_edges(spark):
