@@ -44,15 +44,17 @@ def connected_components(links: DataFrame) -> DataFrame:
     reachable.  Alternates large-star and small-star steps, each a minimum per
     node joined back, until only stars are left; every round is a stored table,
     so the lineage stays short, and a node with many links is one small row per
-    link, never one large row.
+    link, never one large row.  The minima are stored before they are joined: a
+    small table of them is broadcast, and beyond that the links of a node
+    with very many can be split over tasks (they share no shuffle with the minimum).
     """
     edges = stored(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     while not _finished(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
+        low = stored(both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m")), "low")
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = stored(large.where("a <> b").distinct(), "large")
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        low = stored(large.groupBy("a").agg(F.min("b").alias("m")), "low")
         small = (large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(low.select("a", F.col("m").alias("b"))))
         edges = stored(small.distinct(), "edges")

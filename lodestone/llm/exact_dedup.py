@@ -15,7 +15,6 @@ table gives an empty result; other columns are ignored whatever their names.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,27 +22,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.arrays import text_buffer
-from lodestone.llm.common import narrow, stored
+from lodestone.llm.common import fold_ascii, narrow, stored
 from lodestone.session import join_small
 
 COUNTERS = 1024
-_FOLD = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
 def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(uid, doc_id, digest) per row: a row number, the id and the SHA-256 of
     the normalised text."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            buf, offs = text_buffer(b.column(2))
-            raw = memoryview(buf)
-            d = [hashlib.sha256(bytes(raw[s:e]).translate(_FOLD)).digest()
-                 for s, e in zip(offs[:-1].tolist(), offs[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(d, pa.binary())],
-                                             names=["uid", "doc_id", "digest"])
     src = narrow(docs, uid=F.monotonically_increasing_id(), doc_id=F.col(f"`{doc_id}`").cast("long"), text=text)
-    return src.mapInArrow(run, "uid long, doc_id long, digest binary")
+    return src.select("uid", "doc_id", F.unhex(sha_of(F.col("text"))).alias("digest"))
 
 
 def misra_gries(keys: DataFrame, counters: int = COUNTERS) -> DataFrame:
@@ -118,5 +107,4 @@ def drop_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def sha_of(text):
     """Hex SHA-256 of a text column after lower-casing A-Z (null: empty)."""
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    return F.sha2(F.translate(F.coalesce(text, F.lit("")), upper, lower).cast("binary"), 256)
+    return F.sha2(fold_ascii(F.coalesce(text, F.lit(""))).cast("binary"), 256)
