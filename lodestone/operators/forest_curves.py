@@ -130,11 +130,12 @@ def leaf_counts(df: DataFrame, trees: list[Tree], features: list[str]) -> DataFr
 
 def curves(df: DataFrame, model, features: list[str], points: int = DEFAULT_POINTS, ranges: dict | None = None) -> DataFrame:
     """(feature, grid_index, x, class, pd) of a fitted pipeline whose last
-    stage is a forest over ``features``: as ``explain.partial_dependence``."""
+    stage is a forest over ``features``, or of a list of trees: as
+    ``explain.partial_dependence``."""
     spark = df.sparkSession
     schema = "feature string, grid_index int, x double, class int, pd double"
     ranges = ranges or feature_ranges(df, features)
-    trees = forest_trees(spark, model.stages[-1])
+    trees = model if isinstance(model, list) else forest_trees(spark, model.stages[-1])
     count = {(r["tree"], r["feature"], r["leaf"]): r["n"] for r in leaf_counts(df, trees, features).collect()}  # model-sized
     n = sum(count.get((0, -1, k), 0) for k in range(len(trees[0].leaves)))
     rows = []

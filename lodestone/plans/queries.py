@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions import columns, predicates
-from lodestone.operators import explain, forest_curves, grid, labels, membership, metrics, registry, sampling, selection, sorted_runs, text_index, training
+from lodestone.operators import exact_trees, explain, forest_curves, grid, labels, membership, metrics, registry, sampling, selection, sorted_runs, text_index, training
 from lodestone.plans import crawl, etl, ml
 from lodestone.session import read_table, scratch_path, small_table, spread
 from lodestone.sources import collections
@@ -987,6 +987,55 @@ def q_forest_fit_lineitem(spark, sf_dir):
     return spark.createDataFrame(list(zip(feats, imp)), "feature string, importance double")
 
 
+_SPLIT_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query("exact_split_lineitem", "with n as (" + " union all ".join(
+    f"select {i} as f, '{c}' as feature, cast({c} as double) as v, cast(l_linenumber > 2 as integer) as y from lineitem" for i, c in enumerate(_SPLIT_FEATURES)) + """),
+     g as (select f, feature, v, count(*) filter (where y = 0) as c0, count(*) filter (where y = 1) as c1 from n group by all),
+     l as (select *, sum(c0) over w as l0, sum(c1) over w as l1, lead(v) over (partition by f order by v) as nxt,
+                  sum(c0) over (partition by f) as t0, sum(c1) over (partition by f) as t1
+           from g window w as (partition by f order by v rows unbounded preceding)),
+     s as (select *, (l0 * l0 + l1 * l1)::double / (l0 + l1)
+                     + ((t0 - l0) * (t0 - l0) + (t1 - l1) * (t1 - l1))::double / (t0 + t1 - l0 - l1) as score
+           from l where nxt is not null)
+select feature, round(v + (nxt - v) / 2, 9) as threshold, (l0 + l1)::bigint as n_left, (t0 + t1 - l0 - l1)::bigint as n_right
+from s order by score desc, f, v limit 1
+""")
+def q_exact_split(spark, sf_dir):
+    """The best split of all rows among every place between two neighbouring
+    values of four measures (the root of an exact tree), and what it parts."""
+    li = read_table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") * 1000 + F.col("l_linenumber")).alias("line"), *_SPLIT_FEATURES, (F.col("l_linenumber") > 2).cast("int").alias("y"))
+    (tree,) = exact_trees.fit_exact(li, _SPLIT_FEATURES, "y", "line", 2, max_depth=1)
+    root = exact_trees.tree_table(spark, [tree], _SPLIT_FEATURES).first()
+    left = F.count_if(F.col(root["feature"]) <= F.lit(root["threshold"]))
+    return li.agg(F.lit(root["feature"]).alias("feature"), F.round(F.lit(root["threshold"]), 9).alias("threshold"),
+                  left.alias("n_left"), (F.count(F.lit(1)) - left).alias("n_right"))
+
+
+@query("ml_exact_forest_quality", """
+with d as (select count(*) as n from documents d join labels l on d.doc_id = l.doc_id)
+select cast(10 as integer) as n_trees, true as beats_majority, true as probabilities_sum_to_one, true as curves_equal, n as n_rows from d
+""")
+def q_exact_forest(spark, sf_dir):
+    """A forest of exact trees: better than the majority on its rows,
+    probabilities that sum to one, curves from leaf counts equal to curves by scoring."""
+    data = ml.prepare(_quality(spark, sf_dir))
+    feats = ml.QUALITY_FEATURES
+    trees = exact_trees.fit_exact(data, feats, "quality", "doc_id", 2, trees=10, max_depth=4)
+    score = exact_trees.tree_scorer(trees, feats)
+    scored = score(data).select("*", (F.col("p1") > F.col("p0")).cast("int").alias("guess"))
+    fast = forest_curves.curves(data.select(*feats), trees, feats, 10)
+    plain = explain.partial_dependence(data.select(*feats), feats, score, ["p0", "p1"], 10)
+    apart = fast.join(plain.withColumnRenamed("pd", "other").drop("x"), ["feature", "grid_index", "class"]).agg(F.max(F.abs(F.col("pd") - F.col("other"))).alias("d"))
+    right = F.avg((F.col("guess") == F.col("quality")).cast("double"))
+    ones = F.avg(F.col("quality").cast("double"))
+    return (scored.agg(F.lit(len(trees)).alias("n_trees"), (right > F.greatest(ones, 1 - ones)).alias("beats_majority"),
+                       (F.max(F.abs(F.col("p0") + F.col("p1") - 1)) < 1e-9).alias("probabilities_sum_to_one"), F.count(F.lit(1)).alias("n_rows"))
+            .join(apart.select((F.col("d") < 1e-9).alias("curves_equal")), how="cross"))
+
+
 @query("insert_if_absent_stored_catalog", ORACLE_SQL["insert_if_absent_catalog"])
 def q_insert_if_absent_stored(spark, sf_dir):
     """The same upsert against a stored collection: the handled repositories
