@@ -95,3 +95,33 @@ def test_stages_take_awkward_and_empty_tables(spark, name, f):
     assert out.count() <= df.count() and (name == "tokenise" or out.columns == df.columns)
     e = f(spark, empty(spark), SF_SMALL)
     assert e.count() == 0 and (name == "tokenise" or e.columns == COLUMNS)
+
+
+def test_tokenise_stage_gives_the_librarys_ids(stages):
+    import sentencepiece
+
+    from lodestone.llm.queries import piece_model
+    sp = sentencepiece.SentencePieceProcessor(model_file=piece_model())
+    before, after = stages[4]
+    want = texts(before)
+    for r in after.collect():
+        assert list(r["ids"]) == sp.encode(want[r["doc_id"]]) and r["n_ids"] == len(r["ids"])
+
+
+def test_decontamination_removes_nothing_else(spark, stages):
+    """Every removed text holds a window as similar to an item as the stage asks."""
+    before, after = (texts(x) for x in stages[3])
+    items = [words_of(r["text"]) for r in read_table(spark, SF_SMALL, "benchmark").collect()]
+    for d in set(before) - set(after):
+        assert max(best(words_of(before[d]), x) for x in items) >= 0.8
+
+
+def test_an_id_at_two_texts_passes_all_filtering_stages(spark):
+    """Texts that share an id are judged one by one in every stage."""
+    a, b = (" ".join(f"{c}{i}word" for i in range(60)) for c in "xy")
+    rows = [(1, a), (5, a + " tail"), (5, b), (7, b), (9, "z " + a)]
+    df = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = stored(P.drop_exact_copies(spark, df, SF_SMALL), "a")
+    assert sorted((r["doc_id"], r["text"]) for r in out.collect()) == sorted([(1, a), (5, a + " tail"), (7, b), (9, "z " + a)])
+    out = P.drop_near_copies(spark, df, SF_SMALL)
+    assert sorted((r["doc_id"], r["text"]) for r in out.collect()) == sorted([(1, a), (5, b)])

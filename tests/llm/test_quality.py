@@ -55,3 +55,65 @@ def test_sample_is_bounded_and_learns_only_from_the_given_rows(spark):
     lab = spark.range(500).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
     picks, totals = quality.sample_labels(lab, F.col("doc_id") >= 100, size=30)
     assert len(picks) == 60 and all(d >= 100 for d, _ in picks) and totals == {0: 200, 1: 200}
+
+
+M64 = (1 << 64) - 1
+
+
+def mixed(x):
+    x = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) & M64
+    x = ((x ^ x >> 27) * 0x94D049BB133111EB) & M64
+    return x ^ x >> 31
+
+
+def word_hash(w, seed=11):
+    """The hash of one word, eight bytes at a time."""
+    salt = (seed * 0xA24BAED4963EE407 + 0x9FB21C651E98DF25) & M64
+    h = 0
+    for k in range(max(1, -(-len(w) // 8))):
+        block = int.from_bytes(w[8 * k:8 * k + 8], "little")
+        h += mixed((block + (k * 0xD1342543DE82EF95 & M64) + salt) & M64)
+    return mixed((h + len(w) * 0xD6E8FEB86659FD93) & M64)
+
+
+def plain_features(text):
+    """The buckets of a text, one feature after another."""
+    import re
+    out = [0] * quality.COMMON
+    words = [word_hash(w) for w in re.findall(rb"[^\x20\x09-\x0D]+", text.encode())]
+    out += [w >> 48 for w in words]
+    for a, b in zip(words, words[1:]):
+        h = 0
+        for w in (a, b):
+            h = (((h ^ h >> 32) * 0x9E3779B97F4A7C15) + w) & M64
+        out += [mixed(h) >> 48] + [quality.REPEAT] * (a == b)
+    value = []
+    for c in text:
+        raw = c.encode()
+        v = raw[0]
+        for x in raw[1:]:
+            v = (v * 257 + x) & 0xFFFFFFFF
+        value.append(32 if c in " \t\n\v\f\r" else v)
+    for n in quality.CHAR_GRAMS:
+        for i in range(len(value) - n + 1):
+            if 32 in value[i + 1:i + n - 1]:
+                continue
+            h = n
+            for v in value[i:i + n]:
+                h = (h * 0x9E3779B1 + v) & 0xFFFFFFFF
+            h ^= h >> 15
+            out.append((h * 0x85EBCA77 & 0xFFFFFFFF) >> 16)
+    return out
+
+
+def test_scores_against_a_plain_feature_loop(spark):
+    from fixtures_llm import awkward_rows
+    rng = np.random.default_rng(3)
+    weight, offset = rng.normal(size=quality.BUCKETS), 0.3
+    texts = [t for _, t in awkward_rows()] + ["one one two  two two", "é é日 x", "a b\tc", "abcdefgh", "abcdefghi" * 3]
+    import pyarrow as pa
+    got = quality.batch_scores(weight, offset, pa.array(texts))
+    for t, p in zip(texts, got):
+        k = plain_features(t or "")
+        want = 1 / (1 + np.exp(-(sum(weight[x] for x in k) / len(k) + offset)))
+        assert abs(p - want) < 1e-9, t
