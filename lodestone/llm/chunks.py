@@ -61,7 +61,7 @@ def rows(batch: pa.RecordBatch):
         yield r
 
 
-def with_answers(chunks: DataFrame, answers: DataFrame) -> DataFrame:
-    """Chunk rows with ``answers``: the shards' blobs for them in order of shard."""
-    got = answers.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("shard", "blob"))).alias("answers"))
+def with_answers(chunks: DataFrame, answers: DataFrame, name: str = "answers") -> DataFrame:
+    """Chunk rows with ``name``: the shards' blobs for them in order of shard."""
+    got = answers.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("shard", "blob"))).alias(name))
     return chunks.join(got, "chunk", "left")

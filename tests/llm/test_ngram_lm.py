@@ -4,8 +4,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from fixtures_llm import awkward, awkward_rows, empty
 from pyspark.sql import functions as F
+from sf_dirs import SF_SMALL
 
 from lodestone.llm import ngram_lm as L
 from lodestone.session import scratch_path
@@ -16,26 +18,32 @@ def tokens(t):
     return re.findall(r"[^\x20\x09-\x0D]+", t) + [None]
 
 
-def brute(rows, trains):
+def brute(rows, trains, order=2):
     tok = [tokens(t) for _, t in rows]
     c = Counter(w for x, on in zip(tok, trains) if on for w in x)
     b = Counter(p for x, on in zip(tok, trains) if on for p in zip([None, *x], x))
+    t3 = Counter(t for x, on in zip(tok, trains) if on for t in zip([None, *x], x, x[1:]))
     n, v = sum(c.values()), len(c)
     out = []
     for x in tok:
         base = sum(math.log10((c[w] + 1) / (n + v + 1)) for w in x)
         score = 0.0
-        for h, w in zip([None, *x], x):
+        for i, (h, w) in enumerate(zip([None, *x], x)):
             k = c[h] ** L.CONCENTRATION if c[h] else 1.0
-            score += math.log10((b[h, w] + k * (c[w] + 1) / (n + v + 1)) / (c[h] + k))
+            p = (b[h, w] + k * (c[w] + 1) / (n + v + 1)) / (c[h] + k)
+            if order == 3 and i:
+                g = x[i - 2] if i > 1 else None
+                k = b[g, h] ** L.CONCENTRATION if b[g, h] else 1.0
+                p = (t3[g, h, w] + k * p) / (b[g, h] + k)
+            score += math.log10(p)
         out.append((len(x), sum(c[w] > 0 for w in x), n, base, score))
     return out
 
 
-def check(spark, df, rows, trains, train):
-    got = L.corpus_scores(df, train).collect()
+def check(spark, df, rows, trains, train, order=2):
+    got = L.corpus_scores(df, train, order=order).collect()
     key = lambda r: (r[0], round(r[1], 6))
-    want = sorted((n, k, t, b, s) for n, k, t, b, s in brute(rows, trains))
+    want = sorted((n, k, t, b, s) for n, k, t, b, s in brute(rows, trains, order))
     have = sorted((r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in got)
     assert len(have) == len(want)
     for a, b in zip(have, want):
@@ -43,10 +51,27 @@ def check(spark, df, rows, trains, train):
     assert key
 
 
-def test_awkward_rows_against_brute_force(spark):
+@pytest.mark.parametrize("order", [2, 3])
+def test_awkward_rows_against_brute_force(spark, order):
     rows = awkward_rows()
     check(spark, awkward(spark), rows, [d is not None and zlib.crc32(str(d).encode()) % 7 != 2 for d, _ in rows],
-          F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2)
+          F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2, order)
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_given_table_against_brute_force(spark, order):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    check(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), rows, [d % 5 != 1 for d, _ in rows], F.col("doc_id") % 5 != 1, order)
+
+
+def test_order_3_edges(spark):
+    assert L.corpus_scores(empty(spark), F.lit(True), order=3).count() == 0
+    got = L.corpus_scores(awkward(spark), F.lit(False), order=3).collect()
+    assert all(abs(r["score"] - r["base_score"]) < 1e-9 for r in got)
+    rows = [(i, " ".join(f"the same w{(i * 7 + j) % 90}" for j in range(30))) for i in range(40)]  # a hot pair of words
+    check(spark, spark.createDataFrame(rows, "doc_id long, text string"), rows, [True] * 40, F.lit(True), 3)
+    with pytest.raises(ValueError):
+        L.corpus_scores(awkward(spark), F.lit(True), order=4)
 
 
 def test_no_training_rows_and_empty(spark):
