@@ -12,8 +12,13 @@ the columns of ``documents``.
 4. decontaminate: documents that hold a benchmark item go.
 5. tokenise: SentencePiece ids, and whether decoding them gives the text again.
 
-Empty tables pass through all stages; repeated rows meet their end in stage 2;
-rows with a null id are never linked in stage 3 and stay there.
+Empty tables pass through all stages; null and empty texts are judged like all
+others (quality scores them, exact dedup makes one of them, they link to
+nothing and hold no item, and have no ids); repeated rows meet their end in
+stage 2; rows with a null id are never linked in stage 3 and stay there.  An id
+that stands at two texts is two documents: each is kept or dropped by its own
+text.  Very long texts are read whole, part by part.  Other columns, whatever
+their names, pass through the filtering stages as they are.
 """
 
 from __future__ import annotations
