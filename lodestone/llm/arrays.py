@@ -251,6 +251,7 @@ class Remembered:
         self.key = np.zeros(1, U64)  # one more than is used: a safe place to look
         self.at, self.size = np.zeros(1, np.int64), np.zeros(1, np.int64)
         self.text_at, self.text_len = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.start = np.zeros(1, U64)  # the first eight bytes
         self.flat, self.text = np.zeros(0, self.dtype), np.zeros(0, np.uint8)
         self.first = np.zeros((1 << self.BITS) + 1, np.int32)
 
@@ -269,15 +270,20 @@ class Remembered:
             rest = rest[~ok & (end[rest] - r > 1)]
         return out
 
-    def add(self, h: np.ndarray, size: np.ndarray, ids: np.ndarray, lens: np.ndarray, text: np.ndarray) -> None:
-        key = np.concatenate([self.key[:-1], h])
-        at = np.concatenate([self.at[:-1], len(self.flat) + np.cumsum(size) - size])
-        text_at = np.concatenate([self.text_at[:-1], len(self.text) + np.cumsum(lens) - lens])
-        size, text_len = np.concatenate([self.size[:-1], size]), np.concatenate([self.text_len[:-1], lens])
+    def add(self, h: np.ndarray, size: np.ndarray, ids: np.ndarray, start: np.ndarray, lens: np.ndarray, text: np.ndarray) -> None:
+        """Add strings of ascending hashes that are not held."""
+        place = np.searchsorted(self.key[:-1], h) + np.arange(len(h))
+        old = np.ones(len(self.key) + len(h), dtype=bool)
+        old[place] = False
+
+        def put(held: np.ndarray, new: np.ndarray) -> np.ndarray:
+            out = np.empty(len(old), held.dtype)
+            out[old], out[place] = held, new
+            return out
+        self.key, self.size, self.start, self.text_len = put(self.key, h), put(self.size, size), put(self.start, start), put(self.text_len, lens)
+        self.at = put(self.at, len(self.flat) + np.cumsum(size) - size)
+        self.text_at = put(self.text_at, len(self.text) + np.cumsum(lens) - lens)
         self.flat, self.text = np.concatenate([self.flat, ids]), np.concatenate([self.text, text])
-        by = np.argsort(key)
-        self.key, self.at, self.size, self.text_at, self.text_len = (
-            np.append(x[by], x.dtype.type(0)) for x in (key, at, size, text_at, text_len))
         slot = (self.key[:-1] >> U64(64 - self.BITS)).astype(np.int64)
         self.first = np.concatenate([[0], np.cumsum(np.bincount(slot, minlength=1 << self.BITS))]).astype(np.int32)
 
@@ -285,10 +291,12 @@ class Remembered:
         """Index of each segment of ``buf``; ``learn(places)`` gives (sizes, ids)
         of segments that are new, by where they first stand."""
         h, turn = segment_hash(buf, starts, lens, self.seed), 0
+        begin = eights(buf)[starts] & _LOW[np.minimum(lens, 8)]
+        long = np.flatnonzero(lens > 8)
         while True:
-            out = self._held(h, buf, starts, lens, learn)
-            same = self.text_len[out] == lens
-            i = np.flatnonzero(same)
+            out = self._held(h, begin, buf, starts, lens, learn)
+            same = (self.start[out] == begin) & (self.text_len[out] == lens)
+            i = long[same[long]]
             same[i] = same_segments(buf, starts[i], self.text, self.text_at[out[i]], lens[i])
             odd = np.flatnonzero(~same)
             if not len(odd):
@@ -296,17 +304,17 @@ class Remembered:
             turn += 1
             h[odd] = segment_hash(buf, starts[odd], lens[odd], self.seed + turn)
 
-    def _held(self, h, buf, starts, lens, learn) -> np.ndarray:
+    def _held(self, h, begin, buf, starts, lens, learn) -> np.ndarray:
         out = self.find(h)
         missing = np.flatnonzero(out < 0)
         if len(missing):
             u, one = np.unique(h[missing], return_index=True)
             if len(self.key) + len(u) > self.limit and len(self.key) > 1:
                 self.forget()
-                return self._held(h, buf, starts, lens, learn)
+                return self._held(h, begin, buf, starts, lens, learn)
             i = missing[one]
             size, ids = learn(i)
-            self.add(u, size, ids, lens[i], buf[ragged(starts[i], lens[i])])
+            self.add(u, size, ids, begin[i], lens[i], buf[ragged(starts[i], lens[i])])
             out = self.find(h)
         return out
 
