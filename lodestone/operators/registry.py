@@ -2,7 +2,7 @@
 
 What a tracking server records is kept as tables below a registry root:
 
-* ``runs(run_id, parent_run_id, experiment, run_name)``, partitioned by experiment
+* ``runs(run_id, parent_run_id, experiment, run_name)``
 * ``params(run_id, key, value)``
 * ``metrics(run_id, key, value, step)``
 * ``tags(run_id, key, value, seq)``
@@ -11,8 +11,9 @@ What a tracking server records is kept as tables below a registry root:
 * ``signatures(run_id, side, position, name, type)``
 * ``explanations(run_id, feature, grid_index, x, class, pd)``
 
-Writing is an append (one part per write); reading is a scan; every query
-below is an ordinary aggregate or join, so they work for any number of runs.
+Writing is an append to a versioned table (trainers at the same time lose no
+rows, small parts are merged); reading is a scan; every query below is an ordinary
+aggregate or join, so they work for any number of runs.
 """
 
 from __future__ import annotations
@@ -38,8 +39,8 @@ SCHEMAS = {
     "signatures": "run_id string, side string, position int, name string, type string",
     "explanations": "run_id string, feature string, grid_index int, x double, class int, pd double",
 }
-#: Tables laid out by a column that queries filter on.
-PARTITIONS = {"runs": ("experiment",)}
+#: The column that queries filter on: merged parts are in its order.
+SORTED = {"runs": ["experiment"], "params": ["run_id"], "metrics": ["run_id"], "models": ["name"]}
 # Fixed value: the name of a search candidate's run.
 CHILD_RUN_NAME = "Child_Run_CV_%d"
 
@@ -57,7 +58,7 @@ def log_rows(df: DataFrame, root: str, table: str) -> None:
     """Append rows to one of the tracking tables (schema enforced)."""
     schema = T._parse_datatype_string(SCHEMAS[table])
     append_log(df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]),
-               table_path(root, table), partition_by=PARTITIONS.get(table, ()))
+               table_path(root, table), SORTED.get(table))
 
 
 def read(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -68,8 +69,8 @@ def read(spark: SparkSession, root: str, table: str) -> DataFrame:
 # ----------------------------------------------------------------- queries
 
 def experiment_runs(runs: DataFrame, experiment: str) -> DataFrame:
-    """Runs of one experiment (I1); over the stored table a scan of that
-    experiment's partition only."""
+    """Runs of one experiment (I1); over the stored table the filter reaches the
+    scan, which leaves out row groups of other experiments."""
     return runs.where(F.col("experiment") == F.lit(experiment))
 
 

@@ -25,7 +25,7 @@ class Stages:
     transform: str = "transform"
     load: str = "load"
     root: str | None = None
-    fmt: str = "parquet"
+    fmt: str = "snapshot"
 
 
 def extract(spark: SparkSession, csv_path: str, stages: Stages, key: str | None = None,

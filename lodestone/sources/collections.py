@@ -1,11 +1,12 @@
 """Named collections: the stage store between pipeline steps.
 
 A collection ``db.name`` is a table below a store root (by default a folder
-under the shared ``spark.checkpoint.dir``).  The storage format is pluggable:
-``parquet`` by default, ``snapshot`` for a versioned table whose refreshes and
-inserts are atomic and checked for conflicts (``snapshots.py``), ``table`` for a
-catalog table ``db.name``, or any Spark data source such as a document-store
-connector, which then receives ``database``/``collection`` options.
+under the shared ``spark.checkpoint.dir``).  By default it is a versioned table
+(``snapshot``): refreshes and inserts are atomic and checked for conflicts
+(``snapshots.py``).  The format is pluggable: ``parquet`` and other file formats
+for plain folders that any tool reads, ``table`` for a catalog table
+``db.name``, or any Spark data source such as a document-store connector, which
+then receives ``database``/``collection`` options.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ def collection_path(spark: SparkSession, db: str, name: str, root: str | None =
 
 
 def read_collection(spark: SparkSession, db: str, name: str, root: str | None = None,
-                    fmt: str = "parquet", **options) -> DataFrame:
+                    fmt: str = "snapshot", **options) -> DataFrame:
     """Match-all scan of a collection; filters and projections applied later
     are pushed into the scan by Catalyst."""
     if fmt == "snapshot":
@@ -46,14 +47,15 @@ def read_collection(spark: SparkSession, db: str, name: str, root: str | None =
 
 
 def write_collection(df: DataFrame, db: str, name: str, root: str | None = None,
-                     fmt: str = "parquet", mode: str = "overwrite", **options) -> int:
+                     fmt: str = "snapshot", mode: str = "overwrite", **options) -> int:
     """Overwrite (full refresh) or append a collection; returns the number of
     rows written (E1), observed during the write, not by a second pass.
 
-    An overwrite first removes the old files, so a frame that reads the very
-    collection it would overwrite is refused: the write would destroy its own
-    input.  An empty frame writes an empty table.  With ``fmt="snapshot"`` old
-    rows stay readable until the new ones are committed, so neither holds.
+    Old rows of a versioned table stay readable until the new ones are
+    committed, so a write that fails changes nothing.  An overwrite of plain
+    files first removes the old ones, so a frame that reads the very collection
+    it would overwrite is refused there: the write would destroy its own input.
+    An empty frame writes an empty table.
     """
     spark = df.sparkSession
     if fmt == "snapshot":
@@ -96,7 +98,7 @@ def _refuse_own_input(df: DataFrame, *targets: str) -> None:
 
 
 def copy_collection(spark: SparkSession, src: tuple[str, str], dst: tuple[str, str],
-                    root: str | None = None, fmt: str = "parquet") -> DataFrame:
+                    root: str | None = None, fmt: str = "snapshot") -> DataFrame:
     """Load stage: read one collection and overwrite another with the same
     rows (``_id`` included).  Refuses ``src == dst``: overwriting a file table
     while reading it deletes its input before the read."""
@@ -166,21 +168,21 @@ def insert_if_absent_delta(target: DataFrame, source: DataFrame, key: str | list
 
 
 def insert_if_absent_into(source: DataFrame, db: str, name: str, key: str | list[str],
-                          root: str | None = None, order: str | None = None, fmt: str = "parquet") -> int:
+                          root: str | None = None, order: str | None = None, fmt: str = "snapshot") -> int:
     """Insert-if-absent into a stored collection: only the rows whose key is
     not stored yet are appended; stored rows are never rewritten.  The delta
     is stored before the append, so the write does not read the table
-    it extends.  Returns the number of rows added.  Two writers of plain files
-    do not see each other; with ``fmt="snapshot"`` a key is added once."""
+    it extends.  Returns the number of rows added.  Of two writers at a time a key
+    is added once; only writers of plain files do not see each other."""
     spark = source.sparkSession
     if fmt == "snapshot":
         return begin_insert(source, db, name, key, root, order).commit()
     if not path_exists(spark, collection_path(spark, db, name, root)):  # the first insert creates it
         keys = [key] if isinstance(key, str) else list(key)
-        return write_collection(dedupe_first(source, keys, order), db, name, root)
-    target = read_collection(spark, db, name, root)
+        return write_collection(dedupe_first(source, keys, order), db, name, root, fmt)
+    target = read_collection(spark, db, name, root, fmt)
     delta = materialize(insert_if_absent_delta(target, source, key, order))
-    return write_collection(delta, db, name, root, mode="append")
+    return write_collection(delta, db, name, root, fmt, mode="append")
 
 
 def begin_insert(source: DataFrame, db: str, name: str, key: str | list[str], root: str | None = None,
@@ -195,16 +197,21 @@ def begin_insert(source: DataFrame, db: str, name: str, key: str | list[str], ro
     return snapshots.Insert(spark, path, keys, lambda held: new if held is None else new.join(held, keys, "left_anti"), schema)
 
 
-def append_log(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple = ()) -> None:
-    """Append rows to a log table."""
-    df.write.format(fmt).mode("append").partitionBy(*partition_by).save(path)
+def append_log(df: DataFrame, path: str, sort: list[str] | None = None) -> None:
+    """Append rows to a log table (A13): a versioned table, so an append is seen
+    whole or not at all, appends at the same time all stay, and the many small
+    parts of many appends are merged by size tiers (rows ordered by ``sort``, a
+    column that readers filter on, so that files can be left out)."""
+    snapshots.append(df, path)
+    snapshots.merge(df.sparkSession, path, sort=sort)
 
 
-def read_log(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A log table, empty with ``schema`` when it was never written."""
-    if not path_exists(spark, path):
+    snap = snapshots.current(spark, path)
+    if snap is None:
         return spark.createDataFrame([], schema)
-    return spark.read.format(fmt).schema(schema).load(path).select(*[F.col(f"`{f.name}`") for f in schema.fields])
+    return snapshots.read_parts(spark, snap).select(*[F.col(f"`{f.name}`") for f in schema.fields])
 
 
 def write_sample(df: DataFrame, path: str, key: str, n: int = 10) -> None:

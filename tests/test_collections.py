@@ -57,12 +57,13 @@ def test_line_set_missing_is_empty(spark, tmp):
 
 def test_insert_if_absent_into_stored_collection(spark, tmp):
     first = spark.createDataFrame([("a", 1), ("b", 2)], "_id string, stars long")
-    assert K.insert_if_absent_into(first, "db", "repos", "_id", tmp) == 2
     more = spark.createDataFrame([("b", 99), ("c", 3), ("c", 4)], "_id string, stars long")
-    assert K.insert_if_absent_into(more, "db", "repos", "_id", tmp, order="stars") == 1
-    assert K.insert_if_absent_into(more, "db", "repos", "_id", tmp, order="stars") == 0  # second run adds nothing
-    got = {r._id: r.stars for r in K.read_collection(spark, "db", "repos", tmp).collect()}
-    assert got == {"a": 1, "b": 2, "c": 3}
+    for fmt in ("snapshot", "parquet"):
+        assert K.insert_if_absent_into(first, fmt, "repos", "_id", tmp, fmt=fmt) == 2
+        assert K.insert_if_absent_into(more, fmt, "repos", "_id", tmp, order="stars", fmt=fmt) == 1
+        assert K.insert_if_absent_into(more, fmt, "repos", "_id", tmp, order="stars", fmt=fmt) == 0  # second run adds nothing
+        got = {r._id: r.stars for r in K.read_collection(spark, fmt, "repos", tmp, fmt).collect()}
+        assert got == {"a": 1, "b": 2, "c": 3}
 
 
 def test_materialize_keeps_callers_cache(spark):
@@ -79,21 +80,24 @@ def test_materialize_keeps_callers_cache(spark):
 def test_overwrite_of_its_own_input_is_refused(spark, tmp, spelling):
     import os
     df = spark.createDataFrame([(1,), (2,)], "k int")
-    K.write_collection(df, "db", "same", tmp)
-    same = K.read_collection(spark, "db", "same", tmp)
+    K.write_collection(df, "db", "same", tmp, "parquet")
+    same = K.read_collection(spark, "db", "same", tmp, "parquet")
     root = spelling.format(r=tmp, b=os.path.basename(tmp))
     with pytest.raises(ValueError):
-        K.write_collection(same.where("k > 1"), "db", "same", root)
-    assert K.read_collection(spark, "db", "same", tmp).count() == 2
+        K.write_collection(same.where("k > 1"), "db", "same", root, "parquet")
+    assert K.read_collection(spark, "db", "same", tmp, "parquet").count() == 2
 
 
 def test_etl_with_one_name_for_two_stages_destroys_nothing(spark, tmp):
     from lodestone.plans import etl
     spark.createDataFrame([(1, "x")], "Id int, v string").write.option("header", True).csv(f"{tmp}/in")
-    stages = etl.Stages(db="d", extract="same", transform="same", root=tmp)
+    stages = etl.Stages(db="d", extract="same", transform="same", root=tmp, fmt="parquet")
     with pytest.raises(ValueError):
         etl.run_etl(spark, f"{tmp}/in", stages, key="Id")
-    assert K.read_collection(spark, "d", "same", tmp).count() == 1
+    assert K.read_collection(spark, "d", "same", tmp, "parquet").count() == 1
+    # a versioned table is replaced in one step, whatever reads it
+    stages = etl.Stages(db="v", extract="same", transform="same", root=tmp)
+    assert etl.run_etl(spark, f"{tmp}/in", stages, key="Id").count() == 1
 
 
 def test_first_write_keeps_fields_when_the_order_is_null(spark):
@@ -114,5 +118,21 @@ def test_log_tables_append_and_missing_is_empty(spark, tmp):
     schema = T._parse_datatype_string("a string, b int")
     assert K.read_log(spark, f"{tmp}/log", schema).count() == 0
     for i in range(2):
-        K.append_log(spark.createDataFrame([("x", i)], schema), f"{tmp}/log", partition_by=("a",))
+        K.append_log(spark.createDataFrame([("x", i)], schema), f"{tmp}/log")
     assert sorted(map(tuple, K.read_log(spark, f"{tmp}/log", schema).collect())) == [("x", 0), ("x", 1)]
+
+
+def test_many_small_appends_are_few_parts(spark, tmp):
+    import threading
+    from lodestone.sources import snapshots
+    from pyspark.sql import types as T
+    schema = T._parse_datatype_string("a string, b int")
+
+    def work(i):
+        for k in range(4):
+            K.append_log(spark.createDataFrame([(f"w{i}", k)], schema).coalesce(1), f"{tmp}/log", ["a"])
+    threads = [threading.Thread(target=work, args=(i,)) for i in range(3)]  # at the same time: no row is lost
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert sorted(map(tuple, K.read_log(spark, f"{tmp}/log", schema).collect())) == [(f"w{i}", k) for i in range(3) for k in range(4)]
+    assert len(snapshots.current(spark, f"{tmp}/log").parts) < 12

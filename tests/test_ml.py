@@ -104,7 +104,7 @@ def test_training_twice_gives_two_runs(spark, tmp):
     roll = R.child_rollup(runs, R.read(spark, tmp, "metrics"), "mean_test_score").collect()
     assert len(roll) == 2 and all(r["n_children"] == 1 for r in roll)
     plan = R.experiment_runs(runs, "ml")._jdf.queryExecution().toString()
-    assert "PartitionFilters: [isnotnull(experiment" in plan
+    assert "PushedFilters: [IsNotNull(experiment), EqualTo(experiment,ml)]" in plan
     # the same rows and seed: the same split and folds, and the same forest in any layout
     a, b = (sorted(map(tuple, r["split"].select("doc_id", "split").collect())) for r in res)
     assert a == b
