@@ -69,7 +69,7 @@ def text_buffer(col) -> tuple[np.ndarray, np.ndarray]:
     return buf[offs[0]:offs[-1]], offs - offs[0]
 
 
-def text_parts(col, limit: int = 2 << 20):
+def text_parts(col, limit: int = 1 << 19):
     """A text column in parts of about ``limit`` bytes: (first row, last row + 1,
     part)."""
     sizes = np.asarray(pc.binary_length(col).fill_null(0)).astype(np.int64)
@@ -92,7 +92,7 @@ def slices(batch: pa.RecordBatch, sizes: np.ndarray, limit: int):
         i = j
 
 
-def pieces(buf: np.ndarray, offs: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def pieces(buf: np.ndarray, offs: np.ndarray, limit: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Ranges of about ``limit`` bytes that end at a document's end or, inside
     a longer document, before a white space byte, so no word is cut (a longer
     word makes a longer range)."""
@@ -241,10 +241,9 @@ class Remembered:
     one holds goes on under a second hash.  Starts over when it holds more than
     ``limit`` strings, so its memory is bounded."""
 
-    BITS = 20
-
     def __init__(self, dtype, limit: int, seed: int = 23):
         self.dtype, self.limit, self.seed = dtype, limit, seed
+        self.bits = max(8, limit.bit_length() - 1)  # of the slots by which hashes are looked up
         self.forget()
 
     def forget(self) -> None:
@@ -253,11 +252,11 @@ class Remembered:
         self.text_at, self.text_len = np.zeros(1, np.int64), np.zeros(1, np.int64)
         self.start = np.zeros(1, U64)  # the first eight bytes
         self.flat, self.text = np.zeros(0, self.dtype), np.zeros(0, np.uint8)
-        self.first = np.zeros((1 << self.BITS) + 1, np.int32)
+        self.first = np.zeros((1 << self.bits) + 1, np.int32)
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Index of each hash, -1 where it is not held."""
-        slot = (h >> U64(64 - self.BITS)).astype(np.int64)
+        slot = (h >> U64(64 - self.bits)).astype(np.int64)
         at, end = self.first[slot], self.first[slot + 1]
         hit = (self.key[at] == h) & (at < end)
         out = np.where(hit, at, np.int32(-1))
@@ -284,8 +283,8 @@ class Remembered:
         self.at = put(self.at, len(self.flat) + np.cumsum(size) - size)
         self.text_at = put(self.text_at, len(self.text) + np.cumsum(lens) - lens)
         self.flat, self.text = np.concatenate([self.flat, ids]), np.concatenate([self.text, text])
-        slot = (self.key[:-1] >> U64(64 - self.BITS)).astype(np.int64)
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(slot, minlength=1 << self.BITS))]).astype(np.int32)
+        slot = (self.key[:-1] >> U64(64 - self.bits)).astype(np.int64)
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(slot, minlength=1 << self.bits))]).astype(np.int32)
 
     def resolve(self, buf: np.ndarray, starts: np.ndarray, lens: np.ndarray, learn) -> np.ndarray:
         """Index of each segment of ``buf``; ``learn(places)`` gives (sizes, ids)

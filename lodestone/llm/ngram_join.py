@@ -51,12 +51,13 @@ from lodestone.session import join_small
 
 WORDS = 4
 PERCENT = 85
-#: Elements of the sets that are joined in one task.
+#: Elements of the sets of a block; labels with fewer share a task up to an
+#: eighth of it on average.
 BLOCK = 8_000_000
 #: Text that is hashed at a time.
 SLICE_BYTES = 4 << 20
 #: Text whose signatures a hash shard holds on average.
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 8 << 20
 FANOUT = 8
 #: Orders in which neighbours are compared before the tree is.
 ORDERS = 4
@@ -478,7 +479,7 @@ def _member_links(docs, members, doc_id, text, words, percent, block) -> DataFra
     members = members.join(total, "label").withColumn("cuts", F.ceil(F.col("total") / block).cast("int"))
     members = stored(members.withColumn("part", F.pmod(F.xxhash64("class_id"), F.col("cuts")).cast("int")), "parts")
     whole = members.agg(F.sum("n").alias("n"), F.max("cuts").alias("cuts")).first()
-    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(whole["n"] or 0) // block))
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-8 * (whole["n"] or 0) // block))
     src = narrow(docs, doc_id=F.col(f"`{doc_id}`").cast("long"), text=text)
     held = join_small(src, members.withColumnRenamed("class_id", "doc_id"), "doc_id")
     columns = ["task", "label", "side", "comp", "doc_id", "digest", "text"]

@@ -49,7 +49,7 @@ from lodestone.llm.elias_fano import EliasFano
 
 CONCENTRATION = 0.9
 #: Text of all chunks per hash shard on average.
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 16 << 20
 _U = np.uint64
 #: Ids: 0 is a word that training did not see, 1 the end of a text (and the
 #: context of its first word), 2 and on the words.

@@ -309,16 +309,17 @@ class Encoder:
             stand = next(c for c in range(0x10FFFD, 0xFFFFF, -1) if c not in used)
             cp = np.where(literal, np.uint32(stand), cp)
         text = cp.astype("<u4").tobytes().decode("utf-32-le")
-        got = self.merges.encode([text[s:s + w] for s, w in zip(starts.tolist(), lens.tolist())], num_threads=1)
-        if stand:
-            old, new = ([int(self.byte[b]) for b in chr(c).encode()] for c in (stand, MARK))
-            for i, ids in enumerate(got):
-                at = [j for j in range(len(ids)) if ids[j:j + len(old)] == old]
-                for j in reversed(at):
+        old, new = ([int(self.byte[b]) for b in chr(c).encode()] if stand else [] for c in (stand, MARK))
+        flat, count = [], []
+        for a in range(0, len(starts), 16_384):  # the library's answers are lists: a few at a time
+            got = self.merges.encode([text[s:s + w] for s, w in zip(starts[a:a + 16_384].tolist(), lens[a:a + 16_384].tolist())], num_threads=1)
+            for i, ids in enumerate(got if stand else ()):
+                for j in reversed([j for j in range(len(ids)) if ids[j:j + len(old)] == old]):
                     ids[j:j + len(old)] = new
-                got[i] = ids
-        count = np.array([len(g) for g in got], dtype=np.int64)
-        return np.fromiter((i for g in got for i in g), np.int32, int(count.sum())), count
+            n = np.array([len(g) for g in got], dtype=np.int64)
+            count.append(n)
+            flat.append(np.fromiter((i for g in got for i in g), np.int32, int(n.sum())))
+        return (np.concatenate(flat) if flat else np.zeros(0, np.int32)), (np.concatenate(count) if count else np.zeros(0, np.int64))
 
     def safe_parts(self, cp: np.ndarray, chunk: int) -> list[tuple[int, int]]:
         """Parts of a text of at most ``chunk`` characters (more where it has

@@ -48,7 +48,7 @@ TEXT_BYTES = 8192
 BATCH_BYTES = 1_000_000
 #: Text of a chunk row, and of all chunks per hash shard on average.
 CHUNK_BYTES = 4 << 20
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 16 << 20
 _U = np.uint64
 _NULL_ID = -(1 << 63)
 
