@@ -158,6 +158,8 @@ def pandas_scorer(predict_proba, feature_cols: list[str], n_classes: int, prefix
     Runs as an Arrow-batched iterator pandas UDF: ``load()`` (if given) is
     called once per task, then every batch is scored without per-row
     Python calls.  The result columns ``p0..p{n-1}`` are plain doubles.
+    ``in_batches`` names the same model for operators that score a batch at
+    many points where it stands (``explain.partial_dependence``).
     """
     from collections.abc import Iterator
 
@@ -180,4 +182,5 @@ def pandas_scorer(predict_proba, feature_cols: list[str], n_classes: int, prefix
         s = udf(F.struct(*[F.col(c).cast("double").alias(c) for c in feature_cols]))
         return df.select("*", s.alias("_s")).select(*[F.col(f"`{c}`") for c in df.columns],
                                                     *[F.col(f"_s.{c}") for c in out_cols])
+    score.in_batches = (predict_proba, list(feature_cols), out_cols, load)
     return score
