@@ -3,7 +3,7 @@
 MLlib looks for a split among at most ``maxBins`` values of a feature.  Here
 every place between two neighbouring values is tried.  The rows are written
 once per feature in the order of its values (an *attribute list*: value, label
-and the row's whole feature vector), range-partitioned into files of bounded
+and, below the roots, the row's whole feature vector), range-partitioned into files of bounded
 size.  A level of all trees is two scans of the lists, without a shuffle of rows:
 
 1. each file counts the classes of every open node it holds (a row's node
@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -92,16 +93,20 @@ def where_rows_are(nodes: list[Node], x: np.ndarray) -> np.ndarray:
     return at
 
 
-def attribute_lists(df: DataFrame, features: list[str], label: str, key: str, file_rows: int = FILE_ROWS) -> DataFrame:
+def attribute_lists(df: DataFrame, features: list[str], label: str, key: str, file_rows: int = FILE_ROWS, vectors: bool = True) -> DataFrame:
     """(part, f, v, y, row, x): a row per row and feature, in the order of the
-    feature's values, stored."""
-    vec = F.array(*[F.coalesce(F.col(f"`{f}`").cast("double"), F.lit(float("nan"))) for f in features])
-    rows = df.where(F.col(label) >= 0).select(F.xxhash64(key).alias("row"), F.col(label).cast("int").alias("y"), vec.alias("x"))
-    lists = rows.select("row", "y", "x", F.posexplode("x").alias("f", "v"))
+    feature's values, stored.  The rows are stored first, a column per feature, and
+    each feature's list is sent by scans of its own, so a task that sends holds
+    one list's part of its split, not all of them.  Without ``vectors`` (only the
+    roots are split, so no row's node is asked) ``x`` is left out."""
+    vec = [F.coalesce(F.col(f"`{f}`").cast("double"), F.lit(float("nan"))).alias(f"x{i}") for i, f in enumerate(features)]
+    rows = materialize(df.where(F.col(label) >= 0).select(F.xxhash64(key).alias("row"), F.col(label).cast("int").alias("y"), *vec))
+    x = [F.array(*[f"x{i}" for i in range(len(features))]).alias("x")] if vectors else []
+    lists = [rows.select(F.lit(i).alias("f"), F.col(f"x{i}").alias("v"), "y", "row", *x) for i in range(len(features))]
     files = max(1, -(-rows.count() * len(features) // file_rows))
     order = ["f", "v", "row", "y"]
-    return materialize(lists.repartitionByRange(files, *order).sortWithinPartitions(*order)
-                       .withColumn("part", F.spark_partition_id()).select("part", "f", "v", "y", "row", "x"))
+    return materialize(reduce(DataFrame.unionAll, lists).repartitionByRange(files, *order).sortWithinPartitions(*order)
+                       .withColumn("part", F.spark_partition_id()).select("part", "f", "v", "y", "row", *["x"][:len(x)]))
 
 
 def _parts(batches):
@@ -123,6 +128,8 @@ def _parts(batches):
 
 def _columns(table: pa.Table, n_features: int):
     f, v, y, row = (table.column(c).to_numpy() for c in ("f", "v", "y", "row"))
+    if "x" not in table.column_names:  # all rows are at the roots
+        return f, v, y, row, np.broadcast_to(0.0, (len(v), n_features))
     x = table.column("x").combine_chunks()
     x = (x if isinstance(x, pa.ListArray) else x.chunk(0)).flatten().to_numpy(zero_copy_only=False).reshape(-1, n_features)
     return f, v, y, row, x
@@ -220,7 +227,7 @@ def fit_exact(df: DataFrame, features: list[str], label: str, key: str, n_classe
     and the square root of the features per node, unless told otherwise."""
     bootstrap = trees > 1 if bootstrap is None else bootstrap
     per_node = per_node or (max(1, int(math.sqrt(len(features)))) if trees > 1 else len(features))
-    lists = attribute_lists(df, features, label, key, file_rows)
+    lists = attribute_lists(df, features, label, key, file_rows, max_depth > 1)
     grown = [[Node(c, 0, 1)] for c in _root_counts(lists, len(features), n_classes, trees, seed, bootstrap)]
     for nodes in grown:
         nodes[0].open = max_depth > 0 and np.count_nonzero(nodes[0].counts) > 1

@@ -100,3 +100,19 @@ def test_edges(spark):
     (none,) = X.fit_exact(df.withColumn("y", F.when(F.col("k") % 2 == 0, -1)), FEATURES, "y", "k", 3)
     assert len(none.feature) == 1
     assert X.middle(1.0, np.nextafter(1.0, 2)) == 1.0 and X.middle(3.0, math.nan) == 3.0 and X.middle(1.0, 2.0) == 1.5
+
+
+def test_a_list_is_sent_by_tasks_of_its_own(spark):
+    """A task that sends holds a split's rows once, not once per feature, and no
+    feature vectors where only the roots are split."""
+    rows = [(i, i % 3, float(i % 7), None if i % 5 == 0 else i / 3, 1.0) for i in range(400)]
+    df = spark.createDataFrame(rows, "k long, y int, a double, b double, c double").repartition(2)
+    held = X.attribute_lists(df, ["a", "b", "c"], "y", "k", 150, False)
+    assert held.columns == ["part", "f", "v", "y", "row"] and held.count() == 1200
+    text = X.attribute_lists(df, ["a", "b", "c"], "y", "k", 150)
+    assert [r[0] for r in text.groupBy("f").count().orderBy("f").select("count").collect()] == [400] * 3
+    assert all(len(r.x) == 3 and (r.x[r.f] == r.v or r.v != r.v) for r in text.collect())
+    one = X.fit_exact(df, ["a", "b", "c"], "y", "k", 3, max_depth=1, file_rows=150)[0]
+    deep = X.fit_exact(df, ["a", "b", "c"], "y", "k", 3, max_depth=2, file_rows=150)[0]
+    assert (one.feature[0], one.threshold[0]) == (deep.feature[0], deep.threshold[0])
+    assert one.prob[0].tolist() == deep.prob[0].tolist()
