@@ -3,6 +3,8 @@ and nested notebook documents."""
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +24,10 @@ NOTEBOOK_SCHEMA = T.StructType([
 ])
 
 
+#: Tasks per core that list the files of a scan.
+LISTING_TASKS = 8
+
+
 def csv_scan(spark: SparkSession, path: str, delimiter: str = ",",
              header: bool = True, infer: bool = True,
              schema: T.StructType | str | None = None,
@@ -55,11 +61,26 @@ def line_set(spark: SparkSession, path: str, name: str = "value") -> DataFrame:
     return spark.read.text(path).select(strip_ws(F.col("value")).alias(name)).distinct()
 
 
+@contextmanager
+def _listing_tasks(spark: SparkSession):
+    """Let many paths be listed by a few tasks per core; Spark's default is a task
+    per path up to 10,000, which take longer to start than to list."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), LISTING_TASKS * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def notebook_scan(spark: SparkSession, path: str, with_path: bool = True) -> DataFrame:
     """One JSON notebook per file -> ``(path, cells)``: a row per file.  The
     older layout (``worksheets[].cells[]`` with ``input``) is read as the newer
     one; files that are not one JSON object get null ``cells``."""
-    raw = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    with _listing_tasks(spark):
+        files = spark.read.option("wholetext", True).text(path)
+    raw = files.select(F.col("_metadata.file_path").alias("path"), "value")
     # a document is an object; an array at the top is no notebook
     doc = F.when(F.ltrim(F.regexp_replace("value", r"^[\s\uFEFF]+", "")).startswith("{"), F.col("value"))
     parsed = raw.select("path", F.from_json(doc, NOTEBOOK_SCHEMA).alias("d"))

@@ -48,3 +48,23 @@ def test_nested_equals_grouped_on_conversations(spark):
     a = {r.conv_id: r.contains for r in notebook_contains(nested, terms, "user").collect()}
     b = {r.conv_id: r.contains for r in cells_contain_grouped(conv, "conv_id", "role", "text", terms, "user").collect()}
     assert a == b and any(a.values()) and not all(a.values())
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp):
+    """A folder per notebook: the listing has a few tasks per core, not one per
+    folder, finds all of them and leaves the session's setting as it was."""
+    import lodestone.sources.files as files
+    n = 8 * spark.sparkContext.defaultParallelism + 30
+    for i in range(n):
+        os.mkdir(os.path.join(tmp, f"k={i}"))
+        _write(os.path.join(tmp, f"k={i}"), "a.txt", json.dumps({"cells": [{"cell_type": "code", "source": "pd." if i % 2 else ""}]}))
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.sparkContext.setJobGroup("listing", "listing")
+    books = files.notebook_scan(spark, f"{tmp}/*")
+    tracker = spark.sparkContext.statusTracker()
+    tasks = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert max(tasks) == 8 * spark.sparkContext.defaultParallelism < n
+    assert spark.conf.get(name) == before
+    assert sorted(r.contains for r in notebook_contains(books).collect()) == sorted(i % 2 == 1 for i in range(n))
