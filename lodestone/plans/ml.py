@@ -25,10 +25,11 @@ ORDER_FEATURES = ["price_noisy", "month", "year", "o_custkey"]
 
 def document_features(docs: DataFrame, *keep: str) -> DataFrame:
     """Per document, from its whole text: characters, words, lines, share of
-    letters, share of distinct words; ``keep`` names columns passed through."""
-    words = F.split(F.trim(F.col("text")), r"\s+")
+    letters, share of distinct words; ``keep`` names columns passed through.
+    The text is split once, in a step of its own that feeds both word features."""
+    words = F.col("_words")
     n_words = F.when(F.length(F.trim(F.col("text"))) == 0, 0).otherwise(F.size(words))
-    return docs.select(
+    return docs.withColumn("_words", F.split(F.trim(F.col("text")), r"\s+")).select(
         "doc_id", F.col("n_chars").cast("double").alias("n_chars"),
         n_words.cast("double").alias("n_words"),
         F.size(F.split(F.col("text"), "\n")).cast("double").alias("n_lines"),

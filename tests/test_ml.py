@@ -123,3 +123,14 @@ def test_missing_labels_are_left_out_and_counted(spark, tmp):
 def test_two_trainers_never_share_a_version(spark, tmp):
     assert R.claim_version(spark, tmp, "m") == 1
     assert R.claim_version(spark, tmp, "m") == 2  # claimed, though nothing is registered yet
+
+
+def test_texts_are_split_into_words_once(spark):
+    rows = [(1, "a b  a\nc", 8), (2, "", 0), (3, "  ", 2), (4, None, None), (5, " Été été\t7 ", 11)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    out = ml.document_features(docs, "n_chars")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(trim(") == 1, plan
+    got = {r[0]: r[1:6] for r in out.collect()}
+    assert got[1] == (8.0, 4.0, 2.0, 0.5, 0.75) and got[2] == (0.0, 0.0, 1.0, 0.0, 1.0) and got[3] == (2.0, 0.0, 1.0, 0.0, 1.0)
+    assert got[4][0] is None and got[5] == (11.0, 3.0, 1.0, pytest.approx(6 / 11), 1.0)
