@@ -9,6 +9,9 @@ stratified, seeded folds of ``sampling.stratified_folds`` passed as
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -57,6 +60,23 @@ def forest(features: str = "features", label: str = "label", num_trees: int = 50
                                   maxDepth=max_depth, seed=seed, **kw)
 
 
+@contextmanager
+def rows_for_fit(df: DataFrame, key: str | None = None):
+    """The rows that a fit reads.  With ``key`` they are laid out
+    (``session.laid_out``) once and kept on the executors' disks until the fit
+    is done: MLlib asks for the rows of a fit several times, and each time a
+    layout that is not kept is shuffled or sorted anew.  Memory is left to
+    MLlib's own bagged rows."""
+    if key is None:
+        yield df
+        return
+    held = laid_out(df, key).persist(StorageLevel.DISK_ONLY)
+    try:
+        yield held
+    finally:
+        held.unpersist()
+
+
 def fit_forest(df: DataFrame, feature_cols: list[str], label: str, num_trees: int = 50,
                max_depth: int = 5, seed: int = 42, n_classes: int | None = None, key: str | None = None):
     """Assemble the feature columns and fit a forest -> PipelineModel.
@@ -64,15 +84,14 @@ def fit_forest(df: DataFrame, feature_cols: list[str], label: str, num_trees: in
     Bagging depends on the partition layout; with ``key`` the layout follows
     from the data (``session.laid_out``), so the same rows and seed give the
     same forest on any cluster."""
-    if key is not None:
-        df = laid_out(df, key)
-    if n_classes is not None:
-        df = with_class_count(df, label, n_classes)
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
     pipe = Pipeline(stages=[VectorAssembler(inputCols=list(feature_cols), outputCol="features"),
                             forest("features", label, num_trees, max_depth, seed)])
-    return without_summary(pipe.fit(df))
+    with rows_for_fit(df, key) as rows:
+        if n_classes is not None:
+            rows = with_class_count(rows, label, n_classes)
+        return without_summary(pipe.fit(rows))
 
 
 def without_summary(model):
@@ -90,8 +109,6 @@ def grid_search(df: DataFrame, feature_cols: list[str], label: str, grid: dict,
     the best candidate is refitted on all rows.  Returns the
     ``CrossValidatorModel`` (``bestModel`` is a ``PipelineModel``).  ``key`` as
     in ``fit_forest``."""
-    if key is not None:
-        df = laid_out(df, key)
     from pyspark.ml import Pipeline
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     from pyspark.ml.feature import VectorAssembler
@@ -102,7 +119,8 @@ def grid_search(df: DataFrame, feature_cols: list[str], label: str, grid: dict,
     ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName=metric)
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=ev, foldCol=fold,
                         numFolds=k, parallelism=parallelism)
-    return cv.fit(df)
+    with rows_for_fit(df, key) as rows:
+        return cv.fit(rows)
 
 
 def cv_results(cv_model, grid: dict, digits: int | None = 6) -> DataFrame:

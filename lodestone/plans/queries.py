@@ -982,7 +982,7 @@ def q_forest_fit_lineitem(spark, sf_dir):
     line = (F.col("l_orderkey") * 1000 + F.col("l_linenumber")).alias("line")
     li = spread(read_table(spark, sf_dir, "lineitem").select(line, *feats, "l_returnflag"))
     data = ml.prepare(labels.encode_with_list(li, "l_returnflag", ["A", "N", "R"], out="label"))
-    model = training.fit_forest(data, feats, "label", 50, 5, 42, n_classes=3, key="line")
+    model = training.fit_forest(data.select("line", *feats, "label"), feats, "label", 50, 5, 42, n_classes=3, key="line")
     imp = model.stages[-1].featureImportances.toArray().tolist()
     return spark.createDataFrame(list(zip(feats, imp)), "feature string, importance double")
 

@@ -6,7 +6,7 @@ from sf_dirs import SF_MID
 from lodestone.operators import registry as R
 from lodestone.operators import training as T
 from lodestone.plans import ml
-from lodestone.session import read_table
+from lodestone.session import laid_out, read_table
 
 
 def _quality(spark):
@@ -112,6 +112,40 @@ def test_training_twice_gives_two_runs(spark, tmp):
     assert f[0].toDebugString == f[1].toDebugString or f[0].featureImportances == f[1].featureImportances
 
 
+def _read_counter(spark, n=300):
+    """Rows (k, x, z, y, fold), and a number that grows by one whenever a row is read."""
+    read = spark.sparkContext.accumulator(0)
+
+    def note(i):
+        read.add(1)
+        return i, float(i * 7919 % 101), float(i * 31 % 17), i * 7919 % 101 // 34, i % 3
+
+    rows = spark.sparkContext.parallelize(range(n), 3).map(note)
+    return spark.createDataFrame(rows, "k long, x double, z double, y int, fold int"), read
+
+
+def test_a_fit_lays_its_rows_out_once(spark):
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size
+    df, read = _read_counter(spark)
+    before = kept()
+    model = T.fit_forest(df, ["x", "z"], "y", 5, 3, 42, n_classes=3, key="k").stages[-1]
+    assert read.value == 2 * 300  # counted, then sent; four times when every reader sent them anew
+    assert kept() == before
+    plain = T.fit_forest(laid_out(df, "k"), ["x", "z"], "y", 5, 3, 42, n_classes=3).stages[-1]
+    assert model.toDebugString.split("\n")[1:] == plain.toDebugString.split("\n")[1:]
+    assert model.featureImportances == plain.featureImportances
+
+
+def test_a_search_lays_its_rows_out_once(spark):
+    grid = {"n_estimators": [3], "max_depth": [2], "random_state": [1]}
+    df, read = _read_counter(spark)
+    cv = T.grid_search(T.with_class_count(df, "y", 3), ["x", "z"], "y", grid, k=3, key="k")
+    assert read.value == 2 * 300
+    df, _ = _read_counter(spark)
+    plain = T.grid_search(T.with_class_count(laid_out(df, "k"), "y", 3), ["x", "z"], "y", grid, k=3)
+    assert list(cv.avgMetrics) == list(plain.avgMetrics)
+
+
 def test_missing_labels_are_left_out_and_counted(spark, tmp):
     data = _quality(spark).withColumn("quality", F.when(F.col("doc_id") % 9 == 0, None).when(F.col("doc_id") % 9 == 1, -1).otherwise(F.col("quality")))
     n = data.where("quality >= 0").count()
