@@ -9,12 +9,9 @@ from pyspark.sql import functions as F
 from lodestone.llm.common import stored
 
 
-def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The components of a task's own links as (node, smallest node): as many
-    links as nodes at most, and every path one step long."""
-    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
-    u, v = at[:len(a)], at[len(a):]
-    low = np.arange(len(nodes))
+def lowest(low: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """The smallest node of each node's component: those of ``low``, which holds the
+    same for earlier links, after the links (u, v)."""
     while True:
         m = np.minimum(low[u], low[v])
         new = low.copy()
@@ -23,8 +20,15 @@ def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             np.minimum.at(new, low[end], m)
         new = new[new]
         if (new == low).all():
-            break
+            return low
         low = new
+
+
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The components of a task's own links as (node, smallest node): as many
+    links as nodes at most, and every path one step long."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    low = lowest(np.arange(len(nodes)), at[:len(a)], at[len(a):])
     far = low != np.arange(len(nodes))
     return nodes[far], nodes[low[far]]
 

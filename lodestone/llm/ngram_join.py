@@ -11,9 +11,15 @@ parts they agree in a whole part.  Every non-empty part is a signature; classes
 with a common signature are candidates.  (A set with so many empty parts that
 the agreeing one may be empty also sends its prefix, the ``n - ceil(t n) + 1``
 smallest hashes: its partners then are in the same case, and two prefixes of
-linked sets meet.)  Signatures travel as packed arrays per hash shard, equal
-ones are chained in order of size, and connected components of the chains,
-far finer than any single shared n-gram gives, are the blocks of the join.
+linked sets meet.)  A part holds few elements, so texts that share a line share
+parts too.  Neighbouring parts therefore form bands, and a signature travels
+with a sketch of its band, the parity of the elements per bit.  The differences
+of a linked pair are fewer than the non-empty parts of either set, so in some
+band they are fewer than its non-empty parts: there the pair agrees in a part
+and the sketches differ in fewer bits than the band has parts.  Only signatures
+that are equal and whose sketches are that near make a candidate.  Signatures
+travel as packed arrays per hash shard, and the connected components of the
+candidates, near copies but for a few, are the blocks of the join.
 
 Join of a block.  A signature tree holds in its leaves a bitmap of each set
 (hash bits) and its size; nodes above hold the OR of the bitmaps, the range of
@@ -44,9 +50,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestone.llm.arrays import Words, doc_grams, mix64, pack, shard_of, slices, text_buffer, text_parts, unpack
+from lodestone.llm.arrays import Words, doc_grams, mix64, pack, ragged, shard_of, slices, text_buffer, text_parts, unpack
 from lodestone.llm.common import narrow, stored
-from lodestone.llm.components import connected_components, stars
+from lodestone.llm.components import connected_components, lowest
 from lodestone.session import join_small
 
 WORDS = 4
@@ -59,6 +65,13 @@ SLICE_BYTES = 4 << 20
 #: Text whose signatures a hash shard holds on average.
 SHARD_BYTES = 8 << 20
 FANOUT = 8
+#: Parts of a band, about.
+BAND = 8
+#: Limit of a sketch that says nothing; the lowest four bits of a sketch are its
+#: limit, the most bits in which linked sets differ.
+UNLIMITED = 15
+#: Pairs of sketches that are compared at a time.
+PAIRS = 1 << 19
 #: Orders in which neighbours are compared before the tree is.
 ORDERS = 4
 _U = np.uint64
@@ -123,14 +136,22 @@ class Intervals:
 
 def signatures(elements: np.ndarray, first: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(set number, signature) of all signatures of the given sets."""
+    return sketched_signatures(elements, first, percent)[:2]
+
+
+def sketched_signatures(elements: np.ndarray, first: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(set number, signature, sketch) of all signatures of the given sets.  Linked
+    sets that are not equal have a signature in common whose sketches are ``near``."""
     size = np.diff(first)
     if not len(size) or not size.any():
-        return np.zeros(0, np.int64), np.zeros(0, _U)
+        return np.zeros(0, np.int64), np.zeros(0, _U), np.zeros(0, _U)
     iv = Intervals(percent, int(size.max()))
     own = np.searchsorted(iv.low, size, side="right") - 1
     who = np.repeat(np.arange(len(size)), size)
     spread = mix64(elements ^ _U(0x5851F42D4C957F2D))
-    out_set, out_sig = [], []
+    # 60 bits above the four of the limit
+    bit = _U(1) << (((spread & _U(0xFFFFFFFF)) * _U(60) >> _U(32)) + _U(4))
+    out_set, out_sig, out_sketch = [], [], []
     for group in (own, own - 1):
         differ = np.where((size > 0) & (group >= 0), iv.differ(size, np.maximum(group, 0)), 0)
         use = differ > 0  # otherwise only equal sets link, and those are one class
@@ -147,15 +168,84 @@ def signatures(elements: np.ndarray, first: np.ndarray, percent: int) -> tuple[n
         owner = np.searchsorted(base + k, full, side="right")
         content = (low[full] % 2.0**32).astype(_U) | (high[full] % 2.0**32).astype(_U) << _U(32)
         place = (group[owner].astype(_U) << _U(32)) + (full - base[owner]).astype(_U)
+        bands = np.maximum((k + BAND // 2) // BAND, 1)
+        first_band = np.cumsum(bands) - bands
+        parity = np.zeros(int(bands.sum()), _U)
+        np.bitwise_xor.at(parity, first_band[who[on]] + part * bands[who[on]] // np.maximum(k, 1)[who[on]], bit[on])
+        limit = -(-k // bands) - 1
+        band = first_band[owner] + (full - base[owner]) * bands[owner] // np.maximum(k, 1)[owner]
         out_set.append(owner)
         out_sig.append(mix64(mix64(content) ^ mix64(place + _U(1))))
+        out_sketch.append(parity[band] | limit[owner].astype(_U))
         filled = np.bincount(owner, minlength=len(size))
         for i in np.flatnonzero(use & (filled <= differ)).tolist():
             s = elements[first[i]:first[i + 1]]
             p = s[:len(s) - -(-percent * len(s) // 100) + 1]
+            whole = int(np.bitwise_xor.reduce(bit[first[i]:first[i + 1]]))
             out_set.append(np.full(len(p), i))
             out_sig.append(mix64(mix64(p) ^ _U((int(group[i]) << 1 | 1) * 0x2545F4914F6CDD1D & 0xFFFFFFFFFFFFFFFF)))
-    return np.concatenate(out_set), np.concatenate(out_sig)
+            out_sketch.append(np.full(len(p), whole | min(int(k[i]) - 1, UNLIMITED), _U))  # fewer than k elements differ
+    return np.concatenate(out_set), np.concatenate(out_sig), np.concatenate(out_sketch)
+
+
+def near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether two sketches have the same limit and differ in no more bits."""
+    limit, odd = x & _U(15), x ^ y
+    return ((odd & _U(15)) == 0) & ((np.bitwise_count(odd) <= limit) | (limit == UNLIMITED))
+
+
+def candidate_components(sig: np.ndarray, cls: np.ndarray, size: np.ndarray, sketch: np.ndarray,
+                         percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The components of the candidates among a shard's signatures, as (class,
+    smallest class).  Rows with equal signature and sketch are runs; runs of a
+    signature are compared with its longest first, then those outside of that
+    one's component with all others, unless they are in one component already."""
+    o = np.argsort(sig, kind="stable")
+    twin = sig[o][1:] == sig[o][:-1]  # signatures that occur more than once
+    o = o[np.concatenate([twin, [False]]) | np.concatenate([[False], twin])] if len(o) else o
+    o = o[np.lexsort((cls[o], size[o], sketch[o], sig[o]))]
+    if not len(o):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    s, k, n = sig[o], sketch[o], size[o]
+    nodes, node = np.unique(cls[o], return_inverse=True)
+    same = (s[1:] == s[:-1]) & (k[1:] == k[:-1]) & (100 * n[:-1] >= percent * n[1:])
+    low = lowest(np.arange(len(nodes)), node[:-1][same], node[1:][same])
+    # the runs, by signature
+    a = np.flatnonzero(np.concatenate([[True], ~same]))
+    b = np.concatenate([a[1:], [len(s)]])
+    k, node, small, large, rows = k[a], node[a], n[a], n[b - 1], b - a
+    start = np.flatnonzero(np.concatenate([[True], s[a][1:] != s[a][:-1]]))
+    count = np.diff(np.concatenate([start, [len(a)]]))
+
+    def join(x, y) -> None:
+        nonlocal low
+        fit = ((low[node[x]] != low[node[y]]) & (100 * large[x] >= percent * small[y]) & (100 * large[y] >= percent * small[x]))
+        x, y = x[fit], y[fit]
+        fit = near(k[x], k[y])
+        if fit.any():
+            low = lowest(low, node[x[fit]], node[y[fit]])
+
+    group = np.repeat(np.arange(len(start)), count)
+    order = np.lexsort((-rows, group))
+    pivot = order[start]
+    join(np.arange(len(a)), pivot[group])
+    # the smaller groups first: what they join need not be compared in larger ones
+    left = np.flatnonzero(np.maximum.reduceat(low[node], start) != np.minimum.reduceat(low[node], start))
+    left = left[np.argsort(count[left], kind="stable")]
+    cost = np.cumsum(count[left].astype(np.float64) ** 2)
+    at = 0
+    while at < len(left):
+        upto = max(at + 1, int(np.searchsorted(cost, (cost[at - 1] if at else 0) + PAIRS, side="right")))
+        g, at = left[at:upto], upto
+        x = ragged(start[g], count[g])
+        x = x[low[node[x]] != low[node[pivot[group[x]]]]]
+        step = max(1, PAIRS // int(count[g].max())) if len(g) == 1 else max(1, len(x))
+        for i in range(0, len(x), step):
+            r = x[i:i + step]
+            r = r[low[node[r]] != low[node[pivot[group[r]]]]]
+            join(np.repeat(r, count[group[r]]), ragged(start[group[r]], count[group[r]]))
+    far = low != np.arange(len(nodes))
+    return nodes[far], nodes[low[far]]
 
 
 _SCAN = "doc_id long, n long, digest binary, cls long, shard int, blob binary"
@@ -186,18 +276,19 @@ def scan_documents(docs: DataFrame, doc_id: str, text: str, n: int, percent: int
             keep = np.array(sorted(one.values()), dtype=np.int64)
             sub = np.concatenate([elements[first[i]:first[i + 1]] for i in keep]) if len(keep) else elements[:0]
             sub_first = np.concatenate([[0], np.cumsum(size[keep])]).astype(np.int64)
-            who, sig = signatures(sub, sub_first, percent)
+            who, sig, sketch = sketched_signatures(sub, sub_first, percent)
             # 48 bits are enough to propose a candidate, every candidate is verified
             sig = sig >> _U(16)
             order = np.argsort(sig)
-            sig, who = sig[order], who[order]
+            sig, who, sketch = sig[order], who[order], sketch[order]
             cut = np.searchsorted(shard_of(sig << _U(16), shards), np.arange(shards + 1))
             own = np.array(cls, dtype=np.int64)[keep]
             blobs, at = [], []
             for s in range(shards):
                 if cut[s + 1] > cut[s]:
                     u, inv = np.unique(who[cut[s]:cut[s + 1]], return_inverse=True)
-                    blobs.append(_join(pack(sig[cut[s]:cut[s + 1]], True), pack(inv.astype(np.uint32)), pack(own[u]), pack(size[keep][u])))
+                    blobs.append(_join(pack(sig[cut[s]:cut[s + 1]], True), pack(inv.astype(np.uint32)), pack(own[u]), pack(size[keep][u]),
+                                       pack(sketch[cut[s]:cut[s + 1]])))
                     at.append(s)
             z = len(at)
             yield pa.RecordBatch.from_arrays([null(z, pa.int64()), null(z, pa.int64()), null(z, pa.binary()), null(z, pa.int64()),
@@ -226,9 +317,9 @@ _ROUTED = "doc_id long, n long, digest binary, cls long, a long, b long"
 
 
 def chains(scan: DataFrame, percent: int, shards: int) -> DataFrame:
-    """(a, b): classes that follow each other in size under a common signature,
-    as stars of the components they form in their shard.  Document rows pass as they are, so one shuffle carries both and the packed
-    signatures are never stored."""
+    """(a, b): classes that are candidates by a signature of the shard, as stars of
+    the components they form there.  Document rows pass as they are, so one shuffle
+    carries both and the packed signatures are never stored."""
     def route(table: pa.Table) -> pa.Table:
         if table["shard"][0].as_py() < shards:
             pairs = run(table)  # at most a link per class
@@ -238,24 +329,15 @@ def chains(scan: DataFrame, percent: int, shards: int) -> DataFrame:
         return table.select(["doc_id", "n", "digest", "cls"]).append_column("a", none).append_column("b", none)
 
     def run(table: pa.Table) -> pa.Table:
-        sig, cls, size = [], [], []
+        sig, cls, size, sketch = [], [], [], []
         for blob in table["blob"].to_pylist():
-            s, i, c, n = _split(blob)
+            s, i, c, n, k = _split(blob)
             i = unpack(i, np.uint32)
             sig.append(unpack(s, _U, True))
             cls.append(unpack(c, np.int64)[i])
             size.append(unpack(n, np.int64)[i])
-        sig, cls, size = np.concatenate(sig), np.concatenate(cls), np.concatenate(size)
-        o = np.argsort(sig, kind="stable")
-        s = sig[o]
-        twin = np.zeros(len(s), bool)  # signatures that occur more than once
-        twin[1:] = s[1:] == s[:-1]
-        twin[:-1] |= twin[1:]
-        o = o[twin]
-        o = o[np.lexsort((cls[o], size[o], sig[o]))]
-        s, c, n = sig[o], cls[o], size[o]
-        near = (s[1:] == s[:-1]) & (c[1:] != c[:-1]) & (100 * n[:-1] >= percent * n[1:])
-        a, b = stars(c[:-1][near], c[1:][near])
+            sketch.append(unpack(k, _U))
+        a, b = candidate_components(*map(np.concatenate, (sig, cls, size, sketch)), percent)
         return pa.table({"a": a, "b": b})
     return scan.groupBy("shard").applyInArrow(route, _ROUTED)
 

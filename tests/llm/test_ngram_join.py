@@ -189,3 +189,69 @@ def test_copies_and_empty_texts_are_dealt_evenly(spark):
     assert len(per) == 8 and max(r["count"] for r in per) <= 600 // 8 + 2
     got = J.jaccard_components(df).collect()
     assert {r["component_id"] for r in got if r["doc_id"] < 300} == {0} and all(r["component_id"] == r["doc_id"] for r in got if r["doc_id"] >= 300)
+
+
+def test_sketches_lose_no_pair():
+    """Of two sets at the very edge of linking some common signature has sketches that are near."""
+    rnd = random.Random(18)
+    for percent in (80, 85, 90):
+        for turn in range(200):
+            n = rnd.choice([4, 5, 6, 9, 12, 25, 60, 200, 700])
+            a = {rnd.getrandbits(64) for _ in range(n)}
+            b, c = set(a), None
+            while True:  # only removals, only additions or both
+                c = set(b)
+                if turn % 3 == 0 and len(c) > 1 or turn % 3 == 2 and rnd.random() < .5 and len(c) > 1:
+                    c.discard(next(iter(c & a)))
+                else:
+                    c.add(rnd.getrandbits(64))
+                if 100 * len(a & c) < percent * len(a | c):
+                    break
+                b = c
+            if a == b:
+                continue
+            both = np.concatenate([np.array(sorted(x), dtype=np.uint64) for x in (a, b)])
+            who, sig, sketch = J.sketched_signatures(both, np.array([0, len(a), len(a) + len(b)]), percent)
+            of = {(w, s): k for w, s, k in zip(who.tolist(), sig.tolist(), sketch.tolist())}
+            assert any(J.near(np.array([k], np.uint64), np.array([of[1, s]], np.uint64))[0] for (w, s), k in of.items() if w == 0 and (1, s) in of)
+
+
+@pytest.mark.parametrize("pairs", [J.PAIRS, 7])
+def test_candidate_components_against_all_pairs(monkeypatch, pairs):
+    monkeypatch.setattr(J, "PAIRS", pairs)
+    rnd = random.Random(9)
+    for _ in range(40):
+        rows = []
+        for cls in range(rnd.choice([0, 1, 5, 60])):
+            size, family = rnd.choice([40, 48, 60, 90]), rnd.getrandbits(60) if rnd.random() < .5 else 0xABCDEF
+            for s in rnd.sample(range(9), rnd.randint(1, 4)):
+                k = family
+                for _ in range(rnd.choice([0, 1, 4, 9])):
+                    k ^= 1 << rnd.randrange(60)
+                rows.append((s, cls - 30, size, k << 4 | rnd.choice([3, 7, 7, 15])))
+        rnd.shuffle(rows)
+        up = {r[1]: r[1] for r in rows}
+
+        def root(x):
+            return x if up[x] == x else root(up[x])
+        for (s, c, n, k), (t, d, m, l) in itertools.combinations(rows, 2):
+            if s == t and 100 * min(n, m) >= 80 * max(n, m) and k % 16 == l % 16 and ((k ^ l).bit_count() <= k % 16 or k % 16 == 15):
+                x, y = sorted((root(c), root(d)))
+                up[y] = x
+        col = [np.array([r[i] for r in rows], t) for i, t in enumerate((np.uint64, np.int64, np.int64, np.uint64))]
+        a, b = J.candidate_components(*col, 80)
+        assert dict(zip(a.tolist(), b.tolist())) == {c: root(c) for c in up if root(c) != c}
+
+
+def test_texts_that_share_a_line_are_no_block(spark):
+    """Texts of a third common words share signatures but are no candidates; the near copies among them are."""
+    rnd = random.Random(12)
+    voc = [f"w{i}" for i in range(3000)]
+    line = " ".join(rnd.choice(voc) for _ in range(90))
+    texts = [" ".join(rnd.choice(voc) for _ in range(rnd.randint(190, 210))) + "\n" + line for _ in range(400)]
+    texts += [f"{texts[i]} end" for i in range(5)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    pairs = J.chains(J.scan_documents(df, "doc_id", "text", 5, 80, 8), 80, 8).where("a is not null").select("a", "b").collect()
+    assert 5 <= len({x for r in pairs for x in r}) <= 40
+    got = {r["doc_id"]: r["component_id"] for r in J.jaccard_components(df, words=5, percent=80).collect()}
+    assert got == {i: i - 400 if i >= 400 else i for i in range(405)}
